@@ -34,20 +34,28 @@ def match_patterns(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
     match. Without a credited account ``orgs`` is STREAM_KEYWORD.
 
     This is a narrow, stateless row expression: statuses are not shuffled, no
-    (status, keyword) pairs are produced, and the same code runs on streams. The text is
-    lowered once, entries that do not occur are filtered out before the ordered fold.
+    (status, keyword) pairs are produced, and the same code runs on streams.
     """
-    return match_pattern_array(statuses, keyword_list(keywords))
+    listed = statuses.withColumn("_entries", keyword_list(keywords))
+    return listed.select(
+        *statuses.columns, F.inline(pattern_result(F.col("text"), F.col("_entries")))
+    )
 
 
-def match_pattern_array(statuses: DataFrame, entries: Column) -> DataFrame:
-    def occurring(entry: Column) -> Column:
-        low = F.col("_low")
-        return F.struct(
-            entry["org"].alias("org"), entry["der"].alias("der"), entry["tag"].alias("tag"),
-            ((entry["der_low"] != "") & F.contains(low, entry["der_low"])).alias("has_der"),
-            ((entry["tag_low"] != "") & F.contains(low, entry["tag_low"])).alias("has_tag"),
-        )
+def pattern_result(text: Column, entries: Column) -> Column:
+    """Array with one (patterns, orgs) struct for a matching text, empty for any other.
+
+    The text is lowered once: it is bound as the variable of a one-element ``transform``.
+    Used below a generator, the expression is evaluated once per row and not copied into a
+    pushed-down filter.
+    """
+    def occurring(low: Column) -> Column:
+        flagged = F.transform(entries, lambda e: F.struct(
+            e["org"].alias("org"), e["der"].alias("der"), e["tag"].alias("tag"),
+            ((e["der_low"] != "") & F.contains(low, e["der_low"])).alias("has_der"),
+            ((e["tag_low"] != "") & F.contains(low, e["tag_low"])).alias("has_tag"),
+        ))
+        return F.filter(flagged, lambda h: h["has_der"] | h["has_tag"])
 
     def step(acc: Column, hit: Column) -> Column:
         both = hit["has_der"] & hit["has_tag"]
@@ -62,23 +70,17 @@ def match_pattern_array(statuses: DataFrame, entries: Column) -> DataFrame:
             F.when(fresh, F.array_append(acc["seen"], token)).otherwise(acc["seen"]).alias("seen"),
         )
 
+    def joined(acc: Column) -> Column:
+        return F.struct(
+            F.array_join(acc["patterns"], " & ").alias("patterns"),
+            F.when(F.size(acc["orgs"]) > 0, F.array_join(acc["orgs"], " & "))
+            .otherwise(S.STREAM_KEYWORD).alias("orgs"),
+        )
+
     nothing = F.array().cast("array<string>")
     start = F.struct(nothing.alias("patterns"), nothing.alias("orgs"), nothing.alias("seen"))
-    hits = F.filter(F.transform(F.col("_entries"), occurring), lambda h: h["has_der"] | h["has_tag"])
-    return (
-        statuses.withColumn("_low", F.lower("text"))
-        .withColumn("_entries", entries)
-        .withColumn("_hits", hits)
-        .filter(F.size("_hits") > 0)
-        .withColumn("_found", F.aggregate("_hits", start, step))
-        .withColumn("patterns", F.array_join("_found.patterns", " & "))
-        .withColumn(
-            "orgs",
-            F.when(F.size("_found.orgs") > 0, F.array_join("_found.orgs", " & "))
-            .otherwise(S.STREAM_KEYWORD),
-        )
-        .drop("_low", "_entries", "_hits", "_found")
-    )
+    hits = F.filter(F.transform(F.array(F.lower(text)), occurring), lambda found: F.size(found) > 0)
+    return F.transform(hits, lambda found: F.aggregate(found, start, step, joined))
 
 
 def pattern_keywords(top_pairs: DataFrame) -> DataFrame:
@@ -108,8 +110,10 @@ def track_filter(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
     """Statuses whose text contains any tracked token, ignoring case."""
     wanted = tokens.agg(F.collect_set(F.lower("token"))).scalar()
     return (
-        statuses.withColumn("_low", F.lower("text"))
-        .withColumn("_tokens", wanted)
-        .filter(F.exists("_tokens", lambda t: F.contains(F.col("_low"), t)))
-        .drop("_low", "_tokens")
+        statuses.withColumn("_tokens", wanted)
+        .filter(F.exists(
+            F.array(F.lower("text")),
+            lambda low: F.exists("_tokens", lambda token: F.contains(low, token)),
+        ))
+        .drop("_tokens")
     )

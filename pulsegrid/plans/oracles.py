@@ -393,11 +393,11 @@ weighed AS (SELECT status_id, sum(weight) AS score FROM (SELECT status_id, unnes
     JOIN lex ON word = keyword GROUP BY ALL),
 scored AS (SELECT st.*, coalesce(score, 0) AS score FROM st LEFT JOIN weighed USING (status_id))"""
 ORACLES["rollup_client_country_hour"] = f"""WITH {_ASKED}, {_SCORED}, {_COUNTRIES},
-both AS (SELECT original_user AS client, user_id, date_trunc('hour', created_at) AS hour_start, score, 0 AS missed FROM scored
+merged AS (SELECT original_user AS client, user_id, date_trunc('hour', created_at) AS hour_start, score, 0 AS missed FROM scored
     UNION ALL SELECT client, user_id, hour_start, 0, 1 FROM judged WHERE missed),
 summed AS (SELECT client, country, hour_start, CAST(sum(score) AS BIGINT) AS sentiment_score,
     CAST(sum(missed) AS BIGINT) AS non_responded_user_count
-    FROM both LEFT JOIN countries USING (user_id) GROUP BY ALL),
+    FROM merged LEFT JOIN countries USING (user_id) GROUP BY ALL),
 parts AS (SELECT client, country, sentiment_score, non_responded_user_count, hour(hour_start) AS hour,
     day(hour_start) AS day, month(hour_start) AS month, year(hour_start) AS year FROM summed)
 SELECT sha256(concat_ws('|', client, country, hour, day, month, year)) AS ssoid, * FROM parts"""
@@ -408,3 +408,16 @@ summed AS (SELECT country, hashtag, day(created_at) AS day, month(created_at) AS
     FROM tags LEFT JOIN countries USING (user_id) GROUP BY ALL)
 SELECT sha256(concat_ws('|', country, hashtag, day, month, year)) AS ssoid, country, hashtag, sentiment_score,
     num_of_users, day, month, year FROM summed"""
+
+# -- streams --------------------------------------------------------------------------
+
+ORACLES["stream_classify"] = ORACLES["status_classify"]
+ORACLES["stream_dedupe_users"] = "SELECT DISTINCT 'u' || user_id AS screen_name, user_id FROM events"
+ORACLES["stream_roll_counts"] = ORACLES["roll_windows"]
+ORACLES["stream_user_registry"] = ORACLES["user_registry"]
+ORACLES["stream_keyword_refresh"] = f"""WITH {_TAGGED}, {_top()},
+kw AS (SELECT 0 AS org_pos, original_user AS org, position AS kw_pos, derived_user AS der, hashtag AS tag FROM pairs5),
+tracked_st AS (SELECT * FROM st WHERE filter_type = 'STREAM_TRACKER'),
+{_matched('tracked_st', 'kw')}
+SELECT status_id, patterns AS derived_user, orgs AS original_user,
+    CASE WHEN orgs = 'STREAM_KEYWORD' THEN 'REJECTED-STATUS' ELSE 'STATUS' END AS kind FROM matched"""

@@ -21,6 +21,7 @@ from pulsegrid.sinks.delimited import write_delimited
 from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sources import batch_config
 from pulsegrid.sources.delimited import read_delimited
+from pulsegrid.streaming import flows
 
 REGISTRY = {}
 
@@ -502,3 +503,56 @@ def rollup_hashtag_country_day(spark, sf_dir):
         "ssoid", "country", "hashtag", "sentiment_score", "num_of_users",
         _big("day"), _big("month"), _big("year"),
     )
+
+
+# -- streams --------------------------------------------------------------------------
+
+
+@query
+def stream_classify(spark, sf_dir):
+    out = shared_dir(spark, "stream-classified")
+    flows.finish(flows.classify_to_files(
+        B.status_stream(spark, sf_dir), B.watched(spark, sf_dir), B.accounts(spark, sf_dir),
+        out, shared_dir(spark, "checkpoint"),
+    ))
+    return spark.read.parquet(out).select(
+        "status_id", "batch_name", "filter_type", "original_user", "derived_user", "kind"
+    )
+
+
+@query
+def stream_dedupe_users(spark, sf_dir):
+    out = shared_dir(spark, "stream-users")
+    flows.finish(flows.first_users_to_files(B.status_stream(spark, sf_dir), out, shared_dir(spark, "checkpoint")))
+    return spark.read.parquet(out)
+
+
+@query
+def stream_roll_counts(spark, sf_dir):
+    out = shared_dir(spark, "stream-rolls")
+    flows.finish(flows.roll_counts(B.status_stream(spark, sf_dir), out, shared_dir(spark, "checkpoint")))
+    return flows.read_roll_counts(spark, out)
+
+
+@query
+def stream_keyword_refresh(spark, sf_dir):
+    table, out = shared_dir(spark, "patterns"), shared_dir(spark, "stream-tracked")
+    flows.refresh_patterns(B.statuses(spark, sf_dir), table)
+    tracked = B.status_stream(spark, sf_dir).filter(F.col("filter_type") == S.STREAM_TRACKER)
+    flows.finish(flows.track_to_epochs(tracked, table, out, shared_dir(spark, "checkpoint")))
+    return spark.read.parquet(out).select("status_id", "derived_user", "original_user", "kind")
+
+
+@query
+def stream_user_registry(spark, sf_dir):
+    out = shared_dir(spark, "stream-registry")
+    found = B.status_stream(spark, sf_dir).filter(F.col("filter_type") == S.BATCH_TIMELINE).withColumn(
+        "original_user", F.concat(F.lit("org"), F.col("k") % 10))
+    schema = registry.register_users(B.statuses(spark, sf_dir).withColumn(
+        "created_at", F.col("created_at").cast("timestamp"))).schema
+    flows.finish(flows.register_to_epochs(found, out, shared_dir(spark, "checkpoint")))
+    return flows.read_registrations(spark, out, schema).select(
+        "batch_name", "screen_name", "user_id", "original_user",
+        F.col("first_seen.status_id").alias("first_status_id"),
+        F.col("last_seen.status_id").alias("last_status_id"),
+    )

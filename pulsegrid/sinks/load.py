@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ def pending_rows(spark: SparkSession, path: str, audit_path: str, columns: list[
     rows = read_delimited(spark, path, columns, compat).withColumn("file_name", source_file())
     try:
         done = spark.read.parquet(audit_path).filter("is_loaded").select("file_name").distinct()
-    except Exception as error:  # first load: no audit table yet
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:  # first load: no audit table yet
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return rows
     return rows.join(done, "file_name", "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsegrid.schemas import text_schema
 
@@ -20,11 +21,15 @@ def read_delimited(spark: SparkSession, path: str | list[str], columns: list[str
     ``compat=True`` reads the older files, where NULL is the bare word ``null`` and an empty
     field is an empty text; a quoted ``"null"`` cannot be told apart there.
     """
-    reader = (
+    rows = (
         spark.read.schema(text_schema(columns))
         .option("sep", SEPARATOR).option("quote", QUOTE).option("escape", ESCAPE)
         .option("header", True).option("enforceSchema", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        # A bare empty field is read as NULL only while the null text differs from "".
+        .option("nullValue", "\u0000").option("emptyValue", "")
+        .csv(path)
     )
-    null_text = "null" if compat else ""
-    return reader.option("nullValue", null_text).option("emptyValue", "").csv(path)
+    if not compat:
+        return rows
+    return rows.select(*[F.when(F.coalesce(c, F.lit("")) != "null", F.coalesce(c, F.lit(""))).alias(c) for c in columns])
