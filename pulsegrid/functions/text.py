@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Characters that end a word, next to the blank.
 _PUNCTUATION = ".,;:!?\"()[]#@\r\n\t"
 
 
@@ -44,10 +46,16 @@ def quoted_field(col: Column) -> Column:
     return F.coalesce(quoted, F.lit(""))
 
 
+def word_split(text: Column) -> Column:
+    """Lower-case words of a text, split at blanks, punctuation and line breaks.
+
+    The first and last element may be empty; ``words`` drops those.
+    """
+    return F.split(F.lower(text), "[ " + re.escape(_PUNCTUATION) + "]+")
+
+
 def words(text: Column) -> Column:
-    """Lower-case words: punctuation and line breaks become blanks, empty tokens are dropped."""
-    blanks = " " * len(_PUNCTUATION)
-    return F.filter(F.split(F.translate(F.lower(text), _PUNCTUATION, blanks), " "), lambda t: t != "")
+    return F.filter(word_split(text), lambda w: w != "")
 
 
 def absent_id_to_null(col: Column) -> Column:

@@ -9,14 +9,15 @@ from pulsegrid import schemas as S
 from pulsegrid.functions.text import absent_id_to_null
 from pulsegrid.functions.times import format_batch_time, long_date_text
 
-_NO_TEXT = F.lit(None).cast("string")
+def _or_null(text: Column | None) -> Column:
+    return F.lit(None).cast("string") if text is None else text
 
 
 def flatten_status(
     landed: DataFrame,
     filter_type: Column,
-    original_user: Column = _NO_TEXT,
-    derived_user: Column = _NO_TEXT,
+    original_user: Column | None = None,
+    derived_user: Column | None = None,
     ref_status_id: Column | None = None,
     load_time: Column | None = None,
     keep: tuple[str, ...] = (),
@@ -29,8 +30,8 @@ def flatten_status(
     reply_to = absent_id_to_null(F.col("in_reply_to_status_id"))
     columns = {
         "filter_type": filter_type,
-        "original_user": original_user,
-        "derived_user": derived_user,
+        "original_user": _or_null(original_user),
+        "derived_user": _or_null(derived_user),
         "system_create_ts": F.current_timestamp() if load_time is None else load_time,
         "status_id": F.col("id"),
         "user_id": F.col("user.id"),
@@ -69,15 +70,15 @@ def flatten_status(
 def flatten_user(
     landed: DataFrame,
     filter_type: Column,
-    original_user: Column = _NO_TEXT,
-    derived_user: Column = _NO_TEXT,
+    original_user: Column | None = None,
+    derived_user: Column | None = None,
     load_time: Column | None = None,
 ) -> DataFrame:
     """The author of each landed status as a typed row (one row per status; see ``dedupe``)."""
     return landed.select(
         filter_type.alias("filter_type"),
-        original_user.alias("original_user"),
-        derived_user.alias("derived_user"),
+        _or_null(original_user).alias("original_user"),
+        _or_null(derived_user).alias("derived_user"),
         (F.current_timestamp() if load_time is None else load_time).alias("system_create_ts"),
         *[F.col(f"user.{name}").alias(name) for name in S.USER_FIELDS],
         F.col("user.description_urls").alias("description_urls"),

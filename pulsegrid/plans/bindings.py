@@ -60,7 +60,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_to_statuses(events: DataFrame) -> DataFrame:
     """Works on a table and on a stream; unused columns are pruned down to the scan."""
-    keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    # json_tuple parses once per row; a JSON path expression would be copied into every filter.
+    parsed = events.select("*", F.json_tuple("props", "k").alias("k"))
+    keyed = parsed.withColumn("k", F.col("k").cast("int"))
     return keyed.selectExpr(*[f"{e} AS {n}" for n, e in STATUS_EXPRS.items()]).withColumn(
         "text", F.expr(STATUS_TEXT)
     )
@@ -190,7 +192,8 @@ def dated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keywords(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KEYWORDS, "org_pos int, org string, kw_pos int, der string, tag string")
+    rows = ", ".join(f"({p}, '{org}', {k}, '{der}', '{tag}')" for p, org, k, der, tag in KEYWORDS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS kw(org_pos, org, kw_pos, der, tag)")
 
 
 def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
