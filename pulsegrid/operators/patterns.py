@@ -16,11 +16,14 @@ MAX_KEYWORDS = 400
 
 
 def keyword_list(keywords: DataFrame) -> Column:
-    """The whole list as one array value (a scalar subquery), ordered by org_pos, org, kw_pos."""
-    der, tag = F.coalesce("der", F.lit("")), F.coalesce("tag", F.lit(""))
+    """The whole list as one array value (a scalar subquery), ordered by org_pos, org, kw_pos.
+
+    The lower-case tokens are NULL when empty, so that they match nothing.
+    """
     entry = F.struct(
-        F.col("org_pos"), F.col("org"), F.col("kw_pos"), der.alias("der"), tag.alias("tag"),
-        F.lower(der).alias("der_low"), F.lower(tag).alias("tag_low"),
+        "org_pos", "org", "kw_pos", "der", "tag",
+        F.nullif(F.lower("der"), F.lit("")).alias("der_low"),
+        F.nullif(F.lower("tag"), F.lit("")).alias("tag_low"),
     )
     return keywords.agg(F.array_sort(F.collect_list(entry))).scalar()
 
@@ -47,40 +50,39 @@ def pattern_result(text: Column, entries: Column) -> Column:
 
     The text is lowered once: it is bound as the variable of a one-element ``transform``.
     Used below a generator, the expression is evaluated once per row and not copied into a
-    pushed-down filter.
+    pushed-down filter. "Once per token" is ``array_distinct``, which keeps first places; the
+    keywords that match as a whole carry their position, so these all stay.
     """
+    def occurs(low: Column, token: Column) -> Column:
+        return F.coalesce(F.contains(low, token), F.lit(False))
+
     def occurring(low: Column) -> Column:
-        flagged = F.transform(entries, lambda e: F.struct(
+        listed = F.filter(entries, lambda e: occurs(low, e["der_low"]) | occurs(low, e["tag_low"]))
+        return F.transform(listed, lambda e: F.struct(
             e["org"].alias("org"), e["der"].alias("der"), e["tag"].alias("tag"),
-            ((e["der_low"] != "") & F.contains(low, e["der_low"])).alias("has_der"),
-            ((e["tag_low"] != "") & F.contains(low, e["tag_low"])).alias("has_tag"),
+            occurs(low, e["der_low"]).alias("has_der"), occurs(low, e["tag_low"]).alias("has_tag"),
         ))
-        return F.filter(flagged, lambda h: h["has_der"] | h["has_tag"])
 
-    def step(acc: Column, hit: Column) -> Column:
+    def labelled(hit: Column, place: Column) -> Column:
         both = hit["has_der"] & hit["has_tag"]
-        token = F.when(hit["has_tag"], hit["tag"]).otherwise(hit["der"])
-        fresh = ~both & ~F.array_contains(acc["seen"], token)
-        label = F.when(both, F.concat_ws("+", hit["der"], hit["tag"])).otherwise(token)
-        credited = both & ~F.array_contains(acc["orgs"], hit["org"])
-        return F.struct(
-            F.when(both | fresh, F.array_append(acc["patterns"], in_parentheses(label)))
-            .otherwise(acc["patterns"]).alias("patterns"),
-            F.when(credited, F.array_append(acc["orgs"], hit["org"])).otherwise(acc["orgs"]).alias("orgs"),
-            F.when(fresh, F.array_append(acc["seen"], token)).otherwise(acc["seen"]).alias("seen"),
-        )
+        label = F.when(both, F.concat_ws("+", hit["der"], hit["tag"])).when(
+            hit["has_tag"], hit["tag"]).otherwise(hit["der"])
+        return F.struct(label.alias("label"), F.when(both, place).alias("place"))
 
-    def joined(acc: Column) -> Column:
+    def summary(hits: Column) -> Column:
+        labels = F.transform(
+            F.array_distinct(F.transform(hits, labelled)), lambda x: in_parentheses(x["label"])
+        )
+        credited = F.array_distinct(F.transform(
+            F.filter(hits, lambda h: h["has_der"] & h["has_tag"]), lambda h: h["org"]
+        ))
         return F.struct(
-            F.array_join(acc["patterns"], " & ").alias("patterns"),
-            F.when(F.size(acc["orgs"]) > 0, F.array_join(acc["orgs"], " & "))
-            .otherwise(S.STREAM_KEYWORD).alias("orgs"),
+            F.array_join(labels, " & ").alias("patterns"),
+            F.coalesce(F.nullif(F.array_join(credited, " & "), F.lit("")), F.lit(S.STREAM_KEYWORD)).alias("orgs"),
         )
 
-    nothing = F.array().cast("array<string>")
-    start = F.struct(nothing.alias("patterns"), nothing.alias("orgs"), nothing.alias("seen"))
-    hits = F.filter(F.transform(F.array(F.lower(text)), occurring), lambda found: F.size(found) > 0)
-    return F.transform(hits, lambda found: F.aggregate(found, start, step, joined))
+    matches = F.transform(F.array(F.lower(text)), occurring)
+    return F.transform(F.filter(matches, lambda hits: F.size(hits) > 0), summary)
 
 
 def pattern_keywords(top_pairs: DataFrame) -> DataFrame:
