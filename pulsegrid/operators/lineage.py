@@ -100,3 +100,41 @@ def reply_threads(seeds: DataFrame, statuses: DataFrame, max_level: int = 5) ->
             break
         found = frontier if found is None else found.unionByName(frontier)
     return found.select("status_id", "ref_status_id", "level")
+
+
+def follow_references(seeds: DataFrame, links: DataFrame, processed: DataFrame, max_level: int = 5) -> DataFrame:
+    """Everything the seed statuses refer to, through any mix of retweets and replies.
+
+    A retweet gives a row per retweeting status. A replied-to status gives one row overall,
+    for its latest reply, and none when it is in ``processed`` (status_id). Columns: found_id
+    (the seed), ref_status_id, status_id, via (``retweet`` or ``reply``), level.
+
+    ``links``: (status_id, created_at, retweeted_status_id, in_reply_to_status_id), one row per
+    status. ``seeds``: (status_id).
+    """
+    frontier = links.join(seeds.select("status_id").distinct(), "status_id", "left_semi").withColumn(
+        "found_id", F.col("status_id")
+    )
+    done, found = processed.select("status_id"), None
+    for level in range(1, max_level + 1):
+        retweets = frontier.filter(F.col("retweeted_status_id").isNotNull()).select(
+            "found_id", F.col("status_id").alias("ref_status_id"),
+            F.col("retweeted_status_id").alias("status_id"), F.lit("retweet").alias("via"),
+        )
+        replies = (
+            frontier.filter(F.col("in_reply_to_status_id").isNotNull())
+            .groupBy(F.col("in_reply_to_status_id").alias("parent_id"))
+            .agg(F.max(F.struct("created_at", "status_id", "found_id")).alias("last"))
+            .select("last.found_id", F.col("last.status_id").alias("ref_status_id"),
+                    F.col("parent_id").alias("status_id"), F.lit("reply").alias("via"))
+            .join(done, "status_id", "left_anti")
+        )
+        steps = cut_lineage(retweets.unionByName(replies), "reference-steps")
+        frontier = cut_lineage(
+            lookup_join(steps, links, "status_id", "inner").withColumn("level", F.lit(level)), "reference-round"
+        )
+        found = frontier if found is None else found.unionByName(frontier)
+        if frontier.isEmpty():
+            break
+        done = done.unionByName(frontier.filter("via = 'reply'").select("status_id"))
+    return found.select("found_id", "ref_status_id", "status_id", "via", "level")
