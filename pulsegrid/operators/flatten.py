@@ -26,7 +26,7 @@ def flatten_status(
 
     ``keep`` names extra landed columns to carry through (such as ``batch_name``).
     """
-    ref = F.lit(None).cast("bigint") if ref_status_id is None else absent_id_to_null(ref_status_id)
+    ref = F.lit(None) if ref_status_id is None else absent_id_to_null(ref_status_id)
     reply_to = absent_id_to_null(F.col("in_reply_to_status_id"))
     columns = {
         "filter_type": filter_type,
@@ -36,7 +36,7 @@ def flatten_status(
         "status_id": F.col("id"),
         "user_id": F.col("user.id"),
         "created_at": F.col("created_at"),
-        "ref_status_id": ref,
+        "ref_status_id": ref.cast("bigint"),
         "lang": F.col("lang"),
         "source": F.col("source"),
         "text": F.col("text"),

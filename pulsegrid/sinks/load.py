@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 from pulsegrid.operators.audit import load_counts, source_file, with_length_check
+from pulsegrid.session import cut_lineage
 from pulsegrid.sources.delimited import read_delimited
 
 _LAYOUTS = {S.KIND_STATUS: S.wide_status_columns, S.KIND_USER: S.wide_user_columns}
@@ -52,6 +53,6 @@ def load_files(spark: SparkSession, path: str, table_path: str, audit_path: str,
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("file_name").parquet(table_path)
     )
-    counts = load_counts(checked).withColumn("loaded_at", F.current_timestamp())
+    counts = cut_lineage(load_counts(checked).withColumn("loaded_at", F.current_timestamp()), "load-counts")
     counts.write.mode("append").parquet(audit_path)
     return counts
