@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.text import equals_ignoring_case
+from pulsegrid.operators.skew import lookup_join
 
 
 def mentioned_names(mentions: Column) -> Column:
@@ -40,17 +41,16 @@ def classify_followed(statuses: DataFrame, watched: DataFrame, accounts: DataFra
     users it mentions and without account.
 
     ``watched``: (batch_name, screen_name); ``accounts``: (screen_name, original_user), one
-    row per watched user. Both come from configuration. They are joined to each other first,
-    so that the statuses meet one small table, which Catalyst broadcasts when its measured
-    size allows it and joins by shuffle otherwise.
+    row per watched user. They are joined to each other first, so that the statuses meet one
+    table, with the rows of very active users spread.
     """
     directory = (
         watched.select("batch_name", "screen_name").distinct()
         .join(accounts.select("screen_name", F.col("original_user").alias("account")), "screen_name", "left")
         .withColumn("is_watched", F.lit(True))
     )
-    found = statuses.drop("filter_type", "original_user", "derived_user").join(
-        directory, ["batch_name", "screen_name"], "left"
+    found = lookup_join(
+        statuses.drop("filter_type", "original_user", "derived_user"), directory, ["batch_name", "screen_name"]
     )
     timeline = F.col("is_watched").isNotNull()
     return (

@@ -18,7 +18,9 @@ def first_per_user(statuses: DataFrame) -> DataFrame:
 
 def new_users(statuses: DataFrame, processed: DataFrame) -> DataFrame:
     """First status of each user whose screen name was not processed before."""
-    return first_per_user(statuses).join(processed.select("screen_name"), "screen_name", "left_anti")
+    return first_per_user(statuses).join(
+        processed.select("screen_name").distinct(), "screen_name", "left_anti"
+    )
 
 
 def new_statuses(statuses: DataFrame, processed: DataFrame) -> DataFrame:
@@ -27,5 +29,5 @@ def new_statuses(statuses: DataFrame, processed: DataFrame) -> DataFrame:
     Optional for timeline statuses (off by default there), always on for reply parents.
     """
     return statuses.dropDuplicates(["status_id"]).join(
-        processed.select("status_id"), "status_id", "left_anti"
+        processed.select("status_id").distinct(), "status_id", "left_anti"
     )

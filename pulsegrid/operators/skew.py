@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key holding more than 1/1000 of the rows counts as hot, hence at most 1000 keys can be
 # hot: the list of hot keys is small by construction and safe to broadcast at any scale.
@@ -11,36 +14,45 @@ HOT_SHARE = 1000
 SALTS = 512
 
 
-def hot_keys(facts: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
+def hot_keys(facts: DataFrame, keys: str | list[str], share: int = HOT_SHARE) -> DataFrame:
     """Keys with more than ``rows / share`` rows; never more than ``share`` of them."""
-    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    keys = [keys] if isinstance(keys, str) else keys
+    counts = facts.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") * share > total).select(F.col(key).alias("hot_key"))
+    return counts.filter(F.col("n") * share > total).select(*keys)
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
+def lookup_join(facts: DataFrame, dim: DataFrame, keys: str | list[str], how: str = "left",
                 salts: int = SALTS, share: int = HOT_SHARE) -> DataFrame:
-    """``facts`` joined to ``dim`` on ``key``, where ``key`` is unique in ``dim``.
+    """``facts`` joined to ``dim`` on ``keys``, which are unique in ``dim``.
 
     Rows of hot keys are spread over ``salts`` partitions, and only the few matching ``dim``
     rows are repeated once per salt; all other rows join on the plain key. Fact rows with a
     NULL key are spread too, as they match nothing. Every fact row meets exactly the same
-    ``dim`` row as in the plain join.
+    ``dim`` row as in the plain join. When ``dim`` turns out small, Spark broadcasts it and
+    nothing is shuffled. A streaming ``facts`` is joined plainly: its micro-batches are small.
     """
-    hot = F.broadcast(hot_keys(facts, key, share))
-    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+    keys = [keys] if isinstance(keys, str) else keys
+    if facts.isStreaming:
+        return facts.join(dim, keys, how)
+    hot = F.broadcast(hot_keys(facts, keys, share).withColumn("is_hot", F.lit(True)))
+    row_salt = F.pmod(F.xxhash64(*_hashable(facts)), F.lit(salts)).cast("int")
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_facts = (
-        facts.join(hot, F.col(key) == F.col("hot_key"), "left")
-        .withColumn(
-            "salt", F.when(F.col("hot_key").isNotNull() | F.col(key).isNull(), row_salt).otherwise(0)
-        )
-        .drop("hot_key")
+        facts.join(hot, keys, "left")
+        .withColumn("salt", F.when(F.col("is_hot") | has_null, row_salt).otherwise(0))
+        .drop("is_hot")
     )
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_dim = (
-        dim.join(hot, F.col(key) == F.col("hot_key"), "left")
-        .withColumn("salt", F.explode(F.when(F.col("hot_key").isNotNull(), all_salts)
-                                      .otherwise(F.array(F.lit(0)))))
-        .drop("hot_key")
+        dim.join(hot, keys, "left")
+        .withColumn("salt", F.explode(F.when(F.col("is_hot"), all_salts).otherwise(F.array(F.lit(0)))))
+        .drop("is_hot")
     )
-    return salted_facts.join(salted_dim, [key, "salt"], how).drop("salt")
+    return salted_facts.join(salted_dim, [*keys, "salt"], how).drop("salt")
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that spread the rows of one key; nested ones add cost, not spread."""
+    flat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    return flat or df.columns

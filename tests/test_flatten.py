@@ -120,3 +120,10 @@ def test_projection_names(spark):
         assert "Nope" in str(error)
     else:
         raise AssertionError("unknown name accepted")
+
+
+def test_record_limit(spark):
+    rows = [(i, NOW + dt.timedelta(seconds=20 * (i // 2))) for i in range(60)]
+    df = spark.createDataFrame(rows, "status_id int, created_at timestamp").repartition(4)
+    for limit in (1, 7, 24, 60, 100):
+        assert sorted(r.status_id for r in flatten.limit_records(df, limit).collect()) == list(range(min(limit, 60)))

@@ -47,7 +47,7 @@ def test_lookup_join_equals_plain_join_with_a_hot_key(spark):
         "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 97).alias("key")
     )
     dim = spark.range(90).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
-    hot = {r.hot_key for r in skew.hot_keys(facts, "key", share=10).collect()}
+    hot = {r.key for r in skew.hot_keys(facts, "key", share=10).collect()}
     assert hot == {7}
     for how in ("left", "inner"):
         want = facts.join(dim, "key", how).select("id", "key", "value")
@@ -55,6 +55,15 @@ def test_lookup_join_equals_plain_join_with_a_hot_key(spark):
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_lookup_join_on_two_keys(spark):
+    facts = spark.createDataFrame([("a", 1, i) for i in range(50)] + [("b", None, 90), (None, 1, 91), ("b", 2, 92)],
+                                  "x string, y int, id int")
+    dim = spark.createDataFrame([("a", 1, "p"), ("b", 2, "q"), ("c", 3, "r")], "x string, y int, value string")
+    got = skew.lookup_join(facts, dim, ["x", "y"], salts=4, share=2).select("id", "value")
+    want = facts.join(dim, ["x", "y"], "left").select("id", "value")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()), key=lambda r: r[0])
+
+
 def test_hot_rows_are_spread(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     old = {k: spark.conf.get(k) for k in conf}
