@@ -12,7 +12,7 @@ from pulsegrid.operators import dedupe, flatten, incremental, lineage, registry
 from pulsegrid.operators.skew import lookup_join
 from pulsegrid.session import cut_lineage, use_utc
 from pulsegrid.sinks.routed import with_bucket, write_routed
-from pulsegrid.sinks.state import read_epochs, write_epoch
+from pulsegrid.sinks.state import BACKFILL, epoch_path, read_epochs, write_epoch
 from pulsegrid.sources.batch_config import batch_settings, watched_users
 
 _WATERMARKS = "screen_name string, since_id bigint, max_id bigint, status_count bigint"
@@ -41,7 +41,7 @@ def _schema(spark: SparkSession, ddl: str):
 def current_modes(spark: SparkSession, store: Store, before: int) -> DataFrame:
     """Latest paging mode per batch and user over all runs before ``before``."""
     path, schema = store.state("paging_modes"), _schema(spark, f"run bigint, {_MODES}")
-    return read_epochs(spark, path, schema, before).groupBy("batch_name", "screen_name").agg(
+    return read_epochs(spark, path, schema, BACKFILL, before).groupBy("batch_name", "screen_name").agg(
         F.max_by("paging_mode", "run").alias("paging_mode")
     )
 
@@ -93,9 +93,9 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     settings = batch_settings(definitions)
     watched = watched_users(definitions)
     modes = current_modes(spark, store, run)
-    marks = read_epochs(spark, store.state("watermarks"), _schema(spark, _WATERMARKS), run)
-    processed = read_epochs(spark, store.state("processed_replies"), _schema(spark, _PROCESSED), run)
-    seen_users = read_epochs(spark, store.state("processed_users"), _schema(spark, _USERS), run)
+    marks = read_epochs(spark, store.state("watermarks"), _schema(spark, _WATERMARKS), BACKFILL, run)
+    processed = read_epochs(spark, store.state("processed_replies"), _schema(spark, _PROCESSED), BACKFILL, run)
+    seen_users = read_epochs(spark, store.state("processed_users"), _schema(spark, _USERS), BACKFILL, run)
 
     open_users = incremental.without_finished_users(watched, modes)
     in_range = timeline_rows(landed, open_users, settings)
@@ -112,25 +112,25 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     )
     write_routed(
         with_bucket(rows.drop("user", "screen_name", "via"), "system_create_ts"),
-        f"{store.table('statuses')}/epoch={run}", "overwrite",
+        epoch_path(store.table("statuses"), BACKFILL, run), "overwrite",
     )
 
     authors = dedupe.new_users(rows, seen_users)
     users = flatten.flatten_user(
         authors, F.col("filter_type"), F.col("original_user"), F.col("derived_user"), F.col("system_create_ts")
     )
-    write_epoch(users, store.table("users"), run)
-    write_epoch(spark.read.parquet(f"{store.table('users')}/epoch={run}").select("screen_name"),
-                store.state("processed_users"), run)
-    write_epoch(registry.register_users(rows), store.state("registry"), run)
-    write_epoch(incremental.user_watermarks(timeline), store.state("watermarks"), run)
-    write_epoch(rows.filter("via = 'reply'").select("status_id"), store.state("processed_replies"), run)
+    write_epoch(users, store.table("users"), BACKFILL, run)
+    written = spark.read.parquet(epoch_path(store.table("users"), BACKFILL, run))
+    write_epoch(written.select("screen_name"), store.state("processed_users"), BACKFILL, run)
+    write_epoch(registry.register_users(rows), store.state("registry"), BACKFILL, run)
+    write_epoch(incremental.user_watermarks(timeline), store.state("watermarks"), BACKFILL, run)
+    write_epoch(rows.filter("via = 'reply'").select("status_id"), store.state("processed_replies"), BACKFILL, run)
 
     # A user is finished when this run brought nothing, or the history reaches below the range.
     history = landed.select(F.col("user.screen_name").alias("screen_name"), "created_at")
     write_epoch(
         run_modes(open_users, settings, timeline, history).withColumn("run", F.lit(run).cast("bigint")),
-        store.state("paging_modes"), run,
+        store.state("paging_modes"), BACKFILL, run,
     )
 
 

@@ -10,10 +10,13 @@ from pulsegrid import schemas as S
 from pulsegrid.operators import classify, dedupe, flatten, patterns, registry
 from pulsegrid.plans.backfill import Store
 from pulsegrid.sinks.routed import with_bucket, write_routed
-from pulsegrid.sinks.state import read_epochs, write_epoch
+from pulsegrid.sinks.state import LIVE, epoch_path, read_epochs, write_epoch
 from pulsegrid.streaming.flows import AVAILABLE_NOW
 
 
+MAX_BROADCAST_NAMES = 500_000
+
+
 def classify_landed(landed: DataFrame, watched: DataFrame, accounts: DataFrame, keywords: DataFrame) -> DataFrame:
     """Typed rows with filter type, account, derived user and kind.
 
@@ -29,10 +32,30 @@ def classify_landed(landed: DataFrame, watched: DataFrame, accounts: DataFrame,
     return followed.unionByName(tracked)
 
 
+def _only(seen: DataFrame, names: DataFrame) -> DataFrame:
+    """The processed users among ``names``, without shuffling the whole state table.
+
+    The names of a micro-batch are broadcast after a check of their number; a larger set is
+    joined by shuffle.
+    """
+    few = names.limit(MAX_BROADCAST_NAMES + 1).count() <= MAX_BROADCAST_NAMES
+    return seen.join(F.broadcast(names) if few else names, "screen_name", "left_semi")
+
+
+def before_cutoff(landed: DataFrame, settings: DataFrame) -> DataFrame:
+    """Statuses created before the latest date of their batch; an empty date is open.
+
+    Batches without settings (the keyword stream) have no bound.
+    """
+    bounds = settings.select("batch_name", "cutoff_max")
+    bounded = landed.join(bounds, "batch_name", "left")
+    return bounded.filter(F.col("cutoff_max").isNull() | (F.col("created_at") < F.col("cutoff_max"))).drop("cutoff_max")
+
+
 def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
     """Write one classified micro-batch; a replay of the epoch replaces what it wrote.
 
-    Users are written once over all epochs; retweeted authors of accepted rows are registered
+    Users are written once over all epochs and the back-fill; retweeted authors of accepted rows are registered
     for their batch.
     """
     spark = rows.sparkSession
@@ -40,26 +63,25 @@ def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
     try:
         write_routed(
             with_bucket(rows.drop("user", "screen_name", "retweeted_status"), "system_create_ts"),
-            f"{store.table('statuses')}/epoch={epoch}", "overwrite",
+            epoch_path(store.table("statuses"), LIVE, epoch), "overwrite",
         )
         accepted = rows.filter(F.col("kind") == S.KIND_STATUS)
         user_path = store.state("processed_users")
-        schema = rows.select("screen_name").schema
-        seen = read_epochs(spark, user_path, schema, epoch)
-        authors = dedupe.new_users(accepted, seen)
+        names = accepted.select("screen_name").distinct()
+        seen = read_epochs(spark, user_path, names.schema, LIVE, epoch)
+        authors = dedupe.new_users(accepted, _only(seen, names))
         users = flatten.flatten_user(
             authors, F.col("filter_type"), F.col("original_user"), F.col("derived_user"), F.col("system_create_ts")
         )
-        write_epoch(users, store.table("users"), epoch)
-        write_epoch(
-            spark.read.parquet(f"{store.table('users')}/epoch={epoch}").select("screen_name"), user_path, epoch
-        )
+        write_epoch(users, store.table("users"), LIVE, epoch)
+        written = spark.read.parquet(epoch_path(store.table("users"), LIVE, epoch))
+        write_epoch(written.select("screen_name"), user_path, LIVE, epoch)
         discovered = accepted.filter(F.col("retweeted_status.user.screen_name").isNotNull()).select(
             "batch_name", "original_user", "created_at", "status_id",
             F.col("retweeted_status.user.screen_name").alias("screen_name"),
             F.col("retweeted_status.user.id").alias("user_id"),
         )
-        write_epoch(registry.register_users(discovered), store.state("registry"), epoch)
+        write_epoch(registry.register_users(discovered), store.state("registry"), LIVE, epoch)
     finally:
         rows.unpersist()
 

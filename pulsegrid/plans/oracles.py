@@ -302,6 +302,11 @@ SELECT batch_name, '05/01/2024-06:00:00' AS cutoff_min,
     CASE WHEN lowest % 2 = 0 THEN '21/01/2024-18:30:00' END AS cutoff_max,
     lowest % 3 = 0 AS track_stream, CAST(5 AS BIGINT) AS ref_level, true AS starts_now FROM low"""
 
+ORACLES["definition_advance"] = f"""WITH {_DEFINITIONS}
+SELECT batch_name, strftime(greatest(max(ts), TIMESTAMP '2024-01-05 06:00:00'), '{_BATCH_DATE}') AS cutoff_min,
+    CASE WHEN min(member.user_id) % 2 = 0 THEN '21/01/2024-18:30:00' ELSE '' END AS cutoff_max
+FROM member JOIN events ON events.user_id = member.user_id GROUP BY batch_name"""
+
 # -- lineage --------------------------------------------------------------------------
 
 _LINEAGE = f"""RECURSIVE {_STATUS},

@@ -16,6 +16,7 @@ from pulsegrid.operators import (
     audit, classify, dedupe, flatten, hashtags, incremental, lineage, patterns, registry, rollups,
 )
 from pulsegrid.plans import bindings as B
+from pulsegrid.plans import refresh
 from pulsegrid.session import shared_dir, use_utc
 from pulsegrid.sinks.delimited import write_delimited
 from pulsegrid.sinks.routed import with_bucket, write_routed
@@ -358,6 +359,19 @@ def batch_config_settings(spark, sf_dir):
     )
 
 
+@query
+def definition_advance(spark, sf_dir):
+    definitions = batch_config.parse_batch_definitions(_definition_texts(spark, sf_dir), "definition")
+    loaded = B.statuses(spark, sf_dir).selectExpr(
+        "concat('batch', user_id % 3, '-', user_id div 60) AS batch_name", "created_at")
+    advanced = refresh.advance_definitions(definitions, loaded)
+    texts = advanced.select(batch_config.definition_text({c: F.col(c) for c in advanced.columns}).alias("definition"))
+    return batch_config.parse_batch_definitions(texts, "definition").select(
+        F.col("batchName").alias("batch_name"), F.col("batchCutOffMinDate").alias("cutoff_min"),
+        F.col("batchCutOffMaxDate").alias("cutoff_max"),
+    )
+
+
 # -- lineage --------------------------------------------------------------------------
 
 

@@ -1,8 +1,9 @@
-"""Small state tables kept by jobs and streams: one folder per epoch, merged on reading.
+"""State tables kept by jobs and streams: one folder per writer and epoch, merged on reading.
 
 An epoch's folder is replaced when the epoch is replayed, so a repeated micro-batch or a
 restarted job leaves no second copy. Readers combine epochs with order-free aggregates
-(min, max, last by arrival).
+(min, max, last by arrival). Back-fill runs and streams number their epochs independently
+and share a table under different writer names.
 """
 
 from __future__ import annotations
@@ -12,20 +13,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BACKFILL = "backfill"
+LIVE = "live"
 
-def write_epoch(rows: DataFrame, path: str, epoch: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
+def epoch_path(path: str, writer: str, epoch: int) -> str:
+    return f"{path}/writer={writer}/epoch={epoch}"
 
-def read_epochs(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """All epochs (or those before a given one) without the epoch column; empty if none exist."""
-    with_epoch = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+
+def write_epoch(rows: DataFrame, path: str, writer: str, epoch: int) -> None:
+    rows.write.mode("overwrite").parquet(epoch_path(path, writer, epoch))
+
+
+def read_epochs(spark: SparkSession, path: str, schema: T.StructType, writer: str | None = None,
+                before: int | None = None) -> DataFrame:
+    """The rows of all epochs; empty when there are none yet.
+
+    With ``before``, epochs of ``writer`` from that one on are left out, so that a replayed
+    epoch does not see its own results.
+    """
+    folders = [T.StructField("writer", T.StringType()), T.StructField("epoch", T.LongType())]
     try:
-        rows = spark.read.schema(with_epoch).parquet(path)
+        rows = spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
     if before is not None:
-        rows = rows.filter(F.col("epoch") < before)
-    return rows.drop("epoch")
+        rows = rows.filter((F.col("writer") != writer) | (F.col("epoch") < before))
+    return rows.drop("writer", "epoch")

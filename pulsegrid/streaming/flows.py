@@ -15,7 +15,7 @@ from pulsegrid.operators.hashtags import top_hashtags
 from pulsegrid.operators.patterns import match_patterns, pattern_keywords
 from pulsegrid.operators.registry import merge_registrations, register_users
 from pulsegrid.functions.times import file_stamp
-from pulsegrid.sinks.state import read_epochs, write_epoch
+from pulsegrid.sinks.state import LIVE, read_epochs, write_epoch
 
 # What is waiting now is read and the query ends; pass {"processingTime": ..} to keep running.
 AVAILABLE_NOW = {"availableNow": True}
@@ -66,7 +66,7 @@ def roll_counts(statuses: DataFrame, out: str, checkpoint: str, interval: str =
     )
     stamped = counts.select("batch_name", file_stamp(F.col("bucket.end")).alias("bucket"), "record_count")
     writer = stamped.writeStream.outputMode("update").foreachBatch(
-        lambda rows, epoch: write_epoch(rows, out, epoch)
+        lambda rows, epoch: write_epoch(rows, out, LIVE, epoch)
     )
     return _started(writer, checkpoint, trigger)
 
@@ -91,7 +91,7 @@ def track_to_epochs(statuses: DataFrame, pattern_path: str, out: str, checkpoint
     """
     def match(rows: DataFrame, epoch: int) -> None:
         keywords = rows.sparkSession.read.parquet(pattern_path)
-        write_epoch(classify_tracked(match_patterns(rows, keywords)), out, epoch)
+        write_epoch(classify_tracked(match_patterns(rows, keywords)), out, LIVE, epoch)
 
     return _started(statuses.writeStream.foreachBatch(match), checkpoint, trigger)
 
@@ -100,7 +100,7 @@ def register_to_epochs(statuses: DataFrame, out: str, checkpoint: str,
                        trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
     """Discovered users per batch: each micro-batch adds its own first/last registrations."""
     writer = statuses.writeStream.foreachBatch(
-        lambda rows, epoch: write_epoch(register_users(rows), out, epoch)
+        lambda rows, epoch: write_epoch(register_users(rows), out, LIVE, epoch)
     )
     return _started(writer, checkpoint, trigger)
 

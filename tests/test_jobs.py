@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 from pulsegrid.plans.backfill import Store, current_modes, run_backfill
-from pulsegrid.plans.live import start_live
+from pulsegrid.plans.live import before_cutoff, start_live
 from pulsegrid.sources.landing import read_landed, stream_landed
 
 T0 = dt.datetime(2024, 1, 1)
@@ -112,6 +112,30 @@ def test_live_routes_and_restarts(spark, tmp_path):
     assert [tuple(r) for r in known.collect()] == [("b", "a", "org")]
 
 
+def test_user_seen_by_backfill_and_stream_is_stored_once(spark, tmp_path):
+    path, live, kw = f"{tmp_path}/landed", f"{tmp_path}/live", f"{tmp_path}/kw"
+    store = Store(f"{tmp_path}/store")
+    land(spark, path, record(1, "w", 1))
+    run_backfill(spark, read_landed(spark, path), definition(spark, "w"), store, 0)
+    spark.createDataFrame([], "org_pos int, org string, kw_pos int, der string, tag string").write.parquet(kw)
+    land(spark, live, record(2, "w", 2, batch_name="b"), record(3, "x", 3, batch_name="b"), ddl=LIVE_DDL)
+    watched = spark.createDataFrame([("b", "w")], "batch_name string, screen_name string")
+    accounts = spark.createDataFrame([("w", "w")], "screen_name string, original_user string")
+    source = spark.readStream.schema(LIVE_DDL).parquet(live)
+    assert start_live(source, watched, accounts, kw, store, f"{tmp_path}/ckpt").awaitTermination(300)
+    users = [r.screen_name for r in spark.read.parquet(store.table("users")).collect()]
+    assert sorted(users) == ["w", "x"]
+    assert sorted(r[0] for r in stored(spark, store)) == [1, 2, 3]
+
+
+def test_live_cutoff(spark):
+    df = spark.createDataFrame([(1, "a", T0), (2, "b", T0), (3, "c", T0), (4, "d", T0)],
+                               "id int, batch_name string, created_at timestamp")
+    settings = spark.createDataFrame([("a", T0), ("b", T0 + dt.timedelta(1)), ("c", None)],
+                                     "batch_name string, cutoff_max timestamp")
+    assert sorted(r.id for r in before_cutoff(df, settings).collect()) == [2, 3, 4]
+
+
 def test_json_stream_source(spark, tmp_path):
     path = f"{tmp_path}/json"
     spark.createDataFrame([record(1, "w", 1)], S.LANDED_STATUS_DDL).write.json(path)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pulsegrid.operators import classify, incremental, registry, rollups
 from pulsegrid.plans.refresh import advance_definitions, refresh_tables, refresh_weights
 from pulsegrid.schemas import BATCH_DEFINITION_KEYS, text_schema
+from pulsegrid.sinks.batch_config import write_definitions
+from pulsegrid.sources.batch_config import read_batch_definitions
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -92,14 +94,18 @@ def test_non_responded_users(spark):
     assert got["A"] == (3, 2)
 
 
-def test_advance_definitions(spark):
+def test_advance_definitions(spark, tmp_path):
     schema = text_schema(BATCH_DEFINITION_KEYS)
     row = {k: "" for k in BATCH_DEFINITION_KEYS} | {"dateFormat": "dd/MM/yyyy-HH:mm:ss"}
     defs = spark.createDataFrame([row | {"batchName": "a"}, row | {"batchName": "b", "batchCutOffMinDate": "05/01/2024-00:00:00"},
                                   row | {"batchName": "c"}], schema)
     loaded = spark.createDataFrame([("a", at(1)), ("a", at(2)), ("b", at(1))], "batch_name string, created_at timestamp")
-    got = {r.batchName: r.batchCutOffMinDate for r in advance_definitions(defs, loaded).collect()}
+    advanced = advance_definitions(defs, loaded)
+    got = {r.batchName: r.batchCutOffMinDate for r in advanced.collect()}
     assert got == {"a": "01/01/2024-02:00:00", "b": "05/01/2024-00:00:00", "c": ""}
+    write_definitions(advanced, f"{tmp_path}/defs")
+    back = read_batch_definitions(spark, f"{tmp_path}/defs")
+    assert sorted(map(tuple, back.select(advanced.columns).collect())) == sorted(map(tuple, advanced.collect()))
 
 
 def test_refresh_replaces_days(spark, tmp_path):
