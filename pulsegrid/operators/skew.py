@@ -8,34 +8,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key holding more than 1/1000 of the rows counts as hot, hence at most 1000 keys can be
-# hot: the list of hot keys is small by construction and safe to broadcast at any scale.
-HOT_SHARE = 1000
+# A key with fewer rows than this never overloads a task. Of the keys above it the largest
+# ones are spread; any other key then holds less than 1/1000 of the rows. The list of hot keys
+# is therefore small by construction, and safe to broadcast at any scale.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 1000
 SALTS = 512
 
 
-def hot_keys(facts: DataFrame, keys: str | list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``rows / share`` rows; never more than ``share`` of them."""
+def hot_keys(facts: DataFrame, keys: str | list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The largest keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them.
+
+    Reads only the key columns; the counts are combined map-side.
+    """
     keys = [keys] if isinstance(keys, str) else keys
     counts = facts.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") * share > total).select(*keys)
+    return counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS).select(*keys)
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: str | list[str], how: str = "left",
-                salts: int = SALTS, share: int = HOT_SHARE) -> DataFrame:
+                salts: int = SALTS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``facts`` joined to ``dim`` on ``keys``, which are unique in ``dim``.
 
     Rows of hot keys are spread over ``salts`` partitions, and only the few matching ``dim``
     rows are repeated once per salt; all other rows join on the plain key. Fact rows with a
     NULL key are spread too, as they match nothing. Every fact row meets exactly the same
-    ``dim`` row as in the plain join. When ``dim`` turns out small, Spark broadcasts it and
-    nothing is shuffled. A streaming ``facts`` is joined plainly: its micro-batches are small.
+    ``dim`` row as in the plain join. When ``dim`` turns out small, Spark broadcasts it.
+    A streaming ``facts`` is joined plainly: its micro-batches are small.
     """
     keys = [keys] if isinstance(keys, str) else keys
     if facts.isStreaming:
         return facts.join(dim, keys, how)
-    hot = F.broadcast(hot_keys(facts, keys, share).withColumn("is_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(facts, keys, hot_rows).withColumn("is_hot", F.lit(True)))
     row_salt = F.pmod(F.xxhash64(*_hashable(facts)), F.lit(salts)).cast("int")
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_facts = (

@@ -47,11 +47,11 @@ def test_lookup_join_equals_plain_join_with_a_hot_key(spark):
         "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 97).alias("key")
     )
     dim = spark.range(90).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
-    hot = {r.key for r in skew.hot_keys(facts, "key", share=10).collect()}
+    hot = {r.key for r in skew.hot_keys(facts, "key", hot_rows=300).collect()}
     assert hot == {7}
     for how in ("left", "inner"):
         want = facts.join(dim, "key", how).select("id", "key", "value")
-        got = skew.lookup_join(facts, dim, "key", how, salts=16, share=10).select("id", "key", "value")
+        got = skew.lookup_join(facts, dim, "key", how, salts=16, hot_rows=300).select("id", "key", "value")
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
@@ -59,7 +59,7 @@ def test_lookup_join_on_two_keys(spark):
     facts = spark.createDataFrame([("a", 1, i) for i in range(50)] + [("b", None, 90), (None, 1, 91), ("b", 2, 92)],
                                   "x string, y int, id int")
     dim = spark.createDataFrame([("a", 1, "p"), ("b", 2, "q"), ("c", 3, "r")], "x string, y int, value string")
-    got = skew.lookup_join(facts, dim, ["x", "y"], salts=4, share=2).select("id", "value")
+    got = skew.lookup_join(facts, dim, ["x", "y"], salts=4, hot_rows=20).select("id", "value")
     want = facts.join(dim, ["x", "y"], "left").select("id", "value")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()), key=lambda r: r[0])
 
@@ -72,7 +72,7 @@ def test_hot_rows_are_spread(spark):
             spark.conf.set(k, v)
         facts = spark.range(4000).select("id", F.lit(1).cast("bigint").alias("key"))
         dim = spark.range(5).select(F.col("id").alias("key"), F.lit("v").alias("value"))
-        sizes = skew.lookup_join(facts, dim, "key").groupBy(F.spark_partition_id()).count().collect()
+        sizes = skew.lookup_join(facts, dim, "key", hot_rows=100).groupBy(F.spark_partition_id()).count().collect()
         assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 1500
     finally:
         for k, v in old.items():
