@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.skew import lookup_join
+from pulsegrid.operators.skew import lookup_counted, lookup_join
 from pulsegrid.session import cut_lineage
 
 
@@ -16,22 +16,24 @@ def retweet_lineage(statuses: DataFrame, max_level: int = 5) -> DataFrame:
     one), level (1 for a direct retweet). ``max_level`` also ends cycles.
 
     Only ids travel: each round joins the frontier to the (status_id, retweeted_status_id)
-    edges of retweets. A status may be retweeted by a large share of all rows, so the
-    frontier is joined with hot ids salted. Each round is written once, and the chain stops
-    when a round is empty.
+    edges of retweets. A status may be retweeted by a large share of all rows, so a large
+    frontier is joined with hot ids salted; a small one is broadcast. Each round is written
+    once, and the chain stops when a round is empty.
     """
     edges = statuses.filter(F.col("retweeted_status_id").isNotNull()).select(
         "status_id", "retweeted_status_id"
     )
-    frontier = edges.select(
+    rounds = frontier = edges.select(
         F.col("status_id").alias("origin_id"),
         F.col("status_id").alias("ref_status_id"),
         F.col("retweeted_status_id").alias("status_id"),
         F.lit(1).alias("level"),
     )
-    rounds = frontier
     for level in range(2, max_level + 1):
-        step = lookup_join(frontier.select("origin_id", "status_id"), edges, "status_id", "inner")
+        size = frontier.count()
+        if size == 0:
+            break
+        step = lookup_counted(frontier.select("origin_id", "status_id"), size, edges, "status_id")
         frontier = cut_lineage(
             step.select(
                 "origin_id", F.col("status_id").alias("ref_status_id"),
@@ -39,8 +41,6 @@ def retweet_lineage(statuses: DataFrame, max_level: int = 5) -> DataFrame:
             ),
             "retweet-round",
         )
-        if frontier.isEmpty():
-            break
         rounds = rounds.unionByName(frontier)
     return rounds
 
@@ -92,12 +92,16 @@ def reply_threads(seeds: DataFrame, statuses: DataFrame, max_level: int = 5) ->
     frontier = links.join(seeds.select("status_id").distinct(), "status_id", "left_semi")
     found = None
     for level in range(1, max_level + 1):
-        parents = last_replies(frontier).join(links, "status_id")
+        parents = last_replies(frontier)
         if found is not None:
             parents = parents.join(found.select("status_id"), "status_id", "left_anti")
-        frontier = cut_lineage(parents.withColumn("level", F.lit(level)), "reply-round")
-        if found is not None and frontier.isEmpty():
+        parents = cut_lineage(parents, "reply-parents")
+        size = parents.count()
+        if size == 0 and found is not None:
             break
+        frontier = lookup_counted(parents, size, links, "status_id").withColumn("level", F.lit(level))
+        if level < max_level:
+            frontier = cut_lineage(frontier, "reply-round")
         found = frontier if found is None else found.unionByName(frontier)
     return found.select("status_id", "ref_status_id", "level")
 
@@ -130,11 +134,12 @@ def follow_references(seeds: DataFrame, links: DataFrame, processed: DataFrame,
             .join(done, "status_id", "left_anti")
         )
         steps = cut_lineage(retweets.unionByName(replies), "reference-steps")
+        size = steps.count()
+        if size == 0 and found is not None:
+            break
         frontier = cut_lineage(
-            lookup_join(steps, links, "status_id", "inner").withColumn("level", F.lit(level)), "reference-round"
+            lookup_counted(steps, size, links, "status_id").withColumn("level", F.lit(level)), "reference-round"
         )
         found = frontier if found is None else found.unionByName(frontier)
-        if frontier.isEmpty():
-            break
         done = done.unionByName(frontier.filter("via = 'reply'").select("status_id"))
     return found.select("found_id", "ref_status_id", "status_id", "via", "level")

@@ -15,6 +15,9 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1000
 SALTS = 512
 
+# Up to this many counted rows of a few ids each are broadcast (some tens of megabytes).
+BROADCAST_ROWS = 500_000
+
 
 def hot_keys(facts: DataFrame, keys: str | list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """The largest keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them.
@@ -56,6 +59,17 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: str | list[str], how: st
     return salted_facts.join(salted_dim, [*keys, "salt"], how).drop("salt")
 
 
+def lookup_counted(facts: DataFrame, rows: int, dim: DataFrame, key: str) -> DataFrame:
+    """Inner lookup of narrow, written ``facts`` whose number of ``rows`` was counted.
+
+    Few rows are broadcast, so that ``dim`` is scanned but not shuffled; more go through
+    ``lookup_join``.
+    """
+    if rows <= BROADCAST_ROWS:
+        return dim.join(F.broadcast(facts), key)
+    return lookup_join(facts, dim, key, "inner")
+
+
 def _hashable(df: DataFrame) -> list[str]:
     """Columns that spread the rows of one key; nested ones add cost, not spread."""
     flat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]

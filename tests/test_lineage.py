@@ -79,6 +79,19 @@ def test_hot_rows_are_spread(spark):
             spark.conf.set(k, v)
 
 
+def test_large_frontiers_give_the_same(spark, monkeypatch):
+    df = links(spark, [(i, i - 3 if i % 2 and i > 3 else None, i - 2 if i % 3 == 0 and i > 2 else None) for i in range(60)])
+    none = spark.createDataFrame([], "status_id bigint")
+    seeds = df.filter("status_id > 40")
+    def run():
+        return [sorted(map(tuple, r.collect())) for r in (
+            lineage.retweet_lineage(df, 4), lineage.reply_threads(seeds, df, 3),
+            lineage.follow_references(seeds, df, none, 4).select("found_id", "ref_status_id", "status_id", "via", "level"))]
+    small = run()
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    assert run() == small and all(small)
+
+
 def test_dedupe(spark):
     rows = [("a", 2, 20), ("a", 1, 30), ("a", 1, 10), ("b", 5, 50)]
     df = spark.createDataFrame(rows, "screen_name string, created_at int, status_id int")
