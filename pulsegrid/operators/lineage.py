@@ -17,11 +17,12 @@ def retweet_lineage(statuses: DataFrame, max_level: int = 5) -> DataFrame:
 
     Only ids travel: each round joins the frontier to the (status_id, retweeted_status_id)
     edges of retweets. A status may be retweeted by a large share of all rows, so a large
-    frontier is joined with hot ids salted; a small one is broadcast. Each round is written
-    once, and the chain stops when a round is empty.
+    frontier is joined with hot ids salted; a small one is broadcast. The edges and each round
+    are written once, and the chain stops when a round is empty.
     """
-    edges = statuses.filter(F.col("retweeted_status_id").isNotNull()).select(
-        "status_id", "retweeted_status_id"
+    edges = cut_lineage(
+        statuses.filter(F.col("retweeted_status_id").isNotNull()).select("status_id", "retweeted_status_id"),
+        "retweet-edges",
     )
     rounds = frontier = edges.select(
         F.col("status_id").alias("origin_id"),
@@ -116,6 +117,7 @@ def follow_references(seeds: DataFrame, links: DataFrame, processed: DataFrame,
     ``links``: (status_id, created_at, retweeted_status_id, in_reply_to_status_id), one row per
     status. ``seeds``: (status_id).
     """
+    links = cut_lineage(links, "reference-links")
     frontier = links.join(seeds.select("status_id").distinct(), "status_id", "left_semi").withColumn(
         "found_id", F.col("status_id")
     )
