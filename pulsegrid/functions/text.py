@@ -22,10 +22,6 @@ def split_pattern(pattern: Column) -> Column:
     return split_list(pattern, "+")
 
 
-def contains_ignoring_case(text: Column, part: Column) -> Column:
-    return F.contains(F.lower(text), F.lower(part))
-
-
 def equals_ignoring_case(left: Column, right: Column) -> Column:
     return F.lower(left) == F.lower(right)
 

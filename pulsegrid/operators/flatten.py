@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.text import absent_id_to_null
-from pulsegrid.functions.times import format_batch_time, long_date_text
+from pulsegrid.functions.times import (
+    format_batch_time, long_date_text, parse_batch_time, parse_long_date,
+)
 
 def _or_null(text: Column | None) -> Column:
     return F.lit(None).cast("string") if text is None else text
@@ -119,6 +122,41 @@ def wide_user(users: DataFrame) -> DataFrame:
     return users.select(*scalars, *entity_slots(F.col(urls), prefix))
 
 
+def typed_status(wide: DataFrame) -> DataFrame:
+    """Typed rows from the wide layout, one per hashtag as loaded (column ``hashtag``).
+
+    The inverse of ``wide_status``: absent ids (-1 or NULL) become NULL, slots become arrays
+    again, malformed numbers and dates become NULL.
+    """
+    types = {f.name: f.dataType for f in T.DataType.fromDDL(S.STATUS_DDL).fields}
+
+    def scalar(name: str, text: Column) -> Column:
+        if name == "created_at":
+            return parse_long_date(text)
+        if name == "system_create_ts":
+            return parse_batch_time(text)
+        value = text.try_cast(types[name])
+        return absent_id_to_null(value) if name.endswith("_id") and name != "status_id" else value
+
+    def slots(prefix: str, element: str = "string") -> Column:
+        values = F.array(*[F.col(c) for c in S.slot_names(prefix)])
+        return F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: v.try_cast(element))
+
+    text_of = {typed: F.col(name) for name, typed in S.STATUS_SCALARS}
+    place = {typed.split(".")[1]: text for typed, text in text_of.items() if typed.startswith("place.")}
+    columns = [scalar(t, c).alias(t) for t, c in text_of.items() if not t.startswith("place.")]
+    has_place = F.coalesce(*place.values()).isNotNull()
+    columns.append(F.when(has_place, F.struct(*[c.alias(n) for n, c in place.items()])).alias("place"))
+    groups = {typed: prefix for prefix, typed in S.STATUS_SLOT_GROUPS}
+    columns.append(slots(groups["contributors"], "bigint").alias("contributors"))
+    columns += [slots(groups[t]).alias(t) for t in ("media_urls", "symbols", "urls")]
+    mentions = F.zip_with(
+        slots(groups["mentions.screen_name"]), slots(groups["mentions.id"], "bigint"),
+        lambda name, id: F.struct(name.alias("screen_name"), id.alias("id")),
+    )
+    return wide.select(*columns, mentions.alias("mentions"), F.col(S.STATUS_HASHTAG).alias("hashtag"))
+
+
 # The names a projection list may use, with the typed column each one stands for.
 PROJECTION_NAMES = {
     "status": {"Id": "status_id", "Text": "text", "FavoriteCount": "favorite_count"},

@@ -15,10 +15,14 @@ def expand_hashtags(statuses: DataFrame) -> DataFrame:
 
 
 def hashtag_counts(statuses: DataFrame) -> DataFrame:
-    """Rows per (original_user, derived_user, hashtag), keyword-stream rows left out."""
+    """Rows per (original_user, derived_user, hashtag), keyword-stream rows left out.
+
+    Takes statuses with their ``hashtags`` array, or rows already expanded to ``hashtag``.
+    """
+    tag = F.col("hashtag") if "hashtag" in statuses.columns else F.explode("hashtags").alias("hashtag")
     return (
         statuses.filter(F.col("filter_type") != S.STREAM_TRACKER)
-        .select("original_user", "derived_user", F.explode("hashtags").alias("hashtag"))
+        .select("original_user", "derived_user", tag)
         .filter(F.col("hashtag").isNotNull())
         .groupBy("original_user", "derived_user", "hashtag")
         .agg(F.count("*").alias("record_count"))

@@ -19,8 +19,9 @@ def user_watermarks(statuses: DataFrame) -> DataFrame:
     )
 
 
-def merge_watermarks(old: DataFrame, new: DataFrame) -> DataFrame:
-    return old.unionByName(new).groupBy("screen_name").agg(
+def merge_watermarks(marks: DataFrame) -> DataFrame:
+    """One row per user from the marks of several runs."""
+    return marks.groupBy("screen_name").agg(
         F.min("since_id").alias("since_id"),
         F.max("max_id").alias("max_id"),
         F.sum("status_count").alias("status_count"),

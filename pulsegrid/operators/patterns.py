@@ -109,8 +109,13 @@ def tracked_tokens(keywords: DataFrame, cap: int = MAX_KEYWORDS) -> DataFrame:
 
 
 def track_filter(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Statuses whose text contains any tracked token, ignoring case."""
-    wanted = tokens.agg(F.collect_set(F.lower("token"))).scalar()
+    """Statuses whose text contains any tracked token, ignoring case.
+
+    Short tokens are tried first: they match most often and end the search.
+    """
+    low = F.lower("token")
+    entry = F.struct(F.length(low).alias("size"), low.alias("token"))
+    wanted = tokens.agg(F.sort_array(F.collect_set(entry)).alias("all")).select("all.token").scalar()
     return (
         statuses.withColumn("_tokens", wanted)
         .filter(F.exists(

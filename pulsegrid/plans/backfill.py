@@ -99,10 +99,8 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
 
     open_users = incremental.without_finished_users(watched, modes)
     in_range = timeline_rows(landed, open_users, settings)
-    merged = marks.groupBy("screen_name").agg(F.min("since_id").alias("since_id"), F.max("max_id").alias("max_id"))
-    timeline = cut_lineage(
-        incremental.beyond_watermarks(in_range, merged).drop("direction"), "timeline"
-    )
+    known = incremental.merge_watermarks(marks)
+    timeline = cut_lineage(incremental.beyond_watermarks(in_range, known).drop("direction"), "timeline")
     referenced = referenced_rows(timeline, all_rows(landed), processed, max_level)
     columns = [*timeline.columns, "via"]
     rows = cut_lineage(

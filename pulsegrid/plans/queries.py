@@ -120,6 +120,19 @@ def status_flatten(spark, sf_dir):
     return flatten.wide_status(hashtags.expand_hashtags(_flattened(spark, sf_dir)))
 
 
+@query
+def status_retype(spark, sf_dir):
+    rows = flatten.typed_status(status_flatten(spark, sf_dir))
+    return rows.select(
+        "status_id", "user_id", "hashtag", format_batch_time(F.col("created_at")).alias("created_text"),
+        format_batch_time(F.col("system_create_ts")).alias("loaded_text"), "in_reply_to_status_id",
+        "is_reply", "retweeted_status_id", (F.col("latitude") * 4).cast("bigint").alias("latitude_quarters"),
+        F.col("place.name").alias("place_name"), F.size("mentions").cast("bigint").alias("mention_count"),
+        F.get("mentions", F.lit(0))["id"].alias("first_mention_id"),
+        F.get("contributors", F.lit(1)).alias("second_contributor"), F.array_join("urls", " ").alias("urls"),
+    )
+
+
 @query
 def user_flatten(spark, sf_dir):
     landed = B.users(spark, sf_dir).select(F.struct("*").alias("user"))

@@ -1,14 +1,10 @@
-"""The loaded status and user tables."""
+"""Tables of a remote database."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lower: int, upper: int,
               partitions: int, **options: str) -> DataFrame:
     """A remote table in parallel ranges of a numeric key; credentials come in ``options``.

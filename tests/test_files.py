@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
+from pulsegrid.operators import flatten, hashtags
+from pulsegrid.plans import queries as Q
 from pulsegrid.sinks.delimited import write_delimited
 from pulsegrid.sinks.load import kind_of_path, load_files
 from pulsegrid.sources import batch_config
 from pulsegrid.sources.delimited import read_delimited
 
+SF = "/root/testdata/sf0.001"
 AWKWARD = ["plain", "a~b", 'say "hi"', "back\\slash", 'mix\\"~"\\', "null", "", None, " lead and trail ", "\\", '"']
 
 
@@ -77,3 +80,16 @@ def test_routing_by_name():
     for name in ("out/x-REJECTED-STATUS-1", "out/other"):
         with pytest.raises(ValueError):
             kind_of_path(name)
+
+
+def test_statuses_through_files_rank_the_same(spark, tmp_path):
+    """Landed records -> wide rows -> delimited files -> loaded table -> typed rows -> ranking."""
+    flat = Q._flattened(spark, SF)
+    wide = flatten.wide_status(hashtags.expand_hashtags(flat))
+    write_delimited(wide, f"{tmp_path}/STATUS")
+    counts = load_files(spark, f"{tmp_path}/STATUS", f"{tmp_path}/table", f"{tmp_path}/audit").collect()
+    assert sum(r.accepted_rows for r in counts) == wide.count()
+    loaded = flatten.typed_status(spark.read.parquet(f"{tmp_path}/table"))
+    key = ["original_user", "position"]
+    want = hashtags.top_hashtags(flat).orderBy(key).collect()
+    assert hashtags.top_hashtags(loaded).select(want[0].__fields__).orderBy(key).collect() == want

@@ -30,7 +30,7 @@ def test_watermarks_are_exclusive(spark):
     marks = incremental.user_watermarks(df.filter("screen_name = 'a' AND status_id BETWEEN 3 AND 5"))
     got = {(r.status_id, r.screen_name): r.direction for r in incremental.beyond_watermarks(df, marks).collect()}
     assert got == {(1, "a"): "REVERSE", (2, "a"): "REVERSE", (6, "a"): "FORWARD", (7, "a"): "FORWARD", (1, "b"): "INITIAL"}
-    merged = incremental.merge_watermarks(marks, incremental.user_watermarks(df)).orderBy("screen_name").first()
+    merged = incremental.merge_watermarks(marks.unionByName(incremental.user_watermarks(df))).orderBy("screen_name").first()
     assert (merged.since_id, merged.max_id) == (1, 7)
 
 
