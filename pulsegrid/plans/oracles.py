@@ -164,11 +164,13 @@ SELECT {', '.join(_wide)}, hashtag AS "statusHashtagEntity" FROM full_tag"""
 
 ORACLES["status_retype"] = f"""WITH {_FULL}
 SELECT status_id, user_id, hashtag, strftime(created_at, '{_BATCH_DATE}') AS created_text,
-    strftime(created_at + INTERVAL 5 MINUTE, '{_BATCH_DATE}') AS loaded_text, in_reply_to_status_id,
-    in_reply_to_status_id IS NOT NULL AS is_reply, retweeted_status_id,
-    CASE WHEN k % 10 = 5 THEN CAST(k AS BIGINT) END AS latitude_quarters,
+    strftime(created_at + INTERVAL 5 MINUTE, '{_BATCH_DATE}') AS loaded_text,
+    coalesce(in_reply_to_status_id, -1) AS in_reply_to_status_id,
+    in_reply_to_status_id IS NOT NULL AS is_reply, coalesce(retweeted_status_id, -1) AS retweeted_status_id,
+    CAST(CASE WHEN k % 10 = 5 THEN k ELSE -1 END AS BIGINT) AS latitude_quarters,
     CASE WHEN k % 4 = 0 THEN 'city' || k END AS place_name, least(len(mention_ids), 12) AS mention_count,
-    mention_ids[1] AS first_mention_id, CASE WHEN k % 11 = 0 THEN user_id + 1 END AS second_contributor,
+    coalesce(mention_ids[1], -1) AS first_mention_id,
+    CASE WHEN k % 11 = 0 THEN user_id + 1 ELSE -1 END AS second_contributor,
     array_to_string(list_slice(['http://l/' || k || '/0', 'http://l/' || k || '/1'], 1, k % 3), ' ') AS urls
 FROM full_tag"""
 

@@ -49,6 +49,11 @@ def _time(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+def _id_or_absent(column, name: str):
+    """Absent numbers as -1, so that a result column has no NULLs among integers."""
+    return F.coalesce(column, F.lit(-1).cast("bigint")).alias(name)
+
+
 def _big(name: str):
     return F.col(name).cast("bigint").alias(name)
 
@@ -125,11 +130,13 @@ def status_retype(spark, sf_dir):
     rows = flatten.typed_status(status_flatten(spark, sf_dir))
     return rows.select(
         "status_id", "user_id", "hashtag", format_batch_time(F.col("created_at")).alias("created_text"),
-        format_batch_time(F.col("system_create_ts")).alias("loaded_text"), "in_reply_to_status_id",
-        "is_reply", "retweeted_status_id", (F.col("latitude") * 4).cast("bigint").alias("latitude_quarters"),
+        format_batch_time(F.col("system_create_ts")).alias("loaded_text"),
+        _id_or_absent(F.col("in_reply_to_status_id"), "in_reply_to_status_id"),
+        "is_reply", _id_or_absent(F.col("retweeted_status_id"), "retweeted_status_id"),
+        _id_or_absent((F.col("latitude") * 4).cast("bigint"), "latitude_quarters"),
         F.col("place.name").alias("place_name"), F.size("mentions").cast("bigint").alias("mention_count"),
-        F.get("mentions", F.lit(0))["id"].alias("first_mention_id"),
-        F.get("contributors", F.lit(1)).alias("second_contributor"), F.array_join("urls", " ").alias("urls"),
+        _id_or_absent(F.get("mentions", F.lit(0))["id"], "first_mention_id"),
+        _id_or_absent(F.get("contributors", F.lit(1)), "second_contributor"), F.array_join("urls", " ").alias("urls"),
     )
 
 
