@@ -52,3 +52,9 @@ def test_registry_builds_no_lists(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_routed_rows_are_rebalanced_by_folder(spark):
+    rows = spark.range(10).selectExpr("id", "'b' AS batch_name", "'STATUS' AS kind", "'x' AS bucket")
+    text = plan(rows.hint("rebalance", "batch_name", "kind", "bucket"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
