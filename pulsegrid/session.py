@@ -62,8 +62,24 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Used between the rounds of iterative operators: a lost executor re-reads the table
-    instead of replaying all rounds, and the next round plans with real sizes.
+    instead of replaying all rounds, and the next round plans with real sizes. The table is
+    deleted when the application ends, as results derived from it may be read until then;
+    ``drop_table`` deletes it earlier.
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    system, folder = _file_system(df.sparkSession, path)
+    system.deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table of ``cut_lineage`` that nothing will read again."""
+    for path in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        system, folder = _file_system(df.sparkSession, path)
+        system.delete(folder, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
