@@ -3,8 +3,8 @@
 A page becomes a tree of its block elements, with its text blocks as leaves. Every node has a hidden
 state: main content, a wrapper around it, or other. The model has
 
-* a unary potential per node: the node's features (tag, class and id words; for text blocks their size, and
-  their element with the share of links) given its state, and
+* a unary potential per node: the node's features (tag, class and id words; for text blocks their element
+  with the share of links) given its state, and
 * a potential per edge: the child's state given its parent's, apart for elements and text blocks.
 
 Both are smoothed counts over labelled pages, summed by key in Spark; features are hashed into
@@ -204,7 +204,7 @@ def _features(page: Page, i: int) -> list[int]:
     if text is None:
         return [_bucket("tag " + page.tag[i]), *[_bucket("name " + n) for n in page.names[i]]]
     share = 3 * page.linked[i] // len(text)
-    return [_bucket(f"in {page.tag[page.parent[i]]} {share}"), _bucket(f"size {min(len(text).bit_length() // 3, 2)}")]
+    return [_bucket(f"in {page.tag[page.parent[i]]} {share}")]
 
 
 WRAPPER, CONTENT, OTHER = range(3)
