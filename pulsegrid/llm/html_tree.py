@@ -354,6 +354,9 @@ TEMPLATES = (
      "<footer><ul><li><a href='/t'>Terms</a></li></ul></footer></body>",
      "Steps\nWhat is needed:\nSome flour\nTwo eggs, and milk.\nA little salt.\nMix it all.\nWait for an hour, "
      "then bake.\nTime\nOne hour"),
+    ("<body><main><h1>Title</h1><p>The opening words.</p><aside class='box'><h3>Also</h3><p>A side remark, set "
+     "apart.</p></aside><p>The closing words.</p></main><aside><p>About us</p><p>We are a paper.</p></aside></body>",
+     "Title\nThe opening words.\nThe closing words."),
 )
 MARKED = re.compile(r"<(?:article|main)\b", re.I)
 OUTSIDE = frozenset("nav aside footer form button label fieldset menu dialog search".split())

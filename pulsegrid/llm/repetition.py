@@ -29,7 +29,7 @@ from pulsegrid.llm.words import (
 )
 
 MIN_REPEAT = 8
-MAX_COVERED = 0.3
+MAX_COVERED = 0.55
 MAX_REPEAT = 100
 MIN_WORDS = 50
 WINDOW = 3
