@@ -3,8 +3,8 @@
 A page becomes a tree of its block elements, with its text blocks as leaves. Every node has a hidden
 state: main content, a wrapper around it, or other. The model has
 
-* a unary potential per node: the node's features (tag, class and id words; for text blocks their element
-  with the share of links) given its state, and
+* a unary potential per node: the node's features (tag, class and id words; for text blocks their share
+  of links) given its state, and
 * a potential per edge: the child's state given its parent's, apart for elements and text blocks.
 
 Both are smoothed counts over labelled pages, summed by key in Spark; features are hashed into
@@ -39,7 +39,7 @@ from pulsegrid.llm.words import map_arrow
 BUCKETS = 4096
 SAMPLE_PAGES = 2000
 SMOOTH = 0.5
-TEMPLATE_WEIGHT = 100
+TEMPLATE_SHARE = 0.25
 
 # Element groups of the HTML standard.
 VOID = frozenset(
@@ -155,7 +155,7 @@ def parse(source: str) -> Page:
         if begin > at:
             put(source[at:begin])
         at = end
-        if source.startswith("<!--", begin) and not source.endswith(">", begin, end):
+        if source.startswith("<!--", begin) and not source.endswith("-->", begin, end):
             break
         closing, name, attributes, closing2, name2, attributes2 = found.groups()
         tag = (name or name2 or "").lower()
@@ -204,7 +204,7 @@ def _features(page: Page, i: int) -> list[int]:
     if text is None:
         return [_bucket("tag " + page.tag[i]), *[_bucket("name " + n) for n in page.names[i]]]
     share = 3 * page.linked[i] // len(text)
-    return [_bucket(f"in {page.tag[page.parent[i]]} {share}")]
+    return [_bucket(f"links {share}")]
 
 
 WRAPPER, CONTENT, OTHER = range(3)
@@ -357,6 +357,10 @@ TEMPLATES = (
     ("<body><main><h1>Title</h1><p>The opening words.</p><aside class='box'><h3>Also</h3><p>A side remark, set "
      "apart.</p></aside><p>The closing words.</p></main><aside><p>About us</p><p>We are a paper.</p></aside></body>",
      "Title\nThe opening words.\nThe closing words."),
+    # a page is mostly its article
+    ("<body><nav><a href='/'>Home</a></nav><article><h1>A long read</h1>"
+     + "".join(f"<p>Paragraph {i} of the story.</p>" for i in range(40)) + "</article><footer>(c)</footer></body>",
+     "\n".join(["A long read", *[f"Paragraph {i} of the story." for i in range(40)]])),
 )
 MARKED = re.compile(r"<(?:article|main)\b", re.I)
 OUTSIDE = frozenset("nav aside footer form button label fieldset menu dialog search".split())
@@ -404,26 +408,28 @@ def labelled_sample(pages: DataFrame, html_col: str, rows: int = SAMPLE_PAGES) -
 
 
 def train(labelled: DataFrame) -> Model:
-    """Model from (html, main) rows and the templates."""
+    """Model from (html, main) rows and the templates, each of which counts as a share of the rows."""
 
     def over(batches):
-        counts = np.zeros(SIZE, dtype=np.int64)
+        counts = np.zeros(SIZE + 1, dtype=np.int64)  # the last one counts pages
         for batch in batches:
             for source, main in zip(*(batch.column(c).to_pylist() for c in ("html", "main"))):
                 if source and main is not None:
                     page = parse(source)
                     count(page, label(page, main), counts)
+                    counts[-1] += 1
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["at", "n"])
 
     found = labelled.select("html", "main").mapInArrow(over, "at long, n long")
-    counts = np.zeros(SIZE, dtype=np.int64)
-    for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():  # at most SIZE rows
+    counts = np.zeros(SIZE + 1, dtype=np.int64)
+    for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():  # at most SIZE + 1 rows
         counts[row.at] = row.n
+    weight = max(1, round(TEMPLATE_SHARE * counts[-1]))
     for source, main in TEMPLATES:
         page = parse(source)
-        count(page, label(page, main), counts, TEMPLATE_WEIGHT)
-    return Model(counts)
+        count(page, label(page, main), counts, weight)
+    return Model(counts[:-1])
 
 
 def extract(

@@ -151,9 +151,10 @@ def candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         for c, need in enumerate(sorted(map(sorted, trigram_query(rule.pattern))))
         for i, t in enumerate(need)
     ]
-    terms = texts.sparkSession.createDataFrame(
-        asked, "need string, rule int, bit long, full long, trigram string"
-    )
+    fields = {"need": "string", "rule": "int", "bit": "long", "full": "long", "trigram": "string"}
+    terms = texts.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields.items())]) for row in asked
+    ])))
     index = postings(texts, sorted({a[-1] for a in asked}))
     # the terms are a constant of the rule list, a few hundred rows
     met = (

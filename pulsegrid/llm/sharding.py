@@ -58,8 +58,12 @@ def place(
     slot_col: str = "slot", shard_col: str = "shard",
 ) -> DataFrame:
     """``df`` with the slot and shard of each row; these two columns replace any of their names."""
-    spark = df.sparkSession
-    rows = spark.createDataFrame(list(enumerate(table)), "slot_ int, shard_ string")
+    names = sorted(set(table))
+    place_of = {s: i for i, s in enumerate(names)}
+    ranks = F.split(F.lit(" ".join(str(place_of[s]) for s in table)), " ")
+    listed = df.sparkSession.range(1).select(F.posexplode(ranks).alias("slot_", "rank"))
+    name = F.element_at(F.array(*map(F.lit, names)), F.col("rank").cast("int") + 1)
+    rows = listed.select("slot_", name.alias("shard_"))
     key = F.col(key_col).cast("string")
     if spread:
         key = F.coalesce(key, F.col(spread).cast("string"))

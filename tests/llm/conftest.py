@@ -35,6 +35,14 @@ def docs(spark, corpus):
     ).repartition(5)
 
 
+@pytest.fixture(scope="session")
+def stored_docs(spark, docs, tmp_path_factory):
+    """The same rows as a table, for looking at plans."""
+    path = str(tmp_path_factory.mktemp("docs"))
+    docs.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")

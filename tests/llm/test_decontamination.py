@@ -75,8 +75,9 @@ def test_clean_keeps_the_rest(spark, tainted, items):
     assert as_bag(got.collect()) == as_bag(want)
 
 
-def test_main_path_is_native(docs, spark, items, capsys):
-    D.contained(docs, frame(spark, items, "item_id")).explain("formatted")
+def test_main_path_is_native(stored_docs, spark, items, tmp_path, capsys):
+    frame(spark, items, "item_id").write.parquet(f"{tmp_path}/items")
+    D.contained(stored_docs, spark.read.parquet(f"{tmp_path}/items")).explain("formatted")
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
 
 

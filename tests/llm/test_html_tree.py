@@ -8,13 +8,16 @@ from llm_compare import as_bag
 from pulsegrid.llm import html_tree as H
 
 
+PAGE = (
+    "<body><nav><ul><li><a href='/'>Go</a></li><li><a href='/x'>On</a></li></ul></nav><div class='ad'>Buy {0}</div><article>"
+    "<h1>T{0}</h1><p>Body &amp; text {0}.</p><p>More {0}.</p><p>End.</p></article><footer>(c) {0}</footer></body>"
+)
+
+
 @pytest.fixture(scope="module")
-def model():
-    counts = np.zeros(H.SIZE, dtype=np.int64)
-    for source, main in H.TEMPLATES:
-        page = H.parse(source)
-        H.count(page, H.label(page, main), counts)
-    return H.Model(counts)
+def model(spark):
+    rows = [(p, H.marked_text(p)) for p in (PAGE.format(i) for i in range(200))]
+    return H.train(spark.createDataFrame(rows, "html string, main string"))
 
 
 def texts(source):
@@ -76,12 +79,11 @@ def test_deep_and_wide_pages(model):
 
 
 def test_every_page(spark):
-    page = "<body><nav><a href='/'>Go</a></nav><article><h1>T{0}</h1><p>Body &amp; text {0}.</p></article></body>"
-    rows = [(i, f"u{i}", page.format(i), "x", 0) for i in range(40)]
+    rows = [(i, f"u{i}", PAGE.format(i), "x", 0) for i in range(40)]
     rows += [(100, None, None, "x", 0), (None, "u", "", "x", 0), rows[0]]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, main int")
     got = H.main_texts(pages).collect()
-    want = [(i, u, f"T{i}\nBody & text {i}." if h else "") for i, u, h, _, _ in rows]
+    want = [(i, u, f"T{i}\nBody & text {i}.\nMore {i}.\nEnd." if h else "") for i, u, h, _, _ in rows]
     assert as_bag(got) == as_bag(want)
 
 

@@ -87,8 +87,8 @@ def test_queries_hold_for_all_matches():
                 assert any(all(t in m[0].lower() for t in need) for need in S.trigram_query(rule.pattern))
 
 
-def test_main_path_is_native(docs, capsys):
-    S.scan(docs).explain("formatted")
+def test_main_path_is_native(stored_docs, capsys):
+    S.scan(stored_docs).explain("formatted")
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
 
 

@@ -36,13 +36,13 @@ def test_bad_parameters(shards, size):
         S.fill_table(shards, size)
 
 
-def test_placement(spark, docs, capsys):
+def test_placement(stored_docs, capsys):
     table = S.fill_table({"a": 1, "b": 2}, 101)
-    named = docs.withColumnRenamed("id", "slot").withColumnRenamed("words", "shard")
+    named = stored_docs.withColumnRenamed("id", "slot").withColumnRenamed("words", "shard")
     placed = S.place(named, "doc_id", table)
     assert sorted(placed.columns) == sorted(named.columns)
     rows = placed.collect()
-    assert len(rows) == docs.count()
+    assert len(rows) == stored_docs.count()
     for r in rows:
         assert r.slot == number(r.doc_id) % 101 and r.shard == table[r.slot]
     placed.explain("formatted")
