@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.words import (
     WORD_BASE, map_arrow, mix, range_hash, row_bounds, runs, split_words,
 )
-from pulsegrid.session import cut_lineage
+from pulsegrid.session import cut_lineage, drop_table
 
 WINDOW = 35
 ANCHOR_WORDS = 8
@@ -145,14 +145,17 @@ def boundary_windows(keyed: DataFrame, at: DataFrame, window: int) -> DataFrame:
 def duplicate_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     """(k1, k2, spans): per text the array of (lo, n): n repeated windows from word lo on."""
     stretch = cut_lineage(parse_stretches(keyed, window), "rlz-stretches")
+    often = stretch.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    met = cut_lineage(stretch.join(often.select("anchor"), "anchor", "left_semi"), "rlz-met")
+    drop_table(stretch)
     index = cut_lineage(
-        stretch.groupBy("anchor", "body").agg(
+        met.groupBy("anchor", "body").agg(
             F.count("*").alias("places"), F.min(F.struct("k1", "k2", "lo", "n")).alias("one"),
         ),
         "rlz-index",
     )
     repeated = index.where("places > 1").select("anchor", "body")
-    factors = stretch.join(repeated, ["anchor", "body"], "left_semi").select("k1", "k2", "lo", "n")
+    factors = met.join(repeated, ["anchor", "body"], "left_semi").select("k1", "k2", "lo", "n")
 
     # factor boundaries: anchors with several bodies, one place of each
     several = index.groupBy("anchor").agg(F.count("*").alias("bodies")).where("bodies > 1")
@@ -161,9 +164,8 @@ def duplicate_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy(F.col("one.k1").alias("k1"), F.col("one.k2").alias("k2"))
         .agg(F.collect_list(F.struct("anchor", "one.lo", "one.n")).alias("places"))
     )
-    windows = cut_lineage(
-        boundary_windows(keyed, cut_lineage(at, "rlz-boundaries"), window), "rlz-windows"
-    )
+    # not cut: the exchange of the texts is the one that remove_spans uses
+    windows = boundary_windows(keyed, cut_lineage(at, "rlz-boundaries"), window)
     place = F.xxhash64("k1", "k2", "start")
     shared = (
         windows.groupBy("anchor", "w")
