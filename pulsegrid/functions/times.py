@@ -5,8 +5,9 @@ All functions assume the UTC session zone (``session.use_utc``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Formats used in definitions, file names and logs.
 BATCH_FORMAT = "dd/MM/yyyy-HH:mm:ss"
@@ -50,14 +51,46 @@ def parse_long_date(col: Column) -> Column:
     The weekday is ignored and the zone name goes through ``ZONE_MINUTES``; an unknown
     zone gives NULL rather than a silently shifted time.
     """
-    part = F.split(col, " ")
-    wall = F.try_to_timestamp(
-        F.concat_ws(" ", F.get(part, F.lit(1)), F.get(part, F.lit(2)), F.get(part, F.lit(3)),
-                    F.get(part, F.lit(5))),
-        F.lit("MMM dd HH:mm:ss yyyy"),
-    )
-    zone = F.get(part, F.lit(4))
-    minutes = F.lit(None).cast("int")
-    for name, offset in ZONE_MINUTES.items():
-        minutes = F.when(zone == name, F.lit(offset)).otherwise(minutes)
-    return F.timestamp_add("MINUTE", -minutes, wall)
+    zones = F.create_map(*[F.lit(x) for pair in ZONE_MINUTES.items() for x in pair])
+
+    def read(part: Column) -> Column:
+        wall = F.try_to_timestamp(
+            F.concat_ws(" ", *[F.get(part, F.lit(i)) for i in (1, 2, 3, 5)]), F.lit("MMM dd HH:mm:ss yyyy")
+        )
+        return F.timestamp_add("MINUTE", -F.try_element_at(zones, F.get(part, F.lit(4))), wall)
+
+    # the parts are split once: they are the variable of a one-element transform
+    return F.get(F.transform(F.array(F.split(col, " ")), read), F.lit(0))
+
+
+_ID_RANGE = "18446744073709551616BD"
+_HALF_RANGE = "9223372036854775808BD"
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def arrival_key(rows: DataFrame, time: str = "created_at", id: str = "status_id") -> Column:
+    """(time, id) of ``rows`` as one number in the same order, which hash aggregates can hold.
+
+    NULL if the time or the id is.
+    """
+    is_time = isinstance(rows.schema[time].dataType, _TIMES)
+    number = f"unix_micros(CAST({time} AS timestamp))" if is_time else f"CAST({time} AS bigint)"
+    return F.expr(f"CAST({number} AS decimal(19, 0)) * {_ID_RANGE} + {id}").cast("decimal(38, 0)")
+
+
+def arrival_id(key: str) -> Column:
+    """The id in an ``arrival_key``."""
+    return F.expr(f"CAST(pmod({key} + {_HALF_RANGE}, {_ID_RANGE}) - {_HALF_RANGE} AS bigint)")
+
+
+def arrival_time(key: str, rows: DataFrame, time: str = "created_at") -> Column:
+    """The time in an ``arrival_key``, with the type that it has in ``rows``."""
+    kind = rows.schema[time].dataType
+    shifted = f"({key} + {_HALF_RANGE})"
+    number = F.expr(f"CAST(({shifted} - pmod({shifted}, {_ID_RANGE})) / {_ID_RANGE} AS bigint)")
+    return (F.timestamp_micros(number) if isinstance(kind, _TIMES) else number).cast(kind)
+
+
+def arrival(key: str, rows: DataFrame) -> Column:
+    """The struct (created_at, status_id) of an ``arrival_key``."""
+    return F.struct(arrival_time(key, rows).alias("created_at"), arrival_id(key).alias("status_id"))

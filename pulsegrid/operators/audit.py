@@ -23,10 +23,10 @@ def source_file() -> Column:
     return F.element_at(F.split(F.input_file_name(), "/"), -1)
 
 
-def load_counts(checked: DataFrame) -> DataFrame:
+def load_counts(checked: DataFrame, keys: tuple[str, ...] = ("file_name",)) -> DataFrame:
     """Per file: rows accepted and rejected, and whether the load succeeded (any accepted)."""
     return (
-        checked.groupBy("file_name")
+        checked.groupBy(*keys)
         .agg(F.count_if("accepted").alias("accepted_rows"), F.count_if(~F.col("accepted")).alias("rejected_rows"))
         .withColumn("is_loaded", F.col("accepted_rows") > 0)
     )

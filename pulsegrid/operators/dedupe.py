@@ -28,6 +28,20 @@ def new_statuses(statuses: DataFrame, processed: DataFrame) -> DataFrame:
 
     Optional for timeline statuses (off by default there), always on for reply parents.
     """
-    return statuses.dropDuplicates(["status_id"]).join(
+    return one_per_status(statuses).join(
         processed.select("status_id").distinct(), "status_id", "left_anti"
     )
+
+
+def one_per_status(statuses: DataFrame, keys: tuple[str, ...] = ("status_id",), last: str | None = None) -> DataFrame:
+    """One row per id: that of the greatest ``last`` column if given, else the first by arrival.
+
+    Rows that agree there are told apart by a hash of all columns, so that the choice does not depend on
+    partitions. The rank runs as a partial group limit before the shuffle.
+    """
+    order = [F.col(c) for c in ("created_at",) if c in statuses.columns]
+    if last is not None:
+        order = [F.col(last).desc_nulls_last(), *order]
+    whole = F.xxhash64(*[F.col(c) for c in statuses.columns])
+    ranked = Window.partitionBy(*keys).orderBy(*order, whole)
+    return statuses.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")

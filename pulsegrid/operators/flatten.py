@@ -116,17 +116,40 @@ def wide_status(statuses: DataFrame) -> DataFrame:
     return statuses.select(*scalars, *slots, F.col("hashtag").alias(S.STATUS_HASHTAG))
 
 
+_SCOPES = "scope_place_ids"
+
+
+def wide_overflow(statuses: DataFrame, slots: int = S.SLOTS) -> DataFrame:
+    """(status_id, entity, position, value): what the wide layout has no room for.
+
+    Elements from number ``slots`` on, and all place ids of the scope, which the layout lacks. Written next
+    to the wide rows it makes them complete; see ``typed_status``.
+    """
+    def rest(typed: str, first: int) -> Column:
+        values = F.col(typed).cast("array<string>")
+        element = "struct<entity:string,position:int,value:string>"
+        listed = F.transform(values, lambda v, i: F.struct(
+            F.lit(typed).alias("entity"), i.alias("position"), v.alias("value")))
+        return F.coalesce(
+            F.filter(listed, lambda e: e["position"] >= first), F.expr(f"CAST(array() AS array<{element}>)")
+        )
+
+    parts = [rest(typed, slots) for _, typed in S.STATUS_SLOT_GROUPS] + [rest(_SCOPES, 0)]
+    return statuses.select("status_id", F.inline(F.concat(*parts)))
+
+
 def wide_user(users: DataFrame) -> DataFrame:
     scalars = [_as_text(t, F.col(t)).alias(w) for w, t in S.USER_SCALARS]
     prefix, urls = S.USER_SLOT_GROUP
     return users.select(*scalars, *entity_slots(F.col(urls), prefix))
 
 
-def typed_status(wide: DataFrame) -> DataFrame:
+def typed_status(wide: DataFrame, overflow: DataFrame | None = None) -> DataFrame:
     """Typed rows from the wide layout, one per hashtag as loaded (column ``hashtag``).
 
     The inverse of ``wide_status``: absent ids (-1 or NULL) become NULL, slots become arrays
-    again, malformed numbers and dates become NULL.
+    again, malformed numbers and dates become NULL. With the rows of ``wide_overflow`` the arrays are
+    complete; without them they end at the last slot and scope place ids are unknown.
     """
     types = {f.name: f.dataType for f in T.DataType.fromDDL(S.STATUS_DDL).fields}
 
@@ -138,9 +161,26 @@ def typed_status(wide: DataFrame) -> DataFrame:
         value = text.try_cast(types[name])
         return absent_id_to_null(value) if name.endswith("_id") and name != "status_id" else value
 
-    def slots(prefix: str, element: str = "string") -> Column:
-        values = F.array(*[F.col(c) for c in S.slot_names(prefix)])
-        return F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: v.try_cast(element))
+    rest = None
+    if overflow is not None:
+        entries = overflow.groupBy("status_id", "entity").agg(
+            F.array_sort(F.collect_set(F.struct("position", "value"))).alias("e")
+        )
+        rest = entries.groupBy(F.col("status_id").alias("_owner")).agg(F.map_from_entries(
+            F.collect_list(F.struct("entity", F.transform("e", lambda x: x["value"])))).alias("_rest"))
+        # a status has few overflow rows; statuses without any keep their slots
+        status_id = F.col("statusId").cast("bigint")
+        wide = wide.join(rest, status_id == F.col("_owner"), "left")
+
+    def slots(typed: str, element: str = "string") -> Column:
+        """The slots as they are, NULLs included, with what did not fit."""
+        values = F.array(*[F.col(c) for c in S.slot_names(groups[typed])])
+        if rest is not None:
+            values = F.concat(values, _beyond(typed))
+        return F.transform(values, lambda v: v.try_cast(element))
+
+    def present(values: Column) -> Column:
+        return F.filter(values, lambda v: v.isNotNull())
 
     text_of = {typed: F.col(name) for name, typed in S.STATUS_SCALARS}
     place = {typed.split(".")[1]: text for typed, text in text_of.items() if typed.startswith("place.")}
@@ -148,13 +188,22 @@ def typed_status(wide: DataFrame) -> DataFrame:
     has_place = F.coalesce(*place.values()).isNotNull()
     columns.append(F.when(has_place, F.struct(*[c.alias(n) for n, c in place.items()])).alias("place"))
     groups = {typed: prefix for prefix, typed in S.STATUS_SLOT_GROUPS}
-    columns.append(slots(groups["contributors"], "bigint").alias("contributors"))
-    columns += [slots(groups[t]).alias(t) for t in ("media_urls", "symbols", "urls")]
-    mentions = F.zip_with(
-        slots(groups["mentions.screen_name"]), slots(groups["mentions.id"], "bigint"),
+    columns.append(present(slots("contributors", "bigint")).alias("contributors"))
+    columns += [present(slots(t)).alias(t) for t in ("media_urls", "symbols", "urls")]
+    # names and ids are paired by position before empty pairs are dropped
+    pairs = F.zip_with(
+        slots("mentions.screen_name"), slots("mentions.id", "bigint"),
         lambda name, id: F.struct(name.alias("screen_name"), id.alias("id")),
     )
-    return wide.select(*columns, mentions.alias("mentions"), F.col(S.STATUS_HASHTAG).alias("hashtag"))
+    mentions = F.filter(pairs, lambda m: m["screen_name"].isNotNull() | m["id"].isNotNull())
+    scopes = F.lit(None).cast("array<string>") if rest is None else F.try_element_at("_rest", F.lit(_SCOPES))
+    return wide.select(
+        *columns, mentions.alias("mentions"), scopes.alias(_SCOPES), F.col(S.STATUS_HASHTAG).alias("hashtag")
+    )
+
+
+def _beyond(typed: str) -> Column:
+    return F.coalesce(F.try_element_at("_rest", F.lit(typed)), F.expr("CAST(array() AS array<string>)"))
 
 
 # The names a projection list may use, with the typed column each one stands for.
@@ -176,13 +225,24 @@ def project_names(df: DataFrame, record: str, names: list[str]) -> DataFrame:
 def limit_records(statuses: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` statuses in arrival order (a configured cap on one run's output).
 
-    Counts per minute, read from one column, give the minute in which the limit is reached;
-    the rows after it are filtered at the scan. Only what is left is ranked, instead of
-    ``limit`` rows of every task.
+    Counts per day, then per minute of the one day in which the limit is reached, give the
+    minute behind which no row is needed; later rows are filtered at the scan. Only what is
+    left is ranked, instead of ``limit`` rows of every task.
     """
-    minute = F.date_trunc("minute", "created_at").cast(statuses.schema["created_at"].dataType)
-    minutes = statuses.groupBy(minute.alias("minute")).agg(F.count("*").alias("n"))
-    up_to_here = Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
-    before = minutes.withColumn("before", F.coalesce(F.sum("n").over(up_to_here), F.lit(0)))
-    last = before.filter(F.col("before") < limit).agg(F.max("minute") + F.expr("interval 1 minute")).scalar()
-    return statuses.filter(F.col("created_at") < last).orderBy("created_at", "status_id").limit(limit)
+    kind = statuses.schema["created_at"].dataType
+
+    def reached(rows: DataFrame, unit: str, before: Column):
+        """(start of the unit that holds the last row, rows before it)."""
+        units = rows.groupBy(F.date_trunc(unit, "created_at").cast(kind).alias("start")).agg(F.count("*").alias("n"))
+        order = Window.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        sums = units.select("start", (before + F.coalesce(F.sum("n").over(order), F.lit(0))).alias("before"))
+        return sums.filter(F.col("before") < limit).agg(F.max(F.struct("start", "before")).alias("last"))
+
+    day = reached(statuses, "day", F.lit(0)).first().last
+    if day is None:
+        return statuses.limit(0)
+    start = F.lit(day.start).cast(kind)
+    of_day = statuses.filter((F.col("created_at") >= start) & (F.col("created_at") < start + F.expr("interval 1 day")))
+    minute = reached(of_day, "minute", F.lit(day.before)).first().last.start
+    behind = F.lit(minute).cast(kind) + F.expr("interval 1 minute")
+    return statuses.filter(F.col("created_at") < behind).orderBy("created_at", "status_id").limit(limit)

@@ -49,11 +49,18 @@ def pattern_key() -> Column:
     return F.concat_ws("+", "derived_user", "hashtag")
 
 
-def pattern_counts(top_pairs: DataFrame) -> DataFrame:
-    """One count per ``user+hashtag`` pattern; of two accounts with the same one, the later wins."""
+def pattern_counts(top_pairs: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """One count per ``user+hashtag`` pattern; of two accounts with the same one, the later wins.
+
+    Later is by ``order`` (original_user, org_pos), the account list, and by name without it.
+    """
+    place = F.lit(0)
+    if order is not None:
+        top_pairs = top_pairs.join(order.select("original_user", "org_pos"), "original_user", "left")
+        place = F.coalesce("org_pos", F.lit(2147483647))
     return (
         top_pairs.groupBy(pattern_key().alias("pattern"))
-        .agg(F.max_by("record_count", "original_user").alias("record_count"))
+        .agg(F.max_by("record_count", F.struct(place.alias("place"), "original_user")).alias("record_count"))
     )
 
 

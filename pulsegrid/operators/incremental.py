@@ -52,18 +52,19 @@ def paging_modes(watched: DataFrame, statuses: DataFrame, earliest: Column | Non
                  latest: Column | None = None) -> DataFrame:
     """Paging mode of every watched user after a run.
 
-    FORWARD when the run found nothing in the date range or met a status outside of it (the
-    history is exhausted); REVERSE while older pages remain.
+    FORWARD when the run found nothing in the date range or met a status older than it (the
+    history is exhausted); REVERSE while older pages remain. A status newer than the range says
+    nothing about the history.
     """
-    inside = F.lit(True)
+    inside, older = F.lit(True), F.lit(False)
     if earliest is not None:
-        inside = inside & (F.col("created_at") >= earliest)
+        inside, older = F.col("created_at") >= earliest, F.col("created_at") < earliest
     if latest is not None:
         inside = inside & (F.col("created_at") <= latest)
     seen = statuses.groupBy("screen_name").agg(
-        F.count_if(inside).alias("inside"), F.count_if(~inside).alias("outside")
+        F.count_if(inside).alias("inside"), F.count_if(older).alias("older")
     )
-    exhausted = (F.coalesce("inside", F.lit(0)) == 0) | (F.coalesce("outside", F.lit(0)) > 0)
+    exhausted = (F.coalesce("inside", F.lit(0)) == 0) | (F.coalesce("older", F.lit(0)) > 0)
     return watched.join(seen, "screen_name", "left").select(
         "batch_name", "screen_name",
         F.when(exhausted, S.MODE_FORWARD).otherwise(S.MODE_REVERSE).alias("paging_mode"),

@@ -5,23 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.times import arrival_id, arrival_key
 from pulsegrid.operators.skew import lookup_counted, lookup_join
 from pulsegrid.session import cut_lineage
 
 
-def retweet_lineage(statuses: DataFrame, max_level: int = 5) -> DataFrame:
+def retweet_lineage(statuses: DataFrame, max_level: int | None = None) -> DataFrame:
     """The chain of retweeted statuses of every status, one row per step.
 
-    Columns: origin_id, ref_status_id (the retweeting status), status_id (the retweeted
-    one), level (1 for a direct retweet). ``max_level`` also ends cycles.
+    Columns: origin_id, ref_status_id (the retweeting status), status_id (the retweeted one), level (1
+    for a direct retweet). Chains are followed to their ends, or to ``max_level`` if given; a
+    step to a status that the chain has reached before ends it, so cycles end, too.
 
     Only ids travel: each round joins the frontier to the (status_id, retweeted_status_id)
     edges of retweets. A status may be retweeted by a large share of all rows, so a large
     frontier is joined with hot ids salted; a small one is broadcast. The edges and each round
-    are written once, and the chain stops when a round is empty.
+    are written once, and the rounds stop when one is empty.
     """
     edges = cut_lineage(
-        statuses.filter(F.col("retweeted_status_id").isNotNull()).select("status_id", "retweeted_status_id"),
+        statuses.filter(F.col("retweeted_status_id").isNotNull())
+        .select("status_id", "retweeted_status_id").distinct(),
         "retweet-edges",
     )
     rounds = frontier = edges.select(
@@ -30,36 +33,56 @@ def retweet_lineage(statuses: DataFrame, max_level: int = 5) -> DataFrame:
         F.col("retweeted_status_id").alias("status_id"),
         F.lit(1).alias("level"),
     )
-    for level in range(2, max_level + 1):
+    level = 1
+    while max_level is None or level < max_level:
+        level += 1
         size = frontier.count()
         if size == 0:
             break
-        step = lookup_counted(frontier.select("origin_id", "status_id"), size, edges, "status_id")
+        step = lookup_counted(frontier.select("origin_id", "status_id"), size, edges, "status_id").select(
+            "origin_id", F.col("status_id").alias("ref_status_id"),
+            F.col("retweeted_status_id").alias("status_id"), F.lit(level).alias("level"),
+        )
         frontier = cut_lineage(
-            step.select(
-                "origin_id", F.col("status_id").alias("ref_status_id"),
-                F.col("retweeted_status_id").alias("status_id"), F.lit(level).alias("level"),
-            ),
+            step.join(rounds.select("origin_id", "status_id"), ["origin_id", "status_id"], "left_anti")
+            .select(step.columns),
             "retweet-round",
         )
         rounds = rounds.unionByName(frontier)
     return rounds
 
 
-def unroll_retweets(statuses: DataFrame, max_level: int = 5) -> DataFrame:
+def unroll_retweets(
+    statuses: DataFrame, max_level: int | None = None, embedded: DataFrame | None = None,
+) -> DataFrame:
     """The retweeted statuses as rows of their own, tagged with ``ref_status_id``.
 
-    They inherit how the retweeting status was found; a retweeted status that is not in the
-    table gives no row.
+    They inherit how the retweeting status was found. ``embedded`` holds statuses that came
+    inside retweets, with the columns of ``statuses`` but for how they were found; they give
+    rows for retweeted statuses that are not in the table, and extend the chains. A status that
+    is in neither gives no row.
     """
     found_by = statuses.select(
         F.col("status_id").alias("origin_id"), "filter_type", "original_user", "derived_user"
     )
     content = statuses.drop("filter_type", "original_user", "derived_user", "ref_status_id")
-    steps = retweet_lineage(statuses, max_level)
+    chains = statuses.select("status_id", "retweeted_status_id")
+    if embedded is not None:
+        content = with_embedded(content, embedded)
+        chains = content.select("status_id", "retweeted_status_id")
+    own = statuses.filter(F.col("retweeted_status_id").isNotNull()).select(F.col("status_id").alias("origin_id"))
+    steps = retweet_lineage(chains, max_level)
+    if embedded is not None:
+        steps = steps.join(own.distinct(), "origin_id", "left_semi")
     return lookup_join(steps, content, "status_id", "inner").join(found_by, "origin_id")
 
 
+def with_embedded(content: DataFrame, embedded: DataFrame) -> DataFrame:
+    """``content`` and those of the ``embedded`` statuses whose ids it lacks, each id once."""
+    extra = embedded.select(content.columns).dropDuplicates(["status_id"])
+    return content.unionByName(extra.join(content.select("status_id"), "status_id", "left_anti").select(content.columns))
+
+
 def last_replies(children: DataFrame) -> DataFrame:
     """The latest reply to each parent: (status_id of the parent, ref_status_id).
 
@@ -69,8 +92,8 @@ def last_replies(children: DataFrame) -> DataFrame:
     return (
         children.filter(F.col("in_reply_to_status_id").isNotNull())
         .groupBy(F.col("in_reply_to_status_id").alias("parent_id"))
-        .agg(F.max(F.struct("created_at", "status_id")).alias("last"))
-        .select(F.col("parent_id").alias("status_id"), F.col("last.status_id").alias("ref_status_id"))
+        .agg(F.max(arrival_key(children)).alias("last"))
+        .select(F.col("parent_id").alias("status_id"), arrival_id("last").alias("ref_status_id"))
     )
 
 
@@ -82,8 +105,8 @@ def reply_parents(children: DataFrame, statuses: DataFrame) -> DataFrame:
     return statuses.drop("ref_status_id").join(last_replies(children), "status_id")
 
 
-def reply_threads(seeds: DataFrame, statuses: DataFrame, max_level: int = 5) -> DataFrame:
-    """Follow replies upwards from the seed statuses.
+def reply_threads(seeds: DataFrame, statuses: DataFrame, max_level: int | None = None) -> DataFrame:
+    """Follow replies upwards from the seed statuses, to the roots (or ``max_level`` steps).
 
     Each status reached is returned once, at its smallest number of steps (``level``), with
     the latest of the replies that reached it (``ref_status_id``). A round looks up the
@@ -91,51 +114,63 @@ def reply_threads(seeds: DataFrame, statuses: DataFrame, max_level: int = 5) ->
     """
     links = statuses.select("status_id", "created_at", "in_reply_to_status_id")
     frontier = links.join(seeds.select("status_id").distinct(), "status_id", "left_semi")
-    found = None
-    for level in range(1, max_level + 1):
+    found, level = None, 0
+    while max_level is None or level < max_level:
+        level += 1
         parents = last_replies(frontier)
         if found is not None:
             parents = parents.join(found.select("status_id"), "status_id", "left_anti")
-        parents = cut_lineage(parents, "reply-parents")
-        size = parents.count()
-        if size == 0 and found is not None:
+        frontier = cut_lineage(
+            lookup_join(parents, links, "status_id", "inner").withColumn("level", F.lit(level)), "reply-round"
+        )
+        if found is not None and frontier.isEmpty():
             break
-        frontier = lookup_counted(parents, size, links, "status_id").withColumn("level", F.lit(level))
-        if level < max_level:
-            frontier = cut_lineage(frontier, "reply-round")
         found = frontier if found is None else found.unionByName(frontier)
     return found.select("status_id", "ref_status_id", "level")
 
 
-def follow_references(seeds: DataFrame, links: DataFrame, processed: DataFrame, max_level: int = 5) -> DataFrame:
+def follow_references(
+    seeds: DataFrame, links: DataFrame, processed: DataFrame, max_level: int | None = None,
+) -> DataFrame:
     """Everything the seed statuses refer to, through any mix of retweets and replies.
 
     A retweet gives a row per retweeting status. A replied-to status gives one row overall,
     for its latest reply, and none when it is in ``processed`` (status_id). Columns: found_id
-    (the seed), ref_status_id, status_id, via (``retweet`` or ``reply``), level.
+    (the seed), ref_status_id, status_id, via (``retweet`` or ``reply``), level. References are
+    followed to their ends; ``max_level`` ends them earlier, as does a column ``ref_level`` of ``seeds``
+    (NULL is no limit). A step that was made before ends its path, so cycles end, too.
 
     ``links``: (status_id, created_at, retweeted_status_id, in_reply_to_status_id), one row per
     status. ``seeds``: (status_id).
     """
     links = cut_lineage(links, "reference-links")
-    frontier = links.join(seeds.select("status_id").distinct(), "status_id", "left_semi").withColumn(
-        "found_id", F.col("status_id")
+    if "ref_level" not in seeds.columns:
+        seeds = seeds.withColumn("ref_level", F.lit(None).cast("int"))
+    # a status that several batches found is followed as far as the farthest of them asks
+    asked = seeds.groupBy("status_id").agg(
+        F.max(F.coalesce("ref_level", F.lit(2147483647))).alias("ref_level")
     )
-    done, found = processed.select("status_id"), None
-    for level in range(1, max_level + 1):
-        retweets = frontier.filter(F.col("retweeted_status_id").isNotNull()).select(
+    frontier = links.join(asked, "status_id").withColumn("found_id", F.col("status_id"))
+    done, found, level = processed.select("status_id"), None, 0
+    while max_level is None or level < max_level:
+        level += 1
+        open_ = frontier.filter(F.col("ref_level") >= level)
+        retweets = open_.filter(F.col("retweeted_status_id").isNotNull()).select(
             "found_id", F.col("status_id").alias("ref_status_id"),
-            F.col("retweeted_status_id").alias("status_id"), F.lit("retweet").alias("via"),
+            F.col("retweeted_status_id").alias("status_id"), F.lit("retweet").alias("via"), "ref_level",
         )
+        if found is not None:
+            step = ["found_id", "ref_status_id", "status_id"]
+            retweets = retweets.join(found.filter("via = 'retweet'").select(step), step, "left_anti")
         replies = (
-            frontier.filter(F.col("in_reply_to_status_id").isNotNull())
+            open_.filter(F.col("in_reply_to_status_id").isNotNull())
             .groupBy(F.col("in_reply_to_status_id").alias("parent_id"))
-            .agg(F.max(F.struct("created_at", "status_id", "found_id")).alias("last"))
+            .agg(F.max(F.struct("created_at", "status_id", "found_id", "ref_level")).alias("last"))
             .select("last.found_id", F.col("last.status_id").alias("ref_status_id"),
-                    F.col("parent_id").alias("status_id"), F.lit("reply").alias("via"))
+                    F.col("parent_id").alias("status_id"), F.lit("reply").alias("via"), "last.ref_level")
             .join(done, "status_id", "left_anti")
         )
-        steps = cut_lineage(retweets.unionByName(replies), "reference-steps")
+        steps = cut_lineage(retweets.unionByName(replies.select(retweets.columns)), "reference-steps")
         size = steps.count()
         if size == 0 and found is not None:
             break

@@ -1,18 +1,22 @@
 """Match status texts to an ordered list of popular ``user+hashtag`` patterns.
 
-The list has one entry per keyword: (org_pos, org, kw_pos, der, tag). It is a configured or
-top-k result (five entries per watched account), never a function of the status volume.
+The list has one entry per keyword: (org_pos, org, kw_pos, der, tag), five per watched account.
+Short lists travel as one value and are walked within each row, which also works on streams;
+lists of thousands of keywords are joined by the grams that their tokens start with
+(``match_patterns_indexed``, ``track_filter_indexed``). Both ways give the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.text import in_parentheses, split_pattern
 
-MAX_KEYWORDS = 400
+# One stream tracks at most this many tokens; more tokens make several lists.
+LIST_SIZE = 400
+GRAM = 3
 
 
 def keyword_list(keywords: DataFrame) -> Column:
@@ -63,53 +67,126 @@ def pattern_result(text: Column, entries: Column) -> Column:
             occurs(low, e["der_low"]).alias("has_der"), occurs(low, e["tag_low"]).alias("has_tag"),
         ))
 
+    matches = F.transform(F.array(F.lower(text)), occurring)
+    return F.transform(F.filter(matches, lambda hits: F.size(hits) > 0), hit_summary)
+
+
+def hit_summary(hits: Column) -> Column:
+    """(patterns, orgs) of a status from its keywords (org, der, tag, has_der, has_tag) in list order."""
     def labelled(hit: Column, place: Column) -> Column:
         both = hit["has_der"] & hit["has_tag"]
         label = F.when(both, F.concat_ws("+", hit["der"], hit["tag"])).when(
             hit["has_tag"], hit["tag"]).otherwise(hit["der"])
         return F.struct(label.alias("label"), F.when(both, place).alias("place"))
 
-    def summary(hits: Column) -> Column:
-        labels = F.transform(
-            F.array_distinct(F.transform(hits, labelled)), lambda x: in_parentheses(x["label"])
-        )
-        credited = F.array_distinct(F.transform(
-            F.filter(hits, lambda h: h["has_der"] & h["has_tag"]), lambda h: h["org"]
-        ))
-        return F.struct(
-            F.array_join(labels, " & ").alias("patterns"),
-            F.coalesce(F.nullif(F.array_join(credited, " & "), F.lit("")), F.lit(S.STREAM_KEYWORD)).alias("orgs"),
-        )
+    labels = F.transform(
+        F.array_distinct(F.transform(hits, labelled)), lambda x: in_parentheses(x["label"])
+    )
+    credited = F.array_distinct(F.transform(
+        F.filter(hits, lambda h: h["has_der"] & h["has_tag"]), lambda h: h["org"]
+    ))
+    return F.struct(
+        F.array_join(labels, " & ").alias("patterns"),
+        F.coalesce(F.nullif(F.array_join(credited, " & "), F.lit("")), F.lit(S.STREAM_KEYWORD)).alias("orgs"),
+    )
 
-    matches = F.transform(F.array(F.lower(text)), occurring)
-    return F.transform(F.filter(matches, lambda hits: F.size(hits) > 0), summary)
+
+def occurring_tokens(statuses: DataFrame, tokens: DataFrame, found: str = "found") -> DataFrame:
+    """``statuses`` with the array ``found`` of the tokens that occur in their text; others are dropped.
+
+    Expects unique status ids; ``tokens`` has ``token``, compared in lower case. The distinct grams
+    of each text meet the grams that tokens start with in an equi-join, which gives a few candidates per
+    status; these are verified in the text. No status is paired with the whole list.
+    """
+    low = tokens.select(F.lower("token").alias("token")).filter("token <> ''").distinct()
+    shortest = low.agg(F.min(F.length("token"))).first()[0]
+    size = min(GRAM, shortest or GRAM)
+    starts = low.withColumn("gram", F.substring("token", 1, size))
+
+    def grams(chars: Column) -> Column:
+        def at(c: Column, i: Column) -> Column:
+            return F.concat_ws("", c, *[F.get(chars, i + k) for k in range(1, size)])
+
+        return F.array_distinct(F.transform(chars, at))
+
+    # the letters are split once: they are the variable of a one-element transform
+    chars = F.get(F.transform(F.array(F.split(F.lower("text"), "")), grams), F.lit(0))
+    candidates = (
+        statuses.select("status_id", F.explode(chars).alias("gram"))
+        .join(starts, "gram").groupBy("status_id").agg(F.collect_set("token").alias("_near"))
+    )
+    verified = F.get(F.transform(
+        F.array(F.lower("text")), lambda text: F.filter("_near", lambda t: F.contains(text, t))
+    ), F.lit(0))
+    return (
+        statuses.join(candidates, "status_id").withColumn(found, F.array_sort(verified))
+        .filter(F.size(found) > 0).select(*statuses.columns, found)
+    )
 
 
-def pattern_keywords(top_pairs: DataFrame) -> DataFrame:
-    """The keyword list made from ``hashtags.top_hashtags``, accounts in name order."""
+def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
+    """``match_patterns`` for long keyword lists and statuses with unique ids."""
+    entry = ["org_pos", "org", "kw_pos", "der", "tag"]
+    by_token = keywords.select(*entry, F.lower("der").alias("token"), F.lit(True).alias("is_der")).unionByName(
+        keywords.select(*entry, F.lower("tag").alias("token"), F.lit(False).alias("is_der"))
+    ).filter("token <> ''")
+    found = occurring_tokens(statuses, by_token.select("token"))
+    per_keyword = (
+        found.select("status_id", F.explode("found").alias("token")).join(by_token, "token")
+        .groupBy("status_id", *entry)
+        .agg(F.bool_or("is_der").alias("has_der"), F.bool_or(~F.col("is_der")).alias("has_tag"))
+    )
+    hits = per_keyword.groupBy("status_id").agg(
+        F.array_sort(F.collect_list(F.struct(*entry, "has_der", "has_tag"))).alias("hits")
+    )
+    summed = hits.select("status_id", hit_summary(F.col("hits")).alias("s"))
+    return statuses.join(summed, "status_id").select(*statuses.columns, "s.patterns", "s.orgs")
+
+
+def pattern_keywords(top_pairs: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """The keyword list made from ``hashtags.top_hashtags``.
+
+    Accounts come in the order of ``order`` (original_user, org_pos), a configured list; those it
+    lacks, or all without it, in name order behind.
+    """
+    place = F.lit(2147483647)
+    if order is not None:
+        top_pairs = top_pairs.join(order.select("original_user", "org_pos"), "original_user", "left")
+        place = F.coalesce("org_pos", place)
     return top_pairs.select(
-        F.lit(0).alias("org_pos"), F.col("original_user").alias("org"),
+        place.cast("int").alias("org_pos"), F.col("original_user").alias("org"),
         F.col("position").alias("kw_pos"), F.col("derived_user").alias("der"),
         F.col("hashtag").alias("tag"),
     )
 
 
-def tracked_tokens(keywords: DataFrame, cap: int = MAX_KEYWORDS) -> DataFrame:
-    """Distinct keyword tokens in first-seen order, at most ``cap`` (the track-list limit)."""
+def tracked_tokens(keywords: DataFrame, size: int = LIST_SIZE) -> DataFrame:
+    """All distinct keyword tokens in first-seen order, in lists of ``size`` (``list_no``).
+
+    Tokens are ranked within their account, and shifted by the sizes of the accounts before.
+    """
     tokens = keywords.select(
         "org_pos", "org", "kw_pos",
         F.posexplode(split_pattern(F.concat_ws("+", "der", "tag"))).alias("part", "token"),
     )
-    first = tokens.groupBy("token").agg(F.min(F.struct("org_pos", "org", "kw_pos", "part")).alias("seen_at"))
-    capped = first.orderBy("seen_at").limit(cap)
-    listed = capped.agg(F.array_sort(F.collect_list(F.struct("seen_at", "token"))).alias("all"))
-    return listed.select(F.posexplode("all").alias("pos", "entry")).select(
-        (F.col("pos") + 1).alias("position"), F.col("entry.token").alias("token")
+    first = tokens.groupBy("token").agg(
+        F.min(F.struct("org_pos", "org", "kw_pos", "part")).alias("seen_at")
+    ).select("token", "seen_at.*")
+    # one row per account of the list, not per token
+    before = Window.orderBy("org_pos", "org").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = first.groupBy("org_pos", "org").agg(F.count("*").alias("n")).select(
+        "org_pos", "org", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")
+    )
+    order = Window.partitionBy("org_pos", "org").orderBy("kw_pos", "part")
+    position = (F.col("shift") + F.row_number().over(order)).cast("int")
+    return (
+        first.join(shifts, ["org_pos", "org"]).withColumn("position", position)
+        .select(F.expr(f"CAST((position - 1) div {size} AS int)").alias("list_no"), "position", "token")
     )
 
 
 def track_filter(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Statuses whose text contains any tracked token, ignoring case.
+    """Statuses whose text contains any tracked token, ignoring case; for short lists.
 
     Short tokens are tried first: they match most often and end the search.
     """
@@ -124,3 +201,8 @@ def track_filter(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
         ))
         .drop("_tokens")
     )
+
+
+def track_filter_indexed(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``track_filter`` for long lists and statuses with unique ids."""
+    return occurring_tokens(statuses, tokens, "_found").drop("_found")

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key with fewer rows than this never overloads a task. Of the keys above it the largest
-# ones are spread; any other key then holds less than 1/1000 of the rows. The list of hot keys
-# is therefore small by construction, and safe to broadcast at any scale.
+# The largest keys above HOT_ROWS are spread here, a list that is small enough to broadcast. Keys
+# beyond the list hold less than 1/MAX_HOT_KEYS of the rows each; Spark's skew join splits the
+# partitions of those that are still large (adaptive execution, on in CLUSTER_CONF).
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1000
 SALTS = 512
@@ -26,22 +26,26 @@ def hot_keys(facts: DataFrame, keys: str | list[str], hot_rows: int = HOT_ROWS)
     """
     keys = [keys] if isinstance(keys, str) else keys
     counts = facts.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS).select(*keys)
+    return counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), *keys).limit(MAX_HOT_KEYS).select(*keys)
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: str | list[str], how: str = "left",
-                salts: int = SALTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                salts: int = SALTS, hot_rows: int = HOT_ROWS, count_dim: bool = True) -> DataFrame:
     """``facts`` joined to ``dim`` on ``keys``, which are unique in ``dim``.
 
     Rows of hot keys are spread over ``salts`` partitions, and only the few matching ``dim``
     rows are repeated once per salt; all other rows join on the plain key. Fact rows with a
     NULL key are spread too, as they match nothing. Every fact row meets exactly the same
     ``dim`` row as in the plain join. When ``dim`` turns out small, Spark broadcasts it.
-    A streaming ``facts`` is joined plainly: its micro-batches are small.
+    A narrow ``dim`` is counted first (up to the bound only) and broadcast if it has few rows:
+    then ``facts`` are neither counted nor shuffled. A streaming ``facts`` is joined plainly:
+    its micro-batches are small.
     """
     keys = [keys] if isinstance(keys, str) else keys
     if facts.isStreaming:
         return facts.join(dim, keys, how)
+    if count_dim and is_narrow(dim) and dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return facts.join(F.broadcast(dim), keys, how)
     hot = F.broadcast(hot_keys(facts, keys, hot_rows).withColumn("is_hot", F.lit(True)))
     row_salt = F.pmod(F.xxhash64(*_hashable(facts)), F.lit(salts)).cast("int")
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -59,6 +63,11 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: str | list[str], how: st
     return salted_facts.join(salted_dim, [*keys, "salt"], how).drop("salt")
 
 
+def is_narrow(df: DataFrame) -> bool:
+    """A few columns of flat types: a row takes some tens of bytes."""
+    return len(df.columns) <= 6 and len(_hashable(df)) == len(df.columns)
+
+
 def lookup_counted(facts: DataFrame, rows: int, dim: DataFrame, key: str) -> DataFrame:
     """Inner lookup of narrow, written ``facts`` whose number of ``rows`` was counted.
 

@@ -46,6 +46,11 @@ def current_modes(spark: SparkSession, store: Store, before: int) -> DataFrame:
     )
 
 
+def ready_batches(spark: SparkSession, store: Store, before: int) -> DataFrame:
+    """Batches whose users' histories are all exhausted: the live stream may take over."""
+    return incremental.finished_batches(current_modes(spark, store, before)).filter("is_finished").select("batch_name")
+
+
 def timeline_rows(landed: DataFrame, watched: DataFrame, settings: DataFrame) -> DataFrame:
     """Statuses of watched users inside their batch's date range, as typed rows.
 
@@ -72,36 +77,57 @@ def all_rows(landed: DataFrame) -> DataFrame:
     return typed.withColumn("screen_name", F.col("user.screen_name"))
 
 
-def referenced_rows(timeline: DataFrame, content: DataFrame, processed: DataFrame, max_level: int) -> DataFrame:
-    """Retweeted and replied-to statuses of the timeline, found the way their seed was found."""
+def embedded_records(landed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The records inside retweets, in the shape of landed ones; ``keep`` carries columns of the retweet."""
+    inside = landed.filter(F.col("retweeted_status.id").isNotNull())
+    none = F.lit(None).cast(landed.schema["retweeted_status"].dataType).alias("retweeted_status")
+    return inside.select("retweeted_status.*", *keep).select("*", none)
+
+
+def referenced_rows(timeline: DataFrame, landed: DataFrame, processed: DataFrame,
+                    max_level: int | None = None) -> DataFrame:
+    """Retweeted and replied-to statuses of the timeline, found the way their seed was found.
+
+    A retweeted status is taken from its own landed record, or else from inside the retweet. The
+    ``ref_level`` of the timeline's rows limits how far they are followed (NULL: to the end).
+    """
     seed = timeline.select(F.col("status_id").alias("found_id"), "batch_name", "original_user", "derived_user")
-    body = content.drop("original_user", "derived_user", "ref_status_id")
-    links = body.select("status_id", "created_at", "retweeted_status_id", "in_reply_to_status_id")
-    steps = lineage.follow_references(timeline, links, processed, max_level)
-    return lookup_join(steps, body, "status_id", "inner").join(seed, "found_id")
+    body = all_rows(landed).withColumn("is_embedded", F.lit(0)).unionByName(
+        all_rows(embedded_records(landed)).withColumn("is_embedded", F.lit(1))
+    ).drop("original_user", "derived_user", "ref_status_id")
+    links = body.groupBy("status_id").agg(
+        F.min("created_at").alias("created_at"), F.max("retweeted_status_id").alias("retweeted_status_id"),
+        F.max("in_reply_to_status_id").alias("in_reply_to_status_id"),
+    )
+    steps = lineage.follow_references(timeline.select("status_id", "ref_level"), links, processed, max_level)
+    found = lookup_join(steps, body, "status_id", "inner", count_dim=False).join(seed, "found_id")
+    step = ("batch_name", "found_id", "ref_status_id", "status_id", "via")
+    return dedupe.one_per_status(found.withColumn("own", 1 - F.col("is_embedded")), step, "own").drop("own", "is_embedded")
 
 
 def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame, store: Store,
-                 run: int, max_level: int = 5) -> None:
+                 run: int, max_level: int | None = None) -> None:
     """One back-fill run; ``run`` numbers the runs from 0.
 
     Repeating a run replaces its own results, and a run over unchanged input finds nothing
-    new, because ids between the stored marks are skipped and users in FORWARD mode are not
-    read again.
+    new, because ids between the stored marks are skipped. Every watched user is read in every
+    run: a history that lands later still extends the marks. A status that landed several times is
+    stored once. References are followed as far as the batch's definition says, to the end where it
+    says nothing, and never beyond ``max_level`` if that is given.
     """
     use_utc(spark)
     settings = batch_settings(definitions)
     watched = watched_users(definitions)
-    modes = current_modes(spark, store, run)
     marks = read_epochs(spark, store.state("watermarks"), _schema(spark, _WATERMARKS), BACKFILL, run)
     processed = read_epochs(spark, store.state("processed_replies"), _schema(spark, _PROCESSED), BACKFILL, run)
     seen_users = read_epochs(spark, store.state("processed_users"), _schema(spark, _USERS), BACKFILL, run)
 
-    open_users = incremental.without_finished_users(watched, modes)
-    in_range = timeline_rows(landed, open_users, settings)
-    known = incremental.merge_watermarks(marks)
-    timeline = cut_lineage(incremental.beyond_watermarks(in_range, known).drop("direction"), "timeline")
-    referenced = referenced_rows(timeline, all_rows(landed), processed, max_level)
+    in_range = timeline_rows(landed, watched, settings)
+    known = cut_lineage(incremental.merge_watermarks(marks), "marks")
+    fresh = incremental.beyond_watermarks(in_range, known).drop("direction")
+    timeline = cut_lineage(dedupe.one_per_status(fresh, ("batch_name", "status_id")), "timeline")
+    levels = timeline.join(F.broadcast(settings.select("batch_name", "ref_level")), "batch_name", "left")
+    referenced = referenced_rows(levels, landed, processed, max_level)
     columns = [*timeline.columns, "via"]
     rows = cut_lineage(
         timeline.withColumn("via", F.lit("timeline")).select(columns)
@@ -124,25 +150,31 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     write_epoch(incremental.user_watermarks(timeline), store.state("watermarks"), BACKFILL, run)
     write_epoch(rows.filter("via = 'reply'").select("status_id"), store.state("processed_replies"), BACKFILL, run)
 
-    # A user is finished when this run brought nothing, or the history reaches below the range.
     history = landed.select(F.col("user.screen_name").alias("screen_name"), "created_at")
     write_epoch(
-        run_modes(open_users, settings, timeline, history).withColumn("run", F.lit(run).cast("bigint")),
+        run_modes(watched, settings, timeline, history, known).withColumn("run", F.lit(run).cast("bigint")),
         store.state("paging_modes"), BACKFILL, run,
     )
 
 
-def run_modes(open_users: DataFrame, settings: DataFrame, timeline: DataFrame, history: DataFrame) -> DataFrame:
-    """Paging mode of every user read in a run; see ``incremental.paging_modes``."""
+def run_modes(watched: DataFrame, settings: DataFrame, timeline: DataFrame, history: DataFrame,
+              known: DataFrame) -> DataFrame:
+    """Paging mode of every user after a run.
+
+    A user's history is exhausted (FORWARD) once it reaches below the range, or a run finds nothing
+    beyond the marks of the runs before. A user of whom nothing has landed yet is not exhausted,
+    and neither a status above the range nor the mode keeps later runs from reading the user.
+    """
     found = timeline.groupBy("batch_name", "screen_name").agg(F.count("*").alias("found"))
-    reach = history.groupBy("screen_name").agg(F.min("created_at").alias("oldest"), F.max("created_at").alias("newest"))
-    outside = (F.col("oldest") < F.col("cutoff_min")) | (F.col("newest") > F.col("cutoff_max"))
-    exhausted = (F.coalesce("found", F.lit(0)) == 0) | F.coalesce(outside, F.lit(False))
+    oldest = history.groupBy("screen_name").agg(F.min("created_at").alias("oldest"))
+    below = F.coalesce(F.col("oldest") < F.col("cutoff_min"), F.lit(False))
+    nothing_new = (F.coalesce("found", F.lit(0)) == 0) & F.col("max_id").isNotNull()
     return (
-        open_users.select("batch_name", "screen_name").distinct()
-        .join(settings.select("batch_name", "cutoff_min", "cutoff_max"), "batch_name")
+        watched.select("batch_name", "screen_name").distinct()
+        .join(settings.select("batch_name", "cutoff_min"), "batch_name")
         .join(found, ["batch_name", "screen_name"], "left")
-        .join(reach, "screen_name", "left")
+        .join(oldest, "screen_name", "left")
+        .join(known.select("screen_name", "max_id"), "screen_name", "left")
         .select("batch_name", "screen_name",
-                F.when(exhausted, S.MODE_FORWARD).otherwise(S.MODE_REVERSE).alias("paging_mode"))
+                F.when(below | nothing_new, S.MODE_FORWARD).otherwise(S.MODE_REVERSE).alias("paging_mode"))
     )

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
+from pulsegrid.session import shared_dir
 from pulsegrid.sources.landing import stream_table
 
 # Ordered keyword list (org_pos, org, kw_pos, der, tag) with frequent and rare
@@ -72,10 +74,19 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_statuses(table(spark, sf_dir, "events"))
 
 
-def status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as a file stream; event time needs a zoned timestamp there."""
+def event_files(spark: SparkSession, sf_dir: str, parts: int = 6, first: str | None = None) -> str:
+    """``events`` in several files of a new shared folder, dealt by a hash of the id: in no order of time."""
+    events = table(spark, sf_dir, "events")
+    path = shared_dir(spark, "event-files")
+    events = events.filter(first) if first else events
+    events.repartition(parts, F.xxhash64("event_id")).write.parquet(path)
+    return path
+
+
+def status_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """The statuses as a stream of files, one per micro-batch; event time needs a zoned timestamp there."""
     schema = table(spark, sf_dir, "events").schema
-    events = stream_table(spark, sf_dir, "events.parquet", schema)
+    events = stream_table(spark, path or event_files(spark, sf_dir), "*.parquet", schema, max_files=1)
     return events_to_statuses(events).withColumn("created_at", F.col("created_at").cast("timestamp"))
 
 
@@ -85,10 +96,8 @@ def replying_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     parents = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("in_reply_to_status_id"), F.col("user_id").alias("in_reply_to_user_id")
     )
-    # By the rule for k at most 20 statuses share a parent, so this key cannot be skewed.
-    replies = rows.filter(F.col("in_reply_to_status_id").isNotNull()).join(parents, "in_reply_to_status_id")
-    others = rows.filter(F.col("in_reply_to_status_id").isNull())
-    return replies.unionByName(others.withColumn("in_reply_to_user_id", F.lit(None).cast("bigint")))
+    # By the rule for k at most 20 statuses share a parent, and rows without one never match.
+    return rows.join(parents, "in_reply_to_status_id", "left").select(*rows.columns, "in_reply_to_user_id")
 
 
 def landed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,11 +194,11 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with the author and time of the event of the same number."""
+    """Texts with the author and time of the event of the same number, if there is one."""
     events = table(spark, sf_dir, "events").selectExpr(
         "event_id AS status_id", "concat('u', user_id) AS user_code", "ts AS created_at"
     )
-    return texts(spark, sf_dir).join(events, "status_id")
+    return texts(spark, sf_dir).join(events, "status_id", "left")
 
 
 def keywords(spark: SparkSession) -> DataFrame:
@@ -197,6 +206,34 @@ def keywords(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS kw(org_pos, org, kw_pos, der, tag)")
 
 
+def long_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword for every longer word of the texts: the word, and its first or last letters."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
+    listed = words.filter("length(word) BETWEEN 10 AND 11").distinct()
+    return listed.selectExpr(
+        "0 AS org_pos", "word AS org", "0 AS kw_pos", "word AS der",
+        "if(length(word) % 2 = 0, substring(word, 1, 6), reverse(word)) AS tag",
+    )
+
+
+def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` in the landed schema, with the ids and texts that the jobs use; no references."""
+    rows = statuses(spark, sf_dir)
+    given = {
+        "id": F.col("status_id"), "created_at": F.col("created_at").cast("timestamp"), "text": F.col("text"),
+        "hashtags": F.col("hashtags"), "mentions": F.col("mentions"),
+    }
+    user = {"id": F.col("user_id"), "screen_name": F.col("screen_name")}
+    schema = T.DataType.fromDDL(S.LANDED_STATUS_DDL)
+
+    def value(field, known):
+        if field.name == "user":
+            return F.struct(*[value(f, user).alias(f.name) for f in field.dataType.fields])
+        return known.get(field.name, F.lit(None)).cast(field.dataType)
+
+    return rows.select(*[value(f, given).alias(f.name) for f in schema.fields], "batch_name")
+
+
 def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as reply chains: each turn replies to the previous one."""
     return table(spark, sf_dir, "conversations").selectExpr(

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid import schemas as S
-from pulsegrid.operators import classify, dedupe, flatten, patterns, registry
-from pulsegrid.plans.backfill import Store
+from pulsegrid.operators import classify, dedupe, flatten, incremental, patterns, registry
+from pulsegrid.plans.backfill import Store, embedded_records
 from pulsegrid.sinks.routed import with_bucket, write_routed
-from pulsegrid.sinks.state import LIVE, epoch_path, read_epochs, write_epoch
+from pulsegrid.sinks.state import BACKFILL, LIVE, compact_epochs, epoch_path, read_epochs, write_epoch
 from pulsegrid.streaming.flows import AVAILABLE_NOW
 
 
 MAX_BROADCAST_NAMES = 500_000
+COMPACT_EVERY = 100
 
 
 def classify_landed(landed: DataFrame, watched: DataFrame, accounts: DataFrame, keywords: DataFrame) -> DataFrame:
@@ -52,24 +53,84 @@ def before_cutoff(landed: DataFrame, settings: DataFrame) -> DataFrame:
     return bounded.filter(F.col("cutoff_max").isNull() | (F.col("created_at") < F.col("cutoff_max"))).drop("cutoff_max")
 
 
+def above_marks(landed: DataFrame, store: Store) -> DataFrame:
+    """What the back-fill has not fetched: statuses above its marks, and the whole keyword stream.
+
+    This is how a batch is handed over: the stream goes on where the back-fill ended.
+    """
+    spark = landed.sparkSession
+    ddl = "screen_name string, since_id bigint, max_id bigint, status_count bigint"
+    schema = spark.createDataFrame([], ddl).schema
+    marks = incremental.merge_watermarks(read_epochs(spark, store.state("watermarks"), schema, BACKFILL))
+    known = marks.select(F.col("screen_name").alias("_name"), F.col("max_id").alias("_max"))
+    joined = landed.join(known, landed["user.screen_name"] == known["_name"], "left")
+    fresh = F.col("_max").isNull() | (F.col("id") > F.col("_max")) | classify.is_tracker(F.col("batch_name"))
+    return joined.filter(fresh).drop("_name", "_max")
+
+
+def of_followed(landed: DataFrame, watched: DataFrame, store: Store, epoch: int) -> DataFrame:
+    """Statuses of watched and of registered users of their batch, and the whole keyword stream.
+
+    The registry is read at each micro-batch, so a user that was discovered is followed from
+    the next one on.
+    """
+    spark = landed.sparkSession
+    schema = spark.createDataFrame([], "batch_name string, screen_name string").schema
+    registered = read_epochs(spark, store.state("registry"), schema, LIVE, epoch)
+    names = watched.select("batch_name", "screen_name").unionByName(registered).distinct()
+    tracker = classify.is_tracker(F.col("batch_name"))
+    wanted = names.select(F.col("batch_name").alias("_batch"), F.col("screen_name").alias("_name"))
+    followed = landed.filter(~tracker).join(
+        wanted, (F.col("batch_name") == F.col("_batch")) & (F.col("user.screen_name") == F.col("_name")), "left_semi"
+    )
+    return followed.unionByName(landed.filter(tracker))
+
+
+def unrolled(rows: DataFrame) -> DataFrame:
+    """The records inside accepted retweets as rows of their own, found as the retweet was."""
+    marked = rows.filter(F.col("kind") == S.KIND_STATUS).withColumn("found", F.struct(
+        "batch_name", "kind", "status_id", "filter_type", "original_user", "derived_user", "system_create_ts"
+    ))
+    inside = embedded_records(marked, ("found",)).select("*", "found.batch_name", "found.kind")
+    typed = flatten.flatten_status(
+        inside, F.col("found.filter_type"), F.col("found.original_user"), F.col("found.derived_user"),
+        F.col("found.status_id"), F.col("found.system_create_ts"),
+        keep=("batch_name", "user", "retweeted_status", "kind"),
+    )
+    return typed.withColumn("screen_name", F.col("user.screen_name")).select(rows.columns)
+
+
+def compact_state(spark: SparkSession, store: Store, upto: int) -> None:
+    """Merge the stream's state tables up to an epoch that is closed."""
+    users = spark.createDataFrame([], "screen_name string").schema
+    compact_epochs(spark, store.state("processed_users"), users, LIVE, upto, lambda rows: rows.distinct())
+    known = spark.read.parquet(store.state("registry")).drop("writer", "epoch").schema
+    compact_epochs(spark, store.state("registry"), known, LIVE, upto, registry.merge_registrations)
+
+
 def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
     """Write one classified micro-batch; a replay of the epoch replaces what it wrote.
 
-    Users are written once over all epochs and the back-fill; retweeted authors of accepted rows are registered
-    for their batch.
+    The retweeted records inside accepted rows become rows of their own. Users are written once over all epochs and the back-fill; retweeted authors of accepted rows are registered
+    for their batch. Every ``COMPACT_EVERY`` epochs the state of the closed ones is merged, so that a
+    micro-batch reads few folders however long the stream has run.
     """
     spark = rows.sparkSession
+    if epoch and epoch % COMPACT_EVERY == 0:
+        compact_state(spark, store, epoch - 1)
     rows = rows.persist()
     try:
+        stored = rows.unionByName(unrolled(rows))
         write_routed(
-            with_bucket(rows.drop("user", "screen_name", "retweeted_status"), "system_create_ts"),
+            with_bucket(stored.drop("user", "screen_name", "retweeted_status"), "system_create_ts"),
             epoch_path(store.table("statuses"), LIVE, epoch), "overwrite",
         )
         accepted = rows.filter(F.col("kind") == S.KIND_STATUS)
         user_path = store.state("processed_users")
-        names = accepted.select("screen_name").distinct()
+        present = stored.filter(F.col("kind") == S.KIND_STATUS)
+        names = present.select("screen_name").distinct()
         seen = read_epochs(spark, user_path, names.schema, LIVE, epoch)
-        authors = dedupe.new_users(accepted, _only(seen, names))
+        authors = dedupe.new_users(present, _only(seen, names))
         users = flatten.flatten_user(
             authors, F.col("filter_type"), F.col("original_user"), F.col("derived_user"), F.col("system_create_ts")
         )
@@ -87,12 +148,21 @@ def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
 
 
 def start_live(landed: DataFrame, watched: DataFrame, accounts: DataFrame, keyword_path: str, store: Store,
-               checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
+               checkpoint: str, trigger: dict = AVAILABLE_NOW, settings: DataFrame | None = None,
+               hand_over: bool = False, follow_registered: bool = False) -> StreamingQuery:
     """Start collecting; the pattern table is read anew for every micro-batch.
 
-    A checkpoint belongs to one store: epochs continue where it left off.
+    ``settings`` (see ``batch_config.batch_settings``) end each batch at its latest date. ``hand_over`` starts
+    above the marks of the back-fill. ``follow_registered`` keeps what watched and discovered users
+    write. A checkpoint belongs to one store: epochs continue where it left off.
     """
     def handle(batch: DataFrame, epoch: int) -> None:
+        if settings is not None:
+            batch = before_cutoff(batch, settings)
+        if hand_over:
+            batch = above_marks(batch, store)
+        if follow_registered:
+            batch = of_followed(batch, watched, store, epoch)
         keywords = batch.sparkSession.read.parquet(keyword_path)
         store_micro_batch(classify_landed(batch, watched, accounts, keywords), store, epoch)
 

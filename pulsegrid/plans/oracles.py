@@ -47,6 +47,11 @@ def _words(text: str) -> str:
     return f"[w for w in string_split(translate(lower({text}), {marks}, repeat(' ', 17)), ' ') if w <> '']"
 
 
+def _row_id(*keys: str) -> str:
+    parts = [f"coalesce(replace(replace(CAST({k} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')" for k in keys]
+    return f"sha256(concat_ws('|', {', '.join(parts)}))"
+
+
 def _matched(texts: str, keywords: str) -> str:
     """Pairs of text and keyword, ranked: the relational statement of the pattern rule."""
     return f"""
@@ -168,12 +173,21 @@ SELECT status_id, user_id, hashtag, strftime(created_at, '{_BATCH_DATE}') AS cre
     coalesce(in_reply_to_status_id, -1) AS in_reply_to_status_id,
     in_reply_to_status_id IS NOT NULL AS is_reply, coalesce(retweeted_status_id, -1) AS retweeted_status_id,
     CAST(CASE WHEN k % 10 = 5 THEN k ELSE -1 END AS BIGINT) AS latitude_quarters,
-    CASE WHEN k % 4 = 0 THEN 'city' || k END AS place_name, least(len(mention_ids), 12) AS mention_count,
+    CASE WHEN k % 4 = 0 THEN 'city' || k END AS place_name, len(mention_ids) AS mention_count,
     coalesce(mention_ids[1], -1) AS first_mention_id,
     CASE WHEN k % 11 = 0 THEN user_id + 1 ELSE -1 END AS second_contributor,
-    array_to_string(list_slice(['http://l/' || k || '/0', 'http://l/' || k || '/1'], 1, k % 3), ' ') AS urls
+    array_to_string(list_slice(['http://l/' || k || '/0', 'http://l/' || k || '/1'], 1, k % 3), ' ') AS urls,
+    coalesce(array_to_string(['u' || m for m in mention_ids], ' '), '') AS mention_names,
+    CASE WHEN k % 13 = 0 THEN 'p' || k || ' p' || (k + 1) END AS scope_place_ids
 FROM full_tag"""
 
+ORACLES["wide_overflow"] = f"""WITH {_STATUS},
+long_st AS (SELECT status_id, unnest(mention_ids) AS m, unnest(range(0, len(mention_ids))) AS position FROM st),
+scoped AS (SELECT status_id, k, unnest([0, 1]) AS position FROM st WHERE k % 13 = 0)
+SELECT status_id, 'mentions.screen_name' AS entity, position, 'u' || m AS value FROM long_st WHERE position >= 12
+UNION ALL SELECT status_id, 'mentions.id', position, CAST(m AS VARCHAR) FROM long_st WHERE position >= 12
+UNION ALL SELECT status_id, 'scope_place_ids', position, 'p' || (k + position) FROM scoped"""
+
 _USER_VALUES = {
     "filter_type": "'BATCH_TIMELINE'", "original_user": "'org' || (user_id % 10)",
     "derived_user": "'u' || user_id", "system_create_ts": "'01/02/2024-00:00:00'",
@@ -206,7 +220,7 @@ FROM st WHERE k % 13 = 0"""
 
 ORACLES["project_by_config"] = f"WITH {_STATUS} SELECT status_id, text, CAST(k % 9 AS BIGINT) AS favorite_count FROM st"
 ORACLES["records_limit"] = f"""WITH {_STATUS}
-SELECT status_id, screen_name FROM st ORDER BY created_at, status_id LIMIT 10000"""
+SELECT status_id, screen_name FROM st ORDER BY created_at, status_id LIMIT 700"""
 
 # -- classification and patterns ------------------------------------------------------
 
@@ -232,11 +246,25 @@ _TOKENS = f"""{_TAGGED}, {_top()},
 halves AS (SELECT original_user, position AS kw_pos, 0 AS part, derived_user AS token FROM pairs5
     UNION ALL SELECT original_user, position, 1, hashtag FROM pairs5),
 firsts AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY original_user, kw_pos, part) AS rn FROM halves),
-tokens AS (SELECT row_number() OVER (ORDER BY original_user, kw_pos, part) AS position, token FROM firsts WHERE rn = 1),
-tracked AS (SELECT * FROM tokens WHERE position <= 400)"""
-ORACLES["keyword_tokens"] = f"WITH {_TOKENS} SELECT position, token FROM tracked"
+tracked AS (SELECT row_number() OVER (ORDER BY original_user, kw_pos, part) AS position, token FROM firsts WHERE rn = 1)"""
+ORACLES["keyword_tokens"] = f"WITH {_TOKENS} SELECT (position - 1) // 400 AS list_no, position, token FROM tracked"
 ORACLES["track_filter"] = f"""WITH {_TOKENS}
 SELECT status_id, text FROM st WHERE EXISTS (SELECT 1 FROM tracked WHERE contains(lower(st.text), lower(token)))"""
+_LONG_KEYWORDS = """
+long_words AS (SELECT DISTINCT word FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents)
+    WHERE length(word) BETWEEN 10 AND 11),
+long_kw AS (SELECT 0 AS org_pos, word AS org, 0 AS kw_pos, word AS der,
+    CASE WHEN length(word) % 2 = 0 THEN word[1:6] ELSE reverse(word) END AS tag FROM long_words)"""
+ORACLES["long_keyword_tokens"] = f"""WITH {_LONG_KEYWORDS},
+halves AS (SELECT org, 0 AS part, der AS token FROM long_kw UNION ALL SELECT org, 1, tag FROM long_kw),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY org, part) AS rn FROM halves),
+placed AS (SELECT token, row_number() OVER (ORDER BY org, part) AS position FROM firsts WHERE rn = 1)
+SELECT (position - 1) // 400 AS list_no, position, token FROM placed"""
+ORACLES["long_pattern_match"] = f"""WITH {_TEXT}, {_LONG_KEYWORDS}, {_matched('tx', 'long_kw')}
+SELECT status_id, patterns, orgs FROM matched"""
+ORACLES["long_track_filter"] = f"""WITH {_TEXT}, {_LONG_KEYWORDS}
+SELECT status_id FROM tx WHERE EXISTS (
+    SELECT 1 FROM long_kw WHERE length(der) >= 11 AND contains(lower(tx.text), der))"""
 ORACLES["pattern_tokens"] = f"""WITH {_TAGGED}, {_top()}
 SELECT derived_user || '+' || hashtag AS pattern, unnest([derived_user, hashtag]) AS token FROM pairs5"""
 
@@ -256,7 +284,7 @@ cand AS (SELECT batch_name, screen_name, min(origin) AS origin FROM (
 placed AS (SELECT batch_name, screen_name, user_id,
     row_number() OVER (PARTITION BY batch_name ORDER BY origin, user_id) AS position
     FROM cand JOIN accounts USING (screen_name)),
-followed AS (SELECT batch_name, position, screen_name, user_id FROM placed WHERE position <= 200)"""
+followed AS (SELECT batch_name, (position - 1) // 200 AS list_no, position, screen_name, user_id FROM placed)"""
 ORACLES["follow_list"] = f"WITH {_FOLLOWED} SELECT * FROM followed"
 ORACLES["follow_filter"] = f"""WITH {_FOLLOWED}
 SELECT status_id, batch_name, user_id FROM st
@@ -279,7 +307,7 @@ SELECT screen_name, min(status_id) AS since_id, max(status_id) AS max_id, count(
 FROM st GROUP BY screen_name"""
 ORACLES["incremental_extract"] = f"""WITH {_STATUS},
 marks AS (SELECT screen_name, min(status_id) AS lo, max(status_id) AS hi FROM st
-    WHERE length(screen_name) > 2 AND created_at BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-20'
+    WHERE screen_name NOT LIKE '%3' AND created_at BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-20'
     GROUP BY screen_name)
 SELECT status_id, st.screen_name, CASE WHEN hi IS NULL THEN 'INITIAL' WHEN status_id > hi THEN 'FORWARD'
     ELSE 'REVERSE' END AS direction
@@ -290,7 +318,7 @@ modes AS (SELECT 'batch' || (a.user_id % 7) AS batch_name, a.screen_name,
     CASE WHEN count(st.status_id) FILTER (created_at >= TIMESTAMP '2024-01-01 12:00:00') = 0
         OR count(st.status_id) FILTER (created_at < TIMESTAMP '2024-01-01 12:00:00') > 0
         THEN 'FORWARD' ELSE 'REVERSE' END AS paging_mode
-    FROM accounts a LEFT JOIN st ON st.user_id = a.user_id AND created_at >= TIMESTAMP '2024-01-01 06:00:00'
+    FROM accounts a LEFT JOIN st ON st.user_id = a.user_id
     GROUP BY a.user_id, a.screen_name)"""
 ORACLES["user_paging_mode"] = f"WITH {_MODES} SELECT * FROM modes"
 ORACLES["batch_mode"] = f"""WITH {_MODES}
@@ -326,11 +354,21 @@ chain AS (SELECT status_id AS origin_id, status_id AS ref_status_id, retweeted_s
         CAST(1 AS BIGINT) AS level FROM st WHERE retweeted_status_id IS NOT NULL
     UNION ALL SELECT c.origin_id, c.status_id, st.retweeted_status_id, c.level + 1
     FROM chain c JOIN st ON st.status_id = c.status_id
-    WHERE st.retweeted_status_id IS NOT NULL AND c.level < 5)"""
+    WHERE st.retweeted_status_id IS NOT NULL)"""
 ORACLES["retweet_lineage"] = f"WITH {_LINEAGE} SELECT * FROM chain"
 ORACLES["retweet_unroll"] = f"""WITH {_LINEAGE}
 SELECT c.origin_id, c.ref_status_id, c.status_id, t.screen_name, o.filter_type, o.original_user
 FROM chain c JOIN st t ON t.status_id = c.status_id JOIN st o ON o.status_id = c.origin_id"""
+ORACLES["embedded_unroll"] = f"""WITH RECURSIVE {_STATUS},
+landed AS (SELECT * FROM st WHERE status_id % 2 = 0),
+inside AS (SELECT * FROM st WHERE status_id IN (SELECT retweeted_status_id FROM landed)),
+known AS (SELECT * FROM landed UNION SELECT * FROM inside),
+chain AS (SELECT status_id AS origin_id, status_id AS ref_status_id, retweeted_status_id AS status_id FROM landed
+        WHERE retweeted_status_id IS NOT NULL
+    UNION ALL SELECT c.origin_id, c.status_id, known.retweeted_status_id
+    FROM chain c JOIN known ON known.status_id = c.status_id WHERE known.retweeted_status_id IS NOT NULL)
+SELECT c.origin_id, c.ref_status_id, c.status_id, t.screen_name, o.filter_type, o.original_user
+FROM chain c JOIN known t ON t.status_id = c.status_id JOIN landed o ON o.status_id = c.origin_id"""
 ORACLES["reply_lookup"] = f"""WITH {_STATUS},
 nth AS (SELECT status_id AS child, in_reply_to_status_id AS parent, row_number() OVER (
     PARTITION BY in_reply_to_status_id ORDER BY created_at DESC, status_id DESC) AS rn
@@ -340,8 +378,7 @@ ORACLES["reply_threads"] = """WITH RECURSIVE
 th AS (SELECT conv_id * 1000 + turn AS id, turn, role,
     CASE WHEN turn > 0 THEN conv_id * 1000 + turn - 1 END AS parent FROM conversations),
 walk AS (SELECT id, CAST(0 AS BIGINT) AS level FROM th WHERE role = 'user'
-    UNION SELECT p.id, walk.level + 1 FROM walk JOIN th c ON c.id = walk.id JOIN th p ON p.id = c.parent
-    WHERE walk.level < 4),
+    UNION SELECT p.id, walk.level + 1 FROM walk JOIN th c ON c.id = walk.id JOIN th p ON p.id = c.parent),
 reached AS (SELECT id, min(level) AS level FROM walk WHERE level > 0 GROUP BY id)
 SELECT r.id AS status_id, arg_max(c.id, c.turn) AS ref_status_id, r.level
 FROM reached r JOIN th c ON c.parent = r.id JOIN walk w ON w.id = c.id AND w.level = r.level - 1
@@ -364,9 +401,27 @@ SELECT status_id, {_ONE_LINE} AS text, lang, source,
 ORACLES["roll_windows"] = f"""WITH {_STATUS}
 SELECT batch_name, strftime(time_bucket(INTERVAL '8 minutes', created_at, TIMESTAMP '1970-01-01')
     + INTERVAL '8 minutes', '%Y%m%d%H%M%S') AS bucket, count(*) AS record_count FROM st GROUP BY ALL"""
-ORACLES["routed_write"] = f"""WITH {_CLASSIFIED}
+ORACLES["routed_write"] = f"""WITH {_CLASSIFIED}, {_TAGGED.removeprefix(_STATUS + ',').strip()}, {_top()},
+kw AS (SELECT 0 AS org_pos, original_user AS org, position AS kw_pos, derived_user AS der, hashtag AS tag FROM pairs5),
+tracker AS (SELECT * FROM st WHERE filter_type = 'STREAM_TRACKER'),
+{_matched('tracker', 'kw')},
+delivered AS (SELECT c.status_id, c.created_at, c.batch_name, c.kind, st.screen_name FROM classified c
+        JOIN st USING (status_id) WHERE st.filter_type <> 'STREAM_TRACKER'
+    UNION ALL SELECT status_id, created_at, 'STREAM_TRACKER',
+        CASE WHEN orgs = 'STREAM_KEYWORD' THEN 'REJECTED-STATUS' ELSE 'STATUS' END, screen_name
+    FROM matched JOIN tracker USING (status_id)),
+nth AS (SELECT *, row_number() OVER (PARTITION BY batch_name, kind, screen_name ORDER BY created_at, status_id) AS rn FROM delivered),
+routed AS (SELECT status_id, created_at, batch_name, kind FROM delivered
+    UNION ALL SELECT status_id, created_at, batch_name, replace(kind, 'STATUS', 'USER') FROM nth WHERE rn = 1)
 SELECT batch_name, kind, strftime(date_trunc('day', created_at) + INTERVAL '1 day', '%Y%m%d%H%M%S') AS bucket,
-    count(*) AS record_count, CAST(sum(status_id) AS BIGINT) AS id_sum FROM classified GROUP BY ALL"""
+    count(*) AS record_count, CAST(sum(status_id) AS BIGINT) AS id_sum FROM routed GROUP BY ALL"""
+ORACLES["load_runs"] = f"""WITH {_SIZES},
+outcomes AS (SELECT 'accepted' AS outcome, count(*) AS rows, CAST(sum(status_id) AS BIGINT) AS id_sum FROM sized WHERE longest <= 500
+    UNION ALL SELECT 'field too long', count(*), 0 FROM sized WHERE longest > 500
+    UNION ALL SELECT 'wrong number of fields', count(*) FILTER (status_id % 7 = 0) + count(*) FILTER (status_id % 9 = 0), 0 FROM sized
+    UNION ALL SELECT 'audited', count(*) + count(*) FILTER (status_id % 7 = 0) + count(*) FILTER (status_id % 9 = 0), 0 FROM sized
+    UNION ALL SELECT 'second load', 0, 0)
+SELECT outcome, CAST(rows AS BIGINT) AS rows, CAST(id_sum AS BIGINT) AS id_sum FROM outcomes"""
 ORACLES["timestamp_parse"] = f"""WITH {_STATUS},
 zoned AS (SELECT *, ['UTC', 'IST', 'EST', 'XXX'][k % 4 + 1] AS zone, [0, 330, -300, NULL][k % 4 + 1] AS shift FROM st)
 SELECT status_id, strftime(created_at, '%a %b %d %H:%M:%S ') || zone || strftime(created_at, ' %Y') AS long_text,
@@ -382,10 +437,10 @@ countries AS (SELECT user_id, n_name AS country FROM us
 ORACLES["timezone_country"] = f"WITH {_COUNTRIES} SELECT user_id, country FROM countries"
 ORACLES["sentiment_score"] = f"""WITH {_LEXICON}, {_TEXT},
 spoken AS (SELECT 'u' || user_id AS user_code, day(ts) AS day, month(ts) AS month, year(ts) AS year,
-    unnest({_words('text')}) AS keyword FROM tx JOIN events ON event_id = status_id),
+    unnest({_words('text')}) AS keyword FROM tx LEFT JOIN events ON event_id = status_id),
 summed AS (SELECT user_code, keyword, day, month, year, CAST(sum(weight) AS BIGINT) AS sentiment_score
     FROM spoken JOIN lex ON word = keyword GROUP BY ALL)
-SELECT sha256(concat_ws('|', user_code, keyword, day, month, year)) AS ssoid, user_code, keyword, sentiment_score,
+SELECT {_row_id('user_code', 'keyword', 'day', 'month', 'year')} AS ssoid, user_code, keyword, sentiment_score,
     CASE WHEN sentiment_score > 0 THEN 'POSITIVE' WHEN sentiment_score < 0 THEN 'NEGATIVE' ELSE 'NEUTRAL' END
     AS sentiment_type, 'LEXICON_SUM' AS analysis_name, day, month, year FROM summed"""
 ORACLES["status_sentiment"] = f"""WITH {_LEXICON}, {_TEXT},
@@ -417,24 +472,47 @@ summed AS (SELECT client, country, hour_start, CAST(sum(score) AS BIGINT) AS sen
     FROM merged LEFT JOIN countries USING (user_id) GROUP BY ALL),
 parts AS (SELECT client, country, sentiment_score, non_responded_user_count, hour(hour_start) AS hour,
     day(hour_start) AS day, month(hour_start) AS month, year(hour_start) AS year FROM summed)
-SELECT sha256(concat_ws('|', client, country, hour, day, month, year)) AS ssoid, * FROM parts"""
+SELECT {_row_id('client', 'country', 'hour', 'day', 'month', 'year')} AS ssoid, * FROM parts"""
 ORACLES["rollup_hashtag_country_day"] = f"""WITH {_STATUS}, {_SCORED}, {_COUNTRIES},
 tags AS (SELECT user_id, score, created_at, unnest(hashtags) AS hashtag FROM scored),
 summed AS (SELECT country, hashtag, day(created_at) AS day, month(created_at) AS month, year(created_at) AS year,
     CAST(sum(score) AS BIGINT) AS sentiment_score, count(DISTINCT user_id) AS num_of_users
     FROM tags LEFT JOIN countries USING (user_id) GROUP BY ALL)
-SELECT sha256(concat_ws('|', country, hashtag, day, month, year)) AS ssoid, country, hashtag, sentiment_score,
+SELECT {_row_id('country', 'hashtag', 'day', 'month', 'year')} AS ssoid, country, hashtag, sentiment_score,
     num_of_users, day, month, year FROM summed"""
 
+# -- jobs -----------------------------------------------------------------------------
+
+ORACLES["backfill_runs"] = f"""WITH {_STATUS}, {_WATCHED}
+SELECT status_id, st.batch_name, st.screen_name AS original_user, 'BATCH_TIMELINE' AS filter_type
+FROM st JOIN watched w ON w.batch_name = st.batch_name AND w.screen_name = st.screen_name
+WHERE created_at BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-21 18:30:00'"""
+ORACLES["handover"] = f"""WITH {_STATUS}
+SELECT status_id, batch_name, CASE WHEN created_at < TIMESTAMP '2024-01-15' THEN 'BATCH_TIMELINE'
+    ELSE 'STREAM_TIMELINE' END AS filter_type FROM st"""
+
 # -- streams --------------------------------------------------------------------------
 
 ORACLES["stream_classify"] = ORACLES["status_classify"]
 ORACLES["stream_dedupe_users"] = "SELECT DISTINCT 'u' || user_id AS screen_name, user_id FROM events"
 ORACLES["stream_roll_counts"] = ORACLES["roll_windows"]
 ORACLES["stream_user_registry"] = ORACLES["user_registry"]
-ORACLES["stream_keyword_refresh"] = f"""WITH {_TAGGED}, {_top()},
+_EARLY = "created_at < TIMESTAMP '2024-01-15'"
+
+
+def _tracked_half(name: str, known: str, which: str) -> str:
+    """Tracker statuses of one half of the time, matched to the patterns of the ``known`` statuses."""
+    body = f"""{_top(source=known)},
 kw AS (SELECT 0 AS org_pos, original_user AS org, position AS kw_pos, derived_user AS der, hashtag AS tag FROM pairs5),
-tracked_st AS (SELECT * FROM st WHERE filter_type = 'STREAM_TRACKER'),
-{_matched('tracked_st', 'kw')}
+half AS (SELECT * FROM st WHERE filter_type = 'STREAM_TRACKER' AND {which}),
+{_matched('half', 'kw')}"""
+    return f"{name} AS (WITH {body} SELECT * FROM matched)"
+
+
+ORACLES["stream_keyword_refresh"] = f"""WITH {_TAGGED},
+early AS (SELECT * FROM tagged WHERE {_EARLY}),
+{_tracked_half('first_half', 'early', _EARLY)},
+{_tracked_half('second_half', 'tagged', 'NOT ' + _EARLY)}
 SELECT status_id, patterns AS derived_user, orgs AS original_user,
-    CASE WHEN orgs = 'STREAM_KEYWORD' THEN 'REJECTED-STATUS' ELSE 'STATUS' END AS kind FROM matched"""
+    CASE WHEN orgs = 'STREAM_KEYWORD' THEN 'REJECTED-STATUS' ELSE 'STATUS' END AS kind
+FROM (SELECT * FROM first_half UNION ALL SELECT * FROM second_half)"""

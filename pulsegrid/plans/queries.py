@@ -17,11 +17,16 @@ from pulsegrid.operators import (
 )
 from pulsegrid.plans import bindings as B
 from pulsegrid.plans import refresh
-from pulsegrid.session import shared_dir, use_utc
-from pulsegrid.sinks.delimited import write_delimited
+from pulsegrid.plans.backfill import Store, ready_batches, run_backfill
+from pulsegrid.plans.live import start_live
+from pulsegrid.session import cut_lineage, shared_dir, use_utc
+from pulsegrid.sinks.delimited import delimited_line, write_delimited
+from pulsegrid.sinks.load import load_files
 from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sources import batch_config
+from pulsegrid.sources.batch_config import batch_settings
 from pulsegrid.sources.delimited import read_delimited
+from pulsegrid.sources.landing import read_landed
 from pulsegrid.streaming import flows
 
 REGISTRY = {}
@@ -30,6 +35,8 @@ REGISTRY = {}
 RANGE_START = "2024-01-05 06:00:00"
 RANGE_END = "2024-01-21 18:30:00"
 HALF_DAY = "2024-01-01 12:00:00"
+STREAM_SPLIT = "2024-01-15 00:00:00"
+RECORD_LIMIT = 700
 MARK_START = "2024-01-08 00:00:00"
 MARK_END = "2024-01-20 00:00:00"
 
@@ -127,7 +134,9 @@ def status_flatten(spark, sf_dir):
 
 @query
 def status_retype(spark, sf_dir):
-    rows = flatten.typed_status(status_flatten(spark, sf_dir))
+    flat = _flattened(spark, sf_dir)
+    wide = flatten.wide_status(hashtags.expand_hashtags(flat))
+    rows = flatten.typed_status(wide, flatten.wide_overflow(flat))
     return rows.select(
         "status_id", "user_id", "hashtag", format_batch_time(F.col("created_at")).alias("created_text"),
         format_batch_time(F.col("system_create_ts")).alias("loaded_text"),
@@ -137,6 +146,8 @@ def status_retype(spark, sf_dir):
         F.col("place.name").alias("place_name"), F.size("mentions").cast("bigint").alias("mention_count"),
         _id_or_absent(F.get("mentions", F.lit(0))["id"], "first_mention_id"),
         _id_or_absent(F.get("contributors", F.lit(1)), "second_contributor"), F.array_join("urls", " ").alias("urls"),
+        F.array_join("mentions.screen_name", " ").alias("mention_names"),
+        F.array_join("scope_place_ids", " ").alias("scope_place_ids"),
     )
 
 
@@ -174,10 +185,16 @@ def project_by_config(spark, sf_dir):
     return flatten.project_names(rows, "status", ["Id", "Text", "FavoriteCount"])
 
 
+@query
+def wide_overflow(spark, sf_dir):
+    rows = flatten.wide_overflow(_flattened(spark, sf_dir))
+    return rows.select("status_id", "entity", _big("position"), "value")
+
+
 @query
 def records_limit(spark, sf_dir):
     rows = B.statuses(spark, sf_dir).select("status_id", "created_at", "screen_name")
-    return flatten.limit_records(rows, 10000).select("status_id", "screen_name")
+    return flatten.limit_records(rows, RECORD_LIMIT).select("status_id", "screen_name")
 
 
 # -- classification and patterns ------------------------------------------------------
@@ -208,7 +225,26 @@ def tracker_reject_split(spark, sf_dir):
 @query
 def keyword_tokens(spark, sf_dir):
     tokens = patterns.tracked_tokens(patterns.pattern_keywords(_top_pairs(spark, sf_dir)))
-    return tokens.select(_big("position"), "token")
+    return tokens.select(_big("list_no"), _big("position"), "token")
+
+
+@query
+def long_keyword_tokens(spark, sf_dir):
+    """Far more tokens than one stream tracks: they fill several lists."""
+    return patterns.tracked_tokens(B.long_keywords(spark, sf_dir)).select(_big("list_no"), _big("position"), "token")
+
+
+@query
+def long_pattern_match(spark, sf_dir):
+    """Thousands of keywords, by the grams that their tokens start with."""
+    rows = patterns.match_patterns_indexed(B.texts(spark, sf_dir), B.long_keywords(spark, sf_dir))
+    return rows.select("status_id", "patterns", "orgs")
+
+
+@query
+def long_track_filter(spark, sf_dir):
+    tokens = B.long_keywords(spark, sf_dir).filter("length(der) >= 11").select(F.col("der").alias("token"))
+    return patterns.track_filter_indexed(B.texts(spark, sf_dir), tokens).select("status_id")
 
 
 @query
@@ -255,7 +291,7 @@ def follow_list(spark, sf_dir):
     rows = registry.follow_list(
         B.watched(spark, sf_dir), registry.register_users(_found_users(spark, sf_dir)), ids
     )
-    return rows.select("batch_name", _big("position"), "screen_name", "user_id")
+    return rows.select("batch_name", _big("list_no"), _big("position"), "screen_name", "user_id")
 
 
 @query
@@ -304,14 +340,14 @@ def user_watermarks(spark, sf_dir):
 @query
 def incremental_extract(spark, sf_dir):
     rows = B.statuses(spark, sf_dir).select("status_id", "screen_name", "created_at")
-    fetched = classify.within_cutoffs(rows.filter("length(screen_name) > 2"), _time(MARK_START), _time(MARK_END))
+    fetched = classify.within_cutoffs(rows.filter("screen_name NOT LIKE '%3'"), _time(MARK_START), _time(MARK_END))
     return incremental.beyond_watermarks(rows, incremental.user_watermarks(fetched)).select(
         "status_id", "screen_name", "direction"
     )
 
 
 def _modes(spark, sf_dir):
-    rows = classify.within_cutoffs(B.statuses(spark, sf_dir), _time("2024-01-01 06:00:00"))
+    rows = B.statuses(spark, sf_dir)
     users = B.accounts(spark, sf_dir).selectExpr("concat('batch', user_id % 7) AS batch_name", "screen_name")
     return users, incremental.paging_modes(users, rows, _time(HALF_DAY))
 
@@ -397,14 +433,26 @@ def definition_advance(spark, sf_dir):
 
 @query
 def retweet_lineage(spark, sf_dir):
-    rows = lineage.retweet_lineage(B.statuses(spark, sf_dir), max_level=5)
+    rows = lineage.retweet_lineage(B.statuses(spark, sf_dir))
     return rows.select("origin_id", "ref_status_id", "status_id", _big("level"))
 
 
 @query
 def retweet_unroll(spark, sf_dir):
     rows = B.statuses(spark, sf_dir).drop("mentions", "hashtags")
-    return lineage.unroll_retweets(rows, max_level=5).select(
+    return lineage.unroll_retweets(rows).select(
+        "origin_id", "ref_status_id", "status_id", "screen_name", "filter_type", "original_user"
+    )
+
+
+@query
+def embedded_unroll(spark, sf_dir):
+    """Only even statuses landed; of the odd ones there is what came inside retweets."""
+    rows = B.statuses(spark, sf_dir).drop("mentions", "hashtags")
+    landed = rows.filter("status_id % 2 = 0")
+    inside = landed.select(F.col("retweeted_status_id").alias("status_id")).distinct()
+    embedded = rows.join(inside, "status_id", "left_semi")
+    return lineage.unroll_retweets(landed, embedded=embedded).select(
         "origin_id", "ref_status_id", "status_id", "screen_name", "filter_type", "original_user"
     )
 
@@ -419,7 +467,7 @@ def reply_lookup(spark, sf_dir):
 def reply_threads(spark, sf_dir):
     rows = B.threads(spark, sf_dir)
     seeds = rows.filter(F.col("screen_name") == "user")
-    return lineage.reply_threads(seeds, rows, max_level=4).select("status_id", "ref_status_id", _big("level"))
+    return lineage.reply_threads(seeds, rows).select("status_id", "ref_status_id", _big("level"))
 
 
 # -- files and loads ------------------------------------------------------------------
@@ -459,16 +507,62 @@ def roll_windows(spark, sf_dir):
 
 @query
 def routed_write(spark, sf_dir):
-    rows = classify.classify_followed(
-        B.statuses(spark, sf_dir), B.watched(spark, sf_dir), B.accounts(spark, sf_dir)
+    """Follow and keyword stream, statuses and their authors: four kinds below their batches."""
+    rows = B.statuses(spark, sf_dir)
+    keywords = patterns.pattern_keywords(_top_pairs(spark, sf_dir))
+    tracked = classify.classify_tracked(
+        patterns.match_patterns(rows.filter(F.col("filter_type") == S.STREAM_TRACKER), keywords))
+    followed = classify.classify_followed(
+        rows.filter(F.col("filter_type") != S.STREAM_TRACKER), B.watched(spark, sf_dir), B.accounts(spark, sf_dir))
+    columns = ["status_id", "created_at", "batch_name", "kind", "screen_name", "original_user"]
+    found = followed.select(columns).unionByName(tracked.select(columns))
+    authors = dedupe.one_per_status(
+        found.withColumn("kind", classify.user_kind(F.col("batch_name"), F.col("original_user"))),
+        ("batch_name", "kind", "screen_name"),
     )
     path = shared_dir(spark, "routed")
-    write_routed(with_bucket(rows.select("status_id", "created_at", "batch_name", "kind"), interval="1 day"), path)
+    routed = found.unionByName(authors).drop("screen_name", "original_user")
+    write_routed(with_bucket(routed, interval="1 day"), path)
     return spark.read.parquet(path).groupBy("batch_name", "kind", F.col("bucket").cast("string").alias("bucket")).agg(
         F.count("*").alias("record_count"), F.sum("status_id").alias("id_sum")
     )
 
 
+def _delimited_lines(spark, sf_dir):
+    """The texts as lines of a file, every seventh also as a line with one field only, and every ninth with five."""
+    rows = one_line(F.col("text"))
+    columns = ["status_id", "text", "lang", "source"]
+    line = delimited_line(columns)
+    short = F.when(F.col("status_id") % 7 == 0, F.array(F.concat(F.lit('"'), F.col("status_id"), F.lit('"'))))
+    more = F.when(F.col("status_id") % 9 == 0, F.array(F.concat(line, F.lit('~"x"'))))
+    none = F.array().cast("array<string>")
+    texts = B.texts(spark, sf_dir).withColumn("text", rows)
+    return texts.select("status_id", F.explode(F.concat(
+        F.array(line), F.coalesce(short, none), F.coalesce(more, none))).alias("value"))
+
+
+@query
+def load_runs(spark, sf_dir):
+    """Two folders of files, loaded twice: what the tables hold, and what the second load adds."""
+    root = shared_dir(spark, "load-runs")
+    lines = _delimited_lines(spark, sf_dir)
+    columns = ["status_id", "text", "lang", "source"]
+    for name, part in (("one", "status_id % 2 = 0"), ("two", "status_id % 2 = 1")):
+        header = F.when(F.monotonically_increasing_id() == 0, F.concat(F.lit("~".join(columns) + "\n"), "value"))
+        one_file = lines.filter(part).coalesce(1)
+        one_file.select(F.coalesce(header, "value").alias("value")).write.text(f"{root}/in/{name}")
+    first = load_files(spark, f"{root}/in", f"{root}/table", f"{root}/audit", columns)
+    again = load_files(spark, f"{root}/in", f"{root}/table", f"{root}/audit", columns)
+    table, rejects = spark.read.parquet(f"{root}/table"), spark.read.parquet(f"{root}/table-rejects")
+    size = F.sum(F.col("status_id").cast("bigint"))
+    return (
+        table.agg(F.lit("accepted").alias("outcome"), F.count("*").alias("rows"), size.alias("id_sum"))
+        .unionByName(rejects.groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("id_sum")))
+        .unionByName(first.agg(F.lit("audited").alias("outcome"), F.sum(F.col("accepted_rows") + F.col("rejected_rows")).alias("rows"), F.lit(0).cast("bigint").alias("id_sum")))
+        .unionByName(again.agg(F.lit("second load").alias("outcome"), F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("id_sum")))
+    )
+
+
 @query
 def timestamp_parse(spark, sf_dir):
     rows = B.statuses(spark, sf_dir).select("status_id", "created_at", "k").withColumn(
@@ -539,6 +633,60 @@ def rollup_hashtag_country_day(spark, sf_dir):
     )
 
 
+# -- jobs -----------------------------------------------------------------------------
+
+
+def _job_definitions(spark, sf_dir, watched, latest=""):
+    """One definition per batch with the watched users, no following of references."""
+    names = watched.groupBy("batch_name").agg(F.array_join(F.array_sort(F.collect_list("screen_name")), ",").alias("names"))
+    keys = {
+        "batchRunStartTime": F.lit(""), "batchCutOffMaxDate": F.lit(latest), "batchName": F.col("batch_name"),
+        "batchCutOffMinDate": F.date_format(_time(RANGE_START), "dd/MM/yyyy-HH:mm:ss"), "batchTrackStream": F.lit("false"),
+        "userNames": F.col("names"), "dateFormat": F.lit("dd/MM/yyyy-HH:mm:ss"), "batchRefLevel": F.lit("0"),
+    }
+    return cut_lineage(names.select(*[c.alias(k) for k, c in keys.items()]), "definitions")
+
+
+@query
+def backfill_runs(spark, sf_dir):
+    """Three runs over a history that lands middle first, then older, then newer rows, some of them twice."""
+    landed = B.landed_records(spark, sf_dir).drop("batch_name")
+    store, path = Store(shared_dir(spark, "backfill")), shared_dir(spark, "landed")
+    definitions = _job_definitions(spark, sf_dir, B.watched(spark, sf_dir), "21/01/2024-18:30:00")
+    waves = [
+        (F.col("created_at") >= "2024-01-10") & (F.col("created_at") < "2024-01-15"),
+        F.col("created_at") < "2024-01-10", F.col("created_at") >= "2024-01-15",
+    ]
+    for run, wave in enumerate(waves):
+        part = landed.filter(wave)
+        part.unionByName(part.filter("id % 5 = 0")).write.mode("append").parquet(path)
+        run_backfill(spark, read_landed(spark, path), definitions, store, run)
+    return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "original_user", "filter_type")
+
+
+@query
+def handover(spark, sf_dir):
+    """Back-fill of what landed first, then the stream of everything: each status is stored once."""
+    users = B.accounts(spark, sf_dir).selectExpr("concat('batch', user_id % 3) AS batch_name", "screen_name")
+    landed = B.landed_records(spark, sf_dir)
+    store, path, keywords = (Store(shared_dir(spark, "handover")), *(shared_dir(spark, n) for n in ("landed", "keywords")))
+    definitions = _job_definitions(spark, sf_dir, users).withColumn("batchCutOffMinDate", F.lit(""))
+    early = landed.filter(F.col("created_at") < STREAM_SPLIT).drop("batch_name")
+    early.write.parquet(f"{path}/early")
+    for run in (0, 1):  # the second run finds nothing, which ends the histories
+        run_backfill(spark, read_landed(spark, f"{path}/early"), definitions, store, run)
+    ready = cut_lineage(ready_batches(spark, store, 2), "ready")
+    landed.join(ready, "batch_name", "left_semi").select(landed.columns).repartition(3).write.parquet(f"{path}/all")
+    patterns.pattern_keywords(_top_pairs(spark, sf_dir)).write.parquet(keywords)
+    source = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/all")
+    accounts = B.accounts(spark, sf_dir).select("screen_name", "original_user")
+    flows.finish(start_live(
+        source, users, accounts, keywords, store, shared_dir(spark, "checkpoint"),
+        settings=batch_settings(definitions), hand_over=True,
+    ))
+    return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "filter_type")
+
+
 # -- streams --------------------------------------------------------------------------
 
 
@@ -570,10 +718,17 @@ def stream_roll_counts(spark, sf_dir):
 
 @query
 def stream_keyword_refresh(spark, sf_dir):
-    table, out = shared_dir(spark, "patterns"), shared_dir(spark, "stream-tracked")
-    flows.refresh_patterns(B.statuses(spark, sf_dir), table)
-    tracked = B.status_stream(spark, sf_dir).filter(F.col("filter_type") == S.STREAM_TRACKER)
-    flows.finish(flows.track_to_epochs(tracked, table, out, shared_dir(spark, "checkpoint")))
+    """The pattern table changes while the stream runs: the second half meets the second table."""
+    table, out, checkpoint = (shared_dir(spark, n) for n in ("patterns", "stream-tracked", "checkpoint"))
+    path, split = shared_dir(spark, "event-files"), _time(STREAM_SPLIT)
+    events, rows = B.table(spark, sf_dir, "events"), B.statuses(spark, sf_dir)
+    halves = ((events.filter(F.col("ts") < split), rows.filter(F.col("created_at") < split)),
+              (events.filter(F.col("ts") >= split), rows))
+    for landed, known in halves:
+        flows.refresh_patterns(known, table)
+        landed.repartition(2, F.xxhash64("event_id")).write.mode("append").parquet(path)
+        tracked = B.status_stream(spark, sf_dir, path).filter(F.col("filter_type") == S.STREAM_TRACKER)
+        flows.finish(flows.track_to_epochs(tracked, table, out, checkpoint))
     return spark.read.parquet(out).select("status_id", "derived_user", "original_user", "kind")
 
 

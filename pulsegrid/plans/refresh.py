@@ -24,7 +24,8 @@ def refresh_tables(statuses: DataFrame, users: DataFrame, zones: DataFrame, acco
     non-responded users, so ``since`` should reach back as far as replies may come late.
     """
     if since is not None:
-        statuses = statuses.filter(F.col("created_at") >= F.lit(since).cast("timestamp"))
+        # whole days are replaced, so a time of day counts as its day
+        statuses = statuses.filter(F.col("created_at") >= F.date_trunc("day", F.lit(since).cast("timestamp")))
     countries = rollups.user_countries(users, zones)
     _write_days(rollups.sentiment(statuses, lexicon), f"{root}/sentiment")
     _write_days(rollups.client_country_hours(statuses, countries, accounts, lexicon), f"{root}/client_country")

@@ -157,18 +157,23 @@ LANDED_USER = "struct<{},description_urls:array<string>>".format(
     ",".join(f"{f}:{_USER_TYPES.get(f, 'string')}" for f in USER_FIELDS)
 )
 
-# Status record as landed (nested, one JSON object or Parquet row per status).
-LANDED_STATUS_DDL = f"""
-    id bigint, created_at timestamp, lang string, source string, text string,
-    favorite_count bigint, retweet_count bigint, current_user_retweet_id bigint,
-    in_reply_to_user_id bigint, in_reply_to_status_id bigint, in_reply_to_screen_name string,
-    favorited boolean, possibly_sensitive boolean, retweeted boolean, truncated boolean,
-    retweeted_status struct<id:bigint,user:struct<id:bigint,screen_name:string>>,
-    geo struct<latitude:double,longitude:double>, place {PLACE},
-    contributors array<bigint>, media_urls array<string>, symbols array<string>,
-    urls array<string>, mentions array<struct<screen_name:string,id:bigint>>,
-    scopes struct<place_ids:array<string>>, hashtags array<string>, user {LANDED_USER}
-"""
+# Status record as landed (nested, one JSON object or Parquet row per status). A retweet carries the
+# whole retweeted record; a record inside a record carries no further one.
+_LANDED_FIELDS = {
+    "id": "bigint", "created_at": "timestamp", "lang": "string", "source": "string", "text": "string",
+    "favorite_count": "bigint", "retweet_count": "bigint", "current_user_retweet_id": "bigint",
+    "in_reply_to_user_id": "bigint", "in_reply_to_status_id": "bigint",
+    "in_reply_to_screen_name": "string", "favorited": "boolean", "possibly_sensitive": "boolean",
+    "retweeted": "boolean", "truncated": "boolean",
+    "geo": "struct<latitude:double,longitude:double>", "place": PLACE,
+    "contributors": "array<bigint>", "media_urls": "array<string>", "symbols": "array<string>",
+    "urls": "array<string>", "mentions": "array<struct<screen_name:string,id:bigint>>",
+    "scopes": "struct<place_ids:array<string>>", "hashtags": "array<string>", "user": LANDED_USER,
+}
+EMBEDDED_STATUS = "struct<{}>".format(",".join(f"{n}:{t}" for n, t in _LANDED_FIELDS.items()))
+LANDED_STATUS_DDL = ", ".join(
+    f"{n} {t}" for n, t in [*_LANDED_FIELDS.items(), ("retweeted_status", EMBEDDED_STATUS)]
+)
 
 # Keys of a batch definition; every value is text.
 BATCH_DEFINITION_KEYS = [

@@ -76,8 +76,12 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
 def drop_table(df: DataFrame) -> None:
     """Delete a table of ``cut_lineage`` that nothing will read again."""
     for path in {name.rpartition("/")[0] for name in df.inputFiles()}:
-        system, folder = _file_system(df.sparkSession, path)
-        system.delete(folder, True)
+        delete_folder(df.sparkSession, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)
 
 
 def _file_system(spark: SparkSession, path: str):

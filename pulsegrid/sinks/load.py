@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
-from pulsegrid.operators.audit import load_counts, source_file, with_length_check
-from pulsegrid.session import cut_lineage
+from pulsegrid.operators.audit import load_counts, with_length_check
+from pulsegrid.schemas import text_schema
+from pulsegrid.session import cut_lineage, drop_table
 from pulsegrid.sources.delimited import read_delimited
 
 _LAYOUTS = {S.KIND_STATUS: S.wide_status_columns, S.KIND_USER: S.wide_user_columns}
@@ -25,34 +26,81 @@ def kind_of_path(path: str) -> str:
     raise ValueError(f"no target table for {path}")
 
 
-def pending_rows(spark: SparkSession, path: str, audit_path: str, columns: list[str],
-                 compat: bool = False) -> DataFrame:
-    """Rows of the files below ``path`` that are not marked as loaded in the audit table."""
-    rows = read_delimited(spark, path, columns, compat).withColumn("file_name", source_file())
+MALFORMED = "wrong number of fields"
+TOO_LONG = "field too long"
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, file_id) of all files below ``path``: the full path, and its hash as a folder name.
+
+    Only the listing is read, not the files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("_metadata.file_path").alias("file_name")).withColumn("file_id", F.md5("file_name"))
+
+
+def new_files(spark: SparkSession, path: str, audit_path: str) -> list[str]:
+    """Full paths of the files that the audit table does not mark as loaded."""
+    files = landed_files(spark, path)
     try:
-        done = spark.read.parquet(audit_path).filter("is_loaded").select("file_name").distinct()
+        done = spark.read.parquet(audit_path).filter("is_loaded").select("file_id").distinct()
     except AnalysisException as error:  # first load: no audit table yet
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return rows
-    return rows.join(done, "file_name", "left_anti")
+        done = None
+    left = files if done is None else files.join(done, "file_id", "left_anti")
+    return sorted(r.file_name for r in left.select("file_name").collect())
+
+
+def checked_rows(spark: SparkSession, files: list[str], columns: list[str], compat: bool = False) -> DataFrame:
+    """Rows of the files with ``reason`` for those to reject, ``longest`` and ``accepted``."""
+    if not files:
+        rows = spark.createDataFrame([], text_schema([*columns, "malformed", "file_name"]))
+    else:
+        rows = read_delimited(spark, files, columns, compat, "malformed").withColumn(
+            "file_name", F.col("_metadata.file_path")
+        )
+    sized = with_length_check(rows.select(*columns, F.struct("malformed", "file_name").alias("line")))
+    reason = F.when(F.col("line.malformed").isNotNull(), MALFORMED).when(~F.col("accepted"), TOO_LONG)
+    return sized.select(
+        *columns, "longest", reason.alias("reason"), reason.isNull().alias("accepted"),
+        F.col("line.malformed").alias("malformed"), F.col("line.file_name").alias("file_name"),
+        F.md5("line.file_name").alias("file_id"),
+    )
 
 
 def load_files(spark: SparkSession, path: str, table_path: str, audit_path: str,
-               columns: list[str] | None = None, compat: bool = False) -> DataFrame:
+               columns: list[str] | None = None, compat: bool = False,
+               reject_path: str | None = None) -> DataFrame:
     """Append accepted rows of new files to the table and their counts to the audit table.
 
-    Rows land in the partition of their file, and each load replaces whole file partitions,
-    so a load that is repeated after a failure adds nothing twice. Files without any accepted
-    row stay pending and are tried again by the next load. Returns the counts of this load.
+    A file is known by its full path, so equal names in different folders are different files,
+    and only files that are new are read. Rejected rows (wrong number of fields, or a field over the limit)
+    go to the reject table with their file and reason, ``<table>-rejects`` unless given.
+
+    Rows land in the partition of their file, and each load replaces whole file partitions, so a
+    load that is repeated after a failure adds nothing twice. Files without any accepted row
+    stay pending and are tried again by the next load. Returns the counts of this load.
     """
     columns = columns or _LAYOUTS[kind_of_path(path)]()
-    checked = with_length_check(pending_rows(spark, path, audit_path, columns, compat).select(*columns, "file_name"))
-    (
-        checked.filter("accepted").drop("longest", "accepted")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("file_name").parquet(table_path)
+    files = new_files(spark, path, audit_path)
+    checked = cut_lineage(checked_rows(spark, files, columns, compat), "load-rows")
+    values = F.to_json(F.struct(*[F.col(c) for c in columns]))
+    rejected = checked.filter(~F.col("accepted")).select(
+        "file_name", "reason", "longest", F.coalesce("malformed", values).alias("row"), "file_id"
+    )
+    _replace_files(checked.filter("accepted").select(*columns, "file_name", "file_id"), table_path)
+    _replace_files(rejected, reject_path or f"{table_path.rstrip('/')}-rejects")
+    counts = cut_lineage(
+        load_counts(checked, ("file_id", "file_name")).withColumn("loaded_at", F.current_timestamp()), "load-counts"
     )
-    counts = cut_lineage(load_counts(checked).withColumn("loaded_at", F.current_timestamp()), "load-counts")
     counts.write.mode("append").parquet(audit_path)
+    drop_table(checked)
     return counts
+
+
+def _replace_files(rows: DataFrame, path: str) -> None:
+    (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("file_id").parquet(path)
+    )

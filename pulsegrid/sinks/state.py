@@ -8,11 +8,15 @@ and share a table under different writer names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsegrid.session import cut_lineage, delete_folder, drop_table
+
 BACKFILL = "backfill"
 LIVE = "live"
 
@@ -42,3 +46,23 @@ def read_epochs(spark: SparkSession, path: str, schema: T.StructType, writer: st
     if before is not None:
         rows = rows.filter((F.col("writer") != writer) | (F.col("epoch") < before))
     return rows.drop("writer", "epoch")
+
+
+def compact_epochs(spark: SparkSession, path: str, schema: T.StructType, writer: str, upto: int,
+                   merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Merge the epochs of ``writer`` up to ``upto`` into that one, and delete the earlier ones.
+
+    Between the two steps readers see rows twice, which the order-free merges of this table's
+    readers do not mind; do not use it for tables that are summed. A repeated call gives the same.
+    """
+    named = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+    rows = spark.read.schema(named).parquet(f"{path}/writer={writer}").filter(F.col("epoch") <= upto)
+    epochs = [r.epoch for r in rows.select("epoch").distinct().collect()]
+    if not epochs or epochs == [upto]:
+        return
+    merged = cut_lineage(merge(rows.drop("epoch")), "compacted")
+    write_epoch(merged, path, writer, upto)
+    drop_table(merged)
+    for epoch in epochs:
+        if epoch != upto:
+            delete_folder(spark, epoch_path(path, writer, epoch))

@@ -14,22 +14,28 @@ ESCAPE = "\\"
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], columns: list[str],
-                   compat: bool = False) -> DataFrame:
+                   compat: bool = False, malformed: str | None = None) -> DataFrame:
     """Read by position into text columns; the header is skipped, its names are not trusted.
 
     In this project's files NULL is a bare empty field and an empty text is ``""``.
     ``compat=True`` reads the older files, where NULL is the bare word ``null`` and an empty
     field is an empty text; a quoted ``"null"`` cannot be told apart there.
+
+    ``malformed`` names a further column that holds the whole line where the number of fields is
+    wrong, and NULL elsewhere; without it such lines are padded or cut to the columns.
     """
+    listed = columns if malformed is None else [*columns, malformed]
     rows = (
-        spark.read.schema(text_schema(columns))
+        spark.read.schema(text_schema(listed))
         .option("sep", SEPARATOR).option("quote", QUOTE).option("escape", ESCAPE)
         .option("header", True).option("enforceSchema", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         # A bare empty field is read as NULL only while the null text differs from "".
         .option("nullValue", "\u0000").option("emptyValue", "")
+        .option("columnNameOfCorruptRecord", malformed or "_malformed")
         .csv(path)
     )
     if not compat:
         return rows
-    return rows.select(*[F.when(F.coalesce(c, F.lit("")) != "null", F.coalesce(c, F.lit(""))).alias(c) for c in columns])
+    values = [F.when(F.coalesce(c, F.lit("")) != "null", F.coalesce(c, F.lit(""))).alias(c) for c in columns]
+    return rows.select(*values, *listed[len(columns):])

@@ -21,9 +21,11 @@ from pulsegrid.sinks.state import LIVE, read_epochs, write_epoch
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def finish(query: StreamingQuery, timeout_sec: int = 1800) -> None:
-    """Wait for a bounded query; stop it and fail when it does not end in time."""
-    if not query.awaitTermination(timeout_sec):
+def finish(query: StreamingQuery, timeout_sec: int | None = None) -> None:
+    """Wait for a bounded query; with a limit, stop it and fail when it does not end in time."""
+    if timeout_sec is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_sec):
         query.stop()
         raise TimeoutError(f"stream did not finish in {timeout_sec} s")
 
@@ -53,28 +55,27 @@ def first_users_to_files(statuses: DataFrame, out: str, checkpoint: str,
 
 
 def roll_counts(statuses: DataFrame, out: str, checkpoint: str, interval: str = "8 minutes",
-                lateness: str = "1 day", trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
-    """Rows per batch and time bucket, kept up to date while buckets are open.
+                trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
+    """Rows per batch and time bucket, whatever order the statuses arrive in.
 
-    Update mode writes the changed buckets of each micro-batch to its epoch folder, so the
-    newest, still open buckets are not withheld; ``read_roll_counts`` takes the last count.
+    Each micro-batch writes its own partial counts to its epoch folder and keeps no state;
+    ``read_roll_counts`` adds them up, so a row is never too late.
     """
-    counts = (
-        statuses.withWatermark("created_at", lateness)
-        .groupBy("batch_name", F.window("created_at", interval).alias("bucket"))
-        .agg(F.count("*").alias("record_count"))
-    )
-    stamped = counts.select("batch_name", file_stamp(F.col("bucket.end")).alias("bucket"), "record_count")
-    writer = stamped.writeStream.outputMode("update").foreachBatch(
-        lambda rows, epoch: write_epoch(rows, out, LIVE, epoch)
-    )
-    return _started(writer, checkpoint, trigger)
+    def count(rows: DataFrame, epoch: int) -> None:
+        counts = rows.groupBy("batch_name", F.window("created_at", interval).alias("bucket")).agg(
+            F.count("*").alias("record_count")
+        )
+        stamped = counts.select("batch_name", file_stamp(F.col("bucket.end")).alias("bucket"), "record_count")
+        write_epoch(stamped, out, LIVE, epoch)
+
+    return _started(statuses.writeStream.foreachBatch(count), checkpoint, trigger)
 
 
 def read_roll_counts(spark: SparkSession, out: str) -> DataFrame:
-    """A bucket's count only grows, so the largest one written is the latest."""
-    rows = spark.read.parquet(out)
-    return rows.groupBy("batch_name", "bucket").agg(F.max("record_count").alias("record_count"))
+    """The sum of all epochs' partial counts."""
+    schema = "batch_name string, bucket string, record_count bigint"
+    rows = read_epochs(spark, out, spark.createDataFrame([], schema).schema)
+    return rows.groupBy("batch_name", "bucket").agg(F.sum("record_count").alias("record_count"))
 
 
 def refresh_patterns(statuses: DataFrame, path: str, top: int = 5) -> None:

@@ -48,7 +48,7 @@ def test_reads_the_older_dialect(spark, tmp_path):
 
 
 def test_definitions(spark, tmp_path):
-    one = {"batchRunStartTime": "", "batchCutOffMaxDate": "", "batchName": "B", "batchCutOffMinDate": "23/09/2014-14:59:58",
+    one = {"batchRunStartTime": "", "batchCutOffMaxDate": "", "batchName": "B", "batchCutOffMinDate": "07/03/2021-05:06:07",
            "batchTrackStream": "TRUE", "userNames": ",u1,,u2,u3,", "dateFormat": "dd/MM/yyyy-HH:mm:ss",
            "batchRefLevel": "5", "ignored": "x"}
     (tmp_path / "b.json").write_text(json.dumps(one, indent=2))
@@ -57,7 +57,7 @@ def test_definitions(spark, tmp_path):
         ("B", 0, "u1"), ("B", 1, "u2"), ("B", 2, "u3")]
     row = batch_config.batch_settings(definitions).first()
     assert (str(row.cutoff_min), row.cutoff_max, row.start_time, row.track_stream, row.ref_level) == (
-        "2014-09-23 14:59:58", None, None, True, 5)
+        "2021-03-07 05:06:07", None, None, True, 5)
 
 
 def test_load_is_idempotent_and_retries_empty_files(spark, tmp_path):
@@ -72,6 +72,29 @@ def test_load_is_idempotent_and_retries_empty_files(spark, tmp_path):
     assert [(r.accepted_rows, r.is_loaded) for r in again] == [(0, False)]
     assert [(r.a, r.b) for r in spark.read.parquet(table).select("a", "b").collect()] == [("1", "x")]
     assert spark.read.parquet(audit).filter(~F.col("is_loaded")).count() == 2
+    rejects = spark.read.parquet(f"{table}-rejects").select("reason", "longest")
+    assert sorted(map(tuple, rejects.collect())) == [("field too long", 501)] * 2
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
+    src, table, audit = (f"{tmp_path}/{n}" for n in ("in", "table", "audit"))
+    for folder, value in (("one", "1"), ("two", "2")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "STATUS-1.txt").write_text(f'a~b\n"{value}"~"x"\n')
+        load_files(spark, src, table, audit, ["a", "b"])
+    assert sorted(r.a for r in spark.read.parquet(table).collect()) == ["1", "2"]
+    assert load_files(spark, src, table, audit, ["a", "b"]).count() == 0
+
+
+def test_wrong_field_counts_are_rejected(spark, tmp_path):
+    src, table, audit = (f"{tmp_path}/{n}" for n in ("in", "table", "audit"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "STATUS.txt").write_text('a~b\n"1"~"x"\n"2"\n"3"~"y"~"z"\n')
+    counts = load_files(spark, src, table, audit, ["a", "b"]).first()
+    assert (counts.accepted_rows, counts.rejected_rows) == (1, 2)
+    rejects = spark.read.parquet(f"{table}-rejects").collect()
+    assert sorted(r.row for r in rejects) == ['"2"', '"3"~"y"~"z"']
+    assert {r.reason for r in rejects} == {"wrong number of fields"} and all("STATUS.txt" in r.file_name for r in rejects)
 
 
 def test_routing_by_name():

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pulsegrid import schemas as S
 from pulsegrid.plans.backfill import Store, current_modes, run_backfill
 from pulsegrid.plans.live import before_cutoff, start_live
+from pulsegrid.sinks.state import LIVE, compact_epochs, read_epochs, write_epoch
 from pulsegrid.sources.landing import read_landed, stream_landed
 
 T0 = dt.datetime(2024, 1, 1)
@@ -104,10 +105,11 @@ def test_live_routes_and_restarts(spark, tmp_path):
         3: ("STATUS", "STREAM_TRACKER", "org", "(sun+sea)"),
         4: ("REJECTED-STATUS", "STREAM_TRACKER", "STREAM_KEYWORD", "(sun)"),
         6: ("STATUS", "STREAM_TIMELINE", "org", "w"), 7: ("STATUS", "STREAM_TRACKER", "org", "(sun+sea)"),
+        99: ("STATUS", "STREAM_TIMELINE", "org", "w"),
     }
-    assert rows.count() == 6
+    assert rows.count() == 7 and [r.ref_status_id for r in rows.filter("status_id = 99").collect()] == [1]
     users = [r.screen_name for r in spark.read.parquet(store.table("users")).collect()]
-    assert sorted(users) == ["r", "s", "v", "w"]
+    assert sorted(users) == ["a", "r", "s", "v", "w"]
     known = spark.read.parquet(store.state("registry")).select("batch_name", "screen_name", "original_user")
     assert [tuple(r) for r in known.collect()] == [("b", "a", "org")]
 
@@ -128,6 +130,67 @@ def test_user_seen_by_backfill_and_stream_is_stored_once(spark, tmp_path):
     assert sorted(r[0] for r in stored(spark, store)) == [1, 2, 3]
 
 
+def test_a_history_that_lands_late_is_still_read(spark, tmp_path):
+    path, store = f"{tmp_path}/landed", Store(f"{tmp_path}/store")
+    ends = definition(spark, "w,v").withColumn("batchCutOffMaxDate", F.lit("01/01/2024-05:00:00"))
+    land(spark, path, record(4, "w", 4), record(10, "w", 10))
+    run_backfill(spark, read_landed(spark, path), ends, store, 0)
+    assert {r.screen_name: r.paging_mode for r in current_modes(spark, store, 1).collect()} == {"w": "REVERSE", "v": "REVERSE"}
+    land(spark, path, record(2, "w", 2), record(3, "v", 3))
+    run_backfill(spark, read_landed(spark, path), ends, store, 1)
+    assert [r[0] for r in stored(spark, store)] == [2, 3, 4]
+
+
+def test_statuses_landed_twice_are_stored_once(spark, tmp_path):
+    path, store = f"{tmp_path}/landed", Store(f"{tmp_path}/store")
+    rows = [record(1, "x", 1), record(2, "w", 2, retweet=1), record(3, "w", 3, reply=1)]
+    land(spark, path, *rows, *rows)
+    run_backfill(spark, read_landed(spark, path), definition(spark, "w"), store, 0)
+    assert [r[:2] for r in stored(spark, store)] == [(1, 2), (1, 3), (2, None), (3, None)]
+
+
+def test_retweeted_records_come_from_inside_the_retweet(spark, tmp_path):
+    path, store = f"{tmp_path}/landed", Store(f"{tmp_path}/store")
+    land(spark, path, record(2, "w", 2, retweet=1))
+    run_backfill(spark, read_landed(spark, path), definition(spark, "w"), store, 0)
+    assert [r[:2] for r in stored(spark, store)] == [(1, 2), (2, None)]
+
+
+def test_reference_level_of_the_definition(spark, tmp_path):
+    path = f"{tmp_path}/landed"
+    land(spark, path, record(1, "x", 1), record(2, "y", 2, reply=1), record(3, "w", 3, reply=2))
+    for level, want in (("0", [3]), ("1", [2, 3]), ("", [1, 2, 3])):
+        store = Store(f"{tmp_path}/store{level}")
+        run_backfill(spark, read_landed(spark, path), definition(spark, "w").withColumn("batchRefLevel", F.lit(level)), store, 0)
+        assert sorted(r[0] for r in stored(spark, store)) == want
+
+
+def test_live_settings_and_discovered_users(spark, tmp_path):
+    path, kw, store = f"{tmp_path}/in", f"{tmp_path}/kw", Store(f"{tmp_path}/store")
+    spark.createDataFrame([], "org_pos int, org string, kw_pos int, der string, tag string").write.parquet(kw)
+    watched = spark.createDataFrame([("b", "w")], "batch_name string, screen_name string")
+    accounts = spark.createDataFrame([("w", "org")], "screen_name string, original_user string")
+    settings = spark.createDataFrame([("b", T0 + dt.timedelta(hours=8))], "batch_name string, cutoff_max timestamp")
+    for rows in ([record(1, "a", 1, batch_name="b"), record(2, "w", 2, retweet=90, batch_name="b")],
+                 [record(3, "a", 3, batch_name="b"), record(4, "z", 4, batch_name="b"), record(9, "w", 9, batch_name="b")]):
+        land(spark, path, *rows, ddl=LIVE_DDL)
+        source = spark.readStream.schema(LIVE_DDL).parquet(path)
+        assert start_live(source, watched, accounts, kw, store, f"{tmp_path}/ckpt", settings=settings,
+                          follow_registered=True).awaitTermination(300)
+    # 1 came before its author was discovered through 2; 4 is by a stranger; 9 is behind the latest date
+    assert sorted(r[0] for r in stored(spark, store)) == [2, 3, 90]
+
+
+def test_compacted_state_reads_the_same(spark, tmp_path):
+    path, schema = f"{tmp_path}/state", spark.createDataFrame([], "screen_name string").schema
+    for epoch, names in enumerate((["a", "b"], ["b", "c"], ["d"], ["e"])):
+        write_epoch(spark.createDataFrame([(n,) for n in names], schema), path, LIVE, epoch)
+    compact_epochs(spark, path, schema, LIVE, 2, lambda rows: rows.distinct())
+    compact_epochs(spark, path, schema, LIVE, 2, lambda rows: rows.distinct())
+    assert sorted(r.screen_name for r in read_epochs(spark, path, schema).collect()) == ["a", "b", "c", "d", "e"]
+    assert sorted(p.name for p in (tmp_path / "state" / f"writer={LIVE}").iterdir()) == ["epoch=2", "epoch=3"]
+
+
 def test_live_cutoff(spark):
     df = spark.createDataFrame([(1, "a", T0), (2, "b", T0), (3, "c", T0), (4, "d", T0)],
                                "id int, batch_name string, created_at timestamp")

@@ -13,10 +13,32 @@ def links(spark, rows):
 
 def test_chain_of_three_and_cycle(spark):
     df = links(spark, [(1, None, None), (2, 1, None), (3, 2, None), (8, 9, None), (9, 8, None)])
-    got = {tuple(r) for r in lineage.retweet_lineage(df, max_level=3).collect()}
+    got = {tuple(r) for r in lineage.retweet_lineage(df).collect()}
     chain = {(2, 2, 1, 1), (3, 3, 2, 1), (3, 2, 1, 2)}
-    cycle = {(8, 8, 9, 1), (8, 9, 8, 2), (8, 8, 9, 3), (9, 9, 8, 1), (9, 8, 9, 2), (9, 9, 8, 3)}
+    cycle = {(8, 8, 9, 1), (8, 9, 8, 2), (9, 9, 8, 1), (9, 8, 9, 2)}
     assert got == chain | cycle
+    assert {r.level for r in lineage.retweet_lineage(df, max_level=1).collect()} == {1}
+
+
+def test_long_chains_are_followed_to_the_end(spark):
+    df = links(spark, [(1, None, None)] + [(i, i - 1, i - 1) for i in range(2, 10)])
+    assert lineage.retweet_lineage(df).filter("origin_id = 9").count() == 8
+    assert lineage.reply_threads(df.filter("status_id = 9"), df).count() == 8
+    none = spark.createDataFrame([], "status_id bigint")
+    rows = lineage.follow_references(df.filter("status_id = 9"), df, none)
+    assert rows.filter("via = 'retweet'").agg(F.max("level")).first()[0] == 8
+    near = df.filter("status_id = 9").withColumn("ref_level", F.lit(2))
+    assert lineage.follow_references(near, df, none).agg(F.max("level")).first()[0] == 2
+    ring = links(spark, [(1, 3, None), (2, 1, None), (3, 2, None)])
+    assert lineage.follow_references(ring, ring, none).count() <= 9
+
+
+def test_embedded_originals(spark):
+    ddl = LINKS + ", filter_type string, original_user string, derived_user string"
+    rows = spark.createDataFrame([(5, 5, 4, None, "T", "o", "d")], ddl)
+    inside = spark.createDataFrame([(4, 4, 3, None, None, None, None), (4, 4, 3, None, None, None, None)], ddl)
+    got = lineage.unroll_retweets(rows, embedded=inside).select("origin_id", "ref_status_id", "status_id", "filter_type")
+    assert [tuple(r) for r in got.collect()] == [(5, 5, 4, "T")]
 
 
 def test_last_reply_wins_and_missing_parent(spark):
@@ -99,5 +121,6 @@ def test_dedupe(spark):
     done = spark.createDataFrame([("a",)], "screen_name string")
     assert [r.screen_name for r in dedupe.new_users(df, done).collect()] == ["b"]
     ids = spark.createDataFrame([(10,), (99,)], "status_id int")
-    twice = df.unionByName(df)
-    assert sorted(r.status_id for r in dedupe.new_statuses(twice, ids).collect()) == [20, 30, 50]
+    twice = df.unionByName(df).unionByName(df.withColumn("created_at", F.lit(0)).filter("status_id = 20"))
+    kept = {r.status_id: r.created_at for r in dedupe.new_statuses(twice, ids).collect()}
+    assert kept == {20: 0, 30: 1, 50: 5}

@@ -5,7 +5,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import classify, hashtags, patterns
+from pulsegrid.plans import bindings as B
 
+SF = "/root/testdata/sf0.001"
 KEYWORD_DDL = "org_pos int, org string, kw_pos int, der string, tag string"
 
 
@@ -76,13 +78,29 @@ def test_reject_needs_the_tracker_batch(spark):
     assert got == [True, True, True, False, False]
 
 
-def test_keyword_list_keeps_order_and_cap(spark):
+def test_keyword_list_keeps_order_in_lists(spark):
     rows = [("o2", "u1", "t1", 1), ("o1", "u9", "t1", 2), ("o1", "u8", "t2", 1)]
     top = spark.createDataFrame(rows, "original_user string, derived_user string, hashtag string, position int")
     kw = patterns.pattern_keywords(top)
     tokens = [r.token for r in patterns.tracked_tokens(kw).orderBy("position").collect()]
     assert tokens == ["u8", "t2", "u9", "t1", "u1"]
-    assert [r.token for r in patterns.tracked_tokens(kw, cap=2).orderBy("position").collect()] == ["u8", "t2"]
+    assert [r.list_no for r in patterns.tracked_tokens(kw, size=2).orderBy("position").collect()] == [0, 0, 1, 1, 2]
+    order = spark.createDataFrame([("o2", 0), ("o1", 1)], "original_user string, org_pos int")
+    kw = patterns.pattern_keywords(top, order)
+    tokens = [r.token for r in patterns.tracked_tokens(kw).orderBy("position").collect()]
+    assert tokens == ["u1", "t1", "u8", "t2", "u9"]
+
+
+def test_long_lists_match_like_short_ones(spark):
+    texts = B.texts(spark, SF).limit(60)
+    texts = texts.unionByName(spark.createDataFrame([(-1, None, "x", "y"), (-2, "", "x", "y")], texts.schema))
+    for keywords in (B.keywords(spark), B.long_keywords(spark, SF).limit(300)):
+        short = patterns.match_patterns(texts, keywords).select("status_id", "patterns", "orgs")
+        long = patterns.match_patterns_indexed(texts, keywords).select("status_id", "patterns", "orgs")
+        assert sorted(map(tuple, long.collect())) == sorted(map(tuple, short.collect()))
+    tokens = B.long_keywords(spark, SF).limit(200).select(F.col("der").alias("token"))
+    want = sorted(r.status_id for r in patterns.track_filter(texts, tokens).collect())
+    assert sorted(r.status_id for r in patterns.track_filter_indexed(texts, tokens).collect()) == want and want
 
 
 def test_top_hashtags_ties_filter_and_nulls(spark):

@@ -8,7 +8,8 @@ from pulsegrid.plans.queries import REGISTRY
 from pulsegrid.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"delimited_roundtrip", "routed_write", "retweet_lineage", "retweet_unroll", "reply_threads"}
+WRITING = {"delimited_roundtrip", "routed_write", "retweet_lineage", "retweet_unroll", "reply_threads",
+           "embedded_unroll", "load_runs", "backfill_runs", "handover", "rollup_client_country_hour"}
 
 
 def plan(df):
@@ -33,8 +34,7 @@ def test_unused_columns_are_not_read(spark):
 
 
 def test_rankings_limit_before_the_shuffle(spark):
-    for df in (hashtags.top_hashtags(B.statuses(spark, SF)), REGISTRY["user_first_seen"](spark, SF),
-               REGISTRY["follow_list"](spark, SF)):
+    for df in (hashtags.top_hashtags(B.statuses(spark, SF)), REGISTRY["user_first_seen"](spark, SF)):
         text = plan(df)
         assert "WindowGroupLimit" in text and "Partial" in text
 
@@ -50,6 +50,22 @@ def test_registry_builds_no_lists(spark):
     assert "collect_" not in text
 
 
+def test_registry_and_reply_lookup_do_not_sort_statuses(spark):
+    for name in ("user_registry", "reply_lookup"):
+        parts = plan(REGISTRY[name](spark, SF)).split("Exchange")
+        assert "SortAggregate" not in parts[-1], name
+
+
+def test_rollup_reads_the_statuses_once(spark):
+    text = plan(REGISTRY["rollup_client_country_hour"](spark, SF))
+    assert text.count("events.parquet") <= 2
+
+
+def test_small_lookup_sides_need_no_counting_pass(spark):
+    text = plan(REGISTRY["incremental_extract"](spark, SF))
+    assert "BroadcastHashJoin" in text and text.count("Scan parquet") == 2
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 

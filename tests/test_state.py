@@ -56,14 +56,30 @@ def test_registry_first_id_last_account_over_runs(spark):
     assert {tuple(r) for r in registry.account_map(whole).collect()} == {("u", "new"), ("v", "x")}
 
 
-def test_follow_list_order_and_cap(spark):
+def test_follow_list_order_and_lists(spark):
     ddl = "batch_name string, screen_name string"
     watched = spark.createDataFrame([("b", "w2"), ("b", "w1"), ("b", "unknown")], ddl)
     known = spark.createDataFrame([("b", "r1"), ("b", "w1"), ("c", "r1")], ddl)
     ids = spark.createDataFrame([("w1", 30), ("w2", 20), ("r1", 10)], "screen_name string, user_id bigint")
-    rows = registry.follow_list(watched, known, ids, cap=2)
-    assert sorted((r.batch_name, r.position, r.screen_name) for r in rows.collect()) == [
-        ("b", 1, "w2"), ("b", 2, "w1"), ("c", 1, "r1")]
+    rows = registry.follow_list(watched, known, ids, size=2)
+    assert sorted((r.batch_name, r.list_no, r.position, r.screen_name) for r in rows.collect()) == [
+        ("b", 0, 1, "w2"), ("b", 0, 2, "w1"), ("b", 1, 3, "r1"), ("c", 0, 1, "r1")]
+
+
+def test_follow_list_ranks_across_slices(spark):
+    many = spark.range(500).selectExpr("'b' AS batch_name", "concat('u', id) AS screen_name")
+    ids = spark.range(500).selectExpr("concat('u', id) AS screen_name", "id * 1000003 AS user_id")
+    rows = registry.follow_list(many.limit(0), many, ids).orderBy("position").collect()
+    assert [r.position for r in rows] == list(range(1, 501))
+    assert [r.user_id for r in rows] == [i * 1000003 for i in range(500)]
+    assert [r.list_no for r in rows] == [i // 200 for i in range(500)]
+
+
+def test_a_status_above_the_range_does_not_end_a_history(spark):
+    watched = spark.createDataFrame([("x", "u"), ("x", "v")], "batch_name string, screen_name string")
+    rows = spark.createDataFrame([("u", at(5)), ("u", at(9)), ("v", at(5)), ("v", at(1))], "screen_name string, created_at timestamp")
+    modes = incremental.paging_modes(watched, rows, F.lit(at(2)), F.lit(at(6)))
+    assert {r.screen_name: r.paging_mode for r in modes.collect()} == {"u": "REVERSE", "v": "FORWARD"}
 
 
 def test_classify_followed(spark):
@@ -120,7 +136,7 @@ def test_refresh_replaces_days(spark, tmp_path):
     args = (users, zones, accounts, {"good": 1, "bad": -2}, str(tmp_path))
     refresh_tables(df, *args)
     more = df.unionByName(spark.createDataFrame([(3, 5, "u5", "A", "u5", "BATCH_TIMELINE", None, at(31), "bad", ["t"])], ddl))
-    refresh_tables(more, *args, since="2024-01-02")
+    refresh_tables(more, *args, since="2024-01-02 07:00:00")
     sentiment = {(r.day, r.keyword): r.sentiment_score for r in spark.read.parquet(f"{tmp_path}/sentiment").collect()}
     assert sentiment == {(1, "good"): 2, (2, "bad"): -4}
     tags = {(r.day, r.hashtag): (r.country, r.sentiment_score, r.num_of_users)

@@ -53,7 +53,7 @@ def test_users_once_over_restarts(spark, tmp_path):
 def test_roll_counts_with_open_windows(spark, tmp_path):
     src, out, ckpt = (f"{tmp_path}/{n}" for n in ("in", "out", "ckpt"))
     split_events(spark, src, 6)
-    flows.finish(flows.roll_counts(stream(spark, src), out, ckpt, lateness="60 days"))
+    flows.finish(flows.roll_counts(stream(spark, src), out, ckpt))
     columns = ("batch_name", "bucket", "record_count")
     assert as_set(flows.read_roll_counts(spark, out), *columns) == as_set(Q.roll_windows(spark, SF), *columns)
 
