@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.words import map_arrow
 
 CACHE_PIECES = 300_000
+KNOWN_PAIRS = 1 << 20
+PAIR = 1 << 32
 
 
 class Vocabulary:
@@ -38,17 +40,19 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        self.split: dict[int, tuple[int, int]] = {}
-        self.merged: dict[tuple[int, int], int] = {}
-        self._adjacent: dict[tuple[int, int], bool] = {}
+        size = max(self.bytes, default=-1) + 1
+        # the two tokens that a token is merged from, -1 for tokens that no merge makes
+        self.left, self.right = [-1] * size, [-1] * size
+        self.merged: dict[int, int] = {}  # PAIR * left + right: the merged token
+        self.known: dict[int, bool] = {}  # the same key: whether the two may be neighbours
         for rank in sorted(self.bytes):
             token = self.bytes[rank]
             # the last merge of a token joins two lower tokens that stay apart without it
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut], rank), ranks.get(token[cut:], rank)
                 if left < rank and right < rank and self._stay_apart(left, right):
-                    self.split[rank] = (left, right)
-                    self.merged[left, right] = rank
+                    self.left[rank], self.right[rank] = left, right
+                    self.merged[PAIR * left + right] = rank
                     break
 
     @classmethod
@@ -59,43 +63,67 @@ class Vocabulary:
 
     def adjacent(self, left: int, right: int) -> bool:
         """Whether the encoding of the two tokens' joined bytes is just these two."""
-        known = self._adjacent.get((left, right))
-        if known is None:
-            if len(self._adjacent) > 1 << 20:
-                self._adjacent.clear()
-            known = self._adjacent[left, right] = self._stay_apart(left, right)
-        return known
+        pair = PAIR * left + right
+        if pair not in self.known:
+            if len(self.known) > KNOWN_PAIRS:
+                self.known.clear()
+            self.known[pair] = self._stay_apart(left, right)
+        return self.known[pair]
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Undo merges on both sides of the seam, latest first; a merge across it must lose.
 
-        ``bound`` is the rank of the merge that was undone last: a merge across the seam of lower
-        rank would have come before it. On the left side it would also win at equal rank, as it
-        starts further left only if it does not overlap; the right side loses equal ranks.
+        ``bound`` tells which merge was undone last: a merge across the seam of lower rank would
+        have come before it. Of equal ranks the merge further left comes first, so the right side's
+        merge loses to an equal one across the seam and the left side's wins.
         """
-        bound = float("inf")
+        merged, lefts, rights = self.merged.get, self.left, self.right
+        bound = PAIR
         while True:
-            across = self.merged.get((left, right))
+            across = merged(PAIR * left + right)
             if across is not None and across < bound:
                 return False
             if left > right:
-                apart, bound = self.split.get(left), left
-                if apart is None:
-                    bound, apart = right + 1, self.split.get(right)
-                    if apart is None:
-                        return True
-                    right = apart[0]
+                if rights[left] >= 0:
+                    bound, left = left, rights[left]
+                elif lefts[right] >= 0:
+                    bound, right = right + 1, lefts[right]
                 else:
-                    left = apart[1]
+                    return True
+            elif lefts[right] >= 0:
+                bound, right = right + 1, lefts[right]
+            elif rights[left] >= 0:
+                bound, left = left, rights[left]
             else:
-                apart, bound = self.split.get(right), right + 1
-                if apart is None:
-                    bound, apart = left, self.split.get(left)
-                    if apart is None:
-                        return True
-                    left = apart[1]
-                else:
-                    right = apart[0]
+                return True
+
+    def last_tokens(self, data: bytes, last: list[int]) -> None:
+        """Extend ``last``, the last tokens of the first prefixes of ``data``, to all prefixes."""
+        ranks, known, longest, adjacent = self.ranks.get, self.known.get, self.longest, self.adjacent
+        for end in range(len(last) + 1, len(data) + 1):
+            for start in range(max(0, end - longest), end):
+                token = ranks(data[start:end])
+                if token is None:
+                    continue
+                if start:
+                    before = last[start - 1]
+                    fits = known(PAIR * before + token)
+                    if fits is None:
+                        fits = adjacent(before, token)
+                    if not fits:
+                        continue
+                last.append(token)
+                break
+            else:
+                raise ValueError("the vocabulary lacks a single byte")
+
+    def tokens(self, last: list[int]) -> list[int]:
+        """The encoding, read backwards from the last tokens of all prefixes."""
+        out, end = [], len(last)
+        while end:
+            out.append(last[end - 1])
+            end -= len(self.bytes[out[-1]])
+        return out[::-1]
 
 
 class PrefixTable:
@@ -106,19 +134,9 @@ class PrefixTable:
         self.last: list[int] = []  # the token at whose end the prefix of i + 1 bytes ends
         self.append(data)
 
-    def _last_token(self, end: int) -> int:
-        v, data = self.vocabulary, self.data
-        for start in range(max(0, end - v.longest), end):
-            token = v.ranks.get(data[start:end])
-            if token is not None and (start == 0 or v.adjacent(self.last[start - 1], token)):
-                return token
-        raise ValueError("the vocabulary lacks a single byte")
-
     def append(self, more: bytes) -> None:
-        first = len(self.data)
         self.data += more
-        for end in range(first + 1, len(self.data) + 1):
-            self.last.append(self._last_token(end))
+        self.vocabulary.last_tokens(self.data, self.last)
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Put ``new`` in place of bytes start to end; returns how many entries were computed.
@@ -127,25 +145,21 @@ class PrefixTable:
         only, so once that many entries in a row are as before, all later ones are, too.
         """
         old, keep = self.last[end:], self.vocabulary.longest
-        self.data = self.data[:start] + new + self.data[end:]
+        tail = self.data[end:]
+        self.data = self.data[:start] + new
         del self.last[start:]
-        done = same = 0
-        for i in range(start, len(self.data)):
-            self.last.append(self._last_token(i + 1))
-            done += 1
-            behind = i - start - len(new)
-            same = same + 1 if behind >= 0 and self.last[-1] == old[behind] else 0
-            if same >= keep:
-                self.last += old[behind + 1:]
-                break
-        return done
+        self.vocabulary.last_tokens(self.data, self.last)
+        behind = same = 0
+        while same < keep and behind < len(tail):
+            self.append(tail[behind:behind + 1])
+            same = same + 1 if self.last[-1] == old[behind] else 0
+            behind += 1
+        self.data += tail[behind:]
+        self.last += old[behind:]
+        return len(new) + behind
 
     def tokens(self) -> list[int]:
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end - 1])
-            end -= len(self.vocabulary.bytes[out[-1]])
-        return out[::-1]
+        return self.vocabulary.tokens(self.last)
 
 
 class Codec:
@@ -161,7 +175,12 @@ class Codec:
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
+        if whole is not None:
+            ids = [whole]
+        else:
+            last: list[int] = []
+            self.vocabulary.last_tokens(data, last)
+            ids = self.vocabulary.tokens(last)
         out = np.array(ids, dtype="<u4").tobytes()
         if len(piece) <= 256:
             if len(self.cache) >= CACHE_PIECES:
