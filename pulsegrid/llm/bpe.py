@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.words import map_arrow
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 KNOWN_PAIRS = 1 << 20
 PAIR = 1 << 32
+TOKEN = -1
 
 
 class Vocabulary:
@@ -40,11 +41,19 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
+        # a trie over token bytes: each node maps the next byte to a node, and TOKEN to its token
+        self.trie: dict = {}
+        for token, rank in ranks.items():
+            node = self.trie
+            for byte in token:
+                node = node.setdefault(byte, {})
+            node[TOKEN] = rank
         size = max(self.bytes, default=-1) + 1
         # the two tokens that a token is merged from, -1 for tokens that no merge makes
         self.left, self.right = [-1] * size, [-1] * size
         self.merged: dict[int, int] = {}  # PAIR * left + right: the merged token
-        self.known: dict[int, bool] = {}  # the same key: whether the two may be neighbours
+        self.known: list[dict[int, bool]] = [{} for _ in range(size)]  # left: right: may they be neighbours
+        self.pairs = 0
         for rank in sorted(self.bytes):
             token = self.bytes[rank]
             # the last merge of a token joins two lower tokens that stay apart without it
@@ -63,12 +72,15 @@ class Vocabulary:
 
     def adjacent(self, left: int, right: int) -> bool:
         """Whether the encoding of the two tokens' joined bytes is just these two."""
-        pair = PAIR * left + right
-        if pair not in self.known:
-            if len(self.known) > KNOWN_PAIRS:
-                self.known.clear()
-            self.known[pair] = self._stay_apart(left, right)
-        return self.known[pair]
+        row = self.known[left]
+        if right not in row:
+            self.pairs += 1
+            if self.pairs > KNOWN_PAIRS:
+                self.pairs = 1
+                for other in self.known:
+                    other.clear()
+            row[right] = self._stay_apart(left, right)
+        return row[right]
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Undo merges on both sides of the seam, latest first; a merge across it must lose.
@@ -98,23 +110,30 @@ class Vocabulary:
                 return True
 
     def last_tokens(self, data: bytes, last: list[int]) -> None:
-        """Extend ``last``, the last tokens of the first prefixes of ``data``, to all prefixes."""
-        ranks, known, longest, adjacent = self.ranks.get, self.known.get, self.longest, self.adjacent
-        for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ranks(data[start:end])
-                if token is None:
-                    continue
-                if start:
-                    before = last[start - 1]
-                    fits = known(PAIR * before + token)
-                    if fits is None:
-                        fits = adjacent(before, token)
-                    if not fits:
+        """Extend ``last``, the last tokens of the first prefixes of ``data``, to all prefixes.
+
+        Starts are taken in order, so the first token that fits at an end is the longest one, and the
+        prefix before a start is always complete.
+        """
+        trie, known, first, size = self.trie, self.known, len(last), len(data)
+        last += [-1] * (size - first)
+        for start in range(max(0, first + 1 - self.longest), size):
+            node, before = trie, last[start - 1] if start else -1
+            fitting = known[before] if start else None
+            for end in range(start, size):
+                node = node.get(data[end])
+                if node is None:
+                    break
+                if last[end] < 0:
+                    token = node.get(TOKEN)
+                    if token is None:
                         continue
-                last.append(token)
-                break
-            else:
+                    fits = fitting is None or fitting.get(token)
+                    if fits is None:
+                        fits = self.adjacent(before, token)
+                    if fits:
+                        last[end] = token
+            if last[start] < 0:
                 raise ValueError("the vocabulary lacks a single byte")
 
     def tokens(self, last: list[int]) -> list[int]:
@@ -162,40 +181,43 @@ class PrefixTable:
         return self.vocabulary.tokens(self.last)
 
 
-class Codec:
-    """Encoding and decoding of texts with a cache of pieces."""
+class Pieces(dict):
+    """The ids of pieces as bytes, encoded when first asked for; bounded."""
 
-    def __init__(self, path: str, pattern: str):
-        self.vocabulary = Vocabulary.read(path)
-        self.pieces = regex.compile(pattern).findall
-        self.cache: dict[str, bytes] = {}
-        size = max(self.vocabulary.bytes) + 1
-        self.table = [self.vocabulary.bytes.get(i, b"") for i in range(size)]
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.codes = {r: r.to_bytes(4, "little") for r in vocabulary.bytes}
 
-    def _piece(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.vocabulary.ranks.get(data)
         if whole is not None:
-            ids = [whole]
+            out = self.codes[whole]
         else:
             last: list[int] = []
             self.vocabulary.last_tokens(data, last)
-            ids = self.vocabulary.tokens(last)
-        out = np.array(ids, dtype="<u4").tobytes()
+            out = b"".join(map(self.codes.__getitem__, self.vocabulary.tokens(last)))
         if len(piece) <= 256:
-            if len(self.cache) >= CACHE_PIECES:
-                self.cache.clear()
-            self.cache[piece] = out
+            if len(self) >= CACHE_PIECES:
+                self.clear()
+            self[piece] = out
         return out
 
+
+class Codec:
+    """Encoding and decoding of texts with a cache of pieces."""
+
+    def __init__(self, path: str, pattern: str):
+        self.vocabulary = Vocabulary.read(path)
+        self.split = regex.compile(pattern).findall
+        self.pieces = Pieces(self.vocabulary)
+        size = max(self.vocabulary.bytes) + 1
+        self.table = [self.vocabulary.bytes.get(i, b"") for i in range(size)]
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        pieces = self.pieces(text)
-        got = list(map(self.cache.get, pieces))
-        if None in got:
-            cache = self.cache
-            got = [cache.get(p) or self._piece(p) for p in pieces]
-        return b"".join(got)
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
