@@ -140,11 +140,11 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
         ])).alias("cell")),
         "simhash-cells",
     )
-    counts = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / CELL_ROWS).cast("int")
+    heavy = cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL_ROWS)
+    parts = F.coalesce(F.ceil(F.col("n") / CELL_ROWS), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     tasks = (
-        cells.join(counts, "cell").withColumn("parts", parts).withColumn("own", own)
+        cells.join(heavy, "cell", "left").withColumn("parts", parts).withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("fp", F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))
                 .alias("cell"))
@@ -187,3 +187,25 @@ def near_duplicates(
         rows.join(named.join(ids, "root").select("fp", "component_id"), "fp")
         .select(F.col("id").alias(id_col), "fp", "component_id")
     )
+
+
+def first_of_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """One row of each component, with all columns: that of the least id, null ids last.
+
+    Rows with equal ids are told apart by a 128-bit hash of all columns; of wholly equal rows one stays.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = [F.xxhash64(*columns), F.xxhash64(F.lit(7), *columns)]
+    key = F.struct(
+        F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), whole[0].alias("h1"),
+        whole[1].alias("h2"),
+    )
+    rows = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    groups = near_duplicates(rows, "key", "text", shingle, max_bits)
+    first = groups.where("key = component_id").select("key.h1", "key.h2").distinct()
+    marked = docs.select(F.struct(*columns).alias("row"), whole[0].alias("h1"), whole[1].alias("h2"))
+    kept = marked.join(first, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
