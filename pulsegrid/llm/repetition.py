@@ -9,8 +9,11 @@ longest substring starting there which occurs again; the union of these spans is
 all maximal repeats.
 
 Rules: a text fails if repeats of at least ``MIN_REPEAT`` words cover more than ``MAX_COVERED`` of the
-characters in its words, or if its longest repeat has more than ``MAX_REPEAT`` words. Base rules
-(fewer than 50 words; words in repeated 3-word windows over half of all) come from the same arrays.
+characters in its words and more than ``MIN_COVERED`` characters, or if its longest repeat has more than
+``MAX_REPEAT`` words. Base rules (fewer than 50 words; words in repeated 3-word windows over half of
+all) come from the same arrays. Every covered word also lies in a repeated 3-word window, so
+``MAX_COVERED`` must stay well below one half to decide anything; header and footer lines that stand
+twice in a short text are what ``MIN_COVERED`` allows, in texts of any length.
 
 Defined results: null and empty texts have no words and fail the base rules; texts of any length are
 judged whole; repeated rows are judged alike. Extra columns pass through ``accepted`` and are ignored
@@ -29,8 +32,9 @@ from pulsegrid.llm.words import (
 )
 
 MIN_REPEAT = 8
-MAX_COVERED = 0.55
-MAX_REPEAT = 100
+MAX_COVERED = 0.3
+MIN_COVERED = 200
+MAX_REPEAT = 50
 MIN_WORDS = 50
 WINDOW = 3
 
@@ -164,21 +168,24 @@ def _measures(texts: pa.Array, min_repeat: int) -> dict[str, np.ndarray]:
     return {m: np.concatenate([p[m] for p in parts] or [none]).astype(np.int64) for m in MEASURES}
 
 
-def _verdict(m, max_covered: float, max_repeat: int) -> tuple[np.ndarray, np.ndarray]:
+def _verdict(
+    m, max_covered: float, max_repeat: int, min_covered: int = MIN_COVERED,
+) -> tuple[np.ndarray, np.ndarray]:
     failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
-    fine = (m["covered_chars"] <= max_covered * m["word_chars"]) & (m["longest_repeat"] <= max_repeat)
+    allowed = np.maximum(max_covered * m["word_chars"], min_covered)
+    fine = (m["covered_chars"] <= allowed) & (m["longest_repeat"] <= max_repeat)
     return failed, ~failed & fine
 
 
 def measure(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_repeat: int = MIN_REPEAT,
-    max_covered: float = MAX_COVERED, max_repeat: int = MAX_REPEAT,
+    max_covered: float = MAX_COVERED, max_repeat: int = MAX_REPEAT, min_covered: int = MIN_COVERED,
 ) -> DataFrame:
     """(id column, the measures, base_failed, kept) of every row."""
 
     def judge(batch: pa.RecordBatch):
         m = _measures(batch.column("text"), min_repeat)
-        failed, kept = _verdict(m, max_covered, max_repeat)
+        failed, kept = _verdict(m, max_covered, max_repeat, min_covered)
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), *[pa.array(m[k]) for k in MEASURES], pa.array(failed), pa.array(kept)],
             names=["id", *MEASURES, "base_failed", "kept"],
@@ -193,12 +200,12 @@ def measure(
 
 def accepted(
     docs: DataFrame, text_col: str = "text", min_repeat: int = MIN_REPEAT,
-    max_covered: float = MAX_COVERED, max_repeat: int = MAX_REPEAT,
+    max_covered: float = MAX_COVERED, max_repeat: int = MAX_REPEAT, min_covered: int = MIN_COVERED,
 ) -> DataFrame:
     """The rows of ``docs`` that pass all rules, with all their columns."""
 
     def keep(batch: pa.RecordBatch):
         m = _measures(batch.column(text_col), min_repeat)
-        yield batch.filter(pa.array(_verdict(m, max_covered, max_repeat)[1]))
+        yield batch.filter(pa.array(_verdict(m, max_covered, max_repeat, min_covered)[1]))
 
     return map_arrow(docs, keep, docs.schema)

@@ -56,6 +56,26 @@ def test_longest_limit_alone_rejects():
     assert not m[-2] and not m[-1] and m[5] == 120
 
 
+def numbers(first, n):
+    return " ".join(str(i) for i in range(first, first + n))
+
+
+def test_each_limit_rejects_alone(spark):
+    line = numbers(100, 20)
+    covered = "".join(f"{line}\n{numbers(1000 + 100 * i, 30)}\n" for i in range(5))
+    repeat = f"{numbers(100, 60)} {numbers(1000, 400)} {numbers(100, 60)}"
+    boilerplate = f"{numbers(100, 12)}\n{numbers(1000, 30)}\n{numbers(100, 12)}"
+    texts = [covered, repeat, boilerplate, numbers(1000, 300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in R.measure(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [got[i].kept for i in range(4)] == [False, False, True, True]
+    assert got[0].longest_repeat == 20 and got[0].covered_chars == 300 and 0.3 < 300 / got[0].word_chars < 0.5
+    assert got[1].longest_repeat == 60 and got[1].covered_chars < 0.3 * got[1].word_chars
+    assert got[2].covered_chars > 0.3 * got[2].word_chars
+    assert {r.doc_id for r in R.accepted(df).collect()} == {2, 3}
+
+
 def test_accepted_keeps_all_columns(docs, corpus):
     got = R.accepted(docs)
     assert got.columns == docs.columns
