@@ -17,7 +17,8 @@ bounded sample of pages that mark their article with an article or main element,
 adds hand-labelled layouts for parts that such pages may lack (sidebars, notices, forms, comments).
 
 Defined results: null and empty html gives the empty text; broken markup is read as far as it goes
-(unclosed elements, comments and quotes included); pages of any length are read whole; repeated rows
+(unclosed elements, comments and quotes included); a head without an end tag ends where something
+stands that no head may hold; "/>" closes svg, math and the elements in them; pages of any length are read whole; repeated rows
 give repeated rows. Other columns are ignored. Without any training page all potentials are even.
 """
 
@@ -53,6 +54,9 @@ BLOCK = frozenset(
 CLOSES_P = BLOCK - frozenset("body button caption html label legend tbody td tfoot th thead tr".split())
 RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
 UNSEEN = frozenset("canvas datalist head noscript object select svg template".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+FOREIGN = frozenset("math svg".split())
+SPACE = " \t\n\f\r"
 # An opening tag ends these open elements, up to the given container.
 IMPLIED_END = {
     "li": (("li",), ("ol", "ul", "menu", "dir")),
@@ -62,6 +66,7 @@ IMPLIED_END = {
     "tbody": (("tbody", "thead", "tfoot"), ("table",)),
     "thead": (("tbody", "thead", "tfoot"), ("table",)),
     "tfoot": (("tbody", "thead", "tfoot"), ("table",)),
+    "body": (("head",), ("template",)),
 }
 P_SCOPE = frozenset("button caption html object table td th".split())
 
@@ -137,6 +142,8 @@ def parse(source: str) -> Page:
 
     def put(text: str) -> None:
         nonlocal linked
+        if stack[-1][0] == "head" and text.strip(SPACE):
+            pop_to(len(stack) - 1)
         if text and not unseen:
             text = html.unescape(text) if "&" in text else text
             pieces.append(text)
@@ -168,6 +175,11 @@ def parse(source: str) -> Page:
                     break
             continue
         attributes = attributes if name else attributes2
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            pop_to(len(stack) - 1)
+        if attributes.endswith("/") and tag not in VOID:
+            if tag in FOREIGN or any(t in FOREIGN for t, _, _ in stack):
+                continue
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = close.end() if close else size

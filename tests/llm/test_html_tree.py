@@ -41,6 +41,28 @@ def test_blocks(source, blocks):
     assert texts(source) == blocks
 
 
+@pytest.mark.parametrize("source, blocks", [
+    ("<html><head><title>x</title><body><article><p>a</article></html>", ["a"]),
+    ("<html><head><meta charset='utf-8'>\n<title>x</title>\n<article>a</article>", ["a"]),
+    ("<head><title>x</title>\n a <b>b</b>", ["a b"]), ("<head><title>x</title><img src='i'>a", ["a"]),
+    ("<head><noscript><img src='i'></noscript><title>x</title><script>s</script><p>a", ["a"]),
+    ("<head><noscript><link><body><p>a", ["a"]), ("<head><head><p>a", ["a"]), ("<head><textarea>x</textarea>a", ["a"]),
+    ("<head><template><p>x</p></template></head><p>a", ["a"]), ("<head><template><body>x</template></head><p>a", ["a"]),
+    ("<head><noscript>x</noscript></head>a<noscript>y</noscript>", ["a"]),
+    ("<div>a <svg class='i'/> b</div>", ["a b"]), ("<p>a<svg/>b<p>c", ["ab", "c"]),
+    ("<p>a<svg><title/><g><path d='M0'/></g><text>x</text></svg>b", ["ab"]),
+    ("<p>a<svg><g/><style/><text>x</text></svg>b<math><mi/></math>c", ["abc"]),
+    ("<div/>a</div>b", ["a", "b"]), ("<p>a<canvas/>x</canvas>b", ["ab"]),
+])
+def test_blocks_behind_open_heads_and_closed_svg(source, blocks):
+    assert texts(source) == blocks
+
+
+def test_main_text_without_end_of_head(model):
+    page = "<html><head><title>x</title>" + PAGE.format(7) + "</html>"
+    assert model.main_text(page) == "T7\nBody & text 7.\nMore 7.\nEnd."
+
+
 def test_layouts_are_told_apart(model):
     for source, main in H.TEMPLATES:
         assert model.main_text(source) == main
