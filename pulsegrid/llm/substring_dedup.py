@@ -1,20 +1,23 @@
-"""Removal of passages that occur elsewhere, by relative Lempel-Ziv parsing.
+"""Removal of passages that occur elsewhere, by counting content-defined stretches of windows.
 
-The reference of a parse is the whole corpus. It is cut into blocks by content: every window of
+This stands in for relative Lempel-Ziv parsing: nothing is matched greedily and no factor length is
+tested, but all windows that occur again are found.
+
+The reference is the whole corpus. It is cut into blocks by content: every window of
 ``window`` words chooses the 8-word anchor with the least hash in it (the leftmost of equals), and
 the block of an anchor holds all places where that anchor was chosen. A document therefore meets a
 block only where they share an anchor, and every block that could hold one of its windows.
 
-Parsing a document gives, in every block that its anchors name, one factor: the maximal run of
-consecutive windows with the same anchor (a *stretch*).
+A document gives each of its blocks one *stretch* for every place of the anchor: the maximal run of
+consecutive windows that chose it.
 
-* A stretch whose whole word sequence is in the block a second time is a factor taken as a whole.
-  Consecutive factors join to longer ones when their spans are united.
+* A stretch whose whole word sequence is in the block a second time is taken as a whole.
+  Consecutive stretches join to longer passages when their spans are united.
 * Where a block holds several different stretches for an anchor, a common passage ends inside
-  them: these are the factor boundaries. There, and only there, the single windows are compared.
+  them. There, and only there, the single windows are compared.
 
 Both steps are hash aggregations with map-side combining; no group is gathered in one task.
-Copies of a text share its 128-bit key, so their factors are found and stored once. Equality is that
+Copies of a text share its 128-bit key, so their stretches are found and stored once. Equality is that
 of 64-bit hashes within equal 64-bit anchors (and 128-bit text keys).
 
 Defined results: null and empty texts have no words and stay empty; texts shorter than a window
