@@ -11,9 +11,11 @@ three blocks: every fingerprint is put in one cell for each choice of three (35
 nothing is lost. In a cell, pairs pass the Manhattan bound, then the exact bit distance.
 
 Cells hold distinct fingerprints, so groups of equal fingerprints cost one row. A cell with more
-than ``CELL_ROWS`` of them is cut into blocks, and its pairs of blocks are separate tasks. A task
-emits a star for each group that it finds, never the pairs. The number of blocks decides how
-selective a cell is; it is a parameter, to be raised with the logarithm of the number of texts.
+than ``CELL_ROWS`` of them is cut into blocks, and each pair of blocks is a cell of its own. Rows are
+sorted by cell, and a task holds ``ROWS_AT_ONCE`` rows and the cell that is not yet finished, whatever
+the size of its partition. It emits a star for each group that it finds, never the pairs. The number
+of blocks decides how selective a cell is; it is a parameter, to be raised with the logarithm of the
+number of texts.
 
 Defined results: null and empty texts have the fingerprint zero, which links like any other. Rows
 with a null id take part; a component's id is its least id that is not null (null if it has none).
@@ -38,6 +40,7 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
 CELL_ROWS = 8192
+ROWS_AT_ONCE = 1 << 18
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -127,6 +130,34 @@ def _pairs(cell: np.ndarray, fp: np.ndarray, point: np.ndarray, max_bits: int):
     return fp[member], fp[root[member]]
 
 
+def _stars(batches, max_bits: int, rows_at_once: int = ROWS_AT_ONCE):
+    """Batches of the links inside cells, from batches of rows sorted by cell."""
+
+    def found(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        fp = fp.view(np.uint64)
+        low, one = np.uint64(0x5555555555555555), np.uint64(1)
+        half = fp >> one
+        point = (fp | half) & low | ((fp & half & low) << one)
+        a, b = _pairs(cell, fp, point, max_bits)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"]
+        )
+
+    cells, prints, rows = [], [], 0
+    for batch in batches:
+        cells.append(batch.column("cell").to_numpy())
+        prints.append(batch.column("fp").to_numpy())
+        rows += batch.num_rows
+        if rows >= rows_at_once:
+            cell, fp = np.concatenate(cells), np.concatenate(prints)
+            whole = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on in the next batch
+            if whole:
+                yield found(cell[:whole], fp[:whole])
+            cells, prints, rows = [cell[whole:].copy()], [fp[whole:].copy()], rows - whole
+    if rows:
+        yield found(np.concatenate(cells), np.concatenate(prints))
+
+
 def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None) -> DataFrame:
     """(a, b): links that join the same fingerprints ``fp`` as all pairs of at most ``max_bits``.
 
@@ -148,27 +179,10 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("fp", F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))
                 .alias("cell"))
-        .repartition("cell")
+        .repartition("cell").sortWithinPartitions("cell")
     )
 
-    def over(batches):
-        cell, fp = [], []
-        for batch in batches:
-            cell.append(batch.column("cell").to_numpy())
-            fp.append(batch.column("fp").to_numpy())
-        if not cell:
-            return
-        cell, fp = np.concatenate(cell), np.concatenate(fp).view(np.uint64)
-        order = np.argsort(cell, kind="stable")
-        low, one = np.uint64(0x5555555555555555), np.uint64(1)
-        half = fp >> one
-        point = (fp | half) & low | ((fp & half & low) << one)
-        a, b = _pairs(cell[order], fp[order], point[order], max_bits)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"]
-        )
-
-    return tasks.mapInArrow(over, "a long, b long")
+    return tasks.mapInArrow(lambda batches: _stars(batches, max_bits), "a long, b long")
 
 
 def near_duplicates(

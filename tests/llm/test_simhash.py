@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 
 from llm_compare import as_bag
@@ -82,6 +84,37 @@ def test_crowded_cells_are_cut_into_blocks(spark, monkeypatch):
     check_links(spark, sorted(near | set(random_prints(rng, 100))))
 
 
+def test_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch, capsys):
+    rng, seen, read = random.Random(8), [], []
+    rows = sorted((c, rng.getrandbits(63) >> 60) for c in range(-100, 100) for _ in range(rng.randrange(1, 30)))
+    cell, fp = (np.array(x) for x in zip(*rows))
+    pairs = S._pairs
+    monkeypatch.setattr(S, "_pairs", lambda c, *more: seen.append(c) or pairs(c, *more))
+
+    def batches(size):
+        for i in range(0, len(cell), size):
+            read.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(cell[i:i + size]), pa.array(fp[i:i + size])], names=["cell", "fp"])
+
+    def stars(size, at_once):
+        seen.clear(), read.clear()
+        out = S._stars(batches(size), 1, at_once)
+        return sorted((r["a"], r["b"]) for batch in out for r in batch.to_pylist())
+
+    whole = stars(len(cell), len(cell) + 1)
+    assert whole and len(seen) == 1
+    for size, at_once in ((7, 50), (50, 50), (1, 1), (1000, 3)):
+        assert stars(size, at_once) == whole
+        assert max(map(len, seen)) <= at_once + size + 30 and sum(map(len, seen)) == len(cell)
+        assert sum(len(set(c)) for c in seen) == 200  # no cell is cut
+    out = S._stars(batches(7), 1, 50)
+    read.clear()
+    next(out)
+    assert len(read) < 20  # the first links come before the rest is read
+    S.links(spark.range(5).withColumnRenamed("id", "fp")).explain()
+    assert re.search(r"MapInArrow.*\n.*Sort \[cell", capsys.readouterr().out)
+
+
 def test_manhattan_distance_is_a_lower_bound(spark):
     rng = random.Random(6)
     values = [rng.getrandbits(64) for _ in range(40)]
