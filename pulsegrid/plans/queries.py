@@ -541,6 +541,13 @@ def _delimited_lines(spark, sf_dir):
         F.array(line), F.coalesce(short, none), F.coalesce(more, none))).alias("value"))
 
 
+def _write_with_headers(lines, columns, path):
+    """Files of the lines, one per partition that has any, each with the header at its head."""
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # place within the partition
+    header = F.when(at == 0, F.concat(F.lit("~".join(columns) + "\n"), "value"))
+    lines.select(F.coalesce(header, "value").alias("value")).write.text(path)
+
+
 @query
 def load_runs(spark, sf_dir):
     """Two folders of files, loaded twice: what the tables hold, and what the second load adds."""
@@ -548,9 +555,7 @@ def load_runs(spark, sf_dir):
     lines = _delimited_lines(spark, sf_dir)
     columns = ["status_id", "text", "lang", "source"]
     for name, part in (("one", "status_id % 2 = 0"), ("two", "status_id % 2 = 1")):
-        header = F.when(F.monotonically_increasing_id() == 0, F.concat(F.lit("~".join(columns) + "\n"), "value"))
-        one_file = lines.filter(part).coalesce(1)
-        one_file.select(F.coalesce(header, "value").alias("value")).write.text(f"{root}/in/{name}")
+        _write_with_headers(lines.filter(part), columns, f"{root}/in/{name}")
     first = load_files(spark, f"{root}/in", f"{root}/table", f"{root}/audit", columns)
     again = load_files(spark, f"{root}/in", f"{root}/table", f"{root}/audit", columns)
     table, rejects = spark.read.parquet(f"{root}/table"), spark.read.parquet(f"{root}/table-rejects")

@@ -24,6 +24,15 @@ def test_roundtrip_of_awkward_texts(spark, tmp_path):
     assert back == {str(i): t for i, t in enumerate(AWKWARD)}
 
 
+def test_load_input_has_a_headed_file_per_partition(spark, tmp_path):
+    lines = spark.range(0, 40, 1, 4).select(F.concat(F.lit('"'), "id", F.lit('"~"t"')).alias("value"))
+    Q._write_with_headers(lines.filter("value != 'x'"), ["i", "t"], f"{tmp_path}/in")
+    files = [p.read_text().splitlines() for p in tmp_path.glob("in/part-*")]
+    assert len(files) == 4 and all(f[0] == "i~t" and len(f) == 11 for f in files)
+    back = read_delimited(spark, f"{tmp_path}/in", ["i", "t"])
+    assert sorted(int(r.i) for r in back.collect()) == list(range(40))
+
+
 def test_line_format_and_header_per_file(spark, tmp_path):
     rows = spark.createDataFrame([("1", 'a"b\nc', None), ("2", "", "\\")], "x string, y string, z string").repartition(2, "x")
     write_delimited(rows, f"{tmp_path}/out")
