@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import decontamination, secret_scan, sharding
+from pulsegrid.llm import decontamination, exact_search, fill_middle, secret_scan, sharding
 from pulsegrid.llm.settings import SHARDS
 
 
@@ -78,8 +78,54 @@ GROUP BY doc_id, item_id HAVING count(*) >= {decontamination.THRESHOLD} * any_va
 """
 
 
+def _fill_middle_sql() -> str:
+    marks = f"{fill_middle.PREFIX}|{fill_middle.SUFFIX}|{fill_middle.MIDDLE}"
+    p, s, m = (f"'{x}'" for x in (fill_middle.PREFIX, fill_middle.SUFFIX, fill_middle.MIDDLE))
+    hashes = ", ".join(f"('0x' || substr(digest, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))
+    return f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS body, sha256('{fill_middle.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+    FROM documents
+), units AS (
+    SELECT doc_id, body, regexp_extract_all(body, '[A-Za-z]+|[^A-Za-z]') AS u, {hashes} FROM texts
+), cuts AS (
+    SELECT doc_id, body, u, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+        greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+        CASE WHEN body = '' OR regexp_matches(body, '{marks}') OR h3 % 100 >= {fill_middle.TRANSFORMED} THEN 'plain'
+            WHEN h4 % 100 < {fill_middle.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+    FROM units
+), parts AS (
+    SELECT doc_id, body, n, form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+        array_to_string(u[b + 1:], '') AS suffix
+    FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN {p} || prefix || {s} || suffix || {m} || middle
+        ELSE {s} || suffix || {p} || prefix || {m} || middle END) AS output_sha256, sha256(body) AS restored_sha256
+FROM parts
+"""
+
+
+def _exact_search_sql() -> str:
+    return f"""
+WITH valid AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor({exact_search.SCALE} * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM valid q JOIN valid c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= {exact_search.TOP}
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_sharding": _sharding_sql(),
     "op7_secret_scan": _secret_sql(),
     "op8_decontamination": _decontamination_sql(),
+    "op11_fill_middle": _fill_middle_sql(),
+    "op12_exact_search": _exact_search_sql(),
 }

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import (
-    bpe, decontamination, html_tree, language, lattice_lm, repetition, secret_scan, sharding, simhash,
-    substring_dedup,
+    bpe, decontamination, exact_search, fill_middle, html_tree, language, lattice_lm, repetition, resampling,
+    secret_scan, sharding, simhash, substring_dedup,
 )
 from pulsegrid.llm.oracles import ORACLES as ORACLES
 from pulsegrid.llm.settings import BPE_FILE, LM_FILE, SHARDS
@@ -98,9 +98,29 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(_table(spark, sf_dir, "documents"), public_tokenizers.path(LM_FILE))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged for filling in the middle, as digests."""
+    out = fill_middle.transform(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best matches of every fiftieth vector among all others."""
+    return exact_search.top_matches(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A draw of documents whose n-grams are distributed like those of the benchmark texts."""
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_html_extraction, op3_language_id, op4_sharding, op5_quality_rules,
-        op6_byte_bpe, op7_secret_scan, op8_decontamination, op9_simhash, op10_lm_scoring,
+        op6_byte_bpe, op7_secret_scan, op8_decontamination, op9_simhash, op10_lm_scoring, op11_fill_middle,
+        op12_exact_search, op13_resampling,
     )
 }
