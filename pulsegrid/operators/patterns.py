@@ -2,21 +2,28 @@
 
 The list has one entry per keyword: (org_pos, org, kw_pos, der, tag), five per watched account.
 Short lists travel as one value and are walked within each row, which also works on streams;
-lists of thousands of keywords are joined by the grams that their tokens start with
+lists of thousands of keywords are joined by the rarest gram of each of their tokens
 (``match_patterns_indexed``, ``track_filter_indexed``). Both ways give the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.text import in_parentheses, split_pattern
+from pulsegrid.operators.ranking import with_position
+from pulsegrid.operators.skew import BROADCAST_ROWS, lookup_join
+from pulsegrid.session import cut_lineage
 
 # One stream tracks at most this many tokens; more tokens make several lists.
 LIST_SIZE = 400
-GRAM = 3
+# Longer keyword lists are not sent along with every row.
+SHORT_LIST = 400
+# Sizes of the grams in the index of long lists; a token takes the largest that fits it.
+GRAMS = (1, 2, 3, 5, 8)
+GAP = r"[ \t\n\r]+"
 
 
 def keyword_list(keywords: DataFrame) -> Column:
@@ -91,56 +98,174 @@ def hit_summary(hits: Column) -> Column:
     )
 
 
-def occurring_tokens(statuses: DataFrame, tokens: DataFrame, found: str = "found") -> DataFrame:
-    """``statuses`` with the array ``found`` of the tokens that occur in their text; others are dropped.
+def _grams(text: Column, size: int) -> Column:
+    """Hashes of all substrings of ``size`` code points, each once.
 
-    Expects unique status ids; ``tokens`` has ``token``, compared in lower case. The distinct grams
-    of each text meet the grams that tokens start with in an equi-join, which gives a few candidates per
-    status; these are verified in the text. No status is paired with the whole list.
+    The lookahead makes every position a match, so the text is walked once. Equal hashes of different grams
+    only add candidates.
     """
-    low = tokens.select(F.lower("token").alias("token")).filter("token <> ''").distinct()
-    shortest = low.agg(F.min(F.length("token"))).first()[0]
-    size = min(GRAM, shortest or GRAM)
-    starts = low.withColumn("gram", F.substring("token", 1, size))
+    found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda g: F.xxhash64(g, F.lit(size))))
+
+
+def _gram_size(token: Column) -> Column:
+    """The largest size of GRAMS that is not above the token's length."""
+    size = F.lit(None).cast("int")
+    for g in GRAMS:
+        size = F.when(F.length(token) >= g, g).otherwise(size)
+    return size
+
 
-    def grams(chars: Column) -> Column:
-        def at(c: Column, i: Column) -> Column:
-            return F.concat_ws("", c, *[F.get(chars, i + k) for k in range(1, size)])
+def _gram_join(grams: DataFrame, listed: DataFrame, rows: int) -> DataFrame:
+    """``grams`` met by ``listed``, which has one row per gram: broadcast while it is counted as small."""
+    if rows <= BROADCAST_ROWS:
+        return grams.join(F.broadcast(listed), "gram")
+    return lookup_join(grams, listed, "gram", "inner")
 
-        return F.array_distinct(F.transform(chars, at))
 
-    # the letters are split once: they are the variable of a one-element transform
-    chars = F.get(F.transform(F.array(F.split(F.lower("text"), "")), grams), F.lit(0))
-    candidates = (
-        statuses.select("status_id", F.explode(chars).alias("gram"))
-        .join(starts, "gram").groupBy("status_id").agg(F.collect_set("token").alias("_near"))
+def candidate_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(_key, token, is_whole): the tokens that may occur in the text of each row, at least all that do.
+
+    A token without white space (``is_whole``) does occur. Texts and tokens are cut at white space: a token can only occur where its longest piece lies within
+    a word. So pieces are looked for in the vocabulary, each word once however many texts hold it, and the
+    texts meet the tokens of their words. Within the vocabulary each piece stands in an index under one
+    gram only, its rarest: the grams of all pieces are counted over the words, weighted by the words'
+    texts, and a piece with a gram that no word holds is dropped at once. Long pieces have long grams,
+    short ones do not shorten those of others. Tokens of white space only have no piece; all texts are
+    their candidates.
+    """
+    low = tokens.select(F.lower("token").alias("token")).filter("token <> ''").distinct()
+    parts = F.split("token", GAP)
+    longest = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("piece"))))
+    piece = longest["piece"]
+    pieced = cut_lineage(low.select("token", piece.alias("piece"), (piece == F.col("token")).alias("is_whole")), "tokens")
+    pieces = pieced.select("piece").filter("piece <> ''").distinct().withColumn("size", _gram_size(F.col("piece")))
+    sizes = sorted(r["size"] for r in pieces.select("size").distinct().collect())  # at most len(GRAMS) rows
+    has_blank = not pieced.filter("piece = ''").isEmpty()
+
+    none = F.array().cast("array<bigint>")
+    of_piece = cut_lineage(
+        pieces.select("piece", F.explode(F.coalesce(
+            *[F.when(F.col("size") == g, _grams(F.col("piece"), g)) for g in sizes], none
+        )).alias("gram")), "token-grams",
     )
-    verified = F.get(F.transform(
-        F.array(F.lower("text")), lambda text: F.filter("_near", lambda t: F.contains(text, t))
-    ), F.lit(0))
-    return (
-        statuses.join(candidates, "status_id").withColumn(found, F.array_sort(verified))
-        .filter(F.size(found) > 0).select(*statuses.columns, found)
+    words = F.array_distinct(F.split(F.lower("text"), GAP))
+    blank = F.array(F.lit("")) if has_blank else F.array().cast("array<string>")
+    of_text = keyed.select("_key", F.explode(F.array_distinct(F.concat(words, blank))).alias("word"))
+
+    vocabulary = cut_lineage(
+        of_text.filter("word <> ''").groupBy("word").agg(F.count("*").alias("texts")), "vocabulary"
+    )
+    of_word = vocabulary.select("word", "texts", F.explode(F.concat(
+        none, *[F.coalesce(_grams(F.col("word"), g), none) for g in sizes]
+    )).alias("gram"))
+    counts = _gram_join(of_word, of_piece.select("gram").distinct(), of_piece.count()).groupBy("gram").agg(
+        F.sum("texts").alias("n")
+    )
+    rarest = cut_lineage(
+        of_piece.join(counts, "gram", "left").groupBy("piece")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("least"))
+        .filter("least.n > 0").select(F.col("least.gram").alias("gram"), "piece"), "rarest-grams",
+    )
+    index = rarest.groupBy("gram").agg(F.collect_list("piece").alias("pieces"))
+    met = (
+        _gram_join(of_word.drop("texts"), index, rarest.count())
+        .select("word", F.explode("pieces").alias("piece")).filter(F.contains("word", "piece"))
     )
+    of_blank = pieced.filter("piece = ''").select(F.col("piece").alias("word"), "piece")
+    by_word = cut_lineage(
+        met.unionByName(of_blank).distinct().join(pieced, "piece")
+        .groupBy("word").agg(F.collect_set(F.struct("token", "is_whole")).alias("tokens")), "word-tokens",
+    )
+    size = by_word.select(F.sum(F.size("tokens"))).first()[0] or 0
+    found = of_text.join(F.broadcast(by_word), "word") if size <= BROADCAST_ROWS else lookup_join(
+        of_text, by_word, "word", "inner")
+    return found.select("_key", F.explode("tokens").alias("t")).select("_key", "t.*").distinct()
+
+
+def _with_key(statuses: DataFrame) -> DataFrame:
+    """Rows under a key of id and text: rows that share a key share their tokens, whatever their ids are."""
+    return statuses.withColumn("_key", F.struct("status_id", F.xxhash64("text").alias("text_hash")))
+
+
+def found_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(_key, token), once each: the tokens that occur in the text of each row, in lower case.
+
+    Only candidates with white space are looked up in the texts again.
+    """
+    near = cut_lineage(candidate_tokens(keyed, tokens), "candidates")
+    whole = near.filter("is_whole").select("_key", "token")
+    parts = near.filter("NOT is_whole").select("_key", "token")
+    if parts.isEmpty():
+        return whole
+    verified = keyed.select("_key", "text").join(parts, "_key").filter(F.contains(F.lower("text"), "token"))
+    return whole.unionByName(verified.select("_key", "token").distinct())
+
+
+def _met(facts: DataFrame, listed: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Inner join with a table of the keyword list, which is broadcast while it is counted as small."""
+    return facts.join(F.broadcast(listed) if rows <= BROADCAST_ROWS else listed, keys)
 
 
 def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
-    """``match_patterns`` for long keyword lists and statuses with unique ids."""
-    entry = ["org_pos", "org", "kw_pos", "der", "tag"]
-    by_token = keywords.select(*entry, F.lower("der").alias("token"), F.lit(True).alias("is_der")).unionByName(
-        keywords.select(*entry, F.lower("tag").alias("token"), F.lit(False).alias("is_der"))
-    ).filter("token <> ''")
-    found = occurring_tokens(statuses, by_token.select("token"))
-    per_keyword = (
-        found.select("status_id", F.explode("found").alias("token")).join(by_token, "token")
-        .groupBy("status_id", *entry)
-        .agg(F.bool_or("is_der").alias("has_der"), F.bool_or(~F.col("is_der")).alias("has_tag"))
+    """``match_patterns`` for long keyword lists; the work follows the tokens found and the result.
+
+    A keyword whose tokens both occur is met through the rarer of the two. A token alone gives one label
+    however many keywords share it: that of the first of its keywords which does not match as a
+    whole. With ``m`` of them matching as a whole, it is among the first ``m + 1``, so only these are looked at.
+    """
+    keyed = _with_key(statuses)
+    listed = with_position(
+        keywords.select("org_pos", "org", "kw_pos", "der", "tag"),
+        [F.col(c) for c in ("org_pos", "org", "kw_pos", "der", "tag")], "place",
+    ).select("place", "org", "der", "tag", F.lower("der").alias("der_low"), F.lower("tag").alias("tag_low"))
+    rows = listed.count()
+    sides = listed.select("place", F.explode(F.array_distinct(F.array(
+        F.struct(F.col("der").alias("label"), F.col("der_low").alias("token")),
+        F.struct(F.col("tag").alias("label"), F.col("tag_low").alias("token")),
+    ))).alias("side")).select("place", "side.*").filter("token <> ''")
+    found = cut_lineage(found_tokens(keyed, sides.select("token")), "found-tokens")
+
+    spread = found.groupBy("token").agg(F.count("*").alias("n"))
+    der_n, tag_n = (spread.select(F.col("token").alias(c), F.col("n").alias(f"{c}_n")) for c in ("der_low", "tag_low"))
+    able = listed.join(der_n, "der_low").join(tag_n, "tag_low")
+    lead_is_der = F.col("der_low_n") <= F.col("tag_low_n")
+    able = able.select(
+        "place", "org", "der", "tag", F.when(lead_is_der, F.col("der_low")).otherwise(F.col("tag_low")).alias("token"),
+        F.when(lead_is_der, F.col("tag_low")).otherwise(F.col("der_low")).alias("other"),
+    )
+    pairs = _met(found, able, ["token"], rows).drop("token").withColumnRenamed("other", "token")
+    both = cut_lineage(pairs.join(found, ["_key", "token"], "left_semi").drop("token"), "whole-matches")
+
+    # the keywords of every label in list order: r = 1, 2, ...
+    placed = with_position(sides, [F.col("label"), F.col("place")], "at")
+    first = placed.groupBy("label").agg(F.min("at").alias("first"))
+    ranked = placed.join(first, "label").select("label", "place", (F.col("at") - F.col("first") + 1).alias("r"))
+    labels = sides.select("token", "label").distinct()
+    matched = both.select("_key", F.explode(F.array_distinct(F.array("der", "tag"))).alias("label")).groupBy(
+        "_key", "label").agg(F.count("*").alias("m"))
+    asked = _met(found, labels, ["token"], rows).select("_key", "label").join(matched, ["_key", "label"], "left")
+    tried = asked.withColumn("r", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("m", F.lit(0)) + 1)))
+    alone = (
+        _met(tried, ranked, ["label", "r"], rows).join(both.select("_key", "place"), ["_key", "place"], "left_anti")
+        .groupBy("_key", "label").agg(F.min("place").alias("place"))
     )
-    hits = per_keyword.groupBy("status_id").agg(
-        F.array_sort(F.collect_list(F.struct(*entry, "has_der", "has_tag"))).alias("hits")
+    hits = both.select("_key", "place", F.concat_ws("+", "der", "tag").alias("label"), "org", F.lit(True).alias("is_whole")).unionByName(
+        alone.select("_key", "place", "label", F.lit(None).cast("string").alias("org"), F.lit(False).alias("is_whole")))
+    summed = hits.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("place", "label", "org", "is_whole"))).alias("hits"))
+    credited = F.array_distinct(F.transform(F.filter("hits", lambda h: h["is_whole"]), lambda h: h["org"]))
+    return keyed.join(summed, "_key").select(
+        *statuses.columns,
+        F.array_join(F.transform("hits", lambda h: in_parentheses(h["label"])), " & ").alias("patterns"),
+        F.coalesce(F.nullif(F.array_join(credited, " & "), F.lit("")), F.lit(S.STREAM_KEYWORD)).alias("orgs"),
     )
-    summed = hits.select("status_id", hit_summary(F.col("hits")).alias("s"))
-    return statuses.join(summed, "status_id").select(*statuses.columns, "s.patterns", "s.orgs")
+
+
+def match_keywords(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
+    """``match_patterns`` by the way that fits the length of the list, which is counted up to the bound."""
+    if keywords.limit(SHORT_LIST + 1).count() <= SHORT_LIST:
+        return match_patterns(statuses, keywords)
+    return match_patterns_indexed(statuses, keywords)
 
 
 def pattern_keywords(top_pairs: DataFrame, order: DataFrame | None = None) -> DataFrame:
@@ -163,7 +288,7 @@ def pattern_keywords(top_pairs: DataFrame, order: DataFrame | None = None) -> Da
 def tracked_tokens(keywords: DataFrame, size: int = LIST_SIZE) -> DataFrame:
     """All distinct keyword tokens in first-seen order, in lists of ``size`` (``list_no``).
 
-    Tokens are ranked within their account, and shifted by the sizes of the accounts before.
+    Tokens are ranked by ranges of that order, however many accounts and tokens there are.
     """
     tokens = keywords.select(
         "org_pos", "org", "kw_pos",
@@ -172,16 +297,10 @@ def tracked_tokens(keywords: DataFrame, size: int = LIST_SIZE) -> DataFrame:
     first = tokens.groupBy("token").agg(
         F.min(F.struct("org_pos", "org", "kw_pos", "part")).alias("seen_at")
     ).select("token", "seen_at.*")
-    # one row per account of the list, not per token
-    before = Window.orderBy("org_pos", "org").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = first.groupBy("org_pos", "org").agg(F.count("*").alias("n")).select(
-        "org_pos", "org", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")
-    )
-    order = Window.partitionBy("org_pos", "org").orderBy("kw_pos", "part")
-    position = (F.col("shift") + F.row_number().over(order)).cast("int")
-    return (
-        first.join(shifts, ["org_pos", "org"]).withColumn("position", position)
-        .select(F.expr(f"CAST((position - 1) div {size} AS int)").alias("list_no"), "position", "token")
+    ranked = with_position(first, [F.col(c) for c in ("org_pos", "org", "kw_pos", "part", "token")])
+    return ranked.select(
+        F.expr(f"CAST((position - 1) div {size} AS int)").alias("list_no"),
+        F.col("position").cast("int").alias("position"), "token",
     )
 
 
@@ -204,5 +323,7 @@ def track_filter(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def track_filter_indexed(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
-    """``track_filter`` for long lists and statuses with unique ids."""
-    return occurring_tokens(statuses, tokens, "_found").drop("_found")
+    """``track_filter`` for long lists."""
+    keyed = _with_key(statuses)
+    keys = found_tokens(keyed, tokens).select("_key").distinct()
+    return keyed.join(keys, "_key", "left_semi").select(statuses.columns)

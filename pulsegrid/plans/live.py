@@ -29,7 +29,7 @@ def classify_landed(landed: DataFrame, watched: DataFrame, accounts: DataFrame,
     ).withColumn("screen_name", F.col("user.screen_name"))
     tracker = classify.is_tracker(F.col("batch_name"))
     followed = classify.classify_followed(typed.filter(~tracker), watched, accounts)
-    tracked = classify.classify_tracked(patterns.match_patterns(typed.filter(tracker), keywords))
+    tracked = classify.classify_tracked(patterns.match_keywords(typed.filter(tracker), keywords))
     return followed.unionByName(tracked)
 
 

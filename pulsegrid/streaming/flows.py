@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pulsegrid.operators.classify import classify_followed, classify_tracked
 from pulsegrid.operators.hashtags import top_hashtags
-from pulsegrid.operators.patterns import match_patterns, pattern_keywords
+from pulsegrid.operators.patterns import match_keywords, pattern_keywords
 from pulsegrid.operators.registry import merge_registrations, register_users
 from pulsegrid.functions.times import file_stamp
 from pulsegrid.sinks.state import LIVE, read_epochs, write_epoch
@@ -92,7 +92,7 @@ def track_to_epochs(statuses: DataFrame, pattern_path: str, out: str, checkpoint
     """
     def match(rows: DataFrame, epoch: int) -> None:
         keywords = rows.sparkSession.read.parquet(pattern_path)
-        write_epoch(classify_tracked(match_patterns(rows, keywords)), out, LIVE, epoch)
+        write_epoch(classify_tracked(match_keywords(rows, keywords)), out, LIVE, epoch)
 
     return _started(statuses.writeStream.foreachBatch(match), checkpoint, trigger)
 

@@ -103,6 +103,38 @@ def test_long_lists_match_like_short_ones(spark):
     assert sorted(r.status_id for r in patterns.track_filter_indexed(texts, tokens).collect()) == want and want
 
 
+def test_index_on_odd_tokens(spark):
+    """Short, long, repeated and equal tokens, white space, other cases, empty and NULL ones, repeated rows."""
+    keywords = [(0, "a", 0, "Ann", "sun"), (0, "a", 1, "bob", "SUN"), (0, "a", 1, "bob", "SUN"), (1, "b", 0, "ann", "sunshine"),
+                (1, "b", 1, "x", "é"), (1, "b", 2, "two words", "sun"), (2, "c", 0, "", "n"), (2, "c", 1, None, "ann"),
+                (2, "c", 2, "ann", "ann"), (3, "d", 0, " ", "\n"), (3, "d", 1, "o w", "  "), (3, "d", 2, "zz", "zzzzzzzzzz"),
+                (4, "e", 0, "Bob", "sun"), (4, "a", 0, "sun", "bob"), (5, None, 0, "bob", "n"), (5, "f", 0, "🙂", "ann")]
+    texts = ["ann SUNshine", "bob", "the sun, bob", "two  words sun", "two words\nSUN", "Ann bob sun zzzzzzzzzzz", "🙂 ann",
+             "", None, " ", "x", "é x", "n", "nothing", "ann SUNshine", "  "]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, "bob"), (None, "bob sun"), (None, "sun"), (0, "ann SUNshine")]
+    statuses = spark.createDataFrame(rows, "status_id int, text string").repartition(3)
+    kw = spark.createDataFrame(keywords, KEYWORD_DDL)
+    short = patterns.match_patterns(statuses, kw).collect()
+    assert len(short) > 12
+    long = patterns.match_patterns_indexed(statuses, kw).collect()
+    assert sorted(map(tuple, long), key=repr) == sorted(map(tuple, short), key=repr)
+    tokens = kw.select(F.col("der").alias("token")).filter("length(token) > 1")
+    want, got = patterns.track_filter(statuses, tokens), patterns.track_filter_indexed(statuses, tokens)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_candidates_are_few(spark):
+    """At ten times the tokens and five times the texts, candidates per text stay near those that occur."""
+    for sf in (SF, SF.replace("0.001", "0.01")):
+        texts, keywords = B.texts(spark, sf), B.long_keywords(spark, sf)
+        near = patterns.candidate_tokens(patterns._with_key(texts), keywords.select(F.col("der").alias("token"))).cache()
+        assert near.filter("NOT is_whole").count() == 0
+        words = texts.select("status_id", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("w"))
+        exact = words.filter("length(w) BETWEEN 10 AND 11").count()
+        assert exact <= near.count() < 2 * exact
+        near.unpersist()
+
+
 def test_top_hashtags_ties_filter_and_nulls(spark):
     rows = [("o", f"u{i}", "BATCH_TIMELINE", ["t"]) for i in range(7)]
     rows += [("o", "u6", "BATCH_TIMELINE", ["t", "t"]), ("o", "u0", "STREAM_TRACKER", ["t"] * 9),
