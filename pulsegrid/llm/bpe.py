@@ -8,7 +8,8 @@ token of each prefix, so appending bytes extends the table without touching it,
 re-encodes from the edit on until the table meets old entries again.
 
 Texts are cut by a pattern first and every match is encoded separately; the ids of the matches met
-last are cached in each worker (a bounded cache, which changes no result).
+last are cached. The caches are bounded in bytes, belong to a task and are dropped with it, and change no
+result; a worker keeps only the vocabulary, as flat tables.
 
 Defined results: null and empty texts have no tokens; texts of any length are encoded whole; bytes
 that the pattern leaves out are not encoded; special tokens are ordinary text. Repeated rows are
@@ -26,12 +27,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.words import map_arrow
+from pulsegrid.llm.words import release
 
-CACHE_PIECES = 500_000
-KNOWN_PAIRS = 1 << 20
+CACHE_BYTES = 40 << 20  # of cached pieces, in two generations
+PIECE_BYTES = 260  # what a cached piece takes beside its text and ids
+KNOWN_PAIRS = 1 << 17  # some 15 MB
 PAIR = 1 << 32
-TOKEN = -1
+ROWS = 1000  # encoded at a time
 
 
 class Vocabulary:
@@ -41,19 +43,21 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        # a trie over token bytes: each node maps the next byte to a node, and TOKEN to its token
-        self.trie: dict = {}
+        # a trie over token bytes: ``step`` leads from 256 * node + byte to a node, ``token_at`` holds its token
+        self.step: dict[int, int] = {}
+        self.token_at = [-1]
         for token, rank in ranks.items():
-            node = self.trie
+            node = 0
             for byte in token:
-                node = node.setdefault(byte, {})
-            node[TOKEN] = rank
+                node = self.step.setdefault(node << 8 | byte, len(self.token_at))
+                if node == len(self.token_at):
+                    self.token_at.append(-1)
+            self.token_at[node] = rank
         size = max(self.bytes, default=-1) + 1
         # the two tokens that a token is merged from, -1 for tokens that no merge makes
         self.left, self.right = [-1] * size, [-1] * size
         self.merged: dict[int, int] = {}  # PAIR * left + right: the merged token
-        self.known: list[dict[int, bool]] = [{} for _ in range(size)]  # left: right: may they be neighbours
-        self.pairs = 0
+        self.known: dict[int, bool] = {}  # PAIR * left + right: may they be neighbours
         for rank in sorted(self.bytes):
             token = self.bytes[rank]
             # the last merge of a token joins two lower tokens that stay apart without it
@@ -72,15 +76,12 @@ class Vocabulary:
 
     def adjacent(self, left: int, right: int) -> bool:
         """Whether the encoding of the two tokens' joined bytes is just these two."""
-        row = self.known[left]
-        if right not in row:
-            self.pairs += 1
-            if self.pairs > KNOWN_PAIRS:
-                self.pairs = 1
-                for other in self.known:
-                    other.clear()
-            row[right] = self._stay_apart(left, right)
-        return row[right]
+        known, pair = self.known, PAIR * left + right
+        if pair not in known:
+            if len(known) >= KNOWN_PAIRS:
+                known.clear()
+            known[pair] = self._stay_apart(left, right)
+        return known[pair]
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Undo merges on both sides of the seam, latest first; a merge across it must lose.
@@ -115,20 +116,20 @@ class Vocabulary:
         Starts are taken in order, so the first token that fits at an end is the longest one, and the
         prefix before a start is always complete.
         """
-        trie, known, first, size = self.trie, self.known, len(last), len(data)
+        step, token_at, known, first, size = self.step.get, self.token_at, self.known.get, len(last), len(data)
         last += [-1] * (size - first)
         for start in range(max(0, first + 1 - self.longest), size):
-            node, before = trie, last[start - 1] if start else -1
-            fitting = known[before] if start else None
+            node, before = 0, last[start - 1] if start else -1
+            left = PAIR * before
             for end in range(start, size):
-                node = node.get(data[end])
+                node = step(node << 8 | data[end])
                 if node is None:
                     break
                 if last[end] < 0:
-                    token = node.get(TOKEN)
-                    if token is None:
+                    token = token_at[node]
+                    if token < 0:
                         continue
-                    fits = fitting is None or fitting.get(token)
+                    fits = before < 0 or known(left + token)
                     if fits is None:
                         fits = self.adjacent(before, token)
                     if fits:
@@ -182,38 +183,48 @@ class PrefixTable:
 
 
 class Pieces(dict):
-    """The ids of pieces as bytes, encoded when first asked for; bounded."""
+    """The ids of pieces as bytes, encoded when first asked for.
 
-    def __init__(self, vocabulary: Vocabulary):
+    When the young generation has used half of the bytes, it becomes the old one; a piece met again
+    there is taken over, so frequent pieces stay.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, limit: int = CACHE_BYTES):
         super().__init__()
-        self.vocabulary = vocabulary
-        self.codes = {r: r.to_bytes(4, "little") for r in vocabulary.bytes}
+        self.vocabulary, self.limit = vocabulary, limit // 2
+        self.old: dict[str, bytes] = {}
+        self.used = 0
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.vocabulary.ranks.get(data)
-        if whole is not None:
-            out = self.codes[whole]
-        else:
-            last: list[int] = []
-            self.vocabulary.last_tokens(data, last)
-            out = b"".join(map(self.codes.__getitem__, self.vocabulary.tokens(last)))
+        out = self.old.get(piece)
+        if out is None:
+            out = self._encode(piece.encode())
         if len(piece) <= 256:
-            if len(self) >= CACHE_PIECES:
+            self.used += len(piece) + len(out) + PIECE_BYTES
+            if self.used > self.limit:
+                self.old = dict(self)
                 self.clear()
+                self.used = 0
             self[piece] = out
         return out
 
+    def _encode(self, data: bytes) -> bytes:
+        whole = self.vocabulary.ranks.get(data)
+        if whole is not None:
+            return whole.to_bytes(4, "little")
+        last: list[int] = []
+        self.vocabulary.last_tokens(data, last)
+        return np.array(self.vocabulary.tokens(last), dtype="<u4").tobytes()
+
 
 class Codec:
     """Encoding and decoding of texts with a cache of pieces."""
 
     def __init__(self, path: str, pattern: str):
-        self.vocabulary = Vocabulary.read(path)
+        self.vocabulary = vocabulary(path)
         self.split = regex.compile(pattern).findall
         self.pieces = Pieces(self.vocabulary)
-        size = max(self.vocabulary.bytes) + 1
-        self.table = [self.vocabulary.bytes.get(i, b"") for i in range(size)]
+        self.table = self.vocabulary.bytes
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -223,10 +234,10 @@ class Codec:
         return b"".join(map(self.table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
-    return Codec(path, pattern)
+@lru_cache(maxsize=1)
+def vocabulary(path: str) -> Vocabulary:
+    """One vocabulary per worker process, as it takes a second to read."""
+    return Vocabulary.read(path)
 
 
 def encode(
@@ -237,18 +248,25 @@ def encode(
     ``path`` names a rank file that every executor can open (it is installed there).
     """
 
-    def over(batch: pa.RecordBatch):
-        coder = codec(path, pattern)
-        ids = [coder.encode(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
-             pa.array(ids, pa.binary()), pa.array(map(coder.decode, ids), pa.binary())],
-            names=["id", "n_tokens", "ids", "decoded"],
-        )
+    def over(batches):
+        coder = Codec(path, pattern)
+        try:
+            for batch in batches:
+                for first in range(0, len(batch), ROWS):
+                    part = batch.slice(first, ROWS)
+                    ids = [coder.encode(t) for t in part.column("text").to_pylist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                         pa.array(ids, pa.binary()), pa.array(map(coder.decode, ids), pa.binary())],
+                        names=["id", "n_tokens", "ids", "decoded"],
+                    )
+        finally:
+            coder.vocabulary.known.clear()
+            release()
 
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     kind = rows.schema["id"].dataType.simpleString()
-    out = map_arrow(rows, over, f"id {kind}, n_tokens long, ids binary, decoded binary")
+    out = rows.mapInArrow(over, f"id {kind}, n_tokens long, ids binary, decoded binary")
     return out.withColumnRenamed("id", id_col)

@@ -1,8 +1,8 @@
 """Quality rules on repetition, by a suffix array over words.
 
 The suffix array of a run of texts is built by prefix doubling: suffixes that agree on their first
-2**k words keep a common rank, only ranks that are still shared are refined, and the ranks of every
-level are kept. Each text ends with a symbol of its own, so no repeat crosses texts. From the ranks
+2**k words keep a common rank, and only ranks that are still shared are refined; of each level just the
+refined ranks are kept. Each text ends with a symbol of its own, so no repeat crosses texts. From the ranks
 the longest common prefix (LCP) of neighbouring suffixes is read level by level. The LCP intervals
 that hold a suffix have at most the larger of its two neighbouring LCP values, so that value is the
 longest substring starting there which occurs again; the union of these spans is the union of
@@ -47,38 +47,37 @@ MEASURES = (
 )
 
 
-def _ranks(symbols: np.ndarray) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... symbols; the last ranks are all different.
+def _ranks(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Ranks of all suffixes, and for each level the (suffixes, their ranks by 1, 2, 4, ... symbols).
 
-    A rank is the place of the first suffix with that prefix in the suffix array.
+    A rank is the place of the first suffix with that prefix in the suffix array. A level lists, in text
+    order, the suffixes whose prefix of that length still occurs again; all others have their last rank.
     """
     n = len(symbols)
-    order = np.argsort(symbols)
+    order = np.argsort(symbols, kind="stable").astype(np.int32)
     fresh = np.concatenate([[True], symbols[order][1:] != symbols[order][:-1]])
-    first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = first
-    levels, step = [rank], 1
-    shared = np.ones(n, dtype=bool)
-    shared[first[np.diff(np.append(np.flatnonzero(fresh), n))[np.cumsum(fresh) - 1] == 1]] = False
-    active = order[shared]
+    starts = np.flatnonzero(fresh).astype(np.int32)
+    sub = np.cumsum(fresh) - 1
+    rank = np.empty(n, dtype=np.int32)
+    rank[order] = starts[sub]
+    active = order[np.diff(np.append(starts, n))[sub] > 1]
+    levels, step = [], 1
     while len(active):
+        listed = np.sort(active)
+        levels.append((listed, rank[listed]))
         # the last symbol is unique, so active + step stays inside
         old, then = rank[active], rank[active + step]
         by = np.lexsort((then, old))
         active, old, then = active[by], old[by], then[by]
         group = np.concatenate([[True], old[1:] != old[:-1]])
         fresh = group | np.concatenate([[True], then[1:] != then[:-1]])
-        at = np.arange(len(active))
-        within = at - np.flatnonzero(group)[np.cumsum(group) - 1]
+        within = np.arange(len(active)) - np.flatnonzero(group)[np.cumsum(group) - 1]
         starts = np.flatnonzero(fresh)
         sub = np.cumsum(fresh) - 1
-        rank = rank.copy()
         rank[active] = old + within[starts][sub]
-        levels.append(rank)
         active = active[np.diff(np.append(starts, len(active)))[sub] > 1]
         step *= 2
-    return levels
+    return rank, levels
 
 
 def longest_repeats(symbols: np.ndarray) -> np.ndarray:
@@ -87,18 +86,21 @@ def longest_repeats(symbols: np.ndarray) -> np.ndarray:
     The last symbol must be unique.
     """
     n = len(symbols)
-    levels = _ranks(symbols)
-    suffixes = np.empty(n, dtype=np.int64)
-    suffixes[levels[-1]] = np.arange(n)
+    rank, levels = _ranks(symbols)
+    suffixes = np.empty(n, dtype=np.int32)
+    suffixes[rank] = np.arange(n, dtype=np.int32)
     a, b = suffixes[:-1], suffixes[1:]
-    at = np.flatnonzero(levels[0][a] == levels[0][b])
-    a, b = a[at], b[at]
-    same = np.zeros(len(at), dtype=np.int64)
+    same = np.zeros(n - 1, dtype=np.int32)
     for k in range(len(levels) - 1, -1, -1):
-        # behind a full match of the last symbols there is always a different one
-        same += (levels[k][np.minimum(a + same, n - 1)] == levels[k][np.minimum(b + same, n - 1)]) << k
+        # two suffixes agree on 2**k symbols if both are listed at that level with one rank
+        listed, ranks = levels[k]
+        here, there = a + same, b + same
+        i = np.minimum(np.searchsorted(listed, here), len(listed) - 1)
+        j = np.minimum(np.searchsorted(listed, there), len(listed) - 1)
+        agree = (listed[i] == here) & (listed[j] == there) & (ranks[i] == ranks[j])
+        same += agree.astype(np.int32) << np.int32(k)
     lcp = np.zeros(n + 1, dtype=np.int64)
-    lcp[at + 1] = same
+    lcp[1:n] = same
     out = np.empty(n, dtype=np.int64)
     out[suffixes] = np.maximum(lcp[:-1], lcp[1:])
     return out

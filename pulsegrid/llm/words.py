@@ -122,11 +122,19 @@ def row_bounds(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.searchsorted(starts, offsets)
 
 
+def release() -> None:
+    """Give back what Arrow holds free: workers are used again, and their memory adds up."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_arrow(df, fn, schema: str):
     """``df.mapInArrow`` for a function from one batch to an iterator of batches."""
 
     def over(batches):
-        for batch in batches:
-            yield from fn(batch)
+        try:
+            for batch in batches:
+                yield from fn(batch)
+        finally:
+            release()
 
     return df.mapInArrow(over, schema)

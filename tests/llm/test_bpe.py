@@ -72,10 +72,12 @@ def test_every_row(docs, corpus, library):
 
 
 def test_cache_limit_changes_nothing(monkeypatch, coder):
-    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    monkeypatch.setattr(bpe, "KNOWN_PAIRS", 3)
     small = bpe.Codec(PATH, PATTERN)
+    small.pieces = bpe.Pieces(small.vocabulary, 3000)
     for text in fuzz(4, 30):
         assert small.encode(text) == coder.encode(text)
+        assert len(small.pieces) < 20 and len(small.vocabulary.known) <= 3
 
 
 def test_empty_table(no_docs):
