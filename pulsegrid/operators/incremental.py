@@ -7,45 +7,81 @@ from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.times import format_batch_time
-from pulsegrid.operators.skew import lookup_join
+from pulsegrid.operators.skew import BROADCAST_ROWS, lookup_join
+from pulsegrid.session import cut_lineage
 
 
-def user_watermarks(statuses: DataFrame) -> DataFrame:
-    """Smallest and largest status id seen per user."""
-    return statuses.groupBy("screen_name").agg(
+USER = ("screen_name",)
+BATCH_USER = ("batch_name", "screen_name")
+MAX_DAYS = 1000
+
+
+def user_watermarks(statuses: DataFrame, keys: tuple[str, ...] = USER) -> DataFrame:
+    """Smallest and largest status id seen per user, or per batch and user."""
+    return statuses.groupBy(*keys).agg(
         F.min("status_id").alias("since_id"),
         F.max("status_id").alias("max_id"),
         F.count("*").alias("status_count"),
     )
 
 
-def merge_watermarks(marks: DataFrame) -> DataFrame:
-    """One row per user from the marks of several runs."""
-    return marks.groupBy("screen_name").agg(
+def merge_watermarks(marks: DataFrame, keys: tuple[str, ...] = USER) -> DataFrame:
+    """One row per user (or batch and user) from the marks of several runs."""
+    return marks.groupBy(*keys).agg(
         F.min("since_id").alias("since_id"),
         F.max("max_id").alias("max_id"),
         F.sum("status_count").alias("status_count"),
     )
 
 
-def beyond_watermarks(statuses: DataFrame, watermarks: DataFrame) -> DataFrame:
-    """Statuses not fetched yet, with the ``direction`` in which they extend the known range.
-
-    FORWARD: newer than the user's largest id. REVERSE: older than the smallest one. INITIAL:
-    the user has no marks. Ids on or between the marks were fetched before.
-    """
-    marks = watermarks.select("screen_name", "since_id", "max_id")
+def _directed(statuses: DataFrame, watermarks: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     direction = (
         F.when(F.col("max_id").isNull(), "INITIAL")
         .when(F.col("status_id") > F.col("max_id"), S.MODE_FORWARD)
         .when(F.col("status_id") < F.col("since_id"), S.MODE_REVERSE)
     )
-    return (
-        lookup_join(statuses, marks, "screen_name")
-        .withColumn("direction", direction)
-        .filter(F.col("direction").isNotNull())
-        .drop("since_id", "max_id")
-    )
+    marks = watermarks.select(*keys, "since_id", "max_id")
+    return lookup_join(statuses, marks, list(keys)).withColumn("direction", direction).drop("since_id", "max_id")
+
+
+def beyond_watermarks(statuses: DataFrame, watermarks: DataFrame, keys: tuple[str, ...] = USER) -> DataFrame:
+    """Statuses not fetched yet, with the ``direction`` in which they extend the known range.
+
+    FORWARD: newer than the user's largest id. REVERSE: older than the smallest one. INITIAL:
+    the user has no marks. Ids on or between the marks count as fetched; where they may land late,
+    ``unstored`` looks at each of them.
+    """
+    return _directed(statuses, watermarks, keys).filter(F.col("direction").isNotNull())
+
+
+def id_day(time: Column) -> Column:
+    """The folder in which the id of a status of that time is remembered."""
+    return F.coalesce(F.date_format(time, "yyyyMMdd"), F.lit("none"))
+
+
+def unstored(statuses: DataFrame, watermarks: DataFrame, stored: DataFrame) -> DataFrame:
+    """Statuses whose (batch, id) was not stored before, wherever it lies.
+
+    Beyond the marks of its batch and user a status is new. Ids between the marks may have landed late:
+    these, narrowed to key and day, are compared with ``stored`` (batch_name, status_id, day), of which only
+    their days are read, up to ``MAX_DAYS`` days. The few late ones found that way pick their rows.
+    """
+    directed = _directed(statuses, watermarks, BATCH_USER)
+    beyond = directed.filter(F.col("direction").isNotNull()).drop("direction")
+    inside = directed.filter(F.col("direction").isNull()).drop("direction")
+    key = ["batch_name", "status_id"]
+    narrow = inside.select(*key, id_day(F.col("created_at")).alias("day")).distinct()
+    days = [r.day for r in narrow.select("day").distinct().limit(MAX_DAYS + 1).collect()]
+    if not days:
+        return beyond
+    if len(days) <= MAX_DAYS:
+        stored = stored.filter(F.col("day").isin(days))
+    late = cut_lineage(narrow.join(stored, [*key, "day"], "left_anti").select(key), "late-ids")
+    few = late.limit(BROADCAST_ROWS + 1).count()
+    if few == 0:
+        return beyond
+    picked = F.broadcast(late) if few <= BROADCAST_ROWS else late
+    return beyond.unionByName(inside.join(picked, key, "left_semi").select(beyond.columns))
 
 
 def paging_modes(watched: DataFrame, statuses: DataFrame, earliest: Column | None = None,

@@ -15,41 +15,40 @@ def retweet_lineage(statuses: DataFrame, max_level: int | None = None) -> DataFr
 
     Columns: origin_id, ref_status_id (the retweeting status), status_id (the retweeted one), level (1
     for a direct retweet). Chains are followed to their ends, or to ``max_level`` if given; a
-    step to a status that the chain has reached before ends it, so cycles end, too.
+    step to a status that the chain has reached before ends it, so cycles end, too. A status retweets
+    one other; where copies of it disagree, the greatest id counts.
 
-    Only ids travel: each round joins the frontier to the (status_id, retweeted_status_id)
-    edges of retweets. A status may be retweeted by a large share of all rows, so a large
-    frontier is joined with hot ids salted; a small one is broadcast. The edges and each round
-    are written once, and the rounds stop when one is empty.
+    Chains double their reach in each round: the steps known of the status at a chain's end are put
+    behind it, so a chain of n steps takes about log2(n) rounds. Only ids travel. Many chains may end at one
+    status, which is met as one row with all its steps, with hot ids salted. Ids that only point
+    backwards cannot form cycles; otherwise each round drops the steps to statuses reached before.
     """
     edges = cut_lineage(
         statuses.filter(F.col("retweeted_status_id").isNotNull())
-        .select("status_id", "retweeted_status_id").distinct(),
-        "retweet-edges",
+        .groupBy("status_id").agg(F.max("retweeted_status_id").alias("next")), "retweet-edges",
     )
-    rounds = frontier = edges.select(
-        F.col("status_id").alias("origin_id"),
-        F.col("status_id").alias("ref_status_id"),
-        F.col("retweeted_status_id").alias("status_id"),
-        F.lit(1).alias("level"),
+    may_cycle = not edges.filter("next >= status_id").isEmpty()
+    steps = added = edges.select(
+        F.col("status_id").alias("origin_id"), F.col("status_id").alias("ref_status_id"),
+        F.col("next").alias("status_id"), F.lit(1).alias("level"),
     )
-    level = 1
-    while max_level is None or level < max_level:
-        level += 1
-        size = frontier.count()
-        if size == 0:
-            break
-        step = lookup_counted(frontier.select("origin_id", "status_id"), size, edges, "status_id").select(
-            "origin_id", F.col("status_id").alias("ref_status_id"),
-            F.col("retweeted_status_id").alias("status_id"), F.lit(level).alias("level"),
-        )
-        frontier = cut_lineage(
-            step.join(rounds.select("origin_id", "status_id"), ["origin_id", "status_id"], "left_anti")
-            .select(step.columns),
-            "retweet-round",
+    reach = 1
+    while max_level is None or reach < max_level:
+        ends = added.filter(F.col("level") == reach).select("origin_id", F.col("status_id").alias("end_id"))
+        known = steps.groupBy(F.col("origin_id").alias("end_id")).agg(
+            F.collect_list(F.struct("ref_status_id", "status_id", (F.col("level") + reach).alias("level"))).alias("steps")
         )
-        rounds = rounds.unionByName(frontier)
-    return rounds
+        if max_level is not None:
+            known = known.withColumn("steps", F.filter("steps", lambda s: s["level"] <= max_level))
+        met = lookup_join(ends, known, "end_id", "inner").select("origin_id", F.inline("steps"))
+        if may_cycle:
+            met = met.join(steps.select("origin_id", "status_id"), ["origin_id", "status_id"], "left_anti")
+        added = cut_lineage(met.select(steps.columns), "retweet-round")
+        if added.isEmpty():
+            break
+        steps = steps.unionByName(added)
+        reach *= 2
+    return steps
 
 
 def unroll_retweets(
@@ -109,24 +108,53 @@ def reply_threads(seeds: DataFrame, statuses: DataFrame, max_level: int | None =
     """Follow replies upwards from the seed statuses, to the roots (or ``max_level`` steps).
 
     Each status reached is returned once, at its smallest number of steps (``level``), with
-    the latest of the replies that reached it (``ref_status_id``). A round looks up the
-    parents of the statuses found in the round before; it never pairs the members of a thread.
+    the latest of the replies that reached it (``ref_status_id``).
+
+    Every status of a thread holds a pointer some steps up and its distance to the nearest seed below, as far
+    as known. A round hands distances over the pointers and then doubles them, so a thread of n
+    levels takes about log2(n) rounds. It ends when no distance gets shorter: farther ones can only
+    follow from those, in cycles, too. Distances to one status are combined map-side; a pointer to it is looked up
+    with hot ids salted.
     """
     links = statuses.select("status_id", "created_at", "in_reply_to_status_id")
-    frontier = links.join(seeds.select("status_id").distinct(), "status_id", "left_semi")
-    found, level = None, 0
-    while max_level is None or level < max_level:
-        level += 1
-        parents = last_replies(frontier)
-        if found is not None:
-            parents = parents.join(found.select("status_id"), "status_id", "left_anti")
-        frontier = cut_lineage(
-            lookup_join(parents, links, "status_id", "inner").withColumn("level", F.lit(level)), "reply-round"
+    pointers = links.groupBy("status_id").agg(F.max("in_reply_to_status_id").alias("up"))
+    parents = links.select(F.col("in_reply_to_status_id").alias("status_id")).dropna().distinct()
+    replies, roots = pointers.filter("up IS NOT NULL"), pointers.filter("up IS NULL")
+    start = seeds.select("status_id").distinct().withColumn("steps", F.lit(0))
+    nodes = cut_lineage(
+        replies.unionByName(roots.join(parents, "status_id", "left_semi")).join(start, "status_id", "left"),
+        "reply-nodes",
+    )
+    reach = 1
+    while max_level is None or reach <= max_level:
+        arrived = nodes.filter("up IS NOT NULL AND steps IS NOT NULL").groupBy(F.col("up").alias("status_id")).agg(
+            (F.min("steps") + reach).alias("arrived")
+        )
+        shorter = F.coalesce(F.col("arrived") < F.col("steps"), F.col("arrived").isNotNull())
+        handed = nodes.join(arrived, "status_id", "left").select(
+            "status_id", "up", F.least("steps", "arrived").alias("steps"), shorter.alias("is_shorter")
         )
-        if found is not None and frontier.isEmpty():
+        jumps = nodes.select(F.col("status_id").alias("up"), F.col("up").alias("far"))
+        nodes = cut_lineage(
+            lookup_join(handed, jumps, "up").select("status_id", F.col("far").alias("up"), "steps", "is_shorter"),
+            "reply-round",
+        )
+        if nodes.filter("is_shorter").isEmpty():
             break
-        found = frontier if found is None else found.unionByName(frontier)
-    return found.select("status_id", "ref_status_id", "level")
+        reach *= 2
+    below = links.filter("in_reply_to_status_id IS NOT NULL").join(
+        nodes.filter("steps IS NOT NULL").select("status_id", "steps"), "status_id"
+    )
+    last = below.groupBy(F.col("in_reply_to_status_id").alias("parent_id")).agg(
+        F.min(F.struct("steps", (-arrival_key(links)).alias("before"))).alias("first")
+    ).select(
+        F.col("parent_id").alias("status_id"), (-F.col("first.before")).alias("last"),
+        (F.col("first.steps") + 1).alias("level"),
+    )
+    found = last.join(nodes.select("status_id"), "status_id", "left_semi")
+    if max_level is not None:
+        found = found.filter(F.col("level") <= max_level)
+    return found.select("status_id", arrival_id("last").alias("ref_status_id"), "level")
 
 
 def follow_references(

@@ -15,7 +15,8 @@ from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sinks.state import BACKFILL, epoch_path, read_epochs, write_epoch
 from pulsegrid.sources.batch_config import batch_settings, watched_users
 
-_WATERMARKS = "screen_name string, since_id bigint, max_id bigint, status_count bigint"
+_WATERMARKS = "batch_name string, screen_name string, since_id bigint, max_id bigint, status_count bigint"
+_STORED = "batch_name string, status_id bigint, day string"
 _MODES = "batch_name string, screen_name string, paging_mode string"
 _PROCESSED = "status_id bigint"
 _USERS = "screen_name string"
@@ -54,21 +55,36 @@ def ready_batches(spark: SparkSession, store: Store, before: int) -> DataFrame:
 def timeline_rows(landed: DataFrame, watched: DataFrame, settings: DataFrame) -> DataFrame:
     """Statuses of watched users inside their batch's date range, as typed rows.
 
-    Watch list and settings come from configuration files, so they form one small table; the
-    range test is part of the join.
+    A user may be watched by several batches, each with its own range; the status is a row of each.
     """
-    wanted = watched.join(settings, "batch_name").select(
-        "batch_name", F.col("screen_name").alias("wanted_name"), "cutoff_min", "cutoff_max"
+    # one row per name with its batches, so that the rows of very active users can be spread
+    batches = watched.select("batch_name", "screen_name").distinct().join(settings, "batch_name").groupBy("screen_name").agg(
+        F.collect_set(F.struct("batch_name", "cutoff_min", "cutoff_max")).alias("batches")
     )
-    found = landed.join(
-        wanted,
-        (F.col("user.screen_name") == F.col("wanted_name"))
-        & (F.coalesce(F.col("created_at") >= F.col("cutoff_min"), F.lit(True)))
-        & (F.coalesce(F.col("created_at") <= F.col("cutoff_max"), F.lit(True))),
+    named = landed.withColumn("screen_name", F.col("user.screen_name"))
+    found = lookup_join(named, batches, "screen_name", "inner").withColumn("batch", F.explode("batches"))
+    inside = found.filter(
+        F.coalesce(F.col("created_at") >= F.col("batch.cutoff_min"), F.lit(True))
+        & F.coalesce(F.col("created_at") <= F.col("batch.cutoff_max"), F.lit(True))
+    ).withColumn("batch_name", F.col("batch.batch_name"))
+    name = F.col("screen_name")
+    return flatten.flatten_status(
+        inside, F.lit(S.BATCH_TIMELINE), name, name, keep=("batch_name", "user")
+    ).withColumn("screen_name", F.col("user.screen_name"))
+
+
+def stored_ids(spark: SparkSession, store: Store, before: int | None = None) -> DataFrame:
+    """(batch_name, status_id, day) of what the back-fill stored, in folders by day."""
+    schema = _schema(spark, _STORED)
+    return read_epochs(spark, store.state("stored_ids"), schema, BACKFILL if before is not None else None, before)
+
+
+def backfill_marks(spark: SparkSession, store: Store, before: int | None = None) -> DataFrame:
+    """The marks of every batch and user over all runs (before ``before``)."""
+    marks = read_epochs(
+        spark, store.state("watermarks"), _schema(spark, _WATERMARKS), BACKFILL if before is not None else None, before
     )
-    name = F.col("wanted_name")
-    typed = flatten.flatten_status(found, F.lit(S.BATCH_TIMELINE), name, name, keep=("batch_name", "user"))
-    return typed.withColumn("screen_name", F.col("user.screen_name"))
+    return incremental.merge_watermarks(marks, incremental.BATCH_USER)
 
 
 def all_rows(landed: DataFrame) -> DataFrame:
@@ -110,21 +126,22 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     """One back-fill run; ``run`` numbers the runs from 0.
 
     Repeating a run replaces its own results, and a run over unchanged input finds nothing
-    new, because ids between the stored marks are skipped. Every watched user is read in every
-    run: a history that lands later still extends the marks. A status that landed several times is
+    new. Marks belong to a batch and a user; ids beyond them are new, and ids between them are compared
+    with the ids stored, so what lands late is stored, too, and a user in several batches is read for
+    each. Every watched user is read in every run. A batch may come in several definitions that list
+    different users; their settings agree. A status that landed several times is
     stored once. References are followed as far as the batch's definition says, to the end where it
     says nothing, and never beyond ``max_level`` if that is given.
     """
     use_utc(spark)
-    settings = batch_settings(definitions)
+    settings = batch_settings(definitions).dropDuplicates(["batch_name"])
     watched = watched_users(definitions)
-    marks = read_epochs(spark, store.state("watermarks"), _schema(spark, _WATERMARKS), BACKFILL, run)
     processed = read_epochs(spark, store.state("processed_replies"), _schema(spark, _PROCESSED), BACKFILL, run)
     seen_users = read_epochs(spark, store.state("processed_users"), _schema(spark, _USERS), BACKFILL, run)
 
     in_range = timeline_rows(landed, watched, settings)
-    known = cut_lineage(incremental.merge_watermarks(marks), "marks")
-    fresh = incremental.beyond_watermarks(in_range, known).drop("direction")
+    known = cut_lineage(backfill_marks(spark, store, run), "marks")
+    fresh = incremental.unstored(in_range, known, stored_ids(spark, store, run))
     timeline = cut_lineage(dedupe.one_per_status(fresh, ("batch_name", "status_id")), "timeline")
     levels = timeline.join(F.broadcast(settings.select("batch_name", "ref_level")), "batch_name", "left")
     referenced = referenced_rows(levels, landed, processed, max_level)
@@ -147,7 +164,13 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     written = spark.read.parquet(epoch_path(store.table("users"), BACKFILL, run))
     write_epoch(written.select("screen_name"), store.state("processed_users"), BACKFILL, run)
     write_epoch(registry.register_users(rows), store.state("registry"), BACKFILL, run)
-    write_epoch(incremental.user_watermarks(timeline), store.state("watermarks"), BACKFILL, run)
+    ids = timeline.select("batch_name", "status_id", incremental.id_day(F.col("created_at")).alias("day"))
+    ids.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(
+        epoch_path(store.state("stored_ids"), BACKFILL, run)
+    )
+    write_epoch(
+        incremental.user_watermarks(timeline, incremental.BATCH_USER), store.state("watermarks"), BACKFILL, run
+    )
     write_epoch(rows.filter("via = 'reply'").select("status_id"), store.state("processed_replies"), BACKFILL, run)
 
     history = landed.select(F.col("user.screen_name").alias("screen_name"), "created_at")
@@ -174,7 +197,7 @@ def run_modes(watched: DataFrame, settings: DataFrame, timeline: DataFrame, hist
         .join(settings.select("batch_name", "cutoff_min"), "batch_name")
         .join(found, ["batch_name", "screen_name"], "left")
         .join(oldest, "screen_name", "left")
-        .join(known.select("screen_name", "max_id"), "screen_name", "left")
+        .join(known.select("batch_name", "screen_name", "max_id"), ["batch_name", "screen_name"], "left")
         .select("batch_name", "screen_name",
                 F.when(below | nothing_new, S.MODE_FORWARD).otherwise(S.MODE_REVERSE).alias("paging_mode"))
     )

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid import schemas as S
 from pulsegrid.operators import classify, dedupe, flatten, incremental, patterns, registry
-from pulsegrid.plans.backfill import Store, embedded_records
+from pulsegrid.operators.skew import lookup_join
+from pulsegrid.plans.backfill import Store, backfill_marks, embedded_records, stored_ids
 from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sinks.state import BACKFILL, LIVE, compact_epochs, epoch_path, read_epochs, write_epoch
 from pulsegrid.streaming.flows import AVAILABLE_NOW
@@ -53,19 +54,17 @@ def before_cutoff(landed: DataFrame, settings: DataFrame) -> DataFrame:
     return bounded.filter(F.col("cutoff_max").isNull() | (F.col("created_at") < F.col("cutoff_max"))).drop("cutoff_max")
 
 
-def above_marks(landed: DataFrame, store: Store) -> DataFrame:
-    """What the back-fill has not fetched: statuses above its marks, and the whole keyword stream.
+def unfetched(landed: DataFrame, store: Store) -> DataFrame:
+    """What the back-fill has not stored, and the whole keyword stream.
 
-    This is how a batch is handed over: the stream goes on where the back-fill ended.
+    This is how a batch is handed over: the stream goes on where the back-fill ended, and takes what
+    landed late between its marks.
     """
     spark = landed.sparkSession
-    ddl = "screen_name string, since_id bigint, max_id bigint, status_count bigint"
-    schema = spark.createDataFrame([], ddl).schema
-    marks = incremental.merge_watermarks(read_epochs(spark, store.state("watermarks"), schema, BACKFILL))
-    known = marks.select(F.col("screen_name").alias("_name"), F.col("max_id").alias("_max"))
-    joined = landed.join(known, landed["user.screen_name"] == known["_name"], "left")
-    fresh = F.col("_max").isNull() | (F.col("id") > F.col("_max")) | classify.is_tracker(F.col("batch_name"))
-    return joined.filter(fresh).drop("_name", "_max")
+    tracker = classify.is_tracker(F.col("batch_name"))
+    named = landed.filter(~tracker).withColumns({"screen_name": F.col("user.screen_name"), "status_id": F.col("id")})
+    fresh = incremental.unstored(named, backfill_marks(spark, store), stored_ids(spark, store))
+    return fresh.select(landed.columns).unionByName(landed.filter(tracker))
 
 
 def of_followed(landed: DataFrame, watched: DataFrame, store: Store, epoch: int) -> DataFrame:
@@ -79,11 +78,9 @@ def of_followed(landed: DataFrame, watched: DataFrame, store: Store, epoch: int)
     registered = read_epochs(spark, store.state("registry"), schema, LIVE, epoch)
     names = watched.select("batch_name", "screen_name").unionByName(registered).distinct()
     tracker = classify.is_tracker(F.col("batch_name"))
-    wanted = names.select(F.col("batch_name").alias("_batch"), F.col("screen_name").alias("_name"))
-    followed = landed.filter(~tracker).join(
-        wanted, (F.col("batch_name") == F.col("_batch")) & (F.col("user.screen_name") == F.col("_name")), "left_semi"
-    )
-    return followed.unionByName(landed.filter(tracker))
+    named = landed.filter(~tracker).withColumn("screen_name", F.col("user.screen_name"))
+    followed = lookup_join(named, names, ["batch_name", "screen_name"], "inner")
+    return followed.select(landed.columns).unionByName(landed.filter(tracker))
 
 
 def unrolled(rows: DataFrame) -> DataFrame:
@@ -152,15 +149,15 @@ def start_live(landed: DataFrame, watched: DataFrame, accounts: DataFrame, keywo
                hand_over: bool = False, follow_registered: bool = False) -> StreamingQuery:
     """Start collecting; the pattern table is read anew for every micro-batch.
 
-    ``settings`` (see ``batch_config.batch_settings``) end each batch at its latest date. ``hand_over`` starts
-    above the marks of the back-fill. ``follow_registered`` keeps what watched and discovered users
+    ``settings`` (see ``batch_config.batch_settings``) end each batch at its latest date. ``hand_over`` takes
+    what the back-fill has not stored. ``follow_registered`` keeps what watched and discovered users
     write. A checkpoint belongs to one store: epochs continue where it left off.
     """
     def handle(batch: DataFrame, epoch: int) -> None:
         if settings is not None:
             batch = before_cutoff(batch, settings)
         if hand_over:
-            batch = above_marks(batch, store)
+            batch = unfetched(batch, store)
         if follow_registered:
             batch = of_followed(batch, watched, store, epoch)
         keywords = batch.sparkSession.read.parquet(keyword_path)

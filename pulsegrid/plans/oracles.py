@@ -486,9 +486,11 @@ SELECT {_row_id('country', 'hashtag', 'day', 'month', 'year')} AS ssoid, country
 ORACLES["backfill_runs"] = f"""WITH {_STATUS}, {_WATCHED}
 SELECT status_id, st.batch_name, st.screen_name AS original_user, 'BATCH_TIMELINE' AS filter_type
 FROM st JOIN watched w ON w.batch_name = st.batch_name AND w.screen_name = st.screen_name
-WHERE created_at BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-21 18:30:00'"""
+WHERE created_at BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-21 18:30:00'
+UNION ALL SELECT status_id, 'wide', screen_name, 'BATCH_TIMELINE' FROM st
+WHERE user_id % 8 = 0 AND created_at <= TIMESTAMP '2024-01-18 00:00:00'"""
 ORACLES["handover"] = f"""WITH {_STATUS}
-SELECT status_id, batch_name, CASE WHEN created_at < TIMESTAMP '2024-01-15' THEN 'BATCH_TIMELINE'
+SELECT status_id, batch_name, CASE WHEN created_at < TIMESTAMP '2024-01-15' AND status_id % 3 <> 0 THEN 'BATCH_TIMELINE'
     ELSE 'STREAM_TIMELINE' END AS filter_type FROM st"""
 
 # -- streams --------------------------------------------------------------------------

@@ -641,29 +641,31 @@ def rollup_hashtag_country_day(spark, sf_dir):
 # -- jobs -----------------------------------------------------------------------------
 
 
-def _job_definitions(spark, sf_dir, watched, latest=""):
-    """One definition per batch with the watched users, no following of references."""
-    names = watched.groupBy("batch_name").agg(F.array_join(F.array_sort(F.collect_list("screen_name")), ",").alias("names"))
+def _job_definitions(spark, watched, earliest, latest):
+    """Definitions of at most 50 of the watched users each, no following of references."""
+    names = watched.groupBy("batch_name", F.expr("user_id div 200").alias("slice")).agg(
+        F.array_join(F.array_sort(F.collect_set("screen_name")), ",").alias("names"))
     keys = {
         "batchRunStartTime": F.lit(""), "batchCutOffMaxDate": F.lit(latest), "batchName": F.col("batch_name"),
-        "batchCutOffMinDate": F.date_format(_time(RANGE_START), "dd/MM/yyyy-HH:mm:ss"), "batchTrackStream": F.lit("false"),
+        "batchCutOffMinDate": F.lit(earliest), "batchTrackStream": F.lit("false"),
         "userNames": F.col("names"), "dateFormat": F.lit("dd/MM/yyyy-HH:mm:ss"), "batchRefLevel": F.lit("0"),
     }
-    return cut_lineage(names.select(*[c.alias(k) for k, c in keys.items()]), "definitions")
+    return names.select(*[c.alias(k) for k, c in keys.items()])
 
 
 @query
 def backfill_runs(spark, sf_dir):
-    """Three runs over a history that lands middle first, then older, then newer rows, some of them twice."""
+    """Three runs over a history that lands in waves of interleaved ids, some of them twice, for batches that share users."""
     landed = B.landed_records(spark, sf_dir).drop("batch_name")
     store, path = Store(shared_dir(spark, "backfill")), shared_dir(spark, "landed")
-    definitions = _job_definitions(spark, sf_dir, B.watched(spark, sf_dir), "21/01/2024-18:30:00")
-    waves = [
-        (F.col("created_at") >= "2024-01-10") & (F.col("created_at") < "2024-01-15"),
-        F.col("created_at") < "2024-01-10", F.col("created_at") >= "2024-01-15",
-    ]
-    for run, wave in enumerate(waves):
-        part = landed.filter(wave)
+    watched = B.watched(spark, sf_dir)
+    wide = watched.filter("user_id % 8 = 0").withColumn("batch_name", F.lit("wide"))
+    definitions = cut_lineage(
+        _job_definitions(spark, watched, "05/01/2024-06:00:00", "21/01/2024-18:30:00")
+        .unionByName(_job_definitions(spark, wide, "", "18/01/2024-00:00:00")), "definitions",
+    )
+    for run, wave in enumerate((1, 0, 2)):
+        part = landed.filter(f"id % 3 = {wave}")
         part.unionByName(part.filter("id % 5 = 0")).write.mode("append").parquet(path)
         run_backfill(spark, read_landed(spark, path), definitions, store, run)
     return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "original_user", "filter_type")
@@ -671,12 +673,12 @@ def backfill_runs(spark, sf_dir):
 
 @query
 def handover(spark, sf_dir):
-    """Back-fill of what landed first, then the stream of everything: each status is stored once."""
-    users = B.accounts(spark, sf_dir).selectExpr("concat('batch', user_id % 3) AS batch_name", "screen_name")
+    """Back-fill of what landed first, then the stream of everything: each status is stored once, late ones by the stream."""
+    users = B.accounts(spark, sf_dir).selectExpr("concat('batch', user_id % 3) AS batch_name", "screen_name", "user_id")
     landed = B.landed_records(spark, sf_dir)
     store, path, keywords = (Store(shared_dir(spark, "handover")), *(shared_dir(spark, n) for n in ("landed", "keywords")))
-    definitions = _job_definitions(spark, sf_dir, users).withColumn("batchCutOffMinDate", F.lit(""))
-    early = landed.filter(F.col("created_at") < STREAM_SPLIT).drop("batch_name")
+    definitions = cut_lineage(_job_definitions(spark, users, "", ""), "definitions")
+    early = landed.filter((F.col("created_at") < STREAM_SPLIT) & (F.col("id") % 3 != 0)).drop("batch_name")
     early.write.parquet(f"{path}/early")
     for run in (0, 1):  # the second run finds nothing, which ends the histories
         run_backfill(spark, read_landed(spark, f"{path}/early"), definitions, store, run)
@@ -687,7 +689,7 @@ def handover(spark, sf_dir):
     accounts = B.accounts(spark, sf_dir).select("screen_name", "original_user")
     flows.finish(start_live(
         source, users, accounts, keywords, store, shared_dir(spark, "checkpoint"),
-        settings=batch_settings(definitions), hand_over=True,
+        settings=batch_settings(definitions).dropDuplicates(["batch_name"]), hand_over=True,
     ))
     return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "filter_type")
 

@@ -207,3 +207,18 @@ def test_json_stream_source(spark, tmp_path):
              .option("checkpointLocation", f"{tmp_path}/c").start())
     assert query.awaitTermination(120)
     assert [tuple(r) for r in spark.table("json_in").collect()] == [(1, "w")]
+
+
+def test_late_ids_between_the_marks_are_stored(spark, tmp_path):
+    path, store = f"{tmp_path}/landed", Store(f"{tmp_path}/store")
+    early = definition(spark, "w")
+    late = definition(spark, "w,v").withColumn("batchName", F.lit("c")).withColumn(
+        "batchCutOffMinDate", F.lit("01/01/2024-04:00:00"))
+    both = early.unionByName(late)
+    land(spark, path, record(1, "w", 1), record(5, "w", 5), record(9, "w", 9))
+    run_backfill(spark, read_landed(spark, path), both, store, 0)
+    land(spark, path, record(3, "w", 3), record(5, "w", 5), record(7, "w", 7), record(8, "v", 8))
+    run_backfill(spark, read_landed(spark, path), both, store, 1)
+    run_backfill(spark, read_landed(spark, path), both, store, 2)
+    got = sorted((r[3], r[0]) for r in stored(spark, store))
+    assert got == [("b", i) for i in (1, 3, 5, 7, 9)] + [("c", i) for i in (5, 7, 8, 9)]

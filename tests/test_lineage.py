@@ -1,5 +1,7 @@
 """Retweet chains, replies, skewed lookups and de-duplication."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import dedupe, lineage, skew
@@ -33,6 +35,50 @@ def test_long_chains_are_followed_to_the_end(spark):
     assert lineage.follow_references(ring, ring, none).count() <= 9
 
 
+def counted_rounds(monkeypatch, purpose):
+    names, write = [], lineage.cut_lineage
+    monkeypatch.setattr(lineage, "cut_lineage", lambda df, name: (names.append(name), write(df, name))[1])
+    return lambda: names.count(purpose)
+
+
+def test_rounds_are_the_logarithm_of_the_chain(spark, monkeypatch):
+    df = spark.range(10_001).selectExpr(
+        "id AS status_id", "id AS created_at", "nullif(id, 0) - 1 AS in_reply_to_status_id",
+        "if(id % 200 = 0, NULL, id - 1) AS retweeted_status_id")
+    rounds = counted_rounds(monkeypatch, "reply-round")
+    rows = lineage.reply_threads(df.filter("status_id = 10000"), df)
+    assert rows.filter("level = 10000 - status_id AND ref_status_id = status_id + 1").count() == 10_000
+    assert rounds() <= 15
+    rounds = counted_rounds(monkeypatch, "retweet-round")
+    rows = lineage.retweet_lineage(df)
+    assert rows.count() == 50 * sum(range(200))
+    assert rows.filter("level = origin_id - status_id AND ref_status_id = status_id + 1").count() == rows.count()
+    assert rounds() <= 9
+
+
+def test_random_pointers_with_cycles(spark):
+    rng = random.Random(4)
+    up = {i: rng.choice([None, rng.randrange(60), rng.randrange(60)]) for i in range(50)}
+    df = links(spark, [(i, up[i], up[i]) for i in up])
+    chains, near = set(), {}
+    seeds = [3, 11, 17, 29, 40]
+    for i in up:
+        at, seen = i, []
+        while at in up and up[at] is not None and up[at] not in seen:
+            seen.append(up[at])
+            chains.add((i, at, up[at], len(seen)))
+            at = up[at]
+    for i, _, j, level in chains:
+        if i in seeds and j in up:
+            near[j] = min(near.get(j, level), level)
+    assert {tuple(r) for r in lineage.retweet_lineage(df).collect()} == chains
+    assert {tuple(r) for r in lineage.retweet_lineage(df, 3).collect()} == {c for c in chains if c[3] <= 3}
+    got = {r.status_id: (r.level, r.ref_status_id) for r in lineage.reply_threads(df.filter(F.col("status_id").isin(seeds)), df).collect()}
+    steps = {s: 0 for s in seeds} | {j: n for j, n in near.items() if j not in seeds}
+    want = {j: (n, max(c for c in up if up[c] == j and steps.get(c) == n - 1)) for j, n in near.items()}
+    assert got == want
+
+
 def test_embedded_originals(spark):
     ddl = LINKS + ", filter_type string, original_user string, derived_user string"
     rows = spark.createDataFrame([(5, 5, 4, None, "T", "o", "d")], ddl)
