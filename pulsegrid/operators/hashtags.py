@@ -39,9 +39,17 @@ def top_hashtags(statuses: DataFrame, top: int = 5, for_users: DataFrame | None
     counts = hashtag_counts(statuses)
     if for_users is not None:
         counts = counts.join(for_users.select("original_user"), "original_user", "left_semi")
-    order = Window.partitionBy("original_user").orderBy(
-        F.desc("record_count"), "derived_user", "hashtag"
-    )
+    return top_counted(counts, top)
+
+
+def merge_counts(counts: DataFrame) -> DataFrame:
+    """The sums of ``hashtag_counts`` over parts of the statuses."""
+    return counts.groupBy("original_user", "derived_user", "hashtag").agg(F.sum("record_count").alias("record_count"))
+
+
+def top_counted(counts: DataFrame, top: int = 5) -> DataFrame:
+    """The largest ``top`` counts of each original user, ranked from 1; ties by name."""
+    order = Window.partitionBy("original_user").orderBy(F.desc("record_count"), "derived_user", "hashtag")
     return counts.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= top)
 
 

@@ -12,7 +12,7 @@ from pulsegrid.operators import dedupe, flatten, incremental, lineage, registry
 from pulsegrid.operators.skew import lookup_join
 from pulsegrid.session import cut_lineage, use_utc
 from pulsegrid.sinks.routed import with_bucket, write_routed
-from pulsegrid.sinks.state import BACKFILL, epoch_path, read_epochs, write_epoch
+from pulsegrid.sinks.state import BACKFILL, epoch_path, read_epochs, replace_epoch, write_epoch
 from pulsegrid.sources.batch_config import batch_settings, watched_users
 
 _WATERMARKS = "batch_name string, screen_name string, since_id bigint, max_id bigint, status_count bigint"
@@ -160,14 +160,12 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     users = flatten.flatten_user(
         authors, F.col("filter_type"), F.col("original_user"), F.col("derived_user"), F.col("system_create_ts")
     )
-    write_epoch(users, store.table("users"), BACKFILL, run)
+    replace_epoch(users, store.table("users"), BACKFILL, run)
     written = spark.read.parquet(epoch_path(store.table("users"), BACKFILL, run))
     write_epoch(written.select("screen_name"), store.state("processed_users"), BACKFILL, run)
     write_epoch(registry.register_users(rows), store.state("registry"), BACKFILL, run)
     ids = timeline.select("batch_name", "status_id", incremental.id_day(F.col("created_at")).alias("day"))
-    ids.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(
-        epoch_path(store.state("stored_ids"), BACKFILL, run)
-    )
+    write_epoch(ids.hint("rebalance", "day"), store.state("stored_ids"), BACKFILL, run, ("day",))
     write_epoch(
         incremental.user_watermarks(timeline, incremental.BATCH_USER), store.state("watermarks"), BACKFILL, run
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,8 +12,8 @@ from pulsegrid.operators import classify, dedupe, flatten, incremental, patterns
 from pulsegrid.operators.skew import lookup_join
 from pulsegrid.plans.backfill import Store, backfill_marks, embedded_records, stored_ids
 from pulsegrid.sinks.routed import with_bucket, write_routed
-from pulsegrid.sinks.state import BACKFILL, LIVE, compact_epochs, epoch_path, read_epochs, write_epoch
-from pulsegrid.streaming.flows import AVAILABLE_NOW
+from pulsegrid.sinks.state import LIVE, compact_epochs, epoch_path, read_epochs, replace_epoch, write_epoch
+from pulsegrid.streaming.flows import AVAILABLE_NOW, read_keywords
 
 
 MAX_BROADCAST_NAMES = 500_000
@@ -101,7 +102,7 @@ def compact_state(spark: SparkSession, store: Store, upto: int) -> None:
     """Merge the stream's state tables up to an epoch that is closed."""
     users = spark.createDataFrame([], "screen_name string").schema
     compact_epochs(spark, store.state("processed_users"), users, LIVE, upto, lambda rows: rows.distinct())
-    known = spark.read.parquet(store.state("registry")).drop("writer", "epoch").schema
+    known = spark.read.parquet(store.state("registry")).drop("writer", "epoch", "attempt").schema
     compact_epochs(spark, store.state("registry"), known, LIVE, upto, registry.merge_registrations)
 
 
@@ -131,7 +132,7 @@ def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
         users = flatten.flatten_user(
             authors, F.col("filter_type"), F.col("original_user"), F.col("derived_user"), F.col("system_create_ts")
         )
-        write_epoch(users, store.table("users"), LIVE, epoch)
+        replace_epoch(users, store.table("users"), LIVE, epoch)
         written = spark.read.parquet(epoch_path(store.table("users"), LIVE, epoch))
         write_epoch(written.select("screen_name"), user_path, LIVE, epoch)
         discovered = accepted.filter(F.col("retweeted_status.user.screen_name").isNotNull()).select(
@@ -144,23 +145,78 @@ def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
         rows.unpersist()
 
 
+def note_progress(landed: DataFrame, store: Store, epoch: int) -> None:
+    """The newest status time that each batch has met in this micro-batch, as state."""
+    newest = landed.groupBy("batch_name").agg(F.max("created_at").alias("newest"))
+    write_epoch(newest, store.state("progress"), LIVE, epoch)
+    if epoch and epoch % COMPACT_EVERY == 0:
+        compact_epochs(landed.sparkSession, store.state("progress"), newest.schema, LIVE, epoch - 1, _newest)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("batch_name").agg(F.max("newest").alias("newest"))
+
+
+class BatchesEnded(Exception):
+    """Raised in place of a micro-batch that begins when all batches have passed their latest dates."""
+
+
+def has_ended(spark: SparkSession, store: Store, settings: DataFrame, before: int | None = None) -> bool:
+    """Whether every batch has met a status at or behind its latest date; an open date never ends."""
+    schema = spark.createDataFrame([], "batch_name string, newest timestamp").schema
+    seen = _newest(read_epochs(spark, store.state("progress"), schema, LIVE, before))
+    left = settings.join(seen, "batch_name", "left").filter(
+        F.col("cutoff_max").isNull() | F.col("newest").isNull() | (F.col("newest") < F.col("cutoff_max"))
+    )
+    return left.isEmpty()
+
+
+def run_to_end(query: StreamingQuery, store: Store, settings: DataFrame, poll_sec: float = 5,
+               timeout_sec: int | None = None) -> None:
+    """Wait until a query of ``start_live(stop_at_latest=True)`` has ended; an idle one is stopped here.
+
+    No micro-batch is cut off: a busy query ends before its next one, which stays unread in the checkpoint.
+    """
+    waited = 0.0
+    try:
+        while not query.awaitTermination(poll_sec):
+            waited += poll_sec
+            status = query.status
+            idle = not status["isDataAvailable"] and not status["isTriggerActive"]
+            if idle and has_ended(settings.sparkSession, store, settings):
+                query.stop()
+                return
+            if timeout_sec is not None and waited >= timeout_sec:
+                query.stop()
+                raise TimeoutError(f"batches did not reach their latest dates in {timeout_sec} s")
+    except StreamingQueryException as error:
+        if BatchesEnded.__name__ not in str(error):
+            raise
+
+
 def start_live(landed: DataFrame, watched: DataFrame, accounts: DataFrame, keyword_path: str, store: Store,
                checkpoint: str, trigger: dict = AVAILABLE_NOW, settings: DataFrame | None = None,
-               hand_over: bool = False, follow_registered: bool = False) -> StreamingQuery:
+               hand_over: bool = False, follow_registered: bool = False,
+               stop_at_latest: bool = False) -> StreamingQuery:
     """Start collecting; the pattern table is read anew for every micro-batch.
 
-    ``settings`` (see ``batch_config.batch_settings``) end each batch at its latest date. ``hand_over`` takes
+    ``settings`` (see ``batch_config.batch_settings``) end each batch at its latest date;
+    with ``stop_at_latest`` the query ends when all are past it (``run_to_end``). ``hand_over`` takes
     what the back-fill has not stored. ``follow_registered`` keeps what watched and discovered users
     write. A checkpoint belongs to one store: epochs continue where it left off.
     """
     def handle(batch: DataFrame, epoch: int) -> None:
+        if stop_at_latest:
+            if has_ended(batch.sparkSession, store, settings, epoch):
+                raise BatchesEnded("all batches are past their latest dates")
+            note_progress(batch, store, epoch)
         if settings is not None:
             batch = before_cutoff(batch, settings)
         if hand_over:
             batch = unfetched(batch, store)
         if follow_registered:
             batch = of_followed(batch, watched, store, epoch)
-        keywords = batch.sparkSession.read.parquet(keyword_path)
+        keywords = read_keywords(batch.sparkSession, keyword_path)
         store_micro_batch(classify_landed(batch, watched, accounts, keywords), store, epoch)
 
     return (

@@ -493,6 +493,10 @@ ORACLES["handover"] = f"""WITH {_STATUS}
 SELECT status_id, batch_name, CASE WHEN created_at < TIMESTAMP '2024-01-15' AND status_id % 3 <> 0 THEN 'BATCH_TIMELINE'
     ELSE 'STREAM_TIMELINE' END AS filter_type FROM st"""
 
+ORACLES["stream_until_date"] = f"""WITH {_STATUS}
+SELECT status_id, batch_name, 'STREAM_TIMELINE' AS filter_type FROM st WHERE created_at < TIMESTAMP '2024-01-15'"""
+ORACLES["stream_refresh"] = ORACLES["rollup_client_country_hour"]
+
 # -- streams --------------------------------------------------------------------------
 
 ORACLES["stream_classify"] = ORACLES["status_classify"]

@@ -18,7 +18,7 @@ from pulsegrid.operators import (
 from pulsegrid.plans import bindings as B
 from pulsegrid.plans import refresh
 from pulsegrid.plans.backfill import Store, ready_batches, run_backfill
-from pulsegrid.plans.live import start_live
+from pulsegrid.plans.live import run_to_end, start_live
 from pulsegrid.session import cut_lineage, shared_dir, use_utc
 from pulsegrid.sinks.delimited import delimited_line, write_delimited
 from pulsegrid.sinks.load import load_files
@@ -694,6 +694,56 @@ def handover(spark, sf_dir):
     return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "filter_type")
 
 
+@query
+def stream_until_date(spark, sf_dir):
+    """A running stream of files in order of time that ends by itself behind the latest date of all batches."""
+    users = B.accounts(spark, sf_dir).selectExpr("concat('batch', user_id % 3) AS batch_name", "screen_name", "user_id")
+    landed = B.landed_records(spark, sf_dir)
+    store, path, keywords = (Store(shared_dir(spark, "until")), *(shared_dir(spark, n) for n in ("landed", "keywords")))
+    bounds = ["2024-01-08", "2024-01-16", "2024-01-20", "2024-01-24"]
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = landed if low is None else landed.filter(F.col("created_at") >= low)
+        part = part if high is None else part.filter(F.col("created_at") < high)
+        part.coalesce(1).write.mode("append").parquet(path)
+    definitions = cut_lineage(_job_definitions(spark, users, "", "15/01/2024-00:00:00"), "definitions")
+    settings = batch_settings(definitions).dropDuplicates(["batch_name"])
+    patterns.pattern_keywords(_top_pairs(spark, sf_dir)).write.parquet(keywords)
+    source = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    accounts = B.accounts(spark, sf_dir).select("screen_name", "original_user")
+    running = start_live(
+        source, users, accounts, keywords, store, shared_dir(spark, "checkpoint"), {"processingTime": "1 second"},
+        settings=settings, stop_at_latest=True,
+    )
+    run_to_end(running, store, settings)
+    return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "filter_type")
+
+
+@query
+def stream_refresh(spark, sf_dir):
+    """Derived tables kept up to date by a running stream: two waves, the second with late replies and messages."""
+    rows = B.replying_statuses(spark, sf_dir).select(
+        "status_id", "original_user", "user_id", F.col("screen_name").alias("user_code"), "created_at", "text",
+        "hashtags", "in_reply_to_user_id",
+    )
+    root, path = shared_dir(spark, "refresh"), shared_dir(spark, "loaded")
+    waves = (rows.filter("status_id % 4 <> 0"), rows.filter("status_id % 4 = 0"))
+    waves[0].write.mode("append").parquet(path)
+    running = refresh.start_refresh(
+        spark.readStream.schema(rows.schema).parquet(path), cut_lineage(_countries(spark, sf_dir), "countries"),
+        B.accounts(spark, sf_dir), B.LEXICON, root, shared_dir(spark, "checkpoint"), {"processingTime": "1 second"},
+    )
+    try:
+        running.processAllAvailable()
+        waves[1].write.mode("append").parquet(path)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(f"{root}/client_country").select(
+        "ssoid", "client", "country", "sentiment_score", "non_responded_user_count",
+        _big("hour"), _big("day"), _big("month"), _big("year"),
+    )
+
+
 # -- streams --------------------------------------------------------------------------
 
 
@@ -725,14 +775,18 @@ def stream_roll_counts(spark, sf_dir):
 
 @query
 def stream_keyword_refresh(spark, sf_dir):
-    """The pattern table changes while the stream runs: the second half meets the second table."""
-    table, out, checkpoint = (shared_dir(spark, n) for n in ("patterns", "stream-tracked", "checkpoint"))
+    """The pattern table changes while the stream runs: the second half meets the second table.
+
+    Each refresh reads only the statuses of its half and adds their counts to those before.
+    """
+    counts, table, out, checkpoint = (
+        shared_dir(spark, n) for n in ("pattern-counts", "patterns", "stream-tracked", "checkpoint"))
     path, split = shared_dir(spark, "event-files"), _time(STREAM_SPLIT)
     events, rows = B.table(spark, sf_dir, "events"), B.statuses(spark, sf_dir)
     halves = ((events.filter(F.col("ts") < split), rows.filter(F.col("created_at") < split)),
-              (events.filter(F.col("ts") >= split), rows))
-    for landed, known in halves:
-        flows.refresh_patterns(known, table)
+              (events.filter(F.col("ts") >= split), rows.filter(F.col("created_at") >= split)))
+    for epoch, (landed, loaded) in enumerate(halves):
+        flows.refresh_patterns(loaded, counts, table, epoch)
         landed.repartition(2, F.xxhash64("event_id")).write.mode("append").parquet(path)
         tracked = B.status_stream(spark, sf_dir, path).filter(F.col("filter_type") == S.STREAM_TRACKER)
         flows.finish(flows.track_to_epochs(tracked, table, out, checkpoint))

@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from pulsegrid.operators import hashtags
 from pulsegrid.operators.classify import classify_followed, classify_tracked
-from pulsegrid.operators.hashtags import top_hashtags
 from pulsegrid.operators.patterns import match_keywords, pattern_keywords
 from pulsegrid.operators.registry import merge_registrations, register_users
 from pulsegrid.functions.times import file_stamp
-from pulsegrid.sinks.state import LIVE, read_epochs, write_epoch
+from pulsegrid.sinks.state import (
+    LIVE, compact_epochs, read_epochs, read_table, replace_epoch, replace_table, write_epoch,
+)
 
 # What is waiting now is read and the query ends; pass {"processingTime": ..} to keep running.
 AVAILABLE_NOW = {"availableNow": True}
+COMPACT_EVERY = 100
 
 
 def finish(query: StreamingQuery, timeout_sec: int | None = None) -> None:
@@ -54,14 +57,25 @@ def first_users_to_files(statuses: DataFrame, out: str, checkpoint: str,
     return _started(writer.outputMode("append"), checkpoint, trigger)
 
 
+_ROLLS = "batch_name string, bucket string, record_count bigint"
+
+
+def _sum_rolls(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("batch_name", "bucket").agg(F.sum("record_count").alias("record_count"))
+
+
 def roll_counts(statuses: DataFrame, out: str, checkpoint: str, interval: str = "8 minutes",
-                trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
+                trigger: dict = AVAILABLE_NOW, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Rows per batch and time bucket, whatever order the statuses arrive in.
 
-    Each micro-batch writes its own partial counts to its epoch folder and keeps no state;
-    ``read_roll_counts`` adds them up, so a row is never too late.
+    Each micro-batch writes its own partial counts as an epoch and keeps no state;
+    ``read_roll_counts`` adds them up, so a row is never too late. Every ``compact_every`` epochs the closed
+    ones are summed into one, so what is read follows the buckets and not the age of the stream.
     """
     def count(rows: DataFrame, epoch: int) -> None:
+        spark = rows.sparkSession
+        if epoch and epoch % compact_every == 0:
+            compact_epochs(spark, out, spark.createDataFrame([], _ROLLS).schema, LIVE, epoch - 1, _sum_rolls)
         counts = rows.groupBy("batch_name", F.window("created_at", interval).alias("bucket")).agg(
             F.count("*").alias("record_count")
         )
@@ -73,14 +87,33 @@ def roll_counts(statuses: DataFrame, out: str, checkpoint: str, interval: str =
 
 def read_roll_counts(spark: SparkSession, out: str) -> DataFrame:
     """The sum of all epochs' partial counts."""
-    schema = "batch_name string, bucket string, record_count bigint"
-    rows = read_epochs(spark, out, spark.createDataFrame([], schema).schema)
-    return rows.groupBy("batch_name", "bucket").agg(F.sum("record_count").alias("record_count"))
+    return _sum_rolls(read_epochs(spark, out, spark.createDataFrame([], _ROLLS).schema))
+
+
+_COUNTS = "original_user string, derived_user string, hashtag string, record_count bigint"
+_KEYWORDS = "org_pos int, org string, kw_pos int, der string, tag string"
+
+
+def refresh_patterns(new_rows: DataFrame, counts_path: str, path: str, epoch: int, top: int = 5,
+                     compact_every: int = COMPACT_EVERY) -> None:
+    """Bring the pattern table up to date with the statuses loaded since the last refresh.
+
+    Only the new rows are read: their counts per account, user and hashtag are added as an epoch, and the top
+    patterns come from the summed counts, which are as many as there are pairs, not statuses. A refresh that is
+    repeated replaces its epoch. The table gets a new version; streams that read the version before go on.
+    """
+    spark = new_rows.sparkSession
+    schema = spark.createDataFrame([], _COUNTS).schema
+    if epoch and epoch % compact_every == 0:
+        compact_epochs(spark, counts_path, schema, LIVE, epoch - 1, hashtags.merge_counts)
+    write_epoch(hashtags.hashtag_counts(new_rows), counts_path, LIVE, epoch)
+    counts = hashtags.merge_counts(read_epochs(spark, counts_path, schema))
+    replace_table(pattern_keywords(hashtags.top_counted(counts, top)), path, "patterns")
 
 
-def refresh_patterns(statuses: DataFrame, path: str, top: int = 5) -> None:
-    """Recompute the pattern table from the loaded statuses, as the periodic refresh does."""
-    pattern_keywords(top_hashtags(statuses, top)).write.mode("overwrite").parquet(path)
+def read_keywords(spark: SparkSession, path: str) -> DataFrame:
+    """The pattern table as it is now."""
+    return read_table(spark, path, spark.createDataFrame([], _KEYWORDS).schema)
 
 
 def track_to_epochs(statuses: DataFrame, pattern_path: str, out: str, checkpoint: str,
@@ -91,8 +124,8 @@ def track_to_epochs(statuses: DataFrame, pattern_path: str, out: str, checkpoint
     torn down. Matched rows, accepted or rejected (``kind``), go to the epoch's folder.
     """
     def match(rows: DataFrame, epoch: int) -> None:
-        keywords = rows.sparkSession.read.parquet(pattern_path)
-        write_epoch(classify_tracked(match_keywords(rows, keywords)), out, LIVE, epoch)
+        keywords = read_keywords(rows.sparkSession, pattern_path)
+        replace_epoch(classify_tracked(match_keywords(rows, keywords)), out, LIVE, epoch)
 
     return _started(statuses.writeStream.foreachBatch(match), checkpoint, trigger)
 
