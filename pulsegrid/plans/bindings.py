@@ -216,9 +216,15 @@ def long_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` in the landed schema, with the ids and texts that the jobs use; no references."""
+def landed_records(spark: SparkSession, sf_dir: str, retweets: bool = False) -> DataFrame:
+    """``events`` in the landed schema, with the ids and texts that the jobs use.
+
+    With ``retweets`` they hold the record of the retweeted status, else no references.
+    """
     rows = statuses(spark, sf_dir)
+    if retweets:
+        inner = table(spark, sf_dir, "events").selectExpr("event_id AS retweeted_status_id", "user_id AS inner_user")
+        rows = rows.join(inner, "retweeted_status_id", "left")
     given = {
         "id": F.col("status_id"), "created_at": F.col("created_at").cast("timestamp"), "text": F.col("text"),
         "hashtags": F.col("hashtags"), "mentions": F.col("mentions"),
@@ -231,6 +237,15 @@ def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             return F.struct(*[value(f, user).alias(f.name) for f in field.dataType.fields])
         return known.get(field.name, F.lit(None)).cast(field.dataType)
 
+    if retweets:
+        kind = schema["retweeted_status"].dataType
+        known = {"id": F.col("retweeted_status_id"), "text": F.lit("inside")}
+        author = {"id": F.col("inner_user"), "screen_name": F.concat(F.lit("u"), F.col("inner_user"))}
+        of_author = F.struct(*[value(f, author).alias(f.name) for f in kind["user"].dataType.fields])
+        inside = F.struct(*[
+            (of_author if f.name == "user" else value(f, known)).alias(f.name) for f in kind.fields
+        ])
+        given["retweeted_status"] = F.when(F.col("inner_user").isNotNull(), inside)
     return rows.select(*[value(f, given).alias(f.name) for f in schema.fields], "batch_name")
 
 

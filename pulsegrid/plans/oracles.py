@@ -495,6 +495,13 @@ SELECT status_id, batch_name, CASE WHEN created_at < TIMESTAMP '2024-01-15' AND
 
 ORACLES["stream_until_date"] = f"""WITH {_STATUS}
 SELECT status_id, batch_name, 'STREAM_TIMELINE' AS filter_type FROM st WHERE created_at < TIMESTAMP '2024-01-15'"""
+ORACLES["stream_discovered_users"] = f"""WITH {_STATUS},
+first_wave AS (SELECT * FROM st WHERE status_id % 2 = 0 AND user_id % 10 = 0),
+found AS (SELECT DISTINCT e.user_id FROM first_wave f JOIN events e ON e.event_id = f.retweeted_status_id),
+kept AS (SELECT * FROM first_wave UNION ALL SELECT * FROM st
+    WHERE status_id % 2 = 1 AND (user_id % 10 = 0 OR user_id IN (SELECT user_id FROM found)))
+SELECT status_id, 'all' AS batch_name, CASE WHEN user_id % 10 = 0 THEN 'STREAM_TIMELINE' ELSE 'STREAM_REFERENCE' END AS filter_type,
+    CASE WHEN user_id % 10 = 0 THEN 'org' || (user_id % 10) END AS account FROM kept"""
 ORACLES["stream_refresh"] = ORACLES["rollup_client_country_hour"]
 
 # -- streams --------------------------------------------------------------------------

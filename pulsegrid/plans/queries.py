@@ -718,6 +718,23 @@ def stream_until_date(spark, sf_dir):
     return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "filter_type")
 
 
+@query
+def stream_discovered_users(spark, sf_dir):
+    """Authors that watched users retweet in one micro-batch are followed from the next one on."""
+    landed = B.landed_records(spark, sf_dir, retweets=True).withColumn("batch_name", F.lit("all"))
+    store, path, keywords, checkpoint = (
+        Store(shared_dir(spark, "discovered")), *(shared_dir(spark, n) for n in ("landed", "keywords", "checkpoint")))
+    users = B.accounts(spark, sf_dir).filter("user_id % 10 = 0").selectExpr("'all' AS batch_name", "screen_name")
+    accounts = B.accounts(spark, sf_dir).select("screen_name", "original_user")
+    patterns.pattern_keywords(_top_pairs(spark, sf_dir)).write.parquet(keywords)
+    for wave in (0, 1):
+        landed.filter(f"id % 2 = {wave}").write.mode("append").parquet(path)
+        source = spark.readStream.schema(landed.schema).parquet(path)
+        flows.finish(start_live(source, users, accounts, keywords, store, checkpoint, follow_registered=True))
+    rows = spark.read.parquet(store.table("statuses")).filter("ref_status_id IS NULL")
+    return rows.select("status_id", "batch_name", "filter_type", F.col("original_user").alias("account"))
+
+
 @query
 def stream_refresh(spark, sf_dir):
     """Derived tables kept up to date by a running stream: two waves, the second with late replies and messages."""

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 from pulsegrid.operators.audit import load_counts, with_length_check
-from pulsegrid.schemas import text_schema
 from pulsegrid.session import cut_lineage, drop_table
+from pulsegrid.sinks.state import replace_epoch
 from pulsegrid.sources.delimited import read_delimited
 
 _LAYOUTS = {S.KIND_STATUS: S.wide_status_columns, S.KIND_USER: S.wide_user_columns}
@@ -30,37 +32,14 @@ MALFORMED = "wrong number of fields"
 TOO_LONG = "field too long"
 
 
-def landed_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, file_id) of all files below ``path``: the full path, and its hash as a folder name.
-
-    Only the listing is read, not the files.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("_metadata.file_path").alias("file_name")).withColumn("file_id", F.md5("file_name"))
+FILES_AT_ONCE = 1000
+LOAD, RETRY = "load", "retry"
+_AUDIT = "file_id string, file_name string, accepted_rows bigint, rejected_rows bigint, is_loaded boolean, loaded_at timestamp"
 
 
-def new_files(spark: SparkSession, path: str, audit_path: str) -> list[str]:
-    """Full paths of the files that the audit table does not mark as loaded."""
-    files = landed_files(spark, path)
-    try:
-        done = spark.read.parquet(audit_path).filter("is_loaded").select("file_id").distinct()
-    except AnalysisException as error:  # first load: no audit table yet
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        done = None
-    left = files if done is None else files.join(done, "file_id", "left_anti")
-    return sorted(r.file_name for r in left.select("file_name").collect())
-
-
-def checked_rows(spark: SparkSession, files: list[str], columns: list[str], compat: bool = False) -> DataFrame:
-    """Rows of the files with ``reason`` for those to reject, ``longest`` and ``accepted``."""
-    if not files:
-        rows = spark.createDataFrame([], text_schema([*columns, "malformed", "file_name"]))
-    else:
-        rows = read_delimited(spark, files, columns, compat, "malformed").withColumn(
-            "file_name", F.col("_metadata.file_path")
-        )
-    sized = with_length_check(rows.select(*columns, F.struct("malformed", "file_name").alias("line")))
+def checked_rows(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of files with ``reason`` for those to reject, ``longest`` and ``accepted``."""
+    sized = with_length_check(lines.select(*columns, F.struct("malformed", "file_name").alias("line")))
     reason = F.when(F.col("line.malformed").isNotNull(), MALFORMED).when(~F.col("accepted"), TOO_LONG)
     return sized.select(
         *columns, "longest", reason.alias("reason"), reason.isNull().alias("accepted"),
@@ -69,38 +48,72 @@ def checked_rows(spark: SparkSession, files: list[str], columns: list[str], comp
     )
 
 
+def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    """The counts of all loads, with the ``writer`` and ``epoch`` that wrote them; empty before the first one."""
+    schema = spark.createDataFrame([], f"{_AUDIT}, writer string, epoch bigint").schema
+    try:
+        return spark.read.schema(schema).parquet(audit_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def load_files(spark: SparkSession, path: str, table_path: str, audit_path: str,
                columns: list[str] | None = None, compat: bool = False,
                reject_path: str | None = None) -> DataFrame:
     """Append accepted rows of new files to the table and their counts to the audit table.
 
-    A file is known by its full path, so equal names in different folders are different files,
-    and only files that are new are read. Rejected rows (wrong number of fields, or a field over the limit)
+    New files are found by a file stream whose checkpoint lies beside the audit table, so neither the
+    names of all files nor those of old ones come to the driver, and a file is known by its full path: equal
+    names in different folders are different files. Rejected rows (wrong number of fields, or a field over the limit)
     go to the reject table with their file and reason, ``<table>-rejects`` unless given.
 
-    Rows land in the partition of their file, and each load replaces whole file partitions, so a
-    load that is repeated after a failure adds nothing twice. Files without any accepted row
-    stay pending and are tried again by the next load. Returns the counts of this load.
+    A micro-batch writes its rows and then its counts into folders of its epoch, which a repetition
+    replaces, so a load that is repeated after a failure adds nothing twice. Files without any accepted row
+    stay pending and are read again by the next load. Returns the counts of this load.
     """
     columns = columns or _LAYOUTS[kind_of_path(path)]()
-    files = new_files(spark, path, audit_path)
-    checked = cut_lineage(checked_rows(spark, files, columns, compat), "load-rows")
-    values = F.to_json(F.struct(*[F.col(c) for c in columns]))
-    rejected = checked.filter(~F.col("accepted")).select(
-        "file_name", "reason", "longest", F.coalesce("malformed", values).alias("row"), "file_id"
-    )
-    _replace_files(checked.filter("accepted").select(*columns, "file_name", "file_id"), table_path)
-    _replace_files(rejected, reject_path or f"{table_path.rstrip('/')}-rejects")
-    counts = cut_lineage(
-        load_counts(checked, ("file_id", "file_name")).withColumn("loaded_at", F.current_timestamp()), "load-counts"
-    )
-    counts.write.mode("append").parquet(audit_path)
-    drop_table(checked)
-    return counts
-
-
-def _replace_files(rows: DataFrame, path: str) -> None:
+    rejects = reject_path or f"{table_path.rstrip('/')}-rejects"
+    written = []
+
+    def store(lines: DataFrame, writer: str, epoch: int) -> None:
+        checked = cut_lineage(checked_rows(lines, columns), "load-rows")
+        replace_epoch(checked.filter("accepted").select(*columns, "file_name"), table_path, writer, epoch)
+        values = F.to_json(F.struct(*[F.col(c) for c in columns]))
+        rejected = checked.filter(~F.col("accepted")).select(
+            "file_name", "reason", "longest", F.coalesce("malformed", values).alias("row"), "file_id"
+        )
+        # faulty files only: what a file was rejected for is replaced when it is read again
+        (
+            rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("file_id").parquet(rejects)
+        )
+        counts = load_counts(checked, ("file_id", "file_name")).withColumn("loaded_at", F.current_timestamp())
+        replace_epoch(counts, audit_path, writer, epoch)
+        drop_table(checked)
+        written.append((writer, epoch))
+
+    audit = read_audit(spark, audit_path)
+    pending = audit.groupBy("file_name").agg(F.bool_or("is_loaded").alias("is_loaded")).filter("NOT is_loaded")
+    tried = cut_lineage(pending.select("file_name"), "pending-files")
+    last = audit.filter(F.col("writer") == RETRY).agg(F.max("epoch")).first()[0]
+    epoch = 0 if last is None else last + 1
+    names: list[str] = []
+    for row in tried.toLocalIterator():
+        names.append(row.file_name)
+        if len(names) == FILES_AT_ONCE:
+            store(read_delimited(spark, names, columns, compat, "malformed"), RETRY, epoch)
+            names, epoch = [], epoch + 1
+    if names:
+        store(read_delimited(spark, names, columns, compat, "malformed"), RETRY, epoch)
+
+    lines = read_delimited(spark, path, columns, compat, "malformed", FILES_AT_ONCE)
     (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("file_id").parquet(path)
+        lines.writeStream.foreachBatch(lambda rows, number: store(rows, LOAD, number))
+        .option("checkpointLocation", f"{audit_path.rstrip('/')}-progress").trigger(availableNow=True)
+        .start().awaitTermination()
     )
+    own = [(F.col("writer") == w) & (F.col("epoch") == e) for w, e in written]
+    found = read_audit(spark, audit_path).filter(reduce(lambda a, b: a | b, own, F.lit(False)))
+    return cut_lineage(found.drop("writer", "epoch"), "load-counts")
