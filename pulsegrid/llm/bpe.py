@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.words import release
 
-CACHE_BYTES = 40 << 20  # of cached pieces, in two generations
+CACHE_BYTES = 96 << 20  # of cached pieces, in two generations, for the time of a task
 PIECE_BYTES = 260  # what a cached piece takes beside its text and ids
 KNOWN_PAIRS = 1 << 17  # some 15 MB
+MOVES = 1 << 17  # remembered falls of the automaton, some 15 MB
 PAIR = 1 << 32
 ROWS = 1000  # encoded at a time
+_NONE: dict[int, bool] = {}
 
 
 class Vocabulary:
@@ -43,21 +45,14 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        # a trie over token bytes: ``step`` leads from 256 * node + byte to a node, ``token_at`` holds its token
-        self.step: dict[int, int] = {}
-        self.token_at = [-1]
-        for token, rank in ranks.items():
-            node = 0
-            for byte in token:
-                node = self.step.setdefault(node << 8 | byte, len(self.token_at))
-                if node == len(self.token_at):
-                    self.token_at.append(-1)
-            self.token_at[node] = rank
         size = max(self.bytes, default=-1) + 1
+        self.lengths = [len(self.bytes.get(r, b"")) for r in range(size)] + [0]  # the last one is of token -1
+        self.codes = [r.to_bytes(4, "little") for r in range(size)]
+        self._build_automaton(size)
         # the two tokens that a token is merged from, -1 for tokens that no merge makes
         self.left, self.right = [-1] * size, [-1] * size
         self.merged: dict[int, int] = {}  # PAIR * left + right: the merged token
-        self.known: dict[int, bool] = {}  # PAIR * left + right: may they be neighbours
+        self.forget()
         for rank in sorted(self.bytes):
             token = self.bytes[rank]
             # the last merge of a token joins two lower tokens that stay apart without it
@@ -68,6 +63,50 @@ class Vocabulary:
                     self.merged[PAIR * left + right] = rank
                     break
 
+    def _build_automaton(self, size: int) -> None:
+        """States are the prefixes of tokens; after any bytes the state is their longest such suffix.
+
+        ``moves`` leads from 256 * state + byte to a state, ``longest_at`` holds the longest token that ends a
+        state, and ``shorter`` the next shorter one that ends a token. Moves that fall back to a shorter suffix
+        are found over ``fall`` and remembered up to a bound.
+        """
+        self.moves: dict[int, int] = {}
+        token_at, by_depth = [-1], [[] for _ in range(self.longest + 1)]
+        for token, rank in self.ranks.items():
+            state = 0
+            for depth, byte in enumerate(token):
+                key, fresh = state << 8 | byte, len(token_at)
+                state = self.moves.setdefault(key, fresh)
+                if state == fresh:
+                    token_at.append(-1)
+                    by_depth[depth].append(key)
+            token_at[state] = rank
+        self.fall, self.longest_at, self.shorter = [0] * len(token_at), list(token_at), [-1] * size
+        moves = dict(self.moves)
+        for keys in by_depth:
+            for key in keys:
+                state, above = moves[key], key >> 8
+                back = self._fallback(self.fall[above], key & 255, moves) if above else 0
+                self.fall[state] = back
+                if token_at[state] >= 0:
+                    self.shorter[token_at[state]] = self.longest_at[back]
+                else:
+                    self.longest_at[state] = self.longest_at[back]
+        self.most_moves = len(self.moves) + MOVES
+
+    def _fallback(self, state: int, byte: int, moves: dict[int, int]) -> int:
+        while state and (state << 8 | byte) not in moves:
+            state = self.fall[state]
+        return moves.get(state << 8 | byte, 0)
+
+    def _move(self, state: int, byte: int) -> int:
+        found = self.moves.get(state << 8 | byte)
+        if found is None:
+            found = self._fallback(state, byte, self.moves)
+            if len(self.moves) < self.most_moves:
+                self.moves[state << 8 | byte] = found
+        return found
+
     @classmethod
     def read(cls, path: str) -> Vocabulary:
         """From a file of lines with a base64 token and its rank."""
@@ -76,12 +115,22 @@ class Vocabulary:
 
     def adjacent(self, left: int, right: int) -> bool:
         """Whether the encoding of the two tokens' joined bytes is just these two."""
-        known, pair = self.known, PAIR * left + right
-        if pair not in known:
-            if len(known) >= KNOWN_PAIRS:
-                known.clear()
-            known[pair] = self._stay_apart(left, right)
-        return known[pair]
+        row = self.known[left]
+        if right not in row:
+            if self.pairs >= KNOWN_PAIRS:
+                self.forget()
+            if self.known[left] is _NONE:
+                self.known[left] = {}
+            row, self.pairs = self.known[left], self.pairs + 1
+            row[right] = self._stay_apart(left, right)
+        return row[right]
+
+    def forget(self) -> None:
+        """Drop what is known of pairs: left: right: may they be neighbours."""
+        if not hasattr(self, "known"):
+            self.known = [_NONE] * len(self.left)
+        self.known[:] = [_NONE] * len(self.left)
+        self.pairs = 0
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Undo merges on both sides of the seam, latest first; a merge across it must lose.
@@ -113,36 +162,43 @@ class Vocabulary:
     def last_tokens(self, data: bytes, last: list[int]) -> None:
         """Extend ``last``, the last tokens of the first prefixes of ``data``, to all prefixes.
 
-        Starts are taken in order, so the first token that fits at an end is the longest one, and the
-        prefix before a start is always complete.
+        At each end the tokens that end there are tried from the longest to the shortest; the prefix before
+        them is always complete.
         """
-        step, token_at, known, first, size = self.step.get, self.token_at, self.known.get, len(last), len(data)
-        last += [-1] * (size - first)
-        for start in range(max(0, first + 1 - self.longest), size):
-            node, before = 0, last[start - 1] if start else -1
-            left = PAIR * before
-            for end in range(start, size):
-                node = step(node << 8 | data[end])
-                if node is None:
-                    break
-                if last[end] < 0:
-                    token = token_at[node]
-                    if token < 0:
-                        continue
-                    fits = before < 0 or known(left + token)
+        moves, known, lengths, longest_at, shorter = (
+            self.moves.get, self.known, self.lengths, self.longest_at, self.shorter
+        )
+        first, state = len(last), 0
+        for byte in data[max(0, first - self.longest):first]:
+            state = self._move(state, byte)
+        try:
+            for end in range(first, len(data)):
+                key = state << 8 | data[end]
+                state = moves(key)
+                if state is None:
+                    state = self._move(key >> 8, key & 255)
+                token = longest_at[state]
+                at = end - lengths[token]
+                while at >= 0:
+                    before = last[at]
+                    fits = known[before].get(token)
                     if fits is None:
                         fits = self.adjacent(before, token)
                     if fits:
-                        last[end] = token
-            if last[start] < 0:
-                raise ValueError("the vocabulary lacks a single byte")
+                        break
+                    token = shorter[token]
+                    at = end - lengths[token]
+                last.append(token)
+        except IndexError:  # no token has length zero, and the prefix that ends here has no last token yet
+            raise ValueError("the vocabulary lacks a single byte") from None
 
     def tokens(self, last: list[int]) -> list[int]:
         """The encoding, read backwards from the last tokens of all prefixes."""
-        out, end = [], len(last)
+        out, end, lengths = [], len(last), self.lengths
         while end:
-            out.append(last[end - 1])
-            end -= len(self.bytes[out[-1]])
+            token = last[end - 1]
+            out.append(token)
+            end -= lengths[token]
         return out[::-1]
 
 
@@ -211,10 +267,11 @@ class Pieces(dict):
     def _encode(self, data: bytes) -> bytes:
         whole = self.vocabulary.ranks.get(data)
         if whole is not None:
-            return whole.to_bytes(4, "little")
+            return self.vocabulary.codes[whole]
         last: list[int] = []
         self.vocabulary.last_tokens(data, last)
-        return np.array(self.vocabulary.tokens(last), dtype="<u4").tobytes()
+        codes = self.vocabulary.codes
+        return b"".join([codes[t] for t in self.vocabulary.tokens(last)])
 
 
 class Codec:
@@ -261,7 +318,7 @@ def encode(
                         names=["id", "n_tokens", "ids", "decoded"],
                     )
         finally:
-            coder.vocabulary.known.clear()
+            coder.vocabulary.forget()
             release()
 
     rows = docs.select(
