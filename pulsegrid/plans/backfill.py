@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pulsegrid.session import cut_lineage, use_utc
 from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sinks.state import BACKFILL, epoch_path, read_epochs, replace_epoch, write_epoch
 from pulsegrid.sources.batch_config import batch_settings, watched_users
+from pulsegrid.sources.history import History
 
 _WATERMARKS = "batch_name string, screen_name string, since_id bigint, max_id bigint, status_count bigint"
 _STORED = "batch_name string, status_id bigint, day string"
@@ -121,7 +123,38 @@ def referenced_rows(timeline: DataFrame, landed: DataFrame, processed: DataFrame
     return dedupe.one_per_status(found.withColumn("own", 1 - F.col("is_embedded")), step, "own").drop("own", "is_embedded")
 
 
-def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame, store: Store,
+def wanted_parts(spark: SparkSession, history: History, watched: DataFrame, settings: DataFrame, store: Store,
+                 run: int) -> list[tuple[DataFrame, DataFrame]]:
+    """What a run has to read of the history: pairs of (statuses, their watched users).
+
+    That is what landed since the run before, of all watched users, and the older landings of those
+    users only whose batch or date range is new.
+    """
+    asked = watched.select("batch_name", "screen_name").distinct().join(
+        settings.select("batch_name", "cutoff_min", "cutoff_max"), "batch_name"
+    )
+    asked = asked.withColumn("wish", F.xxhash64(F.coalesce(F.col("cutoff_min").cast("string"), F.lit("")),
+                                                F.coalesce(F.col("cutoff_max").cast("string"), F.lit(""))))
+    wishes = asked.select("batch_name", "screen_name", "wish", F.lit(history.last(spark)).cast("bigint").alias("landing"))
+    schema = wishes.schema
+    before = read_epochs(spark, store.state("wishes"), schema, BACKFILL, run).groupBy("batch_name", "screen_name", "wish").agg(
+        F.max("landing").alias("landing"))
+    upto = before.agg(F.max("landing")).first()[0]
+    write_epoch(wishes, store.state("wishes"), BACKFILL, run)
+    if upto is None:
+        return [(history.rows(spark, users=watched), watched)]
+    fresh = cut_lineage(
+        wishes.select("batch_name", "screen_name", "wish")
+        .join(before.filter(F.col("landing") == upto), ["batch_name", "screen_name", "wish"], "left_anti"), "new-wishes",
+    )
+    parts = [(history.rows(spark, after=upto, users=watched), watched)]
+    if not fresh.isEmpty():
+        listed = watched.join(fresh, ["batch_name", "screen_name"], "left_semi")
+        parts.append((history.rows(spark, upto=upto, users=fresh), listed))
+    return parts
+
+
+def run_backfill(spark: SparkSession, landed: DataFrame | History, definitions: DataFrame, store: Store,
                  run: int, max_level: int | None = None) -> None:
     """One back-fill run; ``run`` numbers the runs from 0.
 
@@ -139,18 +172,20 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     processed = read_epochs(spark, store.state("processed_replies"), _schema(spark, _PROCESSED), BACKFILL, run)
     seen_users = read_epochs(spark, store.state("processed_users"), _schema(spark, _USERS), BACKFILL, run)
 
-    in_range = timeline_rows(landed, watched, settings)
+    # a plain table is read whole; of a history only what is new or newly wanted
+    parts = [(landed, watched)] if isinstance(landed, DataFrame) else wanted_parts(
+        spark, landed, watched, settings, store, run)
+    everything = landed if isinstance(landed, DataFrame) else landed.rows(spark)
+    in_range = reduce(DataFrame.unionByName, [timeline_rows(rows, users, settings) for rows, users in parts])
     known = cut_lineage(backfill_marks(spark, store, run), "marks")
     fresh = incremental.unstored(in_range, known, stored_ids(spark, store, run))
     timeline = cut_lineage(dedupe.one_per_status(fresh, ("batch_name", "status_id")), "timeline")
     levels = timeline.join(F.broadcast(settings.select("batch_name", "ref_level")), "batch_name", "left")
-    referenced = referenced_rows(levels, landed, processed, max_level)
     columns = [*timeline.columns, "via"]
-    rows = cut_lineage(
-        timeline.withColumn("via", F.lit("timeline")).select(columns)
-        .unionByName(referenced.select(columns)).withColumn("kind", F.lit(S.KIND_STATUS)),
-        "statuses",
-    )
+    rows = timeline.withColumn("via", F.lit("timeline")).select(columns)
+    if not settings.filter("ref_level IS NULL OR ref_level > 0").isEmpty():
+        rows = rows.unionByName(referenced_rows(levels, everything, processed, max_level).select(columns))
+    rows = cut_lineage(rows.withColumn("kind", F.lit(S.KIND_STATUS)), "statuses")
     write_routed(
         with_bucket(rows.drop("user", "screen_name", "via"), "system_create_ts"),
         epoch_path(store.table("statuses"), BACKFILL, run), "overwrite",
@@ -171,14 +206,17 @@ def run_backfill(spark: SparkSession, landed: DataFrame, definitions: DataFrame,
     )
     write_epoch(rows.filter("via = 'reply'").select("status_id"), store.state("processed_replies"), BACKFILL, run)
 
-    history = landed.select(F.col("user.screen_name").alias("screen_name"), "created_at")
+    names = [r.select(F.col("user.screen_name").alias("screen_name"), "created_at") for r, _ in parts]
+    seen = reduce(DataFrame.unionByName, names).groupBy("screen_name").agg(F.min("created_at").alias("oldest"))
+    write_epoch(seen, store.state("oldest"), BACKFILL, run)
+    oldest = read_epochs(spark, store.state("oldest"), seen.schema, BACKFILL, run + 1)
     write_epoch(
-        run_modes(watched, settings, timeline, history, known).withColumn("run", F.lit(run).cast("bigint")),
+        run_modes(watched, settings, timeline, oldest, known).withColumn("run", F.lit(run).cast("bigint")),
         store.state("paging_modes"), BACKFILL, run,
     )
 
 
-def run_modes(watched: DataFrame, settings: DataFrame, timeline: DataFrame, history: DataFrame,
+def run_modes(watched: DataFrame, settings: DataFrame, timeline: DataFrame, oldest: DataFrame,
               known: DataFrame) -> DataFrame:
     """Paging mode of every user after a run.
 
@@ -187,7 +225,7 @@ def run_modes(watched: DataFrame, settings: DataFrame, timeline: DataFrame, hist
     and neither a status above the range nor the mode keeps later runs from reading the user.
     """
     found = timeline.groupBy("batch_name", "screen_name").agg(F.count("*").alias("found"))
-    oldest = history.groupBy("screen_name").agg(F.min("created_at").alias("oldest"))
+    oldest = oldest.groupBy("screen_name").agg(F.min("oldest").alias("oldest"))
     below = F.coalesce(F.col("oldest") < F.col("cutoff_min"), F.lit(False))
     nothing_new = (F.coalesce("found", F.lit(0)) == 0) & F.col("max_id").isNotNull()
     return (

@@ -493,6 +493,7 @@ ORACLES["handover"] = f"""WITH {_STATUS}
 SELECT status_id, batch_name, CASE WHEN created_at < TIMESTAMP '2024-01-15' AND status_id % 3 <> 0 THEN 'BATCH_TIMELINE'
     ELSE 'STREAM_TIMELINE' END AS filter_type FROM st"""
 
+ORACLES["load_by_name"] = ORACLES["status_retype"]
 ORACLES["stream_until_date"] = f"""WITH {_STATUS}
 SELECT status_id, batch_name, 'STREAM_TIMELINE' AS filter_type FROM st WHERE created_at < TIMESTAMP '2024-01-15'"""
 ORACLES["stream_discovered_users"] = f"""WITH {_STATUS},
@@ -508,6 +509,7 @@ ORACLES["stream_refresh"] = ORACLES["rollup_client_country_hour"]
 
 ORACLES["stream_classify"] = ORACLES["status_classify"]
 ORACLES["stream_dedupe_users"] = "SELECT DISTINCT 'u' || user_id AS screen_name, user_id FROM events"
+ORACLES["stream_first_seen"] = ORACLES["user_first_seen"]
 ORACLES["stream_roll_counts"] = ORACLES["roll_windows"]
 ORACLES["stream_user_registry"] = ORACLES["user_registry"]
 _EARLY = "created_at < TIMESTAMP '2024-01-15'"

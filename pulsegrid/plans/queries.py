@@ -26,6 +26,7 @@ from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sources import batch_config
 from pulsegrid.sources.batch_config import batch_settings
 from pulsegrid.sources.delimited import read_delimited
+from pulsegrid.sources.history import History
 from pulsegrid.sources.landing import read_landed
 from pulsegrid.streaming import flows
 
@@ -136,7 +137,10 @@ def status_flatten(spark, sf_dir):
 def status_retype(spark, sf_dir):
     flat = _flattened(spark, sf_dir)
     wide = flatten.wide_status(hashtags.expand_hashtags(flat))
-    rows = flatten.typed_status(wide, flatten.wide_overflow(flat))
+    return _retyped(flatten.typed_status(wide, flatten.wide_overflow(flat)))
+
+
+def _retyped(rows):
     return rows.select(
         "status_id", "user_id", "hashtag", format_batch_time(F.col("created_at")).alias("created_text"),
         format_batch_time(F.col("system_create_ts")).alias("loaded_text"),
@@ -568,6 +572,16 @@ def load_runs(spark, sf_dir):
     )
 
 
+@query
+def load_by_name(spark, sf_dir):
+    """Wide rows written as files, loaded into the layout that the files' name stands for, and typed again."""
+    root = shared_dir(spark, "load-by-name")
+    flat = _flattened(spark, sf_dir)
+    write_delimited(flatten.wide_status(hashtags.expand_hashtags(flat)), f"{root}/batch0-status-20240201")
+    load_files(spark, f"{root}/batch0-status-20240201", f"{root}/table", f"{root}/audit")
+    return _retyped(flatten.typed_status(spark.read.parquet(f"{root}/table"), flatten.wide_overflow(flat)))
+
+
 @query
 def timestamp_parse(spark, sf_dir):
     rows = B.statuses(spark, sf_dir).select("status_id", "created_at", "k").withColumn(
@@ -655,19 +669,21 @@ def _job_definitions(spark, watched, earliest, latest):
 
 @query
 def backfill_runs(spark, sf_dir):
-    """Three runs over a history that lands in waves of interleaved ids, some of them twice, for batches that share users."""
+    """Three runs over a history that lands in waves of interleaved ids, some of them twice, for batches that share users.
+
+    Each run reads the landing before it; the batch that joins at the last run reads the folders of its users in
+    the older ones, too.
+    """
     landed = B.landed_records(spark, sf_dir).drop("batch_name")
-    store, path = Store(shared_dir(spark, "backfill")), shared_dir(spark, "landed")
+    store, history = Store(shared_dir(spark, "backfill")), History(shared_dir(spark, "landed"))
     watched = B.watched(spark, sf_dir)
     wide = watched.filter("user_id % 8 = 0").withColumn("batch_name", F.lit("wide"))
-    definitions = cut_lineage(
-        _job_definitions(spark, watched, "05/01/2024-06:00:00", "21/01/2024-18:30:00")
-        .unionByName(_job_definitions(spark, wide, "", "18/01/2024-00:00:00")), "definitions",
-    )
-    for run, wave in enumerate((1, 0, 2)):
+    first = cut_lineage(_job_definitions(spark, watched, "05/01/2024-06:00:00", "21/01/2024-18:30:00"), "definitions")
+    last = first.unionByName(_job_definitions(spark, wide, "", "18/01/2024-00:00:00"))
+    for run, (wave, definitions) in enumerate(((1, first), (0, first), (2, last))):
         part = landed.filter(f"id % 3 = {wave}")
-        part.unionByName(part.filter("id % 5 = 0")).write.mode("append").parquet(path)
-        run_backfill(spark, read_landed(spark, path), definitions, store, run)
+        history.append(part.unionByName(part.filter("id % 5 = 0")), run)
+        run_backfill(spark, history, definitions, store, run)
     return spark.read.parquet(store.table("statuses")).select("status_id", "batch_name", "original_user", "filter_type")
 
 
@@ -783,6 +799,15 @@ def stream_dedupe_users(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query
+def stream_first_seen(spark, sf_dir):
+    """The first status of every user, while files arrive in no order of time."""
+    out = shared_dir(spark, "stream-first")
+    rows = B.status_stream(spark, sf_dir)
+    flows.finish(flows.first_seen_to_epochs(rows, out, shared_dir(spark, "checkpoint"), compact_every=3))
+    return flows.read_first_seen(spark, out).select("screen_name", "status_id", "filter_type")
+
+
 @query
 def stream_roll_counts(spark, sf_dir):
     out = shared_dir(spark, "stream-rolls")

@@ -106,18 +106,21 @@ def write_epoch(rows: DataFrame, path: str, writer: str, epoch: int, partition_b
 
 
 def read_epochs(spark: SparkSession, path: str, schema: T.StructType, writer: str | None = None,
-                before: int | None = None, only: int | None = None) -> DataFrame:
+                before: int | None = None, only: int | None = None, after: int = -1) -> DataFrame:
     """The rows of all committed epochs; empty when there are none yet.
 
     With ``before``, epochs of ``writer`` from that one on are left out, so that a replayed
-    epoch does not see its own results. ``only`` reads that epoch of ``writer``.
+    epoch does not see its own results. ``only`` reads that epoch of ``writer``; ``after`` leaves out
+    its epochs up to that one.
     """
     if only is not None:
         return _read(spark, path, [read_manifest(spark, path, writer)["epochs"][only]], schema)
     folders = []
     for name in _writers(spark, path):
         epochs = read_manifest(spark, path, name)["epochs"]
-        folders += [f for e, f in epochs.items() if before is None or name != writer or e < before]
+        folders += [
+            f for e, f in epochs.items() if name != writer or (e > after and (before is None or e < before))
+        ]
     if not folders:
         return spark.createDataFrame([], schema)
     return _read(spark, path, folders, schema)

@@ -14,7 +14,9 @@ from pulsegrid.operators import hashtags
 from pulsegrid.operators.classify import classify_followed, classify_tracked
 from pulsegrid.operators.patterns import match_keywords, pattern_keywords
 from pulsegrid.operators.registry import merge_registrations, register_users
+from pulsegrid.operators.skew import BROADCAST_ROWS
 from pulsegrid.functions.times import file_stamp
+from pulsegrid.session import cut_lineage
 from pulsegrid.sinks.state import (
     LIVE, compact_epochs, read_epochs, read_table, replace_epoch, replace_table, write_epoch,
 )
@@ -57,6 +59,44 @@ def first_users_to_files(statuses: DataFrame, out: str, checkpoint: str,
     return _started(writer.outputMode("append"), checkpoint, trigger)
 
 
+_FIRST = "screen_name string, created_at timestamp, status_id bigint, filter_type string"
+
+
+def _earliest(rows: DataFrame) -> DataFrame:
+    first = F.min(F.struct("created_at", "status_id", "filter_type")).alias("first")
+    return rows.groupBy("screen_name").agg(first).select("screen_name", "first.*")
+
+
+def first_seen_to_epochs(statuses: DataFrame, out: str, checkpoint: str, trigger: dict = AVAILABLE_NOW,
+                         compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """The first status of every user by time and id, exact also where earlier ones arrive later.
+
+    The stream holds no state. A micro-batch is reduced to one row per user, and adds those that are new or
+    earlier than what the table of users has; only the users of the micro-batch are looked up, without shuffling
+    the table. The closed epochs are merged every ``compact_every`` ones.
+    """
+    def keep(rows: DataFrame, epoch: int) -> None:
+        spark = rows.sparkSession
+        schema = spark.createDataFrame([], _FIRST).schema
+        if epoch and epoch % compact_every == 0:
+            compact_epochs(spark, out, schema, LIVE, epoch - 1, _earliest)
+        first = cut_lineage(_earliest(rows.select(*schema.names)), "first-seen")
+        names = first.select("screen_name")
+        few = names.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        known = _earliest(read_epochs(spark, out, schema, LIVE, epoch).join(
+            F.broadcast(names) if few else names, "screen_name", "left_semi"))
+        at = F.struct(F.col("created_at"), F.col("status_id"))
+        older = known.select("screen_name", at.alias("known_at"))
+        news = first.join(older, "screen_name", "left").filter(F.col("known_at").isNull() | (at < F.col("known_at")))
+        write_epoch(news.select(*schema.names), out, LIVE, epoch)
+
+    return _started(statuses.writeStream.foreachBatch(keep), checkpoint, trigger)
+
+
+def read_first_seen(spark: SparkSession, out: str) -> DataFrame:
+    return _earliest(read_epochs(spark, out, spark.createDataFrame([], _FIRST).schema))
+
+
 _ROLLS = "batch_name string, bucket string, record_count bigint"
 
 

@@ -222,3 +222,36 @@ def test_late_ids_between_the_marks_are_stored(spark, tmp_path):
     run_backfill(spark, read_landed(spark, path), both, store, 2)
     got = sorted((r[3], r[0]) for r in stored(spark, store))
     assert got == [("b", i) for i in (1, 3, 5, 7, 9)] + [("c", i) for i in (5, 7, 8, 9)]
+
+
+def test_history_reads_new_or_wanted_folders(spark, tmp_path):
+    from pulsegrid.plans import backfill
+    from pulsegrid.sources.batch_config import batch_settings, watched_users
+    from pulsegrid.sources.history import History
+
+    store, history = Store(f"{tmp_path}/store"), History(f"{tmp_path}/history")
+
+    def landing(epoch, *rows):
+        history.append(spark.createDataFrame(list(rows), S.LANDED_STATUS_DDL), epoch)
+
+    def parts(definitions, run):
+        found = backfill.wanted_parts(spark, history, watched_users(definitions), batch_settings(definitions), store, run)
+        return [sorted(r.id for r in rows.collect()) for rows, _ in found], found
+
+    one, more = definition(spark, "w"), definition(spark, "w,v")
+    landing(0, record(1, "w", 1), record(2, "v", 2), record(3, "x", 3))
+    run_backfill(spark, history, one, store, 0)
+    landing(1, record(4, "w", 4), record(0, "w", 0))
+    ids, found = parts(one, 1)
+    assert ids == [[0, 4]] and all("epoch=1" in f for rows, _ in found for f in rows.inputFiles())
+    run_backfill(spark, history, one, store, 1)
+    landing(2, record(5, "v", 5))
+    ids, found = parts(more, 2)
+    assert ids == [[5], [2]]
+    assert "PartitionFilters: [" in found[1][0]._jdf.queryExecution().executedPlan().toString()
+    run_backfill(spark, history, more, store, 2)
+    run_backfill(spark, history, more, store, 2)
+    run_backfill(spark, history, more, store, 3)
+    assert [r[0] for r in stored(spark, store)] == [0, 1, 2, 4, 5]
+    modes = {r.screen_name: r.paging_mode for r in current_modes(spark, store, 4).collect()}
+    assert modes == {"w": "FORWARD", "v": "FORWARD"}

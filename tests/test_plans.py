@@ -9,7 +9,7 @@ from pulsegrid.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 WRITING = {"delimited_roundtrip", "routed_write", "retweet_lineage", "retweet_unroll", "reply_threads",
-           "embedded_unroll", "load_runs", "backfill_runs", "handover", "rollup_client_country_hour"}
+           "embedded_unroll", "load_runs", "load_by_name", "backfill_runs", "handover", "rollup_client_country_hour"}
 
 
 def plan(df):
