@@ -1,8 +1,8 @@
 """The history of landed statuses, laid out so that a back-fill reads only what it needs.
 
 Every landing is an epoch of a state table, so its files appear in one step, and its rows lie in folders by
-user bucket and day. A run then names the epochs it has not read and the buckets of the users it wants:
-other folders are neither listed nor opened.
+user bucket, in order of time within a file. A run then names the epochs it has not read and the buckets
+of the users it wants: other folders are neither listed nor opened, and a date range skips row groups.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.operators.incremental import id_day
 from pulsegrid.schemas import LANDED_STATUS_DDL
 from pulsegrid.sinks.state import read_epochs, read_manifest, write_epoch
 
@@ -33,10 +32,9 @@ class History:
 
     def append(self, landed: DataFrame, epoch: int) -> None:
         """Add a landing; repeating its number replaces it."""
-        rows = landed.withColumns({
-            "bucket": user_bucket(F.col("user.screen_name")), "day": id_day(F.col("created_at")),
-        })
-        write_epoch(rows.hint("rebalance", "bucket", "day"), self.path, LANDING, epoch, ("bucket", "day"))
+        rows = landed.withColumn("bucket", user_bucket(F.col("user.screen_name")))
+        ordered = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "created_at")
+        write_epoch(ordered, self.path, LANDING, epoch, ("bucket",))
 
     def last(self, spark: SparkSession) -> int:
         """The number of the latest landing, -1 before the first."""
@@ -46,7 +44,7 @@ class History:
              users: DataFrame | None = None) -> DataFrame:
         """The statuses of the landings behind ``after`` up to ``upto``, of the buckets of ``users`` (screen_name)."""
         schema = T.DataType.fromDDL(LANDED_STATUS_DDL)
-        parted = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("day", T.StringType())])
+        parted = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
         found = read_epochs(spark, self.path, parted, LANDING, None if upto is None else upto + 1, after=after)
         if users is not None:
             wanted = users.select(user_bucket(F.col("screen_name")).alias("bucket")).distinct()
