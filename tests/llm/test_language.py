@@ -58,3 +58,60 @@ def test_nulls_repeats_and_empty_tables(spark, labelled):
     unlabelled = G.identify(df, labelled.limit(0)).collect()
     assert len(unlabelled) == 4 and all(r.lang is None for r in unlabelled)
     assert G.identify(df.limit(0), labelled).collect() == []
+
+
+def test_against_a_plain_posterior(spark, labelled):
+    """The same evidence fused page by page in plain loops."""
+    import math
+    import re
+    from collections import defaultdict
+
+    import numpy as np
+
+    pages = [("http://a.site.de/x", page("de", WORDS["de"])), ("http://a.site.de/y", page("en", "lumière und green")),
+             ("https://b.site.de:80/fr/q", page("fr", WORDS["fr"])), ("http://other.com", "<p>" + WORDS["en"]),
+             ("http://other.com", "<p>" + WORDS["en"]), (None, page("xx", "")), ("ftp", None), ("http://c.fr/en/", "zz")]
+    names, share = G.train(labelled)
+    size = len(names)
+    rows = []
+    for url, source in pages:
+        host = (re.match(r"[a-zA-Z]+://([^/:?#]+)", url or "") or [None, ""])[1].lower()
+        part = (re.match(r"[a-zA-Z]+://[^/?#]+/([a-zA-Z]{2})(?:[/?#]|$)", url or "") or [None, ""])[1].lower()
+        said = re.search(G.DECLARED, source or "")
+        data = np.frombuffer(G.visible(source or "").encode(), dtype=np.uint8)
+        at = G.trigrams(data) if len(data) > 2 else []
+        ll = [sum(share[k][i] for i in at) * min(1.0, G.EVIDENCE / max(len(at), 1)) for k in range(size)]
+        p = [math.exp(x - max(ll)) for x in ll]
+        top = re.search(r"[^.]+$", host)
+        # a missing address gives no host, domain or address part, but not an empty suffix text
+        ending = [top[0] if top else ""] + ([part] if url is not None else [])
+        if url is None:
+            keys = {"domain": None, "host": None, "suffix": ""}
+        else:
+            domain = re.search(r"([^.]+\.)?[^.]+$", host)
+            keys = {"domain": domain[0] if domain else "", "host": host, "suffix": "/".join(ending)}
+        rows.append({"ll": ll, "p": [x / sum(p) for x in p], "said": said[1].lower() if said else "", **keys})
+    sums = {key: defaultdict(lambda: [0.0] * size) for key in ("said", "suffix", "domain", "host")}
+    for r in rows:
+        for key, table in sums.items():
+            table[r[key]] = [a + b for a, b in zip(table[r[key]], r["p"])]
+    overall = [sum(r["p"][k] for r in rows) for k in range(size)]
+    base = [(x + G.SMOOTH) / (sum(overall) + G.SMOOTH * size) for x in overall]
+
+    def smoothed(counts, less, towards, kappa):
+        left = [max(a - b, 0.0) for a, b in zip(counts, less)]
+        return [(a + kappa * t) / (sum(left) + kappa) for a, t in zip(left, towards)]
+
+    got = identified(spark, [(i, *x) for i, x in enumerate(pages)], labelled)
+    for i, r in enumerate(rows):
+        prior = smoothed(sums["domain"][r["domain"]], r["p"], base, G.KAPPA_DOMAIN)
+        prior = smoothed(sums["host"][r["host"]], r["p"], prior, G.KAPPA_HOST)
+        logs = [a + math.log(b + 1e-12) for a, b in zip(r["ll"], prior)]
+        for key in ("said", "suffix"):
+            if r[key]:
+                logs = [a + math.log((c + G.SMOOTH) / (n + 1.0 + G.SMOOTH))
+                        for a, c, n in zip(logs, sums[key][r[key]], overall)]
+        post = [math.exp(x - max(logs)) for x in logs]
+        post = [x / sum(post) for x in post]
+        assert got[i].probability == pytest.approx(max(post), rel=1e-6), i
+        assert post[names.index(got[i].lang)] == pytest.approx(max(post), rel=1e-6), i
