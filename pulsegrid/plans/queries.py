@@ -675,7 +675,7 @@ def backfill_runs(spark, sf_dir):
     the older ones, too.
     """
     landed = B.landed_records(spark, sf_dir).drop("batch_name")
-    store, history = Store(shared_dir(spark, "backfill")), History(shared_dir(spark, "landed"))
+    store, history = Store(shared_dir(spark, "backfill")), History(shared_dir(spark, "landed"), buckets=8)
     watched = B.watched(spark, sf_dir)
     wide = watched.filter("user_id % 8 = 0").withColumn("batch_name", F.lit("wide"))
     first = cut_lineage(_job_definitions(spark, watched, "05/01/2024-06:00:00", "21/01/2024-18:30:00"), "definitions")

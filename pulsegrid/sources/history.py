@@ -20,19 +20,19 @@ BUCKETS = 64
 LANDING = "landing"
 
 
-def user_bucket(name: Column) -> Column:
-    return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
-
-
 @dataclass(frozen=True)
 class History:
-    """Landed statuses below ``path``."""
+    """Landed statuses below ``path``; the number of buckets belongs to the folder and never changes."""
 
     path: str
+    buckets: int = BUCKETS
+
+    def bucket(self, name: Column) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(self.buckets)).cast("int")
 
     def append(self, landed: DataFrame, epoch: int) -> None:
         """Add a landing; repeating its number replaces it."""
-        rows = landed.withColumn("bucket", user_bucket(F.col("user.screen_name")))
+        rows = landed.withColumn("bucket", self.bucket(F.col("user.screen_name")))
         ordered = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "created_at")
         write_epoch(ordered, self.path, LANDING, epoch, ("bucket",))
 
@@ -47,6 +47,6 @@ class History:
         parted = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
         found = read_epochs(spark, self.path, parted, LANDING, None if upto is None else upto + 1, after=after)
         if users is not None:
-            wanted = users.select(user_bucket(F.col("screen_name")).alias("bucket")).distinct()
-            found = found.filter(F.col("bucket").isin([r.bucket for r in wanted.collect()]))  # at most BUCKETS
+            wanted = users.select(self.bucket(F.col("screen_name")).alias("bucket")).distinct()
+            found = found.filter(F.col("bucket").isin([r.bucket for r in wanted.collect()]))  # one row per bucket
         return found.select(schema.fieldNames())
