@@ -2,25 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.times import arrival_key
+from pulsegrid.operators.skew import lookup_join
+from pulsegrid.session import cut_lineage
+
+
+_LAST = Decimal(10 ** 38 - 1)
+
+
+def _arrival(statuses: DataFrame) -> Column:
+    """(created_at, status_id) as one number; rows without one of them come last."""
+    return F.coalesce(arrival_key(statuses), F.lit(_LAST).cast("decimal(38, 0)"))
+
+
+def _first_arrivals(statuses: DataFrame) -> DataFrame:
+    """(screen_name, first arrival): a hash aggregation of narrow rows, combined before the shuffle."""
+    named = statuses.filter(F.col("screen_name").isNotNull())
+    return named.groupBy("screen_name").agg(F.min(_arrival(statuses)).alias("_first"))
+
+
+def _rows_of(statuses: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The rows that arrived first, one per user; repeated arrivals are told apart by a hash of all columns.
+
+    The narrow arrivals are written, counted and brought to the rows, so no task sorts whole rows
+    and a user's rows are not gathered. Only the rows found are ranked.
+    """
+    firsts = cut_lineage(firsts, "first-arrivals")
+    found = lookup_join(statuses.withColumn("_at", _arrival(statuses)), firsts, "screen_name", "inner")
+    found = found.filter("_at = _first").select(statuses.columns)
+    order = Window.partitionBy("screen_name").orderBy(F.xxhash64(*[F.col(c) for c in statuses.columns]))
+    return found.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+
 
 def first_per_user(statuses: DataFrame) -> DataFrame:
     """The first status of every screen name by (created_at, status_id).
 
-    ``row_number() = 1`` runs as a partial group limit before the shuffle, so each task
-    sends one row per user, however many statuses the user has.
+    Rows without a screen name belong to no user.
     """
-    order = Window.partitionBy("screen_name").orderBy("created_at", "status_id")
-    return statuses.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    return _rows_of(statuses, _first_arrivals(statuses))
 
 
 def new_users(statuses: DataFrame, processed: DataFrame) -> DataFrame:
-    """First status of each user whose screen name was not processed before."""
-    return first_per_user(statuses).join(
-        processed.select("screen_name").distinct(), "screen_name", "left_anti"
-    )
+    """First status of each user whose screen name was not processed before.
+
+    Processed users leave as names, before any whole row is read.
+    """
+    names = processed.select("screen_name").distinct()
+    return _rows_of(statuses, _first_arrivals(statuses).join(names, "screen_name", "left_anti"))
 
 
 def new_statuses(statuses: DataFrame, processed: DataFrame) -> DataFrame:

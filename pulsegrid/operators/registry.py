@@ -12,6 +12,9 @@ from pulsegrid.operators.skew import lookup_join
 LIST_SIZE = 200
 RANK_SLICE = 100_000
 
+# What a registration is kept under.
+REGISTRY_KEYS = ("batch_name", "screen_name")
+
 
 def register_users(statuses: DataFrame) -> DataFrame:
     """Distinct (batch_name, screen_name) with the first user id and the last account seen.

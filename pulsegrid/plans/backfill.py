@@ -12,6 +12,7 @@ from pulsegrid import schemas as S
 from pulsegrid.operators import dedupe, flatten, incremental, lineage, registry
 from pulsegrid.operators.skew import lookup_join
 from pulsegrid.session import cut_lineage, use_utc
+from pulsegrid.sinks.buckets import upsert
 from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sinks.state import BACKFILL, epoch_path, read_epochs, replace_epoch, write_epoch
 from pulsegrid.sources.batch_config import batch_settings, watched_users
@@ -198,7 +199,8 @@ def run_backfill(spark: SparkSession, landed: DataFrame | History, definitions:
     replace_epoch(users, store.table("users"), BACKFILL, run)
     written = spark.read.parquet(epoch_path(store.table("users"), BACKFILL, run))
     write_epoch(written.select("screen_name"), store.state("processed_users"), BACKFILL, run)
-    write_epoch(registry.register_users(rows), store.state("registry"), BACKFILL, run)
+    upsert(registry.register_users(rows), store.state("registry"), BACKFILL, run,
+           registry.REGISTRY_KEYS, registry.merge_registrations)
     ids = timeline.select("batch_name", "status_id", incremental.id_day(F.col("created_at")).alias("day"))
     write_epoch(ids.hint("rebalance", "day"), store.state("stored_ids"), BACKFILL, run, ("day",))
     write_epoch(

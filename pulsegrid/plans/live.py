@@ -11,6 +11,7 @@ from pulsegrid import schemas as S
 from pulsegrid.operators import classify, dedupe, flatten, incremental, patterns, registry
 from pulsegrid.operators.skew import lookup_join
 from pulsegrid.plans.backfill import Store, backfill_marks, embedded_records, stored_ids
+from pulsegrid.sinks.buckets import read_keyed, upsert
 from pulsegrid.sinks.routed import with_bucket, write_routed
 from pulsegrid.sinks.state import LIVE, compact_epochs, epoch_path, read_epochs, replace_epoch, write_epoch
 from pulsegrid.streaming.flows import AVAILABLE_NOW, read_keywords
@@ -71,15 +72,16 @@ def unfetched(landed: DataFrame, store: Store) -> DataFrame:
 def of_followed(landed: DataFrame, watched: DataFrame, store: Store, epoch: int) -> DataFrame:
     """Statuses of watched and of registered users of their batch, and the whole keyword stream.
 
-    The registry is read at each micro-batch, so a user that was discovered is followed from
-    the next one on.
+    The registry is read at each micro-batch, in the buckets of its users, so a user that was
+    discovered is followed from the next one on.
     """
     spark = landed.sparkSession
     schema = spark.createDataFrame([], "batch_name string, screen_name string").schema
-    registered = read_epochs(spark, store.state("registry"), schema, LIVE, epoch)
-    names = watched.select("batch_name", "screen_name").unionByName(registered).distinct()
     tracker = classify.is_tracker(F.col("batch_name"))
     named = landed.filter(~tracker).withColumn("screen_name", F.col("user.screen_name"))
+    registered = read_keyed(
+        spark, store.state("registry"), schema, LIVE, epoch, of=named, keys=registry.REGISTRY_KEYS)
+    names = watched.select("batch_name", "screen_name").unionByName(registered).distinct()
     followed = lookup_join(named, names, ["batch_name", "screen_name"], "inner")
     return followed.select(landed.columns).unionByName(landed.filter(tracker))
 
@@ -99,18 +101,16 @@ def unrolled(rows: DataFrame) -> DataFrame:
 
 
 def compact_state(spark: SparkSession, store: Store, upto: int) -> None:
-    """Merge the stream's state tables up to an epoch that is closed."""
+    """Merge the stream's processed users up to an epoch that is closed."""
     users = spark.createDataFrame([], "screen_name string").schema
     compact_epochs(spark, store.state("processed_users"), users, LIVE, upto, lambda rows: rows.distinct())
-    known = spark.read.parquet(store.state("registry")).drop("writer", "epoch", "attempt").schema
-    compact_epochs(spark, store.state("registry"), known, LIVE, upto, registry.merge_registrations)
 
 
 def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
     """Write one classified micro-batch; a replay of the epoch replaces what it wrote.
 
-    The retweeted records inside accepted rows become rows of their own. Users are written once over all epochs and the back-fill; retweeted authors of accepted rows are registered
-    for their batch. Every ``COMPACT_EVERY`` epochs the state of the closed ones is merged, so that a
+    The retweeted records inside accepted rows become rows of their own. Users are written once over all epochs and the back-fill; retweeted authors of accepted rows are merged into
+    the registry's buckets. Every ``COMPACT_EVERY`` epochs the state of the closed ones is merged, so that a
     micro-batch reads few folders however long the stream has run.
     """
     spark = rows.sparkSession
@@ -140,7 +140,8 @@ def store_micro_batch(rows: DataFrame, store: Store, epoch: int) -> None:
             F.col("retweeted_status.user.screen_name").alias("screen_name"),
             F.col("retweeted_status.user.id").alias("user_id"),
         )
-        write_epoch(registry.register_users(discovered), store.state("registry"), LIVE, epoch)
+        upsert(registry.register_users(discovered), store.state("registry"), LIVE, epoch,
+               registry.REGISTRY_KEYS, registry.merge_registrations)
     finally:
         rows.unpersist()
 

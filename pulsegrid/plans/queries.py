@@ -842,7 +842,7 @@ def stream_user_registry(spark, sf_dir):
         "original_user", F.concat(F.lit("org"), F.col("k") % 10))
     schema = registry.register_users(B.statuses(spark, sf_dir).withColumn(
         "created_at", F.col("created_at").cast("timestamp"))).schema
-    flows.finish(flows.register_to_epochs(found, out, shared_dir(spark, "checkpoint")))
+    flows.finish(flows.register_users_stream(found, out, shared_dir(spark, "checkpoint")))
     return flows.read_registrations(spark, out, schema).select(
         "batch_name", "screen_name", "user_id", "original_user",
         F.col("first_seen.status_id").alias("first_status_id"),

@@ -51,20 +51,24 @@ def _writers(spark: SparkSession, path: str) -> list[str]:
     return sorted(name.removeprefix("writer=") for name in names if name.startswith("writer="))
 
 
-def read_manifest(spark: SparkSession, path: str, writer: str) -> dict:
-    """The latest version: ``epochs`` (epoch to folder), and ``retired`` folders of the version before."""
+def _latest(spark: SparkSession, path: str, writer: str) -> tuple[int, dict]:
+    """Number and content of the newest version of a writer's manifest; version 0 is empty."""
     versions = _versions(spark, path, writer)
     if not versions:
-        return {"version": 0, "epochs": {}, "retired": []}
+        return 0, {}
     system, file = _file_system(spark, f"{path}/{_MANIFESTS}/writer={writer}/{versions[-1]}")
     stream = system.open(file)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return versions[-1], json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    found = json.loads(text)
-    return {"version": versions[-1], "epochs": {int(e): f for e, f in found["epochs"].items()},
-            "retired": found["retired"]}
+
+
+def read_manifest(spark: SparkSession, path: str, writer: str) -> dict:
+    """The latest version: ``epochs`` (epoch to folder), and ``retired`` folders of the version before."""
+    version, found = _latest(spark, path, writer)
+    return {"version": version, "epochs": {int(e): f for e, f in found.get("epochs", {}).items()},
+            "retired": found.get("retired", [])}
 
 
 def commit(spark: SparkSession, path: str, writer: str, epoch: int, folder: str, since: int | None = None) -> None:
@@ -73,24 +77,31 @@ def commit(spark: SparkSession, path: str, writer: str, epoch: int, folder: str,
     first = epoch if since is None else since
     replaced = {e: f for e, f in now["epochs"].items() if first <= e <= epoch}
     epochs = {e: f for e, f in now["epochs"].items() if e not in replaced} | {epoch: folder}
-    text = json.dumps({"epochs": epochs, "retired": sorted(set(replaced.values()) - {folder})})
+    content = {"epochs": epochs, "retired": sorted(set(replaced.values()) - {folder})}
+    _publish(spark, path, writer, now["version"], content, now["retired"])
+
+
+def _publish(spark: SparkSession, path: str, writer: str, version: int, content: dict, unused: list[str]) -> None:
+    """Make ``content`` the version after ``version`` in one step, then delete the ``unused`` folders."""
     base = f"{path}/{_MANIFESTS}/writer={writer}"
     system, draft = _file_system(spark, f"{base}/draft-{uuid.uuid4().hex}")
     stream = system.create(draft)
     try:
-        stream.write(bytearray(text.encode()))
+        stream.write(bytearray(json.dumps(content).encode()))
     finally:
         stream.close()
-    target = _file_system(spark, f"{base}/{now['version'] + 1}")[1]
+    target = _file_system(spark, f"{base}/{version + 1}")[1]
     if system.exists(target) or not system.rename(draft, target):
         raise RuntimeError(f"another job writes {path} as {writer}")
-    for old in now["retired"]:
+    for old in unused:
         delete_folder(spark, f"{path}/{old}")
         above = _file_system(spark, f"{path}/{old}")[1].getParent()
-        if system.exists(above) and not system.listStatus(above):
-            system.delete(above, False)
-    for version in _versions(spark, path, writer)[:-_KEEP_VERSIONS]:
-        delete_folder(spark, f"{base}/{version}")
+        while system.exists(above) and above.getName().startswith(("attempt=", "epoch=")) and not any(
+                "=" in status.getPath().getName() for status in system.listStatus(above)):
+            system.delete(above, True)
+            above = above.getParent()
+    for old_version in _versions(spark, path, writer)[:-_KEEP_VERSIONS]:
+        delete_folder(spark, f"{base}/{old_version}")
 
 
 def replace_epoch(rows: DataFrame, path: str, writer: str, epoch: int) -> None:

@@ -13,10 +13,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pulsegrid.operators import hashtags
 from pulsegrid.operators.classify import classify_followed, classify_tracked
 from pulsegrid.operators.patterns import match_keywords, pattern_keywords
-from pulsegrid.operators.registry import merge_registrations, register_users
+from pulsegrid.operators.registry import REGISTRY_KEYS, merge_registrations, register_users
 from pulsegrid.operators.skew import BROADCAST_ROWS
 from pulsegrid.functions.times import file_stamp
 from pulsegrid.session import cut_lineage
+from pulsegrid.sinks.buckets import read_keyed, upsert
 from pulsegrid.sinks.state import (
     LIVE, compact_epochs, read_epochs, read_table, replace_epoch, replace_table, write_epoch,
 )
@@ -170,15 +171,16 @@ def track_to_epochs(statuses: DataFrame, pattern_path: str, out: str, checkpoint
     return _started(statuses.writeStream.foreachBatch(match), checkpoint, trigger)
 
 
-def register_to_epochs(statuses: DataFrame, out: str, checkpoint: str,
-                       trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
-    """Discovered users per batch: each micro-batch adds its own first/last registrations."""
-    writer = statuses.writeStream.foreachBatch(
-        lambda rows, epoch: write_epoch(register_users(rows), out, LIVE, epoch)
-    )
-    return _started(writer, checkpoint, trigger)
+def register_users_stream(statuses: DataFrame, out: str, checkpoint: str,
+                          trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
+    """Discovered users per batch: each micro-batch merges its registrations into the buckets of its users."""
+    def register(rows: DataFrame, epoch: int) -> None:
+        upsert(register_users(rows), out, LIVE, epoch, REGISTRY_KEYS, merge_registrations)
+
+    return _started(statuses.writeStream.foreachBatch(register), checkpoint, trigger)
 
 
 def read_registrations(spark: SparkSession, out: str, schema) -> DataFrame:
-    return merge_registrations(read_epochs(spark, out, schema))
+    """One row per batch and user; writers that both know a user are merged."""
+    return merge_registrations(read_keyed(spark, out, schema))
 

@@ -170,3 +170,21 @@ def test_dedupe(spark):
     twice = df.unionByName(df).unionByName(df.withColumn("created_at", F.lit(0)).filter("status_id = 20"))
     kept = {r.status_id: r.created_at for r in dedupe.new_statuses(twice, ids).collect()}
     assert kept == {20: 0, 30: 1, 50: 5}
+
+
+def test_first_of_users_is_found_without_ranking_rows(spark, monkeypatch):
+    ddl = "screen_name string, created_at timestamp, status_id bigint, text string"
+    day = "2024-01-0{}".format
+    rows = [("a", day(2), 2, "x"), ("a", day(1), 7, "first"), ("a", day(1), 7, "first"), ("a", None, 1, "no time"),
+            ("b", None, None, "only"), (None, day(1), 3, "nobody"), ("c", day(3), 5, "u"), ("c", day(3), 5, "v")]
+    df = spark.createDataFrame(rows, "screen_name string, day string, status_id bigint, text string").select(
+        "screen_name", F.col("day").cast("timestamp").alias("created_at"), "status_id", "text")
+    def found():
+        return sorted((r.screen_name, r.text) for r in dedupe.first_per_user(df).collect())
+    first = found()
+    assert first[:2] == [("a", "first"), ("b", "only")] and first[2][0] == "c" and len(first) == 3
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    assert found() == first
+    done = spark.createDataFrame([("a",), ("c",)], "screen_name string")
+    assert [r.screen_name for r in dedupe.new_users(df, done).collect()] == ["b"]
+    assert dedupe.first_per_user(spark.createDataFrame([], ddl)).collect() == []

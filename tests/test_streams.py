@@ -81,7 +81,7 @@ def test_registry_over_micro_batches(spark, tmp_path):
     rows = stream(spark, src)
     from pulsegrid.operators.registry import register_users
     whole = register_users(B.statuses(spark, SF).withColumn("created_at", F.col("created_at").cast("timestamp")))
-    flows.finish(flows.register_to_epochs(rows, out, ckpt))
+    flows.finish(flows.register_users_stream(rows, out, ckpt))
     columns = whole.columns
     assert as_set(flows.read_registrations(spark, out, whole.schema), *columns) == as_set(whole, *columns)
 
