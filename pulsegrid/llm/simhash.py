@@ -5,17 +5,21 @@ bit changes one count by at most one, so the Manhattan distance of two embedding
 of their bit distance. The counts are stored in unary (00, 01, 11), which makes that distance the
 popcount of an exclusive or.
 
-The grid join splits the 32 coordinates into ``max_bits + 3`` blocks. Points at a Manhattan distance
-of at most ``max_bits`` agree on at least three blocks, so they share a cell of the grid on some
-three blocks: every fingerprint is put in one cell for each choice of three (35 for 4 bits), and
-nothing is lost. In a cell, pairs pass the Manhattan bound, then the exact bit distance.
+The grid join splits the 32 coordinates into some number of ``blocks``. Points at a Manhattan distance
+of at most ``max_bits`` differ on at most ``max_bits`` blocks, so they share a cell of the grid on some
+choice of the others: every fingerprint is put in one cell for each choice (35 for 4 bits and 7
+blocks), and nothing is lost. In a cell, pairs pass the Manhattan bound, then the exact bit distance.
+
+More blocks make cells more selective and more numerous. ``choose_blocks`` weighs both on the counted
+fingerprints: the pairs that meet follow from their number and from how often two of them agree on
+each coordinate, which one aggregation of 64 sums gives. The result is the same for any number of
+blocks. So the work stays near the number of cells, where a fixed number of blocks would make the pairs
+grow with the square of the texts. ``pairs_compared`` counts the pairs that a choice compares.
 
 Cells hold distinct fingerprints, so groups of equal fingerprints cost one row. A cell with more
 than ``CELL_ROWS`` of them is cut into blocks, and each pair of blocks is a cell of its own. Rows are
 sorted by cell, and a task holds ``ROWS_AT_ONCE`` rows and the cell that is not yet finished, whatever
-the size of its partition. It emits a star for each group that it finds, never the pairs. The number
-of blocks decides how selective a cell is; it is a parameter, to be raised with the logarithm of the
-number of texts.
+the size of its partition. It emits a star for each group that it finds, never the pairs.
 
 Defined results: null and empty texts have the fingerprint zero, which links like any other. Rows
 with a null id take part; a component's id is its least id that is not null (null if it has none).
@@ -25,6 +29,7 @@ Repeated rows give repeated rows. Other columns are ignored, whatever their name
 from __future__ import annotations
 
 from itertools import combinations, repeat
+from math import comb, prod
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +47,8 @@ SEED = 42
 CELL_ROWS = 8192
 ROWS_AT_ONCE = 1 << 18
 HASHES_AT_ONCE = 1 << 16
+MOST_BLOCKS = 16
+CELL_COST = 64  # writing, shuffling and sorting a row of a cell takes as long as comparing so many pairs
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
@@ -103,6 +110,38 @@ def cell_masks(max_bits: int = MAX_BITS, blocks: int | None = None) -> list[int]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def choose_blocks(n: int, agree: list[float], max_bits: int = MAX_BITS) -> int:
+    """Number of blocks that is expected to take the least work for ``n`` fingerprints.
+
+    ``agree`` holds, for each coordinate, the share of pairs that agree on it; the estimate takes the
+    coordinates as independent.
+    """
+    def cost(blocks: int) -> float:
+        cuts = [round(32 * i / blocks) for i in range(blocks + 1)]
+        chosen = [1.0] + [0.0] * (blocks - max_bits)  # sums over all choices of so many blocks
+        for a, b in zip(cuts, cuts[1:]):
+            block = prod(agree[a:b])
+            chosen = [1.0] + [c + block * before for before, c in zip(chosen, chosen[1:])]
+        return CELL_COST * comb(blocks, max_bits) + (n - 1) / 2 * chosen[-1]
+
+    return min(range(max_bits + 3, max(MOST_BLOCKS, max_bits + 3) + 1), key=cost)
+
+
+def blocks_for(prints: DataFrame, max_bits: int = MAX_BITS) -> int:
+    """``choose_blocks`` for distinct fingerprints ``fp``, from their number and the counts of their bits."""
+    half = F.shiftrightunsigned("fp", 1)
+    either, both = F.col("fp").bitwiseOR(half), F.col("fp").bitwiseAND(half)
+    sums = [
+        F.sum(F.shiftrightunsigned(bits, 2 * i).bitwiseAND(F.lit(1)))
+        for bits in (either, both) for i in range(32)
+    ]
+    n, *counts = prints.agg(F.count("*"), *sums).first()
+    if not n:
+        return max_bits + 3
+    some, two = np.array(counts[:32]) / n, np.array(counts[32:]) / n
+    return choose_blocks(n, ((1 - some) ** 2 + (some - two) ** 2 + two ** 2).tolist(), max_bits)
+
+
 def _pairs(cell: np.ndarray, fp: np.ndarray, point: np.ndarray, max_bits: int):
     """(member, root) of the groups that links inside cells make, from rows sorted by cell."""
     root = np.arange(len(cell))
@@ -158,19 +197,27 @@ def _stars(batches, max_bits: int, rows_at_once: int = ROWS_AT_ONCE):
         yield found(np.concatenate(cells), np.concatenate(prints))
 
 
+def _cells(prints: DataFrame, max_bits: int, blocks: int | None) -> DataFrame:
+    """(fp, cell) of every fingerprint in all of its cells."""
+    point = embed(F.col("fp"))
+    return prints.select("fp", F.explode(F.array(*[
+        F.xxhash64(F.lit(i), point.bitwiseAND(F.lit(m)))
+        for i, m in enumerate(cell_masks(max_bits, blocks))
+    ])).alias("cell"))
+
+
+def pairs_compared(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None) -> int:
+    """Number of pairs that share a cell, once for each cell; for judging a number of blocks."""
+    sizes = _cells(prints, max_bits, blocks).groupBy("cell").agg(F.count("*").alias("n"))
+    return sizes.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0))).first()[0]
+
+
 def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None) -> DataFrame:
     """(a, b): links that join the same fingerprints ``fp`` as all pairs of at most ``max_bits``.
 
-    ``prints`` holds distinct fingerprints.
+    ``prints`` holds distinct fingerprints. ``blocks`` are chosen by ``blocks_for`` if not given.
     """
-    point = embed(F.col("fp"))
-    cells = cut_lineage(
-        prints.select("fp", F.explode(F.array(*[
-            F.xxhash64(F.lit(i), point.bitwiseAND(F.lit(m)))
-            for i, m in enumerate(cell_masks(max_bits, blocks))
-        ])).alias("cell")),
-        "simhash-cells",
-    )
+    cells = cut_lineage(_cells(prints, max_bits, blocks or blocks_for(prints, max_bits)), "simhash-cells")
     heavy = cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL_ROWS)
     parts = F.coalesce(F.ceil(F.col("n") / CELL_ROWS), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
@@ -187,12 +234,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+    shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, blocks: int | None = None,
 ) -> DataFrame:
     """(id column, fp, component_id) of every row of ``docs``."""
     rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
     prints = cut_lineage(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-prints")
-    roots = components(links(prints.select("fp"), max_bits))
+    roots = components(links(prints.select("fp"), max_bits, blocks))
     named = prints.join(roots, prints.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -205,7 +252,7 @@ def near_duplicates(
 
 def first_of_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+    shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, blocks: int | None = None,
 ) -> DataFrame:
     """One row of each component, with all columns: that of the least id, null ids last.
 
@@ -218,7 +265,7 @@ def first_of_groups(
         whole[1].alias("h2"),
     )
     rows = docs.select(key.alias("key"), F.col(text_col).alias("text"))
-    groups = near_duplicates(rows, "key", "text", shingle, max_bits)
+    groups = near_duplicates(rows, "key", "text", shingle, max_bits, blocks)
     first = groups.where("key = component_id").select("key.h1", "key.h2").distinct()
     marked = docs.select(F.struct(*columns).alias("row"), whole[0].alias("h1"), whole[1].alias("h2"))
     kept = marked.join(first, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])

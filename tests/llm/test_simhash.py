@@ -152,3 +152,37 @@ def test_first_of_groups(docs, corpus):
 def test_empty_table(no_docs):
     assert S.near_duplicates(no_docs).collect() == []
     assert S.first_of_groups(no_docs).collect() == []
+
+
+def test_any_number_of_blocks_gives_the_same(spark):
+    for blocks in (8, 10):
+        check_links(spark, random_prints(random.Random(blocks), 200), blocks=blocks)
+
+
+def test_blocks_follow_the_number_of_prints(spark, monkeypatch):
+    even = [0.375] * 32
+    chosen = [S.choose_blocks(10 ** e, even) for e in range(2, 12)]
+    assert chosen[0] == 7 and chosen == sorted(chosen) and chosen[-1] > 9
+    assert S.choose_blocks(10 ** 8, [0.6] * 32) > S.choose_blocks(10 ** 8, even)  # coordinates that differ seldom
+    assert S.blocks_for(spark.createDataFrame([], "fp long")) == 7
+    seen = {}
+    monkeypatch.setattr(S, "choose_blocks", lambda n, agree, bits: seen.update(n=n, agree=agree) or 7)
+    rng = random.Random(5)
+    prints = [rng.getrandbits(64) & rng.getrandbits(64) for _ in range(50)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    S.blocks_for(spark.createDataFrame([(p,) for p in signed], "fp long"))
+    points = [[(p >> 2 * i & 3).bit_count() for i in range(32)] for p in prints]
+    want = [sum(a[i] == b[i] for a in points for b in points) / 2500 for i in range(32)]
+    assert seen["n"] == 50 and np.allclose(seen["agree"], want)
+
+
+def test_compared_pairs_are_those_of_the_cells(spark):
+    prints = random_prints(random.Random(3), 120)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(p,) for p in signed], "fp long")
+    for blocks in (7, 9):
+        masks = [m % (1 << 64) for m in S.cell_masks(4, blocks)]
+        points = [sum(((1 << (p >> 2 * i & 3).bit_count()) - 1) << 2 * i for i in range(32)) for p in prints]
+        want = sum((points[i] ^ points[j]) & m == 0 for m in masks for i in range(len(points)) for j in range(i))
+        assert S.pairs_compared(df, 4, blocks) == want > 0
+    assert S.pairs_compared(df.limit(0)) == 0
