@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pulsegrid import schemas as S
 from pulsegrid.functions.text import in_parentheses, split_pattern
 from pulsegrid.operators.ranking import with_position
-from pulsegrid.operators.skew import BROADCAST_ROWS, lookup_join
+from pulsegrid.operators.skew import lookup_join
 from pulsegrid.session import cut_lineage
 
 # One stream tracks at most this many tokens; more tokens make several lists.
@@ -24,6 +24,9 @@ SHORT_LIST = 400
 # Sizes of the grams in the index of long lists; a token takes the largest that fits it.
 GRAMS = (1, 2, 3, 5, 8)
 GAP = r"[ \t\n\r]+"
+# Tables of the keyword list hold several texts a row, and a match joins six of them: beyond so many counted rows
+# (some megabytes each) they are joined by shuffle, so that the driver never gathers a list that grows with the data.
+BROADCAST_TOKENS = 20_000
 
 
 def keyword_list(keywords: DataFrame) -> Column:
@@ -118,9 +121,9 @@ def _gram_size(token: Column) -> Column:
 
 def _gram_join(grams: DataFrame, listed: DataFrame, rows: int) -> DataFrame:
     """``grams`` met by ``listed``, which has one row per gram: broadcast while it is counted as small."""
-    if rows <= BROADCAST_ROWS:
+    if rows <= BROADCAST_TOKENS:
         return grams.join(F.broadcast(listed), "gram")
-    return lookup_join(grams, listed, "gram", "inner")
+    return lookup_join(grams, listed, "gram", "inner", count_dim=False)
 
 
 def candidate_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -178,7 +181,7 @@ def candidate_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
         .groupBy("word").agg(F.collect_set(F.struct("token", "is_whole")).alias("tokens")), "word-tokens",
     )
     size = by_word.select(F.sum(F.size("tokens"))).first()[0] or 0
-    found = of_text.join(F.broadcast(by_word), "word") if size <= BROADCAST_ROWS else lookup_join(
+    found = of_text.join(F.broadcast(by_word), "word") if size <= BROADCAST_TOKENS else lookup_join(
         of_text, by_word, "word", "inner")
     return found.select("_key", F.explode("tokens").alias("t")).select("_key", "t.*").distinct()
 
@@ -203,8 +206,12 @@ def found_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def _met(facts: DataFrame, listed: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Inner join with a table of the keyword list, which is broadcast while it is counted as small."""
-    return facts.join(F.broadcast(listed) if rows <= BROADCAST_ROWS else listed, keys)
+    """Inner join with a table of the keyword list, which is broadcast while it is counted as small.
+
+    Beyond that Spark may still broadcast what it measures as small; a table that it sorts or hashes is dealt by key,
+    and partitions of frequent tokens are split by its skew join.
+    """
+    return facts.join(F.broadcast(listed) if rows <= BROADCAST_TOKENS else listed, keys)
 
 
 def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFrame:

@@ -160,3 +160,27 @@ def test_count_jumps(spark):
     df = spark.createDataFrame(rows, "pattern string, day int, record_count bigint")
     got = sorted((r.pattern, r.day) for r in hashtags.count_jumps(df, "pattern", "day").collect())
     assert got == [("a", 2), ("c", 2)]
+
+
+def test_long_lists_are_not_gathered_on_the_driver(spark):
+    found = spark.range(10).selectExpr("id AS _key", "concat('t', id) AS token")
+    listed = spark.range(10).selectExpr("concat('t', id) AS token", "id AS place")
+    grams, index = found.selectExpr("_key", "xxhash64(token) AS gram"), listed.selectExpr("xxhash64(token) AS gram", "place")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for joined in (patterns._met(found, listed, ["token"], 100_000), patterns._gram_join(grams, index, 100_000)):
+            assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r.place for r in joined.collect()) == list(range(10))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_long_lists_give_the_same_by_shuffles(spark, monkeypatch):
+    rows = [(0, "ANN likes the SUN"), (1, "only sun"), (2, "cat and ann"), (3, None), (4, "bob sun ann"), (4, "bob sun ann")]
+    texts = spark.createDataFrame(rows, "status_id int, text string")
+    listed = [(0, "a", 0, "Ann", "sun"), (0, "a", 1, "Bob", "sun"), (1, "b", 2, "ann", "rain"), (2, "c", 3, "the sun", "ann")]
+    kw = spark.createDataFrame(listed, KEYWORD_DDL)
+    want = sorted(patterns.match_patterns(texts, kw).select("status_id", "patterns", "orgs").collect())
+    monkeypatch.setattr(patterns, "BROADCAST_TOKENS", 0)
+    assert sorted(patterns.match_patterns_indexed(texts, kw).select("status_id", "patterns", "orgs").collect()) == want
