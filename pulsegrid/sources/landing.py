@@ -26,3 +26,8 @@ def stream_table(spark: SparkSession, folder: str, file_name: str, schema, max_f
         spark.readStream.schema(schema).option("pathGlobFilter", file_name)
         .option("maxFilesPerTrigger", max_files).parquet(folder)
     )
+
+
+def stream_folders(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A stream of the folders landed below ``path`` (see ``sinks.landing``), each in one micro-batch."""
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(path)
