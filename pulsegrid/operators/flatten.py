@@ -168,9 +168,10 @@ def typed_status(wide: DataFrame, overflow: DataFrame | None = None) -> DataFram
         )
         rest = entries.groupBy(F.col("status_id").alias("_owner")).agg(F.map_from_entries(
             F.collect_list(F.struct("entity", F.transform("e", lambda x: x["value"])))).alias("_rest"))
-        # a status has few overflow rows; statuses without any keep their slots
+        # a status has few overflow rows; statuses without any keep their slots. The few are hashed, so that
+        # no task sorts wide rows
         status_id = F.col("statusId").cast("bigint")
-        wide = wide.join(rest, status_id == F.col("_owner"), "left")
+        wide = wide.join(rest.hint("shuffle_hash"), status_id == F.col("_owner"), "left")
 
     def slots(typed: str, element: str = "string") -> Column:
         """The slots as they are, NULLs included, with what did not fit."""
