@@ -8,7 +8,9 @@ lists of thousands of keywords are joined by the rarest gram of each of their to
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
@@ -27,6 +29,14 @@ GAP = r"[ \t\n\r]+"
 # Tables of the keyword list hold several texts a row, and a match joins six of them: beyond so many counted rows
 # (some megabytes each) they are joined by shuffle, so that the driver never gathers a list that grows with the data.
 BROADCAST_TOKENS = 20_000
+# So many entries of tokens, and so many frequent words with at most MOST_SENT entries each, are sent to all tasks.
+SENT_ENTRIES = 100_000
+FREQUENT_WORDS = 50_000
+MOST_SENT = 16
+# Tokens of more different lengths are found by grams.
+LENGTHS = 16
+# Digits of a place in the keyword list, to the base 36.
+PLACE = 8
 
 
 def keyword_list(keywords: DataFrame) -> Column:
@@ -126,39 +136,21 @@ def _gram_join(grams: DataFrame, listed: DataFrame, rows: int) -> DataFrame:
     return lookup_join(grams, listed, "gram", "inner", count_dim=False)
 
 
-def candidate_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(_key, token, is_whole): the tokens that may occur in the text of each row, at least all that do.
+def pieces_by_grams(vocabulary: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(word, piece): the pieces that each word of the vocabulary (word, texts) holds.
 
-    A token without white space (``is_whole``) does occur. Texts and tokens are cut at white space: a token can only occur where its longest piece lies within
-    a word. So pieces are looked for in the vocabulary, each word once however many texts hold it, and the
-    texts meet the tokens of their words. Within the vocabulary each piece stands in an index under one
-    gram only, its rarest: the grams of all pieces are counted over the words, weighted by the words'
-    texts, and a piece with a gram that no word holds is dropped at once. Long pieces have long grams,
-    short ones do not shorten those of others. Tokens of white space only have no piece; all texts are
-    their candidates.
+    A piece stands in the index under one gram, its rarest: the grams of all pieces are counted over the words,
+    weighted by the words' texts, and a piece with a gram that no word holds is dropped at once. Long pieces
+    have long grams, short ones do not shorten those of others.
     """
-    low = tokens.select(F.lower("token").alias("token")).filter("token <> ''").distinct()
-    parts = F.split("token", GAP)
-    longest = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("piece"))))
-    piece = longest["piece"]
-    pieced = cut_lineage(low.select("token", piece.alias("piece"), (piece == F.col("token")).alias("is_whole")), "tokens")
-    pieces = pieced.select("piece").filter("piece <> ''").distinct().withColumn("size", _gram_size(F.col("piece")))
+    pieces = pieces.withColumn("size", _gram_size(F.col("piece")))
     sizes = sorted(r["size"] for r in pieces.select("size").distinct().collect())  # at most len(GRAMS) rows
-    has_blank = not pieced.filter("piece = ''").isEmpty()
-
     none = F.array().cast("array<bigint>")
     of_piece = cut_lineage(
         pieces.select("piece", F.explode(F.coalesce(
             *[F.when(F.col("size") == g, _grams(F.col("piece"), g)) for g in sizes], none
         )).alias("gram")), "token-grams",
     )
-    words = F.array_distinct(F.split(F.lower("text"), GAP))
-    blank = F.array(F.lit("")) if has_blank else F.array().cast("array<string>")
-    of_text = keyed.select("_key", F.explode(F.array_distinct(F.concat(words, blank))).alias("word"))
-
-    vocabulary = cut_lineage(
-        of_text.filter("word <> ''").groupBy("word").agg(F.count("*").alias("texts")), "vocabulary"
-    )
     of_word = vocabulary.select("word", "texts", F.explode(F.concat(
         none, *[F.coalesce(_grams(F.col("word"), g), none) for g in sizes]
     )).alias("gram"))
@@ -171,13 +163,39 @@ def candidate_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
         .filter("least.n > 0").select(F.col("least.gram").alias("gram"), "piece"), "rarest-grams",
     )
     index = rarest.groupBy("gram").agg(F.collect_list("piece").alias("pieces"))
-    met = (
+    return (
         _gram_join(of_word.drop("texts"), index, rarest.count())
-        .select("word", F.explode("pieces").alias("piece")).filter(F.contains("word", "piece"))
+        .select("word", F.explode("pieces").alias("piece")).filter(F.contains("word", "piece")).distinct()
     )
+
+
+def candidate_tokens(keyed: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(_key, token, is_whole): the tokens that may occur in the text of each row, at least all that do.
+
+    A token without white space (``is_whole``) does occur. Texts and tokens are cut at white space: a token can only occur where its longest piece lies within
+    a word. So pieces are looked for in the vocabulary, each word once however many texts hold it, and the
+    texts meet the tokens of their words. Within the vocabulary each piece stands in an index under one
+    gram only (``pieces_by_grams``). Tokens of white space only have no piece; all texts are their candidates.
+    """
+    low = tokens.select(F.lower("token").alias("token")).filter("token <> ''").distinct()
+    parts = F.split("token", GAP)
+    longest = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("piece"))))
+    piece = longest["piece"]
+    pieced = cut_lineage(low.select("token", piece.alias("piece"), (piece == F.col("token")).alias("is_whole")), "tokens")
+    pieces = pieced.select("piece").filter("piece <> ''").distinct()
+    has_blank = not pieced.filter("piece = ''").isEmpty()
+
+    words = F.array_distinct(F.split(F.lower("text"), GAP))
+    blank = F.array(F.lit("")) if has_blank else F.array().cast("array<string>")
+    of_text = keyed.select("_key", F.explode(F.array_distinct(F.concat(words, blank))).alias("word"))
+
+    vocabulary = cut_lineage(
+        of_text.filter("word <> ''").groupBy("word").agg(F.count("*").alias("texts")), "vocabulary"
+    )
+    met = pieces_by_grams(vocabulary, pieces)
     of_blank = pieced.filter("piece = ''").select(F.col("piece").alias("word"), "piece")
     by_word = cut_lineage(
-        met.unionByName(of_blank).distinct().join(pieced, "piece")
+        met.unionByName(of_blank).join(pieced, "piece")
         .groupBy("word").agg(F.collect_set(F.struct("token", "is_whole")).alias("tokens")), "word-tokens",
     )
     size = by_word.select(F.sum(F.size("tokens"))).first()[0] or 0
@@ -214,60 +232,172 @@ def _met(facts: DataFrame, listed: DataFrame, keys: list[str], rows: int) -> Dat
     return facts.join(F.broadcast(listed) if rows <= BROADCAST_TOKENS else listed, keys)
 
 
-def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
-    """``match_patterns`` for long keyword lists; the work follows the tokens found and the result.
+def keyword_tokens(keywords: DataFrame) -> DataFrame:
+    """(token, entries, leads): what a text that holds the lower-case token has to know of the keyword list.
 
-    A keyword whose tokens both occur is met through the rarer of the two. A token alone gives one label
-    however many keywords share it: that of the first of its keywords which does not match as a
-    whole. With ``m`` of them matching as a whole, it is among the first ``m + 1``, so only these are looked at.
+    Places in the list are texts of equal length, which sort as the numbers. An entry is the place of the first keyword
+    with a label, and the label; a token has one entry for each of its spellings. A lead is a keyword with two tokens,
+    given to the token that fewer keywords share, so that a token that most keywords share leads few of them (of
+    ``k`` keywords with different tokens at most the root of ``2 k``). It holds the entries of its labels, its own one
+    and the other one, and of both the place of the next keyword with that label.
     """
-    keyed = _with_key(statuses)
     listed = with_position(
         keywords.select("org_pos", "org", "kw_pos", "der", "tag"),
         [F.col(c) for c in ("org_pos", "org", "kw_pos", "der", "tag")], "place",
-    ).select("place", "org", "der", "tag", F.lower("der").alias("der_low"), F.lower("tag").alias("tag_low"))
-    rows = listed.count()
-    sides = listed.select("place", F.explode(F.array_distinct(F.array(
-        F.struct(F.col("der").alias("label"), F.col("der_low").alias("token")),
-        F.struct(F.col("tag").alias("label"), F.col("tag_low").alias("token")),
-    ))).alias("side")).select("place", "side.*").filter("token <> ''")
-    found = cut_lineage(found_tokens(keyed, sides.select("token")), "found-tokens")
-
-    spread = found.groupBy("token").agg(F.count("*").alias("n"))
-    der_n, tag_n = (spread.select(F.col("token").alias(c), F.col("n").alias(f"{c}_n")) for c in ("der_low", "tag_low"))
-    able = listed.join(der_n, "der_low").join(tag_n, "tag_low")
-    lead_is_der = F.col("der_low_n") <= F.col("tag_low_n")
-    able = able.select(
-        "place", "org", "der", "tag", F.when(lead_is_der, F.col("der_low")).otherwise(F.col("tag_low")).alias("token"),
-        F.when(lead_is_der, F.col("tag_low")).otherwise(F.col("der_low")).alias("other"),
     )
-    pairs = _met(found, able, ["token"], rows).drop("token").withColumnRenamed("other", "token")
-    both = cut_lineage(pairs.join(found, ["_key", "token"], "left_semi").drop("token"), "whole-matches")
-
-    # the keywords of every label in list order: r = 1, 2, ...
-    placed = with_position(sides, [F.col("label"), F.col("place")], "at")
-    first = placed.groupBy("label").agg(F.min("at").alias("first"))
-    ranked = placed.join(first, "label").select("label", "place", (F.col("at") - F.col("first") + 1).alias("r"))
-    labels = sides.select("token", "label").distinct()
-    matched = both.select("_key", F.explode(F.array_distinct(F.array("der", "tag"))).alias("label")).groupBy(
-        "_key", "label").agg(F.count("*").alias("m"))
-    asked = _met(found, labels, ["token"], rows).select("_key", "label").join(matched, ["_key", "label"], "left")
-    tried = asked.withColumn("r", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("m", F.lit(0)) + 1)))
-    alone = (
-        _met(tried, ranked, ["label", "r"], rows).join(both.select("_key", "place"), ["_key", "place"], "left_anti")
-        .groupBy("_key", "label").agg(F.min("place").alias("place"))
+    sides = listed.select(
+        F.lpad(F.conv("place", 10, 36), PLACE, "0").alias("place"), "org",
+        F.coalesce((F.col("der") != "") & (F.col("tag") != ""), F.lit(False)).alias("is_pair"),
+        F.explode(F.array_distinct(F.array("der", "tag"))).alias("label"), "der",
+    ).filter("label <> ''").withColumn("token", F.lower("label"))
+    by_token, by_label = Window.partitionBy("token"), Window.partitionBy("token", "label").orderBy("place")
+    sides = sides.select(
+        "place", "org", "is_pair", "token", F.count("*").over(by_token).alias("shared"),
+        F.concat(F.first("place").over(by_label), "label").alias("entry"),
+        F.lead("place").over(by_label).alias("next"), F.col("label").eqNullSafe(F.col("der")).alias("is_der"),
+    )
+    sides = cut_lineage(sides, "keyword-sides")
+
+    side = F.struct("shared", (-F.length("token")).alias("size"), (~F.col("is_der")).alias("is_tag"), "token", "entry", "next")
+    leads = (
+        sides.filter("is_pair").groupBy("place").agg(F.max("org").alias("org"), F.min(side).alias("own"), F.max(side).alias("other"))
+        .select(F.col("own.token").alias("token"), F.lit(None).cast("string").alias("entry"), F.struct(
+            "place", "org", F.col("own.entry").alias("own"), F.col("other.entry").alias("other"),
+            (~F.col("own.is_tag")).alias("own_is_der"), F.col("own.next").alias("own_next"), F.col("other.next").alias("other_next"),
+        ).alias("lead"))
     )
-    hits = both.select("_key", "place", F.concat_ws("+", "der", "tag").alias("label"), "org", F.lit(True).alias("is_whole")).unionByName(
-        alone.select("_key", "place", "label", F.lit(None).cast("string").alias("org"), F.lit(False).alias("is_whole")))
-    summed = hits.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("place", "label", "org", "is_whole"))).alias("hits"))
-    credited = F.array_distinct(F.transform(F.filter("hits", lambda h: h["is_whole"]), lambda h: h["org"]))
-    return keyed.join(summed, "_key").select(
-        *statuses.columns,
-        F.array_join(F.transform("hits", lambda h: in_parentheses(h["label"])), " & ").alias("patterns"),
+    entries = sides.filter(F.startswith("entry", "place")).select("token", "entry", F.lit(None).cast(leads.schema["lead"].dataType).alias("lead"))
+    return entries.unionByName(leads).groupBy("token").agg(
+        F.collect_list("entry").alias("entries"), F.collect_list("lead").alias("leads")
+    )
+
+
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
+    """The entries and leads of all rows of a key in one row."""
+    return rows.groupBy(*keys).agg(
+        F.flatten(F.collect_list("entries")).alias("entries"), F.flatten(F.collect_list("leads")).alias("leads")
+    )
+
+
+def _load() -> Column:
+    return F.size("entries") + F.size("leads")
+
+
+def words_of_tokens(vocabulary: DataFrame, tokens: DataFrame, loads: dict[int, int]) -> DataFrame:
+    """(word, entries, leads) of the words that hold a token; ``loads``: entries and leads of the tokens by length.
+
+    Each word is cut into its pieces of the lengths that tokens have, which meet the tokens. Tokens of as many lengths as
+    fit are sent to all tasks, the others are joined by shuffle. Beyond ``LENGTHS`` different lengths tokens are found by grams.
+    """
+    if len(loads) > LENGTHS:
+        pairs = pieces_by_grams(vocabulary, tokens.select(F.col("token").alias("piece")))
+        held = pairs.withColumnRenamed("piece", "token").join(tokens, "token")
+        return _summed(held, "word")
+    sent, total = [], 0
+    for size, load in sorted(loads.items(), key=lambda x: x[1]):
+        total += load
+        if total <= SENT_ENTRIES:
+            sent.append(size)
+
+    def pieces(size: int) -> Column:
+        places = F.sequence(F.lit(1), F.length("word") - (size - 1))
+        found = F.transform(places, lambda i: F.substring("word", i, F.lit(size)))
+        return F.when(F.length("word") >= size, found).otherwise(F.array().cast("array<string>"))
+
+    def cuts(sizes: list[int]) -> DataFrame:
+        return vocabulary.select("word", F.explode(F.array_distinct(F.flatten(F.array(*map(pieces, sizes))))).alias("token"))
+
+    parts = []
+    if sent:
+        parts.append(cuts(sent).join(F.broadcast(tokens.filter(F.length("token").isin(sent))), "token"))
+    if left := [size for size in loads if size not in sent]:
+        parts.append(cuts(left).join(tokens.filter(F.length("token").isin(left)), "token"))
+    return _summed(reduce(DataFrame.unionByName, [p.select("word", "entries", "leads") for p in parts]), "word")
+
+
+def _plain_matches(keyed: DataFrame, tokens: DataFrame, loads: dict[int, int]) -> DataFrame:
+    """(_id, _text, entries, leads) of the texts by tokens without white space, several rows a text.
+
+    Such a token lies within a word. What the words hold is found once for each word of the vocabulary. The most
+    frequent words are sent to all tasks with it; texts meet the others by shuffle, where no word is frequent but
+    those that hold very much.
+    """
+    words = F.array_distinct(F.filter(F.split(F.lower("text"), GAP), lambda w: F.length(w) >= min(loads)))
+    of_text = keyed.select("_id", "_text", F.explode(words).alias("word"))
+    vocabulary = cut_lineage(of_text.groupBy("word").agg(F.count("*").alias("texts")), "vocabulary")
+    top = cut_lineage(vocabulary.orderBy(F.desc("texts"), "word").limit(FREQUENT_WORDS), "top-words")
+    frequent = cut_lineage(
+        top.select("word").join(words_of_tokens(top, tokens, loads), "word", "left")
+        .filter(F.col("entries").isNull() | (_load() <= MOST_SENT)), "frequent-words",
+    )
+    others = vocabulary.join(F.broadcast(frequent.select("word")), "word", "left_anti")
+    near = of_text.join(F.broadcast(frequent.filter("entries IS NOT NULL")), "word")
+    far = of_text.join(F.broadcast(frequent.select("word")), "word", "left_anti").join(
+        words_of_tokens(others, tokens, loads), "word")
+    return near.unionByName(far).drop("word")
+
+
+def summed_hits(found: DataFrame) -> DataFrame:
+    """(_id, _text, patterns, orgs) from all entries and leads of each text; everything else is done within its row.
+
+    A keyword matches as a whole where the entries hold the other label of its lead, too. A label alone stands at the first of its
+    keywords that does not match as a whole: its first keyword, or else the next one behind a keyword that does.
+    """
+    rows = _summed(found, "_id", "_text").withColumn("entries", F.array_distinct("entries")).withColumn(
+        "others", F.array_intersect(F.transform("leads", lambda x: x["other"]), F.col("entries"))
+    ).withColumn(
+        "matched", F.sort_array(F.filter("leads", lambda x: F.array_contains("others", x["other"])))
+    ).withColumn("whole", F.filter(
+        "matched", lambda x, i: (i == 0) | (F.get("matched", i - 1)["place"] != x["place"])
+    )).withColumn("taken", F.transform("whole", lambda x: x["place"])).withColumn("passed", F.flatten(F.transform(
+        "whole", lambda x: F.filter(F.array(x["own"], x["other"]), lambda e: F.startswith(e, x["place"]))
+    ))).withColumn("later", F.sort_array(F.filter(F.flatten(F.transform("whole", lambda x: F.array(
+        F.struct(x["own_next"].alias("place"), x["own"].alias("entry")),
+        F.struct(x["other_next"].alias("place"), x["other"].alias("entry")),
+    ))), lambda x: x["place"].isNotNull() & F.array_contains("passed", x["entry"]) & ~F.array_contains("taken", x["place"])
+    ))).withColumn("moved", F.transform("later", lambda x: x["entry"]))
+
+    def label(entry: Column) -> Column:
+        return F.substr(entry, F.lit(PLACE + 1))
+
+    def pair(x: Column) -> Column:
+        own, other = label(x["own"]), label(x["other"])
+        return F.concat(x["place"], F.when(x["own_is_der"], F.concat_ws("+", own, other)).otherwise(F.concat_ws("+", other, own)))
+
+    hits = F.sort_array(F.concat(
+        F.array_except("entries", "passed"), F.transform("whole", pair),
+        F.transform(F.filter("later", lambda x, i: F.array_position("moved", x["entry"]) == i + 1),
+                    lambda x: F.concat(x["place"], label(x["entry"]))),
+    ))
+    credited = F.array_distinct(F.transform("whole", lambda x: x["org"]))
+    return rows.select(
+        "_id", "_text", F.array_join(F.transform(hits, lambda h: in_parentheses(label(h))), " & ").alias("patterns"),
         F.coalesce(F.nullif(F.array_join(credited, " & "), F.lit("")), F.lit(S.STREAM_KEYWORD)).alias("orgs"),
     )
 
 
+def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
+    """``match_patterns`` for long keyword lists; the work follows the tokens found and the result.
+
+    What the list says of a token travels with the words that hold it, so a text meets all of it by one shuffle, and its
+    keywords, labels and their order are settled within its row. Tokens with white space are looked up in the texts.
+    """
+    tokens = cut_lineage(keyword_tokens(keywords), "keyword-tokens")
+    has_gap = F.rlike("token", F.lit(GAP))
+    plain = tokens.filter(~has_gap)
+    loads = {r["size"]: r["load"] for r in plain.groupBy(F.length("token").alias("size")).agg(F.sum(_load()).alias("load")).collect()}
+    # rows that share both hashes share their tokens, whatever their ids are
+    keyed = statuses.withColumn("_id", F.xxhash64("status_id")).withColumn("_text", F.xxhash64("text"))
+    parts = [_plain_matches(keyed, plain, loads)] if loads else []
+    gapped = tokens.filter(has_gap)
+    if not parts or not gapped.isEmpty():
+        at_gaps = found_tokens(_with_key(statuses), gapped.select("token")).join(gapped, "token")
+        parts.append(at_gaps.select(
+            F.xxhash64("_key.status_id").alias("_id"), F.col("_key.text_hash").alias("_text"), "entries", "leads"))
+    found = reduce(DataFrame.unionByName, [p.select("_id", "_text", "entries", "leads") for p in parts])
+    return keyed.join(summed_hits(found), ["_id", "_text"]).select(*statuses.columns, "patterns", "orgs")
+
+
 def match_keywords(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
     """``match_patterns`` by the way that fits the length of the list, which is counted up to the bound."""
     if keywords.limit(SHORT_LIST + 1).count() <= SHORT_LIST:

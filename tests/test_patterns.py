@@ -1,11 +1,14 @@
 """The pattern rule on hand-made texts, and against a plain loop on random ones."""
 
+import random
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import classify, hashtags, patterns
 from pulsegrid.plans import bindings as B
+from pulsegrid.session import cut_lineage
 
 SF = "/root/testdata/sf0.001"
 KEYWORD_DDL = "org_pos int, org string, kw_pos int, der string, tag string"
@@ -184,3 +187,38 @@ def test_long_lists_give_the_same_by_shuffles(spark, monkeypatch):
     want = sorted(patterns.match_patterns(texts, kw).select("status_id", "patterns", "orgs").collect())
     monkeypatch.setattr(patterns, "BROADCAST_TOKENS", 0)
     assert sorted(patterns.match_patterns_indexed(texts, kw).select("status_id", "patterns", "orgs").collect()) == want
+
+
+def test_long_lists_against_loop(spark):
+    """Many keywords that share labels and tokens in several spellings, so that whole matches pass their labels on."""
+    dice = random.Random(7)
+    tokens = ["ab", "AB", "abc", "bca", "c", "ca", "Cab", "bb", "bbc", "b c", "aa", "xyz", ""]
+    keywords = [(k // 5, f"org{dice.randrange(6)}", dice.choice(tokens), dice.choice(tokens)) for k in range(45)]
+    texts = ["".join(dice.choices("abcABC x", k=dice.randrange(14))) for _ in range(150)]
+    kw = spark.createDataFrame([(p, org, k, der, tag) for k, (p, org, der, tag) in enumerate(keywords)], KEYWORD_DDL)
+    rows = spark.createDataFrame(list(enumerate(texts)), "status_id int, text string")
+    listed = [k[1:] for k in sorted(keywords, key=lambda k: k[:2])]  # by account, then in order
+    got = {r.status_id: (r.patterns, r.orgs) for r in patterns.match_patterns_indexed(rows, kw).collect()}
+    want = {i: loop_match(t, listed) for i, t in enumerate(texts)}
+    assert got == {i: w for i, w in want.items() if w} and len(got) > 100
+
+
+def test_written_tables_of_long_lists_follow_the_words(spark, monkeypatch):
+    """Five times the texts with the same words: no table of texts with tokens is written, only lists and vocabulary."""
+    written = []
+
+    def counted(df, purpose):
+        table = cut_lineage(df, purpose)
+        written.append(table.count())
+        return table
+
+    monkeypatch.setattr(patterns, "cut_lineage", counted)
+    texts = spark.createDataFrame([(i, f"word{i} others{i} common words here") for i in range(40)], "status_id int, text string")
+    kw = spark.createDataFrame([(0, f"o{i}", i, f"word{i}", f"others{i}") for i in range(40)], KEYWORD_DDL)
+    sizes = []
+    for times in (1, 5):
+        many = texts.crossJoin(spark.range(times)).selectExpr("CAST(status_id + 1000 * id AS int) AS status_id", "text")
+        written.clear()
+        assert patterns.match_patterns_indexed(many, kw).count() == 40 * times
+        sizes.append(sum(written))
+    assert sizes[0] == sizes[1]
