@@ -2,12 +2,13 @@
 
 The list has one entry per keyword: (org_pos, org, kw_pos, der, tag), five per watched account.
 Short lists travel as one value and are walked within each row, which also works on streams;
-lists of thousands of keywords are joined by the rarest gram of each of their tokens
-(``match_patterns_indexed``, ``track_filter_indexed``). Both ways give the same rows.
+lists of thousands of keywords meet the vocabulary of the texts (``match_patterns_indexed``,
+``track_filter_indexed``). Both ways give the same rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +18,7 @@ from pulsegrid import schemas as S
 from pulsegrid.functions.text import in_parentheses, split_pattern
 from pulsegrid.operators.ranking import with_position
 from pulsegrid.operators.skew import lookup_join
-from pulsegrid.session import cut_lineage
+from pulsegrid.session import cut_lineage, drop_table, shuffles_dropped
 
 # One stream tracks at most this many tokens; more tokens make several lists.
 LIST_SIZE = 400
@@ -26,17 +27,18 @@ SHORT_LIST = 400
 # Sizes of the grams in the index of long lists; a token takes the largest that fits it.
 GRAMS = (1, 2, 3, 5, 8)
 GAP = r"[ \t\n\r]+"
-# Tables of the keyword list hold several texts a row, and a match joins six of them: beyond so many counted rows
-# (some megabytes each) they are joined by shuffle, so that the driver never gathers a list that grows with the data.
+NO_GAP = r"[^ \t\n\r]"
+# Tables of the keyword list hold several texts a row: beyond so many counted rows (some megabytes each) they are joined
+# by shuffle, so that the driver never gathers a list that grows with the data.
 BROADCAST_TOKENS = 20_000
 # So many entries of tokens, and so many frequent words with at most MOST_SENT entries each, are sent to all tasks.
 SENT_ENTRIES = 100_000
-FREQUENT_WORDS = 50_000
+FREQUENT_WORDS = 150_000
 MOST_SENT = 16
 # Tokens of more different lengths are found by grams.
 LENGTHS = 16
-# Digits of a place in the keyword list, to the base 36.
-PLACE = 8
+# Between the entries of tokens without white space.
+BETWEEN = " "
 
 
 def keyword_list(keywords: DataFrame) -> Column:
@@ -232,10 +234,10 @@ def _met(facts: DataFrame, listed: DataFrame, keys: list[str], rows: int) -> Dat
     return facts.join(F.broadcast(listed) if rows <= BROADCAST_TOKENS else listed, keys)
 
 
-def keyword_tokens(keywords: DataFrame) -> DataFrame:
+def keyword_tokens(keywords: DataFrame) -> tuple[DataFrame, int]:
     """(token, entries, leads): what a text that holds the lower-case token has to know of the keyword list.
 
-    Places in the list are texts of equal length, which sort as the numbers. An entry is the place of the first keyword
+    Places in the list are texts of equal length, to the base 36, which sort as the numbers; the length is returned, too. An entry is the place of the first keyword
     with a label, and the label; a token has one entry for each of its spellings. A lead is a keyword with two tokens,
     given to the token that fewer keywords share, so that a token that most keywords share leads few of them (of
     ``k`` keywords with different tokens at most the root of ``2 k``). It holds the entries of its labels, its own one
@@ -245,8 +247,11 @@ def keyword_tokens(keywords: DataFrame) -> DataFrame:
         keywords.select("org_pos", "org", "kw_pos", "der", "tag"),
         [F.col(c) for c in ("org_pos", "org", "kw_pos", "der", "tag")], "place",
     )
+    count, digits = listed.count(), 1
+    while 36**digits <= count:
+        digits += 1
     sides = listed.select(
-        F.lpad(F.conv("place", 10, 36), PLACE, "0").alias("place"), "org",
+        F.lpad(F.conv("place", 10, 36), digits, "0").alias("place"), "org",
         F.coalesce((F.col("der") != "") & (F.col("tag") != ""), F.lit(False)).alias("is_pair"),
         F.explode(F.array_distinct(F.array("der", "tag"))).alias("label"), "der",
     ).filter("label <> ''").withColumn("token", F.lower("label"))
@@ -267,32 +272,31 @@ def keyword_tokens(keywords: DataFrame) -> DataFrame:
         ).alias("lead"))
     )
     entries = sides.filter(F.startswith("entry", "place")).select("token", "entry", F.lit(None).cast(leads.schema["lead"].dataType).alias("lead"))
-    return entries.unionByName(leads).groupBy("token").agg(
+    tokens = cut_lineage(entries.unionByName(leads).groupBy("token").agg(
         F.collect_list("entry").alias("entries"), F.collect_list("lead").alias("leads")
-    )
+    ), "keyword-tokens")
+    drop_table(listed)
+    drop_table(sides)
+    return tokens, digits
 
 
-def _summed(rows: DataFrame, *keys: str) -> DataFrame:
-    """The entries and leads of all rows of a key in one row."""
+def _summed(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """What all rows of the keys hold and lead, in one row; most words lead nothing, which is NULL and takes no room."""
+    leads = F.flatten(F.collect_list("leads"))
     return rows.groupBy(*keys).agg(
-        F.flatten(F.collect_list("entries")).alias("entries"), F.flatten(F.collect_list("leads")).alias("leads")
-    )
-
-
-def _load() -> Column:
-    return F.size("entries") + F.size("leads")
+        F.array_join(F.collect_list("held"), BETWEEN).alias("held"), F.when(F.size(leads) > 0, leads).alias("leads"), *more)
 
 
 def words_of_tokens(vocabulary: DataFrame, tokens: DataFrame, loads: dict[int, int]) -> DataFrame:
-    """(word, entries, leads) of the words that hold a token; ``loads``: entries and leads of the tokens by length.
+    """(word, held, leads, load) of the words that hold a token (token, held, leads, load); ``loads``: by length of the tokens.
 
     Each word is cut into its pieces of the lengths that tokens have, which meet the tokens. Tokens of as many lengths as
     fit are sent to all tasks, the others are joined by shuffle. Beyond ``LENGTHS`` different lengths tokens are found by grams.
     """
+    all_load = F.sum("load").alias("load")
     if len(loads) > LENGTHS:
         pairs = pieces_by_grams(vocabulary, tokens.select(F.col("token").alias("piece")))
-        held = pairs.withColumnRenamed("piece", "token").join(tokens, "token")
-        return _summed(held, "word")
+        return _summed(_met(pairs.withColumnRenamed("piece", "token"), tokens, ["token"], sum(loads.values())), ["word"], all_load)
     sent, total = [], 0
     for size, load in sorted(loads.items(), key=lambda x: x[1]):
         total += load
@@ -311,69 +315,102 @@ def words_of_tokens(vocabulary: DataFrame, tokens: DataFrame, loads: dict[int, i
     if sent:
         parts.append(cuts(sent).join(F.broadcast(tokens.filter(F.length("token").isin(sent))), "token"))
     if left := [size for size in loads if size not in sent]:
-        parts.append(cuts(left).join(tokens.filter(F.length("token").isin(left)), "token"))
-    return _summed(reduce(DataFrame.unionByName, [p.select("word", "entries", "leads") for p in parts]), "word")
+        # one row a token, spread evenly: a hash table for each part of the list, and the many pieces are not sorted
+        parts.append(cuts(left).join(tokens.filter(F.length("token").isin(left)).hint("shuffle_hash"), "token"))
+    return _summed(reduce(DataFrame.unionByName, [p.select("word", "held", "leads", "load") for p in parts]), ["word"], all_load)
 
 
-def _plain_matches(keyed: DataFrame, tokens: DataFrame, loads: dict[int, int]) -> DataFrame:
-    """(_id, _text, entries, leads) of the texts by tokens without white space, several rows a text.
+def _plain_matches(keyed: DataFrame, tokens: DataFrame, loads: dict[int, int]) -> list[DataFrame]:
+    """Tables (_id, _text, entries, leads), at most one row a text in each, by tokens without white space.
 
     Such a token lies within a word. What the words hold is found once for each word of the vocabulary. The most
     frequent words are sent to all tasks with it; texts meet the others by shuffle, where no word is frequent but
     those that hold very much.
     """
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), GAP), lambda w: F.length(w) >= min(loads)))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"{NO_GAP}{{{min(loads)},}}+"), F.lit(0)))
     of_text = keyed.select("_id", "_text", F.explode(words).alias("word"))
     vocabulary = cut_lineage(of_text.groupBy("word").agg(F.count("*").alias("texts")), "vocabulary")
     top = cut_lineage(vocabulary.orderBy(F.desc("texts"), "word").limit(FREQUENT_WORDS), "top-words")
     frequent = cut_lineage(
         top.select("word").join(words_of_tokens(top, tokens, loads), "word", "left")
-        .filter(F.col("entries").isNull() | (_load() <= MOST_SENT)), "frequent-words",
+        .filter(F.coalesce("load", F.lit(0)) <= MOST_SENT), "frequent-words",
     )
+    sent = F.broadcast(frequent.filter("load > 0").select("word", "held", "leads"))
     others = vocabulary.join(F.broadcast(frequent.select("word")), "word", "left_anti")
-    near = of_text.join(F.broadcast(frequent.filter("entries IS NOT NULL")), "word")
+    of_other = cut_lineage(words_of_tokens(others, tokens, loads).drop("load"), "other-words")
     far = of_text.join(F.broadcast(frequent.select("word")), "word", "left_anti").join(
-        words_of_tokens(others, tokens, loads), "word")
-    return near.unionByName(far).drop("word")
+        of_other.hint("shuffle_hash"), "word")  # one row a word
+    # rows of a text lie together among the near ones only: the others are not summed before they meet
+    parts = [of_text.join(sent, "word"), far.select("_id", "_text", "held", "leads").repartition("_id", "_text")]
+    return [_summed(p, ["_id", "_text"]).withColumn("entries", F.split("held", BETWEEN)).drop("held") for p in parts]
 
 
-def summed_hits(found: DataFrame) -> DataFrame:
-    """(_id, _text, patterns, orgs) from all entries and leads of each text; everything else is done within its row.
+def _gapped_matches(statuses: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(_id, _text, entries, leads), one row a text, by tokens with white space, which are looked up in the texts."""
+    found = _met(found_tokens(_with_key(statuses), tokens.select("token")), tokens, ["token"], tokens.count())
+    return found.groupBy(F.xxhash64("_key.status_id").alias("_id"), F.col("_key.text_hash").alias("_text")).agg(
+        F.flatten(F.collect_list("entries")).alias("entries"), F.flatten(F.collect_list("leads")).alias("leads"))
 
-    A keyword matches as a whole where the entries hold the other label of its lead, too. A label alone stands at the first of its
-    keywords that does not match as a whole: its first keyword, or else the next one behind a keyword that does.
-    """
-    rows = _summed(found, "_id", "_text").withColumn("entries", F.array_distinct("entries")).withColumn(
-        "others", F.array_intersect(F.transform("leads", lambda x: x["other"]), F.col("entries"))
-    ).withColumn(
-        "matched", F.sort_array(F.filter("leads", lambda x: F.array_contains("others", x["other"])))
-    ).withColumn("whole", F.filter(
-        "matched", lambda x, i: (i == 0) | (F.get("matched", i - 1)["place"] != x["place"])
-    )).withColumn("taken", F.transform("whole", lambda x: x["place"])).withColumn("passed", F.flatten(F.transform(
-        "whole", lambda x: F.filter(F.array(x["own"], x["other"]), lambda e: F.startswith(e, x["place"]))
-    ))).withColumn("later", F.sort_array(F.filter(F.flatten(F.transform("whole", lambda x: F.array(
+
+def _bound(value: Column, function: Callable[[Column], Column]) -> Column:
+    """``function`` of a value that is computed once, also where the function uses it for each element of an array."""
+    return F.get(F.transform(F.array(value), function), F.lit(0))
+
+
+def whole_matches(entries: Column, leads: Column) -> Column:
+    """The leads whose other label is among the entries, once each and in order of their places."""
+    def sorted_once(found: Column) -> Column:
+        return F.filter(found, lambda x, i: (i == 0) | (F.get(found, i - 1)["place"] != x["place"]))
+
+    others = F.array_intersect(F.transform(leads, lambda x: x["other"]), entries)
+    return _bound(others, lambda o: _bound(
+        F.sort_array(F.filter(leads, lambda x: F.array_contains(o, x["other"]))), sorted_once))
+
+
+def moved_labels(whole: Column, passed: Column) -> Column:
+    """(place, entry): the labels whose first keyword matches as a whole, at the next of their keywords that does not."""
+    nexts = F.flatten(F.transform(whole, lambda x: F.array(
         F.struct(x["own_next"].alias("place"), x["own"].alias("entry")),
         F.struct(x["other_next"].alias("place"), x["other"].alias("entry")),
-    ))), lambda x: x["place"].isNotNull() & F.array_contains("passed", x["entry"]) & ~F.array_contains("taken", x["place"])
-    ))).withColumn("moved", F.transform("later", lambda x: x["entry"]))
+    )))
 
+    def open_places(taken: Column) -> Column:
+        return F.sort_array(F.filter(nexts, lambda x: x["place"].isNotNull() & F.array_contains(passed, x["entry"])
+                                     & ~F.array_contains(taken, x["place"])))
+
+    def firsts(found: Column) -> Column:
+        return _bound(F.transform(found, lambda x: x["entry"]), lambda labels: F.filter(
+            found, lambda x, i: F.array_position(labels, x["entry"]) == i + 1))
+
+    return _bound(F.transform(whole, lambda x: x["place"]), lambda taken: _bound(open_places(taken), firsts))
+
+
+def match_hits(entries: Column, leads: Column, digits: int) -> Column:
+    """(patterns, orgs) from all entries and leads of a text, which may be given more than once.
+
+    A keyword matches as a whole where the entries hold the other label of its lead, too. A label alone stands at the first of its
+    keywords that does not match as a whole: its first keyword, or else the next one behind a keyword that does.
+    """
     def label(entry: Column) -> Column:
-        return F.substr(entry, F.lit(PLACE + 1))
+        return F.substr(entry, F.lit(digits + 1))
 
     def pair(x: Column) -> Column:
         own, other = label(x["own"]), label(x["other"])
         return F.concat(x["place"], F.when(x["own_is_der"], F.concat_ws("+", own, other)).otherwise(F.concat_ws("+", other, own)))
 
-    hits = F.sort_array(F.concat(
-        F.array_except("entries", "passed"), F.transform("whole", pair),
-        F.transform(F.filter("later", lambda x, i: F.array_position("moved", x["entry"]) == i + 1),
-                    lambda x: F.concat(x["place"], label(x["entry"]))),
-    ))
-    credited = F.array_distinct(F.transform("whole", lambda x: x["org"]))
-    return rows.select(
-        "_id", "_text", F.array_join(F.transform(hits, lambda h: in_parentheses(label(h))), " & ").alias("patterns"),
-        F.coalesce(F.nullif(F.array_join(credited, " & "), F.lit("")), F.lit(S.STREAM_KEYWORD)).alias("orgs"),
-    )
+    def summary(whole: Column, passed: Column) -> Column:
+        moved = F.transform(moved_labels(whole, passed), lambda x: F.concat(x["place"], label(x["entry"])))
+        hits = F.sort_array(F.concat(F.array_except(entries, passed), F.transform(whole, pair), moved))
+        credited = F.array_join(F.array_distinct(F.transform(whole, lambda x: x["org"])), " & ")
+        return F.struct(
+            in_parentheses(F.array_join(F.transform(hits, label), ") & (")).alias("patterns"),
+            F.coalesce(F.nullif(credited, F.lit("")), F.lit(S.STREAM_KEYWORD)).alias("orgs"),
+        )
+
+    def passed(whole: Column) -> Column:
+        return F.flatten(F.transform(whole, lambda x: F.filter(F.array(x["own"], x["other"]), lambda e: F.startswith(e, x["place"]))))
+
+    return _bound(whole_matches(entries, leads), lambda w: _bound(passed(w), lambda p: summary(w, p)))
 
 
 def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFrame:
@@ -382,20 +419,31 @@ def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFram
     What the list says of a token travels with the words that hold it, so a text meets all of it by one shuffle, and its
     keywords, labels and their order are settled within its row. Tokens with white space are looked up in the texts.
     """
-    tokens = cut_lineage(keyword_tokens(keywords), "keyword-tokens")
-    has_gap = F.rlike("token", F.lit(GAP))
-    plain = tokens.filter(~has_gap)
-    loads = {r["size"]: r["load"] for r in plain.groupBy(F.length("token").alias("size")).agg(F.sum(_load()).alias("load")).collect()}
-    # rows that share both hashes share their tokens, whatever their ids are
-    keyed = statuses.withColumn("_id", F.xxhash64("status_id")).withColumn("_text", F.xxhash64("text"))
-    parts = [_plain_matches(keyed, plain, loads)] if loads else []
-    gapped = tokens.filter(has_gap)
-    if not parts or not gapped.isEmpty():
-        at_gaps = found_tokens(_with_key(statuses), gapped.select("token")).join(gapped, "token")
-        parts.append(at_gaps.select(
-            F.xxhash64("_key.status_id").alias("_id"), F.col("_key.text_hash").alias("_text"), "entries", "leads"))
-    found = reduce(DataFrame.unionByName, [p.select("_id", "_text", "entries", "leads") for p in parts])
-    return keyed.join(summed_hits(found), ["_id", "_text"]).select(*statuses.columns, "patterns", "orgs")
+    with shuffles_dropped(statuses.sparkSession):
+        tokens, digits = keyword_tokens(keywords)
+        has_gap, load = F.rlike("token", F.lit(GAP)), F.size("entries") + F.size("leads")
+        plain = tokens.filter(~has_gap).select(
+            "token", F.array_join("entries", BETWEEN).alias("held"), F.when(F.size("leads") > 0, F.col("leads")).alias("leads"),
+            load.alias("load"))
+        sizes = plain.groupBy(F.length("token").alias("size")).agg(F.sum("load").alias("load")).collect()
+        # rows that share both hashes share their tokens, whatever their ids are
+        keyed = statuses.withColumn("_id", F.xxhash64("status_id")).withColumn("_text", F.xxhash64("text"))
+        parts = _plain_matches(keyed, plain, {r["size"]: r["load"] for r in sizes}) if sizes else []
+        gapped = tokens.filter(has_gap)
+        if not parts or not gapped.isEmpty():
+            parts.append(_gapped_matches(statuses, gapped))
+    rows = keyed
+    for i, part in enumerate(parts):
+        rows = rows.join(part.withColumnsRenamed({"entries": f"_entries{i}", "leads": f"_leads{i}"}), ["_id", "_text"], "left")
+
+    def joined(name: str) -> Column:
+        none = F.array().cast(tokens.schema[name].dataType)
+        return F.concat(*[F.coalesce(F.col(f"_{name}{i}"), none) for i in range(len(parts))])
+
+    rows = rows.withColumn("_entries", joined("entries")).withColumn("_leads", joined("leads"))
+    hits = match_hits(F.col("_entries"), F.col("_leads"), digits)
+    return rows.filter(F.coalesce(*[F.col(f"_entries{i}") for i in range(len(parts))]).isNotNull()).withColumn(
+        "_hits", hits).select(*statuses.columns, "_hits.*")
 
 
 def match_keywords(statuses: DataFrame, keywords: DataFrame) -> DataFrame:

@@ -189,7 +189,7 @@ def test_long_lists_give_the_same_by_shuffles(spark, monkeypatch):
     assert sorted(patterns.match_patterns_indexed(texts, kw).select("status_id", "patterns", "orgs").collect()) == want
 
 
-def test_long_lists_against_loop(spark):
+def test_long_lists_against_loop(spark, monkeypatch):
     """Many keywords that share labels and tokens in several spellings, so that whole matches pass their labels on."""
     dice = random.Random(7)
     tokens = ["ab", "AB", "abc", "bca", "c", "ca", "Cab", "bb", "bbc", "b c", "aa", "xyz", ""]
@@ -201,6 +201,14 @@ def test_long_lists_against_loop(spark):
     got = {r.status_id: (r.patterns, r.orgs) for r in patterns.match_patterns_indexed(rows, kw).collect()}
     want = {i: loop_match(t, listed) for i, t in enumerate(texts)}
     assert got == {i: w for i, w in want.items() if w} and len(got) > 100
+    monkeypatch.setattr(patterns, "LENGTHS", 1)  # tokens found by grams, no word sent
+    monkeypatch.setattr(patterns, "FREQUENT_WORDS", 0)
+    got = {r.status_id: (r.patterns, r.orgs) for r in patterns.match_patterns_indexed(rows, kw).collect()}
+    assert got == {i: w for i, w in want.items() if w}
+    monkeypatch.setattr(patterns, "LENGTHS", 16)
+    monkeypatch.setattr(patterns, "SENT_ENTRIES", 0)  # all pieces by shuffle
+    got = {r.status_id: (r.patterns, r.orgs) for r in patterns.match_patterns_indexed(rows, kw).collect()}
+    assert got == {i: w for i, w in want.items() if w}
 
 
 def test_written_tables_of_long_lists_follow_the_words(spark, monkeypatch):
