@@ -35,6 +35,8 @@ BROADCAST_TOKENS = 20_000
 SENT_ENTRIES = 100_000
 FREQUENT_WORDS = 150_000
 MOST_SENT = 16
+# Rows with one id and text are matched once where some come more often.
+REPEATS = 10
 # Tokens of more different lengths are found by grams.
 LENGTHS = 16
 # Between the entries of tokens without white space.
@@ -293,10 +295,12 @@ def words_of_tokens(vocabulary: DataFrame, tokens: DataFrame, loads: dict[int, i
     Each word is cut into its pieces of the lengths that tokens have, which meet the tokens. Tokens of as many lengths as
     fit are sent to all tasks, the others are joined by shuffle. Beyond ``LENGTHS`` different lengths tokens are found by grams.
     """
-    all_load = F.sum("load").alias("load")
+    def of_words(rows: DataFrame) -> DataFrame:
+        return _summed(rows, ["word"], F.sum("load").alias("load"))
+
     if len(loads) > LENGTHS:
         pairs = pieces_by_grams(vocabulary, tokens.select(F.col("token").alias("piece")))
-        return _summed(_met(pairs.withColumnRenamed("piece", "token"), tokens, ["token"], sum(loads.values())), ["word"], all_load)
+        return of_words(_met(pairs.withColumnRenamed("piece", "token"), tokens, ["token"], sum(loads.values())))
     sent, total = [], 0
     for size, load in sorted(loads.items(), key=lambda x: x[1]):
         total += load
@@ -317,7 +321,14 @@ def words_of_tokens(vocabulary: DataFrame, tokens: DataFrame, loads: dict[int, i
     if left := [size for size in loads if size not in sent]:
         # one row a token, spread evenly: a hash table for each part of the list, and the many pieces are not sorted
         parts.append(cuts(left).join(tokens.filter(F.length("token").isin(left)).hint("shuffle_hash"), "token"))
-    return _summed(reduce(DataFrame.unionByName, [p.select("word", "held", "leads", "load") for p in parts]), ["word"], all_load)
+    return of_words(reduce(DataFrame.unionByName, [p.select("word", "held", "leads", "load") for p in parts]))
+
+
+def _single_texts(texts: DataFrame) -> DataFrame:
+    """Texts by their keys (_id, _text): once each where any comes often, as all that its rows hold meets in one row."""
+    keys = ["_id", "_text"]
+    most = texts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return texts if most <= REPEATS else cut_lineage(texts.dropDuplicates(keys), "single-texts")
 
 
 def _plain_matches(keyed: DataFrame, tokens: DataFrame, loads: dict[int, int]) -> list[DataFrame]:
@@ -428,7 +439,8 @@ def match_patterns_indexed(statuses: DataFrame, keywords: DataFrame) -> DataFram
         sizes = plain.groupBy(F.length("token").alias("size")).agg(F.sum("load").alias("load")).collect()
         # rows that share both hashes share their tokens, whatever their ids are
         keyed = statuses.withColumn("_id", F.xxhash64("status_id")).withColumn("_text", F.xxhash64("text"))
-        parts = _plain_matches(keyed, plain, {r["size"]: r["load"] for r in sizes}) if sizes else []
+        texts = _single_texts(keyed.select("_id", "_text", "text"))
+        parts = _plain_matches(texts, plain, {r["size"]: r["load"] for r in sizes}) if sizes else []
         gapped = tokens.filter(has_gap)
         if not parts or not gapped.isEmpty():
             parts.append(_gapped_matches(statuses, gapped))

@@ -230,3 +230,20 @@ def test_written_tables_of_long_lists_follow_the_words(spark, monkeypatch):
         assert patterns.match_patterns_indexed(many, kw).count() == 40 * times
         sizes.append(sum(written))
     assert sizes[0] == sizes[1]
+
+
+def test_rows_that_come_often_are_matched_once(spark, monkeypatch):
+    written = {}
+
+    def counted(df, purpose):
+        table = cut_lineage(df, purpose)
+        written[purpose] = table.count()
+        return table
+
+    monkeypatch.setattr(patterns, "cut_lineage", counted)
+    rows = [(1, "Ann likes the sun")] * 30 + [(None, "only sun")] * 2 + [(2, "nothing")]
+    texts = spark.createDataFrame(rows, "status_id int, text string").repartition(3)
+    kw = spark.createDataFrame([(0, "a", 0, "ann", "sun"), (0, "a", 1, "the", "")], KEYWORD_DDL)
+    got = sorted(map(tuple, patterns.match_patterns_indexed(texts, kw).collect()), key=repr)
+    assert got == sorted(map(tuple, patterns.match_patterns(texts, kw).collect()), key=repr) and len(got) == 32
+    assert written["single-texts"] == 3
